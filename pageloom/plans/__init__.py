@@ -7,6 +7,8 @@ _AREAS = (
     "url_queries",
     "response_queries",
     "link_queries",
+    "merge_queries",
+    "crawl_queries",
 )
 
 
