@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,3 +27,28 @@ def strip(value: Column) -> Column:
 def first_of(values: Column) -> Column:
     """First array element, or NULL for an empty array."""
     return F.get(values, F.lit(0))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``use``.
+
+    A computed array named inside a lambda is worked out again for each element;
+    binding it to a lambda variable of its own avoids that.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def last_wins(pairs: Column) -> Column:
+    """Map of an array of key/value structs; the last pair of a key counts.
+
+    Keys come out sorted, so a JSON text made from the map is stable.
+    """
+    placed = F.transform(pairs, lambda p, i: F.struct(p["key"].alias("key"), i.alias("i"), p["value"].alias("value")))
+
+    def kept(rows: Column) -> Column:
+        last = F.filter(
+            rows, lambda r, i: F.coalesce(F.get(rows, i + 1)["key"] != r["key"], F.lit(True))
+        )
+        return F.map_from_entries(F.transform(last, lambda r: F.struct(r["key"], r["value"])))
+
+    return let(F.array_sort(placed), kept)

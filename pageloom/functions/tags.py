@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import url as U
-from pageloom.functions.columns import ColumnOrName, col
+from pageloom.functions.columns import ColumnOrName, col, last_wins, let
 
 LINK_TAG = r"(?i)<a(?:\s[^>]*)?>"
 META_TAG = r"(?i)<meta\s[^>]*>"
@@ -153,48 +153,32 @@ def _meta_pairs(html: ColumnOrName, key: str, prefix: str) -> Column:
     )
 
 
-def _last_wins(pairs: Column) -> Column:
-    # A map may not repeat a key, so only the last pair of each key enters it.
-    kept = F.filter(
-        F.transform(pairs, lambda p, i: F.struct(p.alias("pair"), i.alias("i"))),
-        lambda p: ~F.exists(
-            F.slice(pairs, p["i"] + 2, F.size(pairs)), lambda later: later["key"] == p["pair"]["key"]
-        ),
-    )
-    return F.map_from_entries(F.transform(kept, lambda p: p["pair"]))
-
-
 def open_graph(html: ColumnOrName) -> Column:
     """Map of ``og:`` properties without their prefix."""
-    return _last_wins(_meta_pairs(html, "property", "og:"))
+    return last_wins(_meta_pairs(html, "property", "og:"))
 
 
 def twitter_card(html: ColumnOrName) -> Column:
-    return _last_wins(_meta_pairs(html, "name", "twitter:"))
+    return last_wins(_meta_pairs(html, "name", "twitter:"))
 
 
 def meta_tags(html: ColumnOrName) -> Column:
     """Map of every named meta tag."""
-    return _last_wins(_meta_pairs(html, "name", ""))
+    return last_wins(_meta_pairs(html, "name", ""))
 
 
 def meta_digest(html: ColumnOrName, base: ColumnOrName) -> Column:
     """Description, keywords, author and robots (any letter case) plus the canonical URL."""
-    pairs = _meta_pairs(html, "name", "")
-
-    def last(name: str) -> Column:
-        return F.element_at(
-            F.concat(
-                F.array(F.lit(None).cast("string")),
-                F.transform(F.filter(pairs, lambda p: F.lower(p["key"]) == name), lambda p: p["value"]),
-            ),
-            -1,
-        )
-
-    return F.struct(
-        *(last(n).alias(n) for n in ("description", "keywords", "author", "robots")),
-        canonical(html, base).alias("canonical"),
+    lowered = F.transform(
+        _meta_pairs(html, "name", ""),
+        lambda p: F.struct(F.lower(p["key"]).alias("key"), p["value"].alias("value")),
     )
+    names = ("description", "keywords", "author", "robots")
+
+    def fields(found: Column) -> Column:
+        return F.struct(*(F.try_element_at(found, F.lit(n)).alias(n) for n in names))
+
+    return let(last_wins(lowered), fields).withField("canonical", canonical(html, base))
 
 
 def title(html: ColumnOrName) -> Column:
