@@ -9,6 +9,7 @@ _AREAS = (
     "link_queries",
     "merge_queries",
     "crawl_queries",
+    "extract_queries",
 )
 
 
