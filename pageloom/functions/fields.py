@@ -128,7 +128,7 @@ def quantity(text: ColumnOrName) -> Column:
 def unit_price(amount: ColumnOrName, total: ColumnOrName, per: float = 1000.0) -> Column:
     """Price per ``per`` base units."""
     total = col(total)
-    return F.when(total > 0, F.round(col(amount).cast("double") * per / total, 4))
+    return F.when(total > 0, col(amount).cast("double") * per / total)
 
 
 def stock_status(text: ColumnOrName) -> Column:

@@ -60,3 +60,9 @@ def _walk(text: Column, each: bool, parts: list[str]) -> Column:
 def quoted(text: Column) -> Column:
     """A text as a JSON string."""
     return F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+
+
+def json_object(values: Column) -> Column:
+    """JSON object of a map whose values are JSON texts already."""
+    pairs = F.transform(F.map_entries(values), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))

@@ -16,7 +16,7 @@ from pageloom.functions import response as R
 from pageloom.functions import script_vars as S
 from pageloom.functions import tags as T
 from pageloom.functions.columns import let
-from pageloom.functions.htmlpath import quoted
+from pageloom.functions.htmlpath import json_object
 
 
 @dataclass(frozen=True)
@@ -221,7 +221,7 @@ def page_struct(
     types, are NULL.  Empty objects are NULL, an empty schema is an empty map."""
     is_html = R.is_html(content_type, body)
     makers = {
-        "js": lambda: _raw_object(S.variables(body)),
+        "js": lambda: json_object(S.variables(body)),
         "opengraph": lambda: F.to_json(T.open_graph(body)),
         "schema": lambda: S.schema_map(body, dom),
         "readability": lambda: F.to_json(A.article(body, dom)),
@@ -242,11 +242,11 @@ def page_struct(
 def bundle(html: str, url: str, columns: Sequence[str] = ("jsonld", "opengraph", "meta", "hydration", "js")) -> list[Column]:
     """The switchable bundle as JSON text columns; only those named are worked out."""
     makers = {
-        "jsonld": lambda: _raw_object(S.first_type_jsonld(html)),
+        "jsonld": lambda: json_object(S.first_type_jsonld(html)),
         "opengraph": lambda: F.to_json(T.open_graph(html)),
         "meta": lambda: F.to_json(T.meta_digest(html, url)),
-        "hydration": lambda: _raw_object(S.hydration(html)),
-        "js": lambda: _raw_object(S.state_variables(html)),
+        "hydration": lambda: json_object(S.hydration(html)),
+        "js": lambda: json_object(S.state_variables(html)),
     }
     return [makers[name]().alias(name) for name in columns]
 
@@ -257,7 +257,7 @@ def discover(html: str) -> Column:
     def part(name: str, values: Column) -> Column:
         return F.when(
             F.size(values) > 0,
-            F.concat(F.lit(f'"{name}":'), _raw_object(values) if name != "opengraph" else F.to_json(values)),
+            F.concat(F.lit(f'"{name}":'), json_object(values) if name != "opengraph" else F.to_json(values)),
         )
 
     parts = F.array(
@@ -267,14 +267,6 @@ def discover(html: str) -> Column:
     return F.concat(F.lit("{"), F.array_join(kept, ","), F.lit("}"))
 
 
-def _raw_object(values: Column) -> Column:
-    """JSON object of a map whose values are JSON texts already."""
-    pairs = F.transform(
-        F.map_entries(values), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"])
-    )
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-
-
 # Texts worth knowing about when a new site is looked at.
 PATTERNS = {
     "bundle_count": r"([0-9]+)\s*kpl",

@@ -10,6 +10,8 @@ _AREAS = (
     "merge_queries",
     "crawl_queries",
     "extract_queries",
+    "stream_queries",
+    "analysis_queries",
 )
 
 
