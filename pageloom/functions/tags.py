@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import url as U
-from pageloom.functions.columns import ColumnOrName, col, last_wins, let
+from pageloom.functions.columns import ColumnOrName, col, first_of, last_wins, let
 
 LINK_TAG = r"(?i)<a(?:\s[^>]*)?>"
 META_TAG = r"(?i)<meta\s[^>]*>"
@@ -24,6 +24,7 @@ ENTITIES = (
     ("&gt;", ">"),
     ("&quot;", '"'),
     ("&#39;", "'"),
+    ("&#x27;", "'"),
     ("&apos;", "'"),
     ("&nbsp;", " "),
     ("&copy;", "©"),
@@ -40,23 +41,24 @@ def without_noise(html: ColumnOrName) -> Column:
 
 
 def decode_entities(text: ColumnOrName) -> Column:
-    text = col(text)
-    decoded = text
+    decoded = col(text)
     for entity, mark in ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(mark))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    return decoded
+
+
+def attribute_text(tag: ColumnOrName, name: str) -> Column:
+    """Value of an attribute in a start tag, quoted or bare; empty if there is none.
+
+    One pattern with one group serves the three quoting styles.
+    """
+    value = r"[\"']?((?<=\")[^\"]*|(?<=')[^']*|(?<![\"'])[^\s>\"']+)"
+    return F.regexp_extract(col(tag), rf"(?is)[\s\"'/]{name}\s*=\s*{value}", 1)
 
 
 def attribute(tag: ColumnOrName, name: str) -> Column:
-    """Value of an attribute in a start tag, quoted or bare; NULL if absent or empty."""
-    tag = col(tag)
-    lead = rf"(?is)[\s\"'/]{name}\s*=\s*"
-    quoted = F.coalesce(
-        F.nullif(F.regexp_extract(tag, lead + r'"([^"]*)"', 1), F.lit("")),
-        F.nullif(F.regexp_extract(tag, lead + r"'([^']*)'", 1), F.lit("")),
-    )
-    bare = F.nullif(F.regexp_extract(tag, lead + r"([^\s>\"']+)", 1), F.lit(""))
-    return F.coalesce(quoted, bare)
+    """:func:`attribute_text` with NULL for an absent or empty attribute."""
+    return F.nullif(attribute_text(tag, name), F.lit(""))
 
 
 def all_tags(html: ColumnOrName, pattern: str) -> Column:
@@ -76,16 +78,14 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
     Duplicates and fragments are kept; only http(s) targets remain.
     """
     tags = tag_rows(pages, LINK_TAG, sorted({*keep, base}, key=[*keep, base].index), html)
-    hrefs = tags.withColumn("href", attribute("tag", "href")).filter(
-        F.col("href").isNotNull() & ~F.trim("href").rlike(SKIPPED_TARGET)
+    hrefs = tags.withColumn("href", F.trim(attribute_text("tag", "href"))).filter(
+        (F.col("href") != "") & ~F.col("href").rlike(SKIPPED_TARGET)
     )
     resolved = hrefs.withColumn("link", U.resolve(base, "href")).filter(
         F.col("link").rlike("^(?i:https?)://")
     )
-    rel = F.coalesce(F.lower(attribute("tag", "rel")), F.lit(""))
-    return resolved.select(
-        *keep, "pos", "link", F.contains(rel, F.lit("nofollow")).alias("nofollow")
-    )
+    nofollow = attribute_text("tag", "rel").rlike("(?i)nofollow")
+    return resolved.select(*keep, "pos", "link", nofollow.alias("nofollow"))
 
 
 def distinct_links(
@@ -111,21 +111,22 @@ def distinct_links(
 
 def canonical(html: ColumnOrName, base: ColumnOrName) -> Column:
     """Resolved target of the first ``link rel=canonical`` with a target."""
-    found = F.filter(
-        all_tags(without_noise(html), HEAD_LINK_TAG),
-        lambda t: (F.lower(attribute(t, "rel")) == "canonical") & attribute(t, "href").isNotNull(),
+    hrefs = F.transform(
+        F.filter(
+            all_tags(without_noise(html), HEAD_LINK_TAG),
+            lambda t: F.lower(attribute_text(t, "rel")) == "canonical",
+        ),
+        lambda t: decode_entities(attribute_text(t, "href")),
     )
-    return U.resolve(base, decode_entities(attribute(F.get(found, F.lit(0)), "href")))
+    first = first_of(F.filter(hrefs, lambda h: h != ""))
+    return let(first, lambda href: U.resolve(base, href))
 
 
 def _robots_meta(html: ColumnOrName, word: str) -> Column:
     return F.exists(
         all_tags(without_noise(html), META_TAG),
-        lambda t: F.coalesce(
-            (F.lower(attribute(t, "name")) == "robots")
-            & F.contains(F.lower(attribute(t, "content")), F.lit(word)),
-            F.lit(False),
-        ),
+        lambda t: (F.lower(attribute_text(t, "name")) == "robots")
+        & F.contains(F.lower(attribute_text(t, "content")), F.lit(word)),
     )
 
 
@@ -138,19 +139,22 @@ def has_noindex(html: ColumnOrName) -> Column:
 
 
 def _meta_pairs(html: ColumnOrName, key: str, prefix: str) -> Column:
-    """Array of key/value structs of meta tags; the last tag of a key wins."""
-    found = F.filter(
-        all_tags(without_noise(html), META_TAG),
-        lambda t: F.startswith(attribute(t, key), F.lit(prefix))
-        & (attribute(t, "content").isNotNull() | t.rlike(r"(?is)\scontent\s*=\s*(\"\"|'')")),
+    """Array of key/value structs of the meta tags with a key and a content."""
+    with_content = F.filter(
+        all_tags(without_noise(html), META_TAG), lambda t: t.rlike(r"(?is)[\s\"'/]content\s*=")
     )
-    return F.transform(
-        found,
+    pairs = F.transform(
+        with_content,
         lambda t: F.struct(
-            F.substring(attribute(t, key), len(prefix) + 1, 1 << 30).alias("key"),
-            decode_entities(F.coalesce(attribute(t, "content"), F.lit(""))).alias("value"),
+            attribute_text(t, key).alias("key"), decode_entities(attribute_text(t, "content")).alias("value")
         ),
     )
+    named = F.filter(pairs, lambda p: (p["key"] != "") & F.startswith(p["key"], F.lit(prefix)))
+    if not prefix:
+        return named
+    return F.transform(
+        named, lambda p: F.struct(F.substring(p["key"], len(prefix) + 1, 1 << 30).alias("key"), p["value"].alias("value"))
+    )
 
 
 def open_graph(html: ColumnOrName) -> Column:
@@ -182,16 +186,16 @@ def meta_digest(html: ColumnOrName, base: ColumnOrName) -> Column:
 
 
 def title(html: ColumnOrName) -> Column:
-    return decode_entities(
-        F.nullif(F.regexp_extract(col(html), r"(?is)<title[^>]*>\s*(.*?)\s*</title>", 1), F.lit(""))
-    )
+    found = F.regexp_extract(col(html), r"(?is)<title[^>]*>\s*(.*?)\s*</title>", 1)
+    return let(decode_entities(found), lambda t: F.nullif(t, F.lit("")))
 
 
 def heading(html: ColumnOrName, level: int = 1) -> Column:
     inner = F.regexp_extract(
         without_noise(html), rf"(?is)<h{level}(?:\s[^>]*)?>\s*(.*?)\s*</h{level}>", 1
     )
-    return decode_entities(F.nullif(F.regexp_replace(inner, "<[^>]*>", ""), F.lit("")))
+    bare = decode_entities(F.regexp_replace(inner, "<[^>]*>", ""))
+    return let(bare, lambda t: F.nullif(t, F.lit("")))
 
 
 def scripts_of_type(html: ColumnOrName, media_type: str) -> Column:

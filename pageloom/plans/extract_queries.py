@@ -377,8 +377,8 @@ def article(spark: SparkSession, sf: str) -> DataFrame:
     "x19_article_text",
     """
 WITH a AS (SELECT page_id, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS c FROM pages),
-t AS (SELECT page_id, replace(replace(replace(regexp_replace(c, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')
-  AS t FROM a),
+t AS (SELECT page_id, replace(replace(replace(replace(replace(regexp_replace(c, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'),
+  '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') AS t FROM a),
 s AS (SELECT page_id, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS t FROM t)
 SELECT page_id, strlen(t) AS length, t[1:200] || CASE WHEN strlen(t) > 200 THEN '...' ELSE '' END AS excerpt FROM s""",
 )

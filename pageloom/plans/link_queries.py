@@ -69,8 +69,9 @@ def links_per_host(spark: SparkSession, sf: str) -> DataFrame:
     """
 WITH f AS (SELECT page_id, nullif(trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's')), '') AS title,
   nullif(trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')), '') AS heading FROM pages)
-SELECT page_id, replace(replace(replace(title, '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title,
-  replace(replace(replace(heading, '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS heading FROM f""",
+SELECT page_id, replace(replace(replace(replace(replace(title, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''),
+  '&amp;', '&') AS title, replace(replace(replace(replace(replace(heading, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+  '&#x27;', ''''), '&amp;', '&') AS heading FROM f""",
 )
 def page_titles(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select(

@@ -9,6 +9,7 @@ from pageloom.functions import dom as D
 from pageloom.functions import json_path as J
 from pageloom.functions import script_vars as S
 from pageloom.functions.columns import ColumnOrName, col, let, strip
+from pageloom.session import cut_lineage
 
 # Marks that may not stay in a column name.
 NAME_MARKS = r"[ \-/\\(),]"
@@ -151,8 +152,10 @@ def column_types(long_cells: DataFrame, keys: list[str]) -> DataFrame:
 def typed_rows(long_cells: DataFrame, keys: list[str]) -> DataFrame:
     """Wide form with inferred column types.
 
+    The cells are written out once, as both the types and the rows come from them.
     The only rows that reach the driver are one type per column of the table.
     """
+    long_cells = cut_lineage(long_cells)
     shape = column_types(long_cells, ["col", "name"]).orderBy("col").collect()
     spark_type = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
     wide = long_cells.groupBy(*keys, "row").pivot("col", [r["col"] for r in shape]).agg(F.first("value"))
@@ -190,42 +193,45 @@ def read_html(
 
 def variable_cells(values: DataFrame, keys: list[str], column: str) -> DataFrame:
     """Long form of a JSON value: an array of objects gives a column per key, an array
-    of other values the column ``value``, an object ``key`` and ``value``."""
+    of other values the column ``value``, an object ``key`` and ``value``.
+
+    Columns are the sorted keys of all objects; cells of missing keys have no row.
+    """
     value = F.col(column)
-    items = J.array_items(value)
-    is_object = F.startswith(value, F.lit("{"))
-    known = F.array_sort(
-        F.array_distinct(F.flatten(F.transform(items, lambda t: F.coalesce(F.json_object_keys(t), F.array().cast("array<string>")))))
-    )
+    no_names = F.array().cast("array<string>")
 
-    def field(text: Column, key: Column) -> Column:
-        held = F.from_json(text, "map<string,string>")
-        return F.try_element_at(held, key)
+    def keys_of(text: Column) -> Column:
+        return F.coalesce(F.json_object_keys(text), no_names)
 
-    rows = values.select(
+    def split(items: Column) -> Column:
+        names = F.array_sort(F.array_distinct(F.flatten(F.transform(items, keys_of))))
+        return F.struct(names.alias("names"), items.alias("items"))
+
+    opened = values.select(
         *keys,
-        value.alias("_v"),
-        F.when(is_object, F.array()).otherwise(F.when(F.startswith(value, F.lit("[")), known)).alias("_names"),
-        F.posexplode(
-            F.when(is_object, F.transform(F.json_object_keys(value), lambda k: k))
-            .when(F.startswith(value, F.lit("[")), items)
-            .otherwise(F.array(value))
-        ).alias("row", "_item"),
-    )
-    fields = (
-        F.when(
-            F.startswith("_v", F.lit("{")),
-            F.array(
-                F.struct(F.lit("key").alias("name"), F.col("_item").alias("value")),
-                F.struct(F.lit("value").alias("name"), field(F.col("_v"), F.col("_item")).alias("value")),
-            ),
-        )
+        F.when(F.startswith(value, F.lit("[")), let(J.array_items(value), split))
         .when(
-            F.size("_names") > 0,
-            F.transform("_names", lambda k: F.struct(k.alias("name"), field(F.col("_item"), k).alias("value"))),
+            F.startswith(value, F.lit("{")),
+            F.struct(
+                F.array(F.lit("key"), F.lit("value")).alias("names"),
+                F.transform(
+                    F.map_entries(F.from_json(value, "map<string,string>")),
+                    lambda e: F.to_json(F.struct(e["key"].alias("key"), e["value"].alias("value"))),
+                ).alias("items"),
+            ),
         )
-        .otherwise(F.array(F.struct(F.lit("value").alias("name"), J.as_text(F.col("_item")).alias("value"))))
+        .when(value.isNotNull(), F.struct(no_names.alias("names"), F.array(value).alias("items")))
+        .alias("_v"),
     )
-    return rows.select(*keys, "row", F.posexplode(fields).alias("col", "_f")).select(
-        *keys, "row", "col", F.col("_f.name").alias("name"), F.nullif(F.col("_f.value"), F.lit("")).alias("value")
+    rows = opened.select(*keys, F.col("_v.names").alias("_names"), F.posexplode("_v.items").alias("row", "_item"))
+    # Each object is read once; its entries become cells.
+    entries = F.when(F.size("_names") > 0, F.map_entries(F.from_json("_item", "map<string,string>"))).otherwise(
+        F.array(F.struct(F.lit("value").alias("key"), J.as_text(F.col("_item")).alias("value")))
+    )
+    return rows.select(*keys, "row", "_names", F.explode(entries).alias("_e")).select(
+        *keys,
+        "row",
+        F.greatest(F.array_position("_names", F.col("_e.key")) - 1, F.lit(0)).cast("int").alias("col"),
+        F.col("_e.key").alias("name"),
+        F.nullif(F.col("_e.value"), F.lit("")).alias("value"),
     )
