@@ -78,13 +78,15 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-class _Columns:
-    """Flat value lists of one batch; they become Arrow arrays without row objects."""
+# Places in a node record.
+_ID, _PARENT, _SIB, _LAST, _END, _TAG, _C0, _C1, _O0, _O1, _I0, _I1 = range(12)
+
+
+class _Batch:
+    """Elements and text of one batch of pages, on the way to Arrow arrays."""
 
     def __init__(self) -> None:
-        self.node: dict[str, list] = {
-            k: [] for k in ("id", "parent", "sib", "last", "end", "tag", "c0", "c1", "o0", "o1", "i0", "i1")
-        }
+        self.nodes: list[list] = []
         self.anc: list[int] = []
         self.anc_at = [0]
         self.keys: list[str] = []
@@ -95,126 +97,135 @@ class _Columns:
         self.chunk_at = [0]
         self.node_at = [0]
 
+    def add_attributes(self, source: str) -> None:
+        known = set()
+        for name, double, single, bare in _ATTRIBUTE.findall(source):
+            name = name.lower()
+            if name not in known:
+                known.add(name)
+                value = double or single or bare
+                self.keys.append(name)
+                self.values.append(_html.unescape(value) if "&" in value else value)
+
     def add_page(self, page: str) -> None:
-        n, first, chunk0 = self.node, len(self.node["id"]), len(self.text)
+        nodes: list[list] = []
+        chunk0 = len(self.text)
         stack: list[int] = []
         children: dict[int, list[int]] = {}
+        search, text, owner = _TOKEN.search, self.text, self.owner
 
         def add_text(piece: str) -> None:
             if piece:
-                self.text.append(piece)
-                self.owner.append(stack[-1] if stack else -1)
+                text.append(_html.unescape(piece) if "&" in piece else piece)
+                owner.append(stack[-1] if stack else -1)
 
-        def open_node(tag: str, attributes: str, start: int, stop: int) -> int:
-            number = len(n["id"]) - first
+        def open_node(tag: str, attributes: str, start: int, stop: int) -> None:
+            number = len(nodes)
             parent = stack[-1] if stack else -1
             siblings = children.setdefault(parent, [])
-            n["id"].append(number)
-            n["parent"].append(parent)
-            n["sib"].append(len(siblings))
-            n["last"].append(False)
-            n["tag"].append(tag)
-            for name, value in (("end", number + 1), ("o0", start), ("o1", stop), ("i0", stop), ("i1", stop)):
-                n[name].append(value)
-            chunk = len(self.text) - chunk0
-            n["c0"].append(chunk)
-            n["c1"].append(chunk)
+            chunk = len(text) - chunk0
+            nodes.append(
+                [number, parent, len(siblings), False, number + 1, tag, chunk, chunk, start, stop, stop, stop]
+            )
+            siblings.append(number)
             self.anc.extend(stack)
             self.anc_at.append(len(self.anc))
-            known = set()
-            for found in _ATTRIBUTE.finditer(attributes):
-                name = found[1].lower()
-                if name not in known:
-                    known.add(name)
-                    value = found[2] if found[2] is not None else found[3] if found[3] is not None else found[4] or ""
-                    self.keys.append(name)
-                    self.values.append(_html.unescape(value) if "&" in value else value)
+            if attributes:
+                self.add_attributes(attributes)
             self.attr_at.append(len(self.keys))
-            siblings.append(number)
-            return number
+            stack.append(number)
 
         def close_top(inner: int, outer: int) -> None:
-            at = first + stack.pop()
-            n["end"][at] = len(n["id"]) - first
-            n["c1"][at] = len(self.text) - chunk0
-            n["i1"][at], n["o1"][at] = inner, outer
+            node = nodes[stack.pop()]
+            node[_END] = len(nodes)
+            node[_C1] = len(text) - chunk0
+            node[_I1], node[_O1] = inner, outer
 
         def close_down_to(depth: int, position: int) -> None:
             while len(stack) > depth:
                 close_top(position, position)
 
-        def tag_of(number: int) -> str:
-            return n["tag"][first + number]
+        def end_tag(tag: str, start: int, stop: int) -> None:
+            for depth in range(len(stack) - 1, -1, -1):
+                at = nodes[stack[depth]][_TAG]
+                if at == tag:
+                    close_down_to(depth + 1, start)
+                    close_top(start, stop)
+                    return
+                if at in ("td", "th", "table") and tag not in TABLE_PARTS:
+                    return
+
+        def end_implied(tag: str, position: int) -> None:
+            ended, boundary = IMPLIED_END[tag]
+            cut = None
+            for depth in range(len(stack) - 1, -1, -1):
+                at = nodes[stack[depth]][_TAG]
+                if at in boundary:
+                    break
+                if at in ended:
+                    cut = depth
+            if cut is not None:
+                close_down_to(cut, position)
 
         position, size = 0, len(page)
         while position < size:
-            token = _TOKEN.search(page, position)
-            piece = page[position : token.start() if token else size]
-            add_text(_html.unescape(piece) if "&" in piece else piece)
+            token = search(page, position)
             if token is None:
+                add_text(page[position:])
                 break
+            start = token.start()
+            if start > position:
+                add_text(page[position:start])
             position = token.end()
-            if token[2] is None:
+            closing, tag, attributes = token.groups()
+            if tag is None:
                 continue
-            tag = token[2].lower()
-            if token[1]:
-                for depth in range(len(stack) - 1, -1, -1):
-                    at = tag_of(stack[depth])
-                    if at == tag:
-                        close_down_to(depth + 1, token.start())
-                        close_top(token.start(), position)
-                        break
-                    if at in ("td", "th", "table") and tag not in TABLE_PARTS:
-                        break
+            tag = tag.lower()
+            if closing:
+                end_tag(tag, start, position)
                 continue
             if tag in IMPLIED_END:
-                ended, boundary = IMPLIED_END[tag]
-                cut = None
-                for depth in range(len(stack) - 1, -1, -1):
-                    at = tag_of(stack[depth])
-                    if at in boundary:
-                        break
-                    if at in ended:
-                        cut = depth
-                if cut is not None:
-                    close_down_to(cut, token.start())
-            if tag == "tr" and stack and tag_of(stack[-1]) == "table":
-                stack.append(open_node("tbody", "", token.start(), token.start()))
-            stack.append(open_node(tag, token[3], token.start(), position))
+                end_implied(tag, start)
+            if tag == "tr" and stack and nodes[stack[-1]][_TAG] == "table":
+                open_node("tbody", "", start, start)
+            open_node(tag, attributes, start, position)
             if tag in VOID:
                 close_top(position, position)
             elif tag in RAW_TEXT or tag in PLAIN_TEXT:
                 stop = re.compile(f"</{tag}[^>]*>", re.I).search(page, position)
                 inner, outer = (stop.start(), stop.end()) if stop else (size, size)
                 body = page[position:inner]
-                add_text(_html.unescape(body) if tag in PLAIN_TEXT and "&" in body else body)
+                if tag in RAW_TEXT and body:
+                    text.append(body)
+                    owner.append(stack[-1])
+                else:
+                    add_text(body)
                 close_top(inner, outer)
                 position = outer
         close_down_to(0, size)
         for siblings in children.values():
-            n["last"][first + siblings[-1]] = True
+            nodes[siblings[-1]][_LAST] = True
+        self.nodes.extend(nodes)
 
     def end_row(self) -> None:
         self.chunk_at.append(len(self.text))
-        self.node_at.append(len(self.node["id"]))
+        self.node_at.append(len(self.nodes))
 
     def arrow(self) -> pa.Array:
         def ints(values: list[int]) -> pa.Array:
             return pa.array(values, pa.int32())
 
-        n = self.node
+        flat = list(zip(*self.nodes)) if self.nodes else [()] * 12
         anc = pa.ListArray.from_arrays(ints(self.anc_at), ints(self.anc))
         attrs = pa.MapArray.from_arrays(
             ints(self.attr_at), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string())
         )
-        parts = {
-            "id": ints(n["id"]), "parent": ints(n["parent"]), "anc": anc, "sib": ints(n["sib"]),
-            "last": pa.array(n["last"], pa.bool_()), "end": ints(n["end"]),
-            "tag": pa.array(n["tag"], pa.string()), "attrs": attrs,
-            **{k: ints(n[k]) for k in ("c0", "c1", "o0", "o1", "i0", "i1")},
-        }
+        parts = [
+            ints(flat[_ID]), ints(flat[_PARENT]), anc, ints(flat[_SIB]), pa.array(flat[_LAST], pa.bool_()),
+            ints(flat[_END]), pa.array(flat[_TAG], pa.string()), attrs, *[ints(flat[i]) for i in range(_C0, _I1 + 1)],
+        ]
         nodes = pa.ListArray.from_arrays(
-            ints(self.node_at), pa.StructArray.from_arrays(list(parts.values()), list(parts))
+            ints(self.node_at), pa.StructArray.from_arrays(parts, NODE_TYPE.fieldNames())
         )
         chunks = pa.ListArray.from_arrays(
             ints(self.chunk_at),
@@ -225,13 +236,13 @@ class _Columns:
 
 @F.arrow_udf(DOM_TYPE)
 def _parse(pages: pa.Array) -> pa.Array:
-    columns = _Columns()
+    batch = _Batch()
     for page in pages:
         text = page.as_py()
         if text:
-            columns.add_page(text)
-        columns.end_row()
-    return columns.arrow()
+            batch.add_page(text)
+        batch.end_row()
+    return batch.arrow()
 
 
 def parse(html: ColumnOrName) -> Column:

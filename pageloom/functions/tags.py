@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pageloom.functions import url as U
 from pageloom.functions.columns import ColumnOrName, col, first_of, last_wins, let
 
-LINK_TAG = r"(?i)<a(?:\s[^>]*)?>"
-META_TAG = r"(?i)<meta\s[^>]*>"
-HEAD_LINK_TAG = r"(?i)<link\s[^>]*>"
+LINK_TAG = r"a(?:\s[^>]*)?>"
+META_TAG = r"meta\s[^>]*>"
+HEAD_LINK_TAG = r"link\s[^>]*>"
+# Comments and the bodies of scripts and styles, after the opening angle bracket.
+_NOISE = r"!--.*?-->|script\b[^>]*>.*?</script|style\b[^>]*>.*?</style"
 # Link targets that are not pages.
 SKIPPED_TARGET = r"^(?i:javascript:|mailto:|tel:|data:|#)"
 
@@ -62,13 +64,18 @@ def attribute(tag: ColumnOrName, name: str) -> Column:
 
 
 def all_tags(html: ColumnOrName, pattern: str) -> Column:
-    return F.regexp_extract_all(col(html), F.lit(pattern), F.lit(0))
+    """Matching start tags without their angle bracket, in page order.
+
+    Comments, scripts and styles are skipped in the same pass over the page.
+    """
+    found = F.regexp_extract_all(col(html), F.lit(f"(?is)<(?:{_NOISE}|({pattern}))"), F.lit(1))
+    return F.filter(found, lambda t: t != "")
 
 
 def tag_rows(pages: DataFrame, pattern: str, keep: list[str], html: str = "html") -> DataFrame:
     """One row per matching tag with its position on the page."""
     return pages.select(
-        *keep, F.posexplode(all_tags(without_noise(html), pattern)).alias("pos", "tag")
+        *keep, F.posexplode(all_tags(html, pattern)).alias("pos", "tag")
     )
 
 
@@ -77,13 +84,18 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
 
     Duplicates and fragments are kept; only http(s) targets remain.
     """
-    tags = tag_rows(pages, LINK_TAG, sorted({*keep, base}, key=[*keep, base].index), html)
+    tags = pages.select(
+        *keep, U.base_parts(base).alias("_base"), F.posexplode(all_tags(html, LINK_TAG)).alias("pos", "tag")
+    )
     hrefs = tags.withColumn("href", F.trim(attribute_text("tag", "href"))).filter(
         (F.col("href") != "") & ~F.col("href").rlike(SKIPPED_TARGET)
     )
-    resolved = hrefs.withColumn("link", U.resolve(base, "href")).filter(
-        F.col("link").rlike("^(?i:https?)://")
+    # The scheme is judged where it stands, so no link is resolved just to be dropped.
+    own_scheme = F.contains("href", F.lit("://"))
+    is_web = F.when(own_scheme, F.col("href").rlike("^(?i:https?)://")).otherwise(
+        F.col("_base.scheme").rlike("^(?i:https?):$") & (F.col("_base.origin") != "")
     )
+    resolved = hrefs.filter(is_web).withColumn("link", U.resolve_at(F.col("_base"), F.col("href")))
     nofollow = attribute_text("tag", "rel").rlike("(?i)nofollow")
     return resolved.select(*keep, "pos", "link", nofollow.alias("nofollow"))
 
@@ -113,7 +125,7 @@ def canonical(html: ColumnOrName, base: ColumnOrName) -> Column:
     """Resolved target of the first ``link rel=canonical`` with a target."""
     hrefs = F.transform(
         F.filter(
-            all_tags(without_noise(html), HEAD_LINK_TAG),
+            all_tags(html, HEAD_LINK_TAG),
             lambda t: F.lower(attribute_text(t, "rel")) == "canonical",
         ),
         lambda t: decode_entities(attribute_text(t, "href")),
@@ -124,7 +136,7 @@ def canonical(html: ColumnOrName, base: ColumnOrName) -> Column:
 
 def _robots_meta(html: ColumnOrName, word: str) -> Column:
     return F.exists(
-        all_tags(without_noise(html), META_TAG),
+        all_tags(html, META_TAG),
         lambda t: (F.lower(attribute_text(t, "name")) == "robots")
         & F.contains(F.lower(attribute_text(t, "content")), F.lit(word)),
     )
@@ -141,7 +153,7 @@ def has_noindex(html: ColumnOrName) -> Column:
 def _meta_pairs(html: ColumnOrName, key: str, prefix: str) -> Column:
     """Array of key/value structs of the meta tags with a key and a content."""
     with_content = F.filter(
-        all_tags(without_noise(html), META_TAG), lambda t: t.rlike(r"(?is)[\s\"'/]content\s*=")
+        all_tags(html, META_TAG), lambda t: t.rlike(r"(?is)[\s\"'/]content\s*=")
     )
     pairs = F.transform(
         with_content,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pageloom.functions.columns import ColumnOrName, col
+from pageloom.functions.columns import ColumnOrName, col, let, strip
 
 MAX_URL_BYTES = 8192
 
@@ -131,33 +131,44 @@ def fold_dots(full_path: ColumnOrName) -> Column:
     return F.when(full_path.rlike(r"//|/\.{1,2}(/|$)"), folded).otherwise(full_path)
 
 
-def resolve(base: ColumnOrName, href: ColumnOrName) -> Column:
-    """Absolute URL of a link found on ``base``; an empty string if there is none.
+def base_parts(base: ColumnOrName) -> Column:
+    """``struct(scheme, origin, folder)`` of a page URL, for :func:`resolve_at`.
 
-    A ``?query`` link drops the file name of the base, and an absolute path is
-    taken as it is.
+    Worked out once per page, however many links the page has.
     """
-    base, href = col(base), F.regexp_replace(col(href), r"^\s+|\s+$", "")
+    base = col(base)
     origin = F.regexp_extract(base, r"(?s)^(.*?://[^/]*)", 1)
-    base_path = F.regexp_extract(base, r"(?s)^.*?://[^/]*(/.*)$", 1)
-    base_path = F.when(base_path == "", "/").otherwise(base_path)
-    folder = F.regexp_replace(F.regexp_replace(base_path, r"(?s)[?#].*$", ""), r"[^/]*$", "")
+    base_path = F.regexp_extract(base, r"(?s)^.*?://[^/]*(/[^?#]*)", 1)
+    folder = F.regexp_replace(base_path, r"[^/]*$", "")
+    return F.struct(
+        F.when(_has_scheme(base), F.substring_index(base, "//", 1)).otherwise("https:").alias("scheme"),
+        origin.alias("origin"),
+        F.when(folder == "", "/").otherwise(folder).alias("folder"),
+    )
+
+
+def resolve_at(base: Column, href: Column) -> Column:
+    """:func:`resolve` for a trimmed link and the parts of its page URL."""
     return (
         F.when(href == "", "")
         .when(_has_scheme(href), href)
-        .when(
-            F.startswith(href, F.lit("//")),
-            F.concat(
-                F.when(_has_scheme(base), F.regexp_extract(base, r"(?s)^(.*?:)//", 1)).otherwise("https:"),
-                href,
-            ),
-        )
-        .when(~_has_scheme(base), "")
-        .when(F.startswith(href, F.lit("/")), F.concat(origin, href))
-        .otherwise(F.concat(origin, fold_dots(F.concat(folder, href))))
+        .when(F.startswith(href, F.lit("//")), F.concat(base["scheme"], href))
+        .when(base["origin"] == "", "")
+        .when(F.startswith(href, F.lit("/")), F.concat(base["origin"], href))
+        .otherwise(F.concat(base["origin"], fold_dots(F.concat(base["folder"], href))))
     )
 
 
+def resolve(base: ColumnOrName, href: ColumnOrName) -> Column:
+    """Absolute URL of a link found on ``base``; an empty string if there is none.
+
+    A ``?query`` link drops the file name of the base, and an absolute path is
+    taken as it is.
+    """
+    parts = F.struct(base_parts(base).alias("base"), strip(col(href)).alias("href"))
+    return let(parts, lambda p: resolve_at(p["base"], p["href"]))
+
+
 def without_fragment(url: ColumnOrName) -> Column:
     return F.substring_index(col(url), "#", 1)
 

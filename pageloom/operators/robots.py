@@ -11,10 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import url as U
+from pageloom.functions.columns import let
 from pageloom.operators.running import lookup
 
 # Lines of one section can be told apart and stay ordered below this number.
 _SECTION_SPAN = 1_000_000
+# An agent line that names an agent opens a section.
+_AGENT_LINE = r"(?im)^[ \t]*user-agent:(?=[ \t]*[^\s])"
+_FIRST_LINE = r"^[ \t]*([^\r\n]*?)[ \t\r]*(?:\n|$)"
 
 
 def rules(robots: DataFrame) -> DataFrame:
@@ -25,12 +29,12 @@ def rules(robots: DataFrame) -> DataFrame:
     """
     lines = robots.select(
         "host",
-        F.posexplode(F.split("body", r"(?im)^[ \t]*user-agent:(?=[ \t]*[^\s])")).alias("section", "text"),
+        F.posexplode(F.split("body", _AGENT_LINE)).alias("section", "text"),
     ).select(
         "host",
         "section",
         F.when(
-            F.col("section") > 0, F.lower(F.regexp_extract("text", r"^[ \t]*([^\r\n]*?)[ \t\r]*(?:\n|$)", 1))
+            F.col("section") > 0, F.lower(F.regexp_extract("text", _FIRST_LINE, 1))
         ).alias("agent"),
         F.posexplode(F.split("text", "\n")).alias("line", "raw"),
     )
@@ -54,58 +58,108 @@ def rules(robots: DataFrame) -> DataFrame:
     )
 
 
-def agents(robots: DataFrame) -> DataFrame:
-    """Every agent a host names, also those without rules."""
-    found = F.regexp_extract_all("body", F.lit(r"(?im)^[ \t]*user-agent:[ \t]*([^\r\n]*[^\s])"), F.lit(1))
-    return robots.select("host", F.explode(found).alias("agent")).select(
-        "host", F.lower("agent").alias("agent")
-    ).distinct()
+def _sections(body: Column) -> Column:
+    """Agent and text of every section of a robots file."""
+    pieces = F.split(body, _AGENT_LINE)
+    return F.filter(
+        F.transform(
+            pieces,
+            lambda text, i: F.struct(
+                F.when(i > 0, F.lower(F.regexp_extract(text, _FIRST_LINE, 1))).alias("agent"),
+                F.regexp_replace(text, r"^[^\n]*", "").alias("text"),
+            ),
+        ),
+        lambda s: s["agent"].isNotNull(),
+    )
 
 
-def chosen_agent(robots: DataFrame, user_agent: str) -> DataFrame:
-    """The one group of each host that speaks to ``user_agent``.
+def _chosen(sections: Column, user_agent: str) -> Column:
+    """Name of the group that speaks to ``user_agent``, NULL if there is none.
 
     An exact name wins, then the longest name that starts the user agent, then ``*``.
     """
     ua = user_agent.lower()
-    rank = (
-        F.when(F.col("agent") == ua, 1_000_000)
-        .when((F.col("agent") != "*") & F.startswith(F.lit(ua), F.col("agent")), 1 + F.length("agent"))
-        .when(F.col("agent") == "*", 1)
-    )
-    ranked = agents(robots).withColumn("rank", rank).filter("rank is not null")
-    return ranked.groupBy("host").agg(F.max_by("agent", "rank").alias("agent"))
+
+    def rank(agent: Column) -> Column:
+        return (
+            F.when(agent == ua, 1_000_000)
+            .when((agent != "*") & F.startswith(F.lit(ua), agent), F.length(agent) + 1)
+            .when(agent == "*", 1)
+        )
+
+    ranked = F.transform(sections, lambda s: F.struct(rank(s["agent"]).alias("rank"), s["agent"].alias("agent")))
+    return F.array_max(F.filter(ranked, lambda r: r["rank"].isNotNull()))["agent"]
+
+
+def chosen_agent(robots: DataFrame, user_agent: str) -> DataFrame:
+    """The one group of each host that speaks to ``user_agent``."""
+    picked = let(_sections(F.col("body")), lambda s: _chosen(s, user_agent))
+    return robots.select("host", picked.alias("agent")).filter("agent is not null")
 
 
 def host_rules(robots: DataFrame, user_agent: str) -> DataFrame:
-    """One row per host: the allow and disallow patterns of the chosen group."""
-    chosen = chosen_agent(robots, user_agent)
-    patterns = rules(robots).filter("kind in ('allow', 'disallow')").join(chosen, ["host", "agent"])
+    """One row per host: the allow and disallow patterns of the chosen group.
+
+    Patterns are read and cut at their stars here, once per host and not once per
+    URL, and without leaving the row of the host.
+    """
 
-    def values(kind: str) -> Column:
-        return F.collect_set(F.when(F.col("kind") == kind, F.col("value")))
+    def patterns(text: Column, kind: str) -> Column:
+        values = F.regexp_extract_all(text, F.lit(rf"(?im)^[ \t]*{kind}:[ \t]*([^\r\n]*[^\s])"), F.lit(1))
 
-    return patterns.groupBy("host").agg(values("allow").alias("allow"), values("disallow").alias("disallow"))
+        def cut(value: Column) -> Column:
+            tied = F.endswith(value, F.lit("$"))
+            body = F.when(tied, F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
+            return F.struct(
+                value.alias("text"), F.split(body, r"\*").alias("parts"), tied.alias("tied"), F.length(value).alias("size")
+            )
+
+        return F.transform(values, cut)
+
+    def both(found: Column) -> Column:
+        def of(agent: Column) -> Column:
+            mine = F.filter(found, lambda s: s["agent"] == agent)
+            text = F.array_join(F.transform(mine, lambda s: s["text"]), "\n")
+            return let(
+                text,
+                lambda t: F.struct(patterns(t, "allow").alias("allow"), patterns(t, "disallow").alias("disallow")),
+            )
+
+        return let(_chosen(found, user_agent), of)
+
+    held = robots.select("host", let(_sections(F.col("body")), both).alias("_r"))
+    return held.select("host", "_r.allow", "_r.disallow")
 
 
 def _starts(patterns: str, path: Column) -> Column:
-    return F.exists(F.coalesce(F.col(patterns), F.array().cast("array<string>")), lambda p: F.startswith(path, p))
+    return F.coalesce(F.exists(patterns, lambda p: F.startswith(path, p["text"])), F.lit(False))
 
 
-def _longest(patterns: str, path: Column) -> Column:
-    """Length of the longest pattern that fits the path, with ``*`` and ``$``."""
+def _fits(pattern: Column, path: Column) -> Column:
+    """Whether a pattern with ``*`` and a closing ``$`` fits a path.
 
-    def fits(p: Column) -> Column:
-        # Everything but the two wildcards stands for itself.
-        quoted = F.regexp_replace(p, r"([\\.\[\]{}()+?^|])", r"\\$1")
-        regex = F.concat(
-            F.lit("^"), F.regexp_replace(F.regexp_replace(quoted, r"\*", ".*"), r"\$(?!$)", r"\\\$")
-        )
-        plain = ~F.contains(p, F.lit("*")) & ~F.endswith(p, F.lit("$"))
-        return F.when(plain, F.startswith(path, p)).otherwise(F.rlike(path, regex))
+    The pieces between the stars must follow each other, each taken as early as
+    possible; a closing ``$`` ties the last piece to the end of the path.
+    """
+    parts, tied = pattern["parts"], pattern["tied"]
+    head, last = F.get(parts, F.lit(0)), F.element_at(parts, -1)
+    inner = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - F.when(tied, 2).otherwise(1), F.lit(0)))
+
+    def step(at: Column, part: Column) -> Column:
+        found = F.position(part, path, at)
+        return F.when((at > 0) & (found > 0), found + F.length(part)).otherwise(0)
+
+    reached = F.aggregate(inner, F.length(head) + 1, step)
+    at_end = F.endswith(path, last) & (F.length(path) - F.length(last) + 1 >= reached)
+    return F.startswith(path, head) & (
+        F.when(F.size(parts) == 1, ~tied | (path == head)).otherwise((reached > 0) & (~tied | at_end))
+    )
 
-    fitting = F.filter(F.coalesce(F.col(patterns), F.array().cast("array<string>")), fits)
-    return F.coalesce(F.array_max(F.transform(fitting, lambda p: F.length(p))), F.lit(-1))
+
+def _longest(patterns: str, path: Column) -> Column:
+    """Length of the longest pattern that fits the path, -1 if none does."""
+    sizes = F.transform(patterns, lambda p: F.when(_fits(p, path), p["size"]).otherwise(-1))
+    return F.coalesce(F.array_max(sizes), F.lit(-1))
 
 
 def allowed(path: Column, longest_match: bool = False) -> Column:
@@ -125,7 +179,8 @@ def with_verdict(
     """URLs with an ``allowed`` column; hosts without rules allow everything."""
     keyed = urls.withColumn("host", U.host("url"))
     joined = lookup(keyed, host_rules(robots, user_agent), "host")
-    return joined.withColumn("allowed", allowed(U.path("url"), longest_match)).drop("allow", "disallow")
+    judged = joined.withColumn("_path", U.path("url"))
+    return judged.withColumn("allowed", allowed(F.col("_path"), longest_match)).drop("allow", "disallow", "_path")
 
 
 def allowed_urls(urls: DataFrame, robots: DataFrame, user_agent: str) -> DataFrame:

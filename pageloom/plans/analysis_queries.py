@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions import dom as D
@@ -176,7 +176,7 @@ SELECT count(*) AS products, printf('%.2f', min(c) / 100.0) AS min_price, printf
 def price_statistics(spark: SparkSession, sf: str) -> DataFrame:
     cents = table(spark, sf, "part").select(F.round(F.col("p_retailprice") * 100).cast("long").alias("c"))
 
-    def money(value: F.Column) -> F.Column:
+    def money(value: Column) -> Column:
         return F.format_string("%.2f", value / F.lit(100.0))
 
     return cents.agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions import url as U
@@ -13,7 +13,7 @@ from pageloom.operators import schedule as SC
 from pageloom.plans.registry import query
 from pageloom.plans.response_queries import ATTEMPTS, attempt_log
 from pageloom.sources import sitemap as SM
-from pageloom.sources.tables import response_store, table
+from pageloom.sources.tables import page_table, response_store, table
 
 _SEEDS = """
 WITH seeds AS (SELECT page_id, unnest([url, url || '?missing', NULL, '']) AS url FROM pages)
@@ -23,7 +23,7 @@ WITH seeds AS (SELECT page_id, unnest([url, url || '?missing', NULL, '']) AS url
 def seeds(spark: SparkSession, sf: str) -> DataFrame:
     """Every page URL, an uncaptured one, a NULL and an empty one."""
     u = F.col("url")
-    return table(spark, sf, "pages").select(
+    return page_table(spark, sf).select(
         F.explode(F.array(u, F.concat(u, F.lit("?missing")), F.lit(None), F.lit(""))).alias("url"), "page_id"
     )
 
@@ -43,7 +43,7 @@ def page_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_store(spark: SparkSession, sf: str) -> DataFrame:
     """The captured pages, one entry per URL (the highest page number wins)."""
-    pages = table(spark, sf, "pages")
+    pages = page_table(spark, sf)
     latest = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
     return response_store(pages.join(latest, ["url", "page_id"], "left_semi"))
 
@@ -67,7 +67,7 @@ def order_graph(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
     items = table(spark, sf, "lineitem")
 
-    def name(letter: str, key: str) -> F.Column:
+    def name(letter: str, key: str) -> Column:
         return F.concat(F.lit(letter), F.col(key).cast("string"))
 
     none = F.lit(False)
@@ -131,10 +131,10 @@ def sitemap_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Index per region, index per nation, sitemap per 500 customer numbers of a nation."""
     region, nation, customer = (table(spark, sf, t) for t in ("region", "nation", "customer"))
 
-    def text(c: str | F.Column) -> F.Column:
+    def text(c: str | Column) -> Column:
         return (F.col(c) if isinstance(c, str) else c).cast("string")
 
-    def document(root: str, parts: F.Column) -> F.Column:
+    def document(root: str, parts: Column) -> Column:
         return F.concat(
             F.lit(f'<?xml version="1.0"?><{root} xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
             F.array_join(F.array_sort(parts), ""),
@@ -246,12 +246,13 @@ def sitemap_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_VISIT_AS_OF = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+def visit_time() -> Column:
+    return F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
 
 
 @query("f07_stale_by_sitemap", _STALE_SQL + "SELECT url, stale FROM d")
 def stale_by_sitemap(spark: SparkSession, sf: str) -> DataFrame:
-    due = FR.is_stale(F.col("lastmod"), F.col("changefreq"), F.col("crawled"), _VISIT_AS_OF)
+    due = FR.is_stale(F.col("lastmod"), F.col("changefreq"), F.col("crawled"), visit_time())
     return sitemap_orders(spark, sf).select("url", due.alias("stale"))
 
 
@@ -264,7 +265,7 @@ SELECT url, CASE WHEN url % 5 = 0 THEN 1 ELSE 2 END AS kind FROM d WHERE url % 5
 def new_before_stale(spark: SparkSession, sf: str) -> DataFrame:
     entries = sitemap_orders(spark, sf)
     state = entries.filter("url % 5 <> 0").select("url", F.col("crawled").alias("crawled_at"))
-    plan = FR.visit_plan(entries, state, _VISIT_AS_OF)
+    plan = FR.visit_plan(entries, state, visit_time())
     return plan.select("url", "kind").orderBy("kind", "url")
 
 
@@ -301,7 +302,7 @@ def canonical_collapse(spark: SparkSession, sf: str) -> DataFrame:
 
     folder = F.regexp_extract("url", "^[a-z]+://[^/]*(/[a-z]+/)", 1)
     head = F.concat(F.lit("<head><link rel='canonical' href='"), folder, F.lit("'>"))
-    pages = table(spark, sf, "pages").withColumn("html", F.regexp_replace("html", "<head>", head))
+    pages = page_table(spark, sf).withColumn("html", F.regexp_replace("html", "<head>", head))
     return FR.collapse_canonical(pages.select("url", T.canonical("html", "url").alias("canonical")))
 
 

@@ -15,7 +15,7 @@ from pageloom.operators import extract as E
 from pageloom.plans import documents as DOC
 from pageloom.plans.registry import query
 from pageloom.sources import html_table as H
-from pageloom.sources.tables import table
+from pageloom.sources.tables import page_table, table
 
 _MONEY = "CAST(CAST(p_retailprice AS DECIMAL(14,2)) AS VARCHAR)"
 
@@ -36,7 +36,7 @@ t AS (SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)[^
 SELECT page_id, lower(tag) AS tag, count(*) AS nodes FROM t GROUP BY 1, 2""",
 )
 def node_table(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = D.node_table(table(spark, sf, "pages"), ["page_id"])
+    nodes = D.node_table(page_table(spark, sf), ["page_id"])
     return nodes.groupBy("page_id", "tag").agg(F.count("*").alias("nodes"))
 
 
@@ -49,7 +49,7 @@ FROM pages""",
 )
 def article_children(spark: SparkSession, sf: str) -> DataFrame:
     """Structural join on the node table: children of article elements."""
-    nodes = D.node_table(table(spark, sf, "pages"), ["page_id"]).select("page_id", "id", "parent", "tag")
+    nodes = D.node_table(page_table(spark, sf), ["page_id"]).select("page_id", "id", "parent", "tag")
     parents = nodes.filter("tag = 'article'").select("page_id", F.col("id").alias("parent"))
     found = nodes.filter("tag in ('h1', 'p')").join(parents, ["page_id", "parent"])
     return found.groupBy("page_id", "tag").agg(F.count("*").alias("nodes"))
@@ -369,7 +369,7 @@ def hydration(spark: SparkSession, sf: str) -> DataFrame:
 SELECT page_id, regexp_extract(html, '<article>(.*?)</article>', 1, 's') AS content FROM pages""",
 )
 def article(spark: SparkSession, sf: str) -> DataFrame:
-    held = _parsed(table(spark, sf, "pages")).select("page_id", A.article("html", "dom").alias("a"))
+    held = _parsed(page_table(spark, sf)).select("page_id", A.article("html", "dom").alias("a"))
     return held.select("page_id", "a.content")
 
 
@@ -383,7 +383,7 @@ s AS (SELECT page_id, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS t FROM t)
 SELECT page_id, strlen(t) AS length, t[1:200] || CASE WHEN strlen(t) > 200 THEN '...' ELSE '' END AS excerpt FROM s""",
 )
 def article_text(spark: SparkSession, sf: str) -> DataFrame:
-    held = _parsed(table(spark, sf, "pages")).select("page_id", A.article("html", "dom").alias("a"))
+    held = _parsed(page_table(spark, sf)).select("page_id", A.article("html", "dom").alias("a"))
     return held.select("page_id", "a.length", "a.excerpt")
 
 
@@ -393,7 +393,7 @@ def article_text(spark: SparkSession, sf: str) -> DataFrame:
 SELECT page_id, '{"js_vars":{"t":"</p>"}}' AS report FROM pages""",
 )
 def discover(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", E.discover("html").alias("report"))
+    return page_table(spark, sf).select("page_id", E.discover("html").alias("report"))
 
 
 @query(
@@ -415,7 +415,7 @@ SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '{"t":"</p>"}' END AS js, CAST(NU
 )
 def page_struct(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.col("page_id") % 2 == 0, "text/html").otherwise("image/png")
-    parsed = _parsed(table(spark, sf, "pages")).withColumn("kind", kind)
+    parsed = _parsed(page_table(spark, sf)).withColumn("kind", kind)
     held = parsed.select("page_id", E.page_struct("html", "kind", "dom").alias("h"))
     return held.select(
         "page_id",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import tags as T
 from pageloom.functions import url as U
 from pageloom.plans.registry import query
-from pageloom.sources.tables import table
+from pageloom.sources.tables import page_table, table
 
 # Independent statement of the links: every link of the test pages is quoted and
 # starts with one slash.
@@ -27,7 +27,7 @@ l AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/]*') || href AS lin
     _LINKS + "SELECT page_id, link, count(*) AS times FROM l GROUP BY 1, 2",
 )
 def links(spark: SparkSession, sf: str) -> DataFrame:
-    found = T.links(table(spark, sf, "pages"), ["page_id", "url"])
+    found = T.links(page_table(spark, sf), ["page_id", "url"])
     return found.groupBy("page_id", "link").agg(F.count("*").alias("times"))
 
 
@@ -36,7 +36,7 @@ def links(spark: SparkSession, sf: str) -> DataFrame:
     _LINKS + "SELECT DISTINCT page_id, split_part(link, '#', 1) AS link, false AS nofollow FROM l",
 )
 def distinct_links(spark: SparkSession, sf: str) -> DataFrame:
-    return T.distinct_links(table(spark, sf, "pages"), ["page_id"]).select(
+    return T.distinct_links(page_table(spark, sf), ["page_id"]).select(
         "page_id", "link", "nofollow"
     )
 
@@ -52,7 +52,7 @@ FROM d GROUP BY 1""",
 )
 def links_per_host(spark: SparkSession, sf: str) -> DataFrame:
     """Two plain aggregates: per target, then per host, so no host is one group."""
-    pages = table(spark, sf, "pages").withColumn("host", U.host("url"))
+    pages = page_table(spark, sf).withColumn("host", U.host("url"))
     found = T.distinct_links(pages, ["page_id", "host"], base="url")
     per_target = found.groupBy("host", "link").agg(F.count("*").alias("n"))
     targets = per_target.groupBy("host").agg(
@@ -74,7 +74,7 @@ SELECT page_id, replace(replace(replace(replace(replace(title, '&lt;', '<'), '&g
   '&#x27;', ''''), '&amp;', '&') AS heading FROM f""",
 )
 def page_titles(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select(
+    return page_table(spark, sf).select(
         "page_id", T.title("html").alias("title"), T.heading("html").alias("heading")
     )
 
@@ -90,7 +90,7 @@ def tag_attributes(spark: SparkSession, sf: str) -> DataFrame:
     tag = F.concat(
         F.lit('<A DATA-one="v'), n, F.lit("\" data-two = 'w"), n, F.lit("' data-three=b"), n, F.lit(">")
     )
-    return table(spark, sf, "pages").select(
+    return page_table(spark, sf).select(
         "page_id",
         T.attribute(tag, "data-one").alias("quoted"),
         T.attribute(tag, "data-two").alias("single_quoted"),
@@ -117,7 +117,7 @@ def canonical(spark: SparkSession, sf: str) -> DataFrame:
             ),
         ).otherwise(""),
     )
-    pages = table(spark, sf, "pages").withColumn("html", F.regexp_replace("html", "<head>", head))
+    pages = page_table(spark, sf).withColumn("html", F.regexp_replace("html", "<head>", head))
     return pages.select("page_id", T.canonical("html", "url").alias("canonical"))
 
 
@@ -130,7 +130,7 @@ def robots_meta(spark: SparkSession, sf: str) -> DataFrame:
         F.col("page_id") % 2 == 0, "nofollow"
     ).otherwise("index")
     head = F.concat(F.lit('<head><meta name="robots" content="'), content, F.lit('">'))
-    pages = table(spark, sf, "pages").withColumn("html", F.regexp_replace("html", "<head>", head))
+    pages = page_table(spark, sf).withColumn("html", F.regexp_replace("html", "<head>", head))
     return pages.select(
         "page_id", T.has_nofollow("html").alias("nofollow"), T.has_noindex("html").alias("noindex")
     )

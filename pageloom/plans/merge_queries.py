@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.operators import merge as M
@@ -213,7 +213,8 @@ def cached_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_AS_OF = F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
+def as_of() -> Column:
+    return F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
 
 
 @query(
@@ -223,7 +224,7 @@ SELECT 'https://o.example/' || o_orderkey AS url, o_orderstatus AS body FROM ord
 WHERE o_orderdate > TIMESTAMP '1998-06-01 00:00:00' - INTERVAL 8760 HOUR""",
 )
 def fresh_cache(spark: SparkSession, sf: str) -> DataFrame:
-    return S.fresh_entries(cached_orders(spark, sf), _AS_OF, 8760).select("url", "body")
+    return S.fresh_entries(cached_orders(spark, sf), as_of(), 8760).select("url", "body")
 
 
 @query(
@@ -234,7 +235,7 @@ WHERE o_orderdate <= TIMESTAMP '1998-06-01 00:00:00' - INTERVAL 8760 HOUR""",
 )
 def cache_misses(spark: SparkSession, sf: str) -> DataFrame:
     store = cached_orders(spark, sf)
-    return S.cache_misses(store.select("url"), store, _AS_OF, 8760)
+    return S.cache_misses(store.select("url"), store, as_of(), 8760)
 
 
 @query(

@@ -10,6 +10,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores ahead of heavy work per row.
+
+    Only an input with fewer splits than cores is dealt out; a large one keeps its
+    splits and is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
+def page_table(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "pages"))
+
+
 def response_store(pages: DataFrame) -> DataFrame:
     """Captured pages in the shape of a response store (one row per URL)."""
     return pages.select(
