@@ -68,7 +68,7 @@ def all_tags(html: ColumnOrName, pattern: str) -> Column:
 
     Comments, scripts and styles are skipped in the same pass over the page.
     """
-    found = F.regexp_extract_all(col(html), F.lit(f"(?is)<(?:{_NOISE}|({pattern}))"), F.lit(1))
+    found = F.regexp_extract_all(col(html), F.lit(f"<(?is:{_NOISE}|({pattern}))"), F.lit(1))
     return F.filter(found, lambda t: t != "")
 
 
@@ -84,10 +84,17 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
 
     Duplicates and fragments are kept; only http(s) targets remain.
     """
-    tags = pages.select(
-        *keep, U.base_parts(base).alias("_base"), F.posexplode(all_tags(html, LINK_TAG)).alias("pos", "tag")
+    # Attributes are read inside the array, so the filters below do not read them again.
+    read = F.transform(
+        all_tags(html, LINK_TAG),
+        lambda t: F.struct(
+            F.trim(attribute_text(t, "href")).alias("href"), attribute_text(t, "rel").rlike("(?i)nofollow").alias("nofollow")
+        ),
     )
-    hrefs = tags.withColumn("href", F.trim(attribute_text("tag", "href"))).filter(
+    # Both go below the explode: beside it they would be worked out once per link.
+    prepared = pages.select(*keep, U.base_parts(base).alias("_base"), read.alias("_tags"))
+    tags = prepared.select(*keep, "_base", F.posexplode("_tags").alias("pos", "_a"))
+    hrefs = tags.select(*keep, "_base", "pos", "_a.href", "_a.nofollow").filter(
         (F.col("href") != "") & ~F.col("href").rlike(SKIPPED_TARGET)
     )
     # The scheme is judged where it stands, so no link is resolved just to be dropped.
@@ -95,9 +102,8 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
     is_web = F.when(own_scheme, F.col("href").rlike("^(?i:https?)://")).otherwise(
         F.col("_base.scheme").rlike("^(?i:https?):$") & (F.col("_base.origin") != "")
     )
-    resolved = hrefs.filter(is_web).withColumn("link", U.resolve_at(F.col("_base"), F.col("href")))
-    nofollow = attribute_text("tag", "rel").rlike("(?i)nofollow")
-    return resolved.select(*keep, "pos", "link", nofollow.alias("nofollow"))
+    link = U.resolve_at(F.col("_base"), F.col("href"))
+    return hrefs.filter(is_web).select(*keep, "pos", link.alias("link"), "nofollow")
 
 
 def distinct_links(

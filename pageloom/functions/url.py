@@ -40,38 +40,23 @@ def validation_error(url: ColumnOrName) -> Column:
 
 def domain(url: ColumnOrName) -> Column:
     """Authority up to the first slash without port; letter case is kept."""
-    url = col(url)
-    authority = F.substring_index(_after_scheme(url), "/", 1)
-    return F.when(_has_scheme(url), F.substring_index(authority, ":", 1)).when(url.isNotNull(), "")
+    return F.substring_index(F.regexp_extract(col(url), r"(?s)^.*?://([^/]*)", 1), ":", 1)
 
 
 def path(url: ColumnOrName) -> Column:
     """Path with query and fragment, ``/`` if the URL has none."""
-    url = col(url)
-    found = F.regexp_extract(_after_scheme(url), r"(?s)(/.*)$", 1)
-    return F.when(found == "", "/").otherwise(found)
+    return F.concat(F.lit("/"), F.regexp_extract(col(url), r"(?s)^.*?://[^/]*/(.*)$", 1))
 
 
 def host(url: ColumnOrName) -> Column:
     """Lower-case host; ends at the first slash, else at ``?``, else at ``#``."""
-    url = col(url)
-    rest = _after_scheme(url)
-    authority = (
-        F.when(F.contains(rest, F.lit("/")), F.substring_index(rest, "/", 1))
-        .when(F.contains(rest, F.lit("?")), F.substring_index(rest, "?", 1))
-        .otherwise(F.substring_index(rest, "#", 1))
-    )
-    return F.when(_has_scheme(url), F.lower(F.substring_index(authority, ":", 1))).when(
-        url.isNotNull(), ""
-    )
+    authority = F.regexp_extract(col(url), r"(?s)^.*?://([^/]*(?=/)|[^/?]*(?=\?)|[^/#]*)", 1)
+    return F.lower(F.substring_index(authority, ":", 1))
 
 
 def bare_path(url: ColumnOrName) -> Column:
     """Path without query and fragment."""
-    full = path(url)
-    return F.when(F.contains(full, F.lit("?")), F.substring_index(full, "?", 1)).otherwise(
-        F.substring_index(full, "#", 1)
-    )
+    return F.concat(F.lit("/"), F.regexp_extract(col(url), r"(?s)^.*?://[^/]*/([^?]*(?=\?)|[^?#]*)", 1))
 
 
 def base_domain(hostname: ColumnOrName) -> Column:

@@ -13,7 +13,7 @@ from pageloom.operators import schedule as SC
 from pageloom.plans.registry import query
 from pageloom.plans.response_queries import ATTEMPTS, attempt_log
 from pageloom.sources import sitemap as SM
-from pageloom.sources.tables import page_table, response_store, table
+from pageloom.sources.tables import page_table, response_store, spread, table
 
 _SEEDS = """
 WITH seeds AS (SELECT page_id, unnest([url, url || '?missing', NULL, '']) AS url FROM pages)
@@ -366,7 +366,7 @@ def item_urls(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 3 == 0, "/open/").otherwise("/shut/"), F.col("l_orderkey").cast("string"),
         F.when(F.col("l_linenumber") % 2 == 0, ".pdf").otherwise(".html"),
     )
-    return table(spark, sf, "lineitem").select(page.alias("url"))
+    return spread(table(spark, sf, "lineitem")).select(page.alias("url"))
 
 
 _ITEM_URLS = """
