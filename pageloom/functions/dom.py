@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -349,16 +349,14 @@ def _chain(selector: str) -> list[tuple[str, Test]]:
     return [(link, _compound_test(tests)) for link, tests in steps]
 
 
-def _split_list(selector: str) -> Iterator[str]:
-    for part in re.findall(r"(?:\[[^\]]*\]|\([^)]*\)|[^,\[(])+", selector):
-        yield part.strip()
+def _split_list(selector: str) -> list[str]:
+    # A comma inside brackets belongs to its selector.
+    return [part.strip() for part in re.split(r",(?![^\[(]*[\])])", selector)]
 
 
 def matches(selector: str) -> Callable[[Column, Column], Column]:
     """Test of a node beside all nodes of its page for a selector (comma lists too)."""
     chains = [_chain(part) for part in _split_list(selector)]
-    if not chains:
-        raise SelectorError(selector)
 
     def holds(chain: list[tuple[str, Test]], nodes: Column, node: Column) -> Column:
         link, test = chain[-1]
