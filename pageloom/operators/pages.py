@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.operators.running import join_hot
 from pageloom.operators.snapshot import unseen
 
 NOT_CAPTURED = "not_captured"
@@ -15,19 +16,15 @@ def seed_urls(seeds: DataFrame) -> DataFrame:
     return seeds.select(F.col(seeds.columns[0]).alias("url")).dropna()
 
 
-def _page_columns(joined: DataFrame, keep: list[str]) -> DataFrame:
-    captured = F.col("_hit").isNotNull()
+# Columns every store has; further ones, such as redirects, are passed on.
+PAGE_COLUMNS = ("url", "status", "content_type", "body", "error", "response_time_ms")
+
+
+def _page_columns(joined: DataFrame, keep: list[str], store: DataFrame) -> DataFrame:
+    problem = F.when(F.col("_hit").isNull(), NOT_CAPTURED).otherwise(F.nullif(F.col("error"), F.lit("")))
+    extra = [c for c in store.columns if c not in PAGE_COLUMNS]
     return joined.select(
-        "url",
-        *keep,
-        F.col("status"),
-        F.col("content_type"),
-        F.col("body"),
-        F.when(F.col("url").isNull(), "NULL URL")
-        .when(captured, F.nullif(F.col("error"), F.lit("")))
-        .otherwise(NOT_CAPTURED)
-        .alias("error"),
-        F.col("response_time_ms"),
+        "url", *keep, "status", "content_type", "body", problem.alias("error"), "response_time_ms", *extra
     )
 
 
@@ -37,11 +34,17 @@ def scan(seeds: DataFrame, store: DataFrame, state: DataFrame | None = None) ->
     if state is not None:
         wanted = unseen(wanted, state)
     found = wanted.join(store.withColumn("_hit", F.lit(True)), "url", "left")
-    return _page_columns(found, []).withColumn("depth", F.lit(1))
+    return _page_columns(found, [], store).withColumn("depth", F.lit(1))
 
 
-def lookup_each(rows: DataFrame, store: DataFrame) -> DataFrame:
-    """One page row per input row: NULL URLs give an error row, empty ones none."""
-    wanted = rows.filter("url is null or url <> ''")
-    found = wanted.join(store.withColumn("_hit", F.lit(True)), "url", "left")
-    return _page_columns(found, [c for c in rows.columns if c != "url"])
+def lookup_each(rows: DataFrame, store: DataFrame, **sizes: int) -> DataFrame:
+    """One page row per input row: NULL URLs give an error row, empty ones none.
+
+    Rows without a URL do not take part in the join, and URLs asked for very often
+    are spread, so neither ends up in one task.
+    """
+    keep = [c for c in rows.columns if c != "url"]
+    found = join_hot(rows.filter("url <> ''"), store.withColumn("_hit", F.lit(True)), "url", **sizes)
+    pages = _page_columns(found, keep, store)
+    missing = rows.filter("url is null").withColumn("error", F.lit("NULL URL"))
+    return pages.unionByName(missing, allowMissingColumns=True)

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageloom.operators.running import lookup
+
 
 def validate(rows: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rejected rows with the names of the checks they failed."""
@@ -40,9 +42,32 @@ def health(
 
 
 def same_code(products: DataFrame, key: str, code: str) -> DataFrame:
-    """Products sharing a trade item number get the smallest key as entity."""
-    groups = products.filter(F.col(code).isNotNull()).groupBy(code).agg(F.min(key).alias("entity"))
-    return products.join(groups, code, "left").withColumn("entity", F.coalesce("entity", key))
+    """Products sharing a trade item number get the smallest key as entity.
+
+    Only numbers that occur more than once are joined back.
+    """
+    groups = products.filter(F.col(code).isNotNull()).groupBy(code).agg(
+        F.min(key).alias("_first"), F.count("*").alias("_n")
+    )
+    shared = groups.filter("_n > 1").drop("_n")
+    known = lookup(products.filter(F.col(code).isNotNull()), shared, code)
+    alone = products.filter(F.col(code).isNull())
+    joined = known.unionByName(alone, allowMissingColumns=True)
+    return joined.withColumn("entity", F.coalesce("_first", key)).drop("_first")
+
+
+def mark_copies(rows: DataFrame, key: str, fingerprint: str) -> DataFrame:
+    """Number of rows with the same fingerprint, and whether a smaller key has it.
+
+    Fingerprints that occur once, which are most, are not joined back.
+    """
+    counts = rows.groupBy(fingerprint).agg(F.count("*").alias("copies"), F.min(key).alias("_first"))
+    joined = lookup(rows, counts.filter("copies > 1"), fingerprint)
+    return joined.select(
+        *rows.columns,
+        F.coalesce("copies", F.lit(1)).alias("copies"),
+        F.coalesce(F.col(key) != F.col("_first"), F.lit(False)).alias("duplicate"),
+    )
 
 
 def plain_name(name: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Running totals per key that stay parallel when one key holds most rows.
+"""Running totals and joins per key that stay parallel when one key holds most rows.
 
 A window over a key puts the whole key into one task.  Keys above ``hot_rows`` are
 therefore cut into slots along the order column: each slot is an own window, and
@@ -108,3 +108,17 @@ def lookup(df: DataFrame, small: DataFrame, on: str, how: str = "left", salts: i
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
+
+
+def join_hot(
+    left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS, salts: int = 64
+) -> DataFrame:
+    """Left join to a table with one, possibly wide, row per key.
+
+    Only the rows of keys that are hot on the left are repeated on the right; all
+    other keys take the plain join.
+    """
+    hot = hot_keys(left, [on], hot_rows)
+    plain = left.join(hot, on, "left_anti").join(right, on, "left")
+    copies = right.join(hot, on, "left_semi")
+    return plain.unionByName(lookup(left.join(hot, on, "left_semi"), copies, on, "left", salts))

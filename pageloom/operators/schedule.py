@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import response as R
@@ -162,20 +162,18 @@ def adaptive_delays(
     summaries = moved.groupBy("domain", "chunk").applyInPandas(
         effects, "domain string, chunk long, scale double, bottom double, top double"
     )
-    # One row per 4096 responses is left per domain.
-    ordered = Window.partitionBy("domain").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    steps = F.collect_list(F.struct("scale", "bottom", "top")).over(ordered)
-    starts = factored.select("domain", "chunk").distinct().join(summaries, ["domain", "chunk"], "left").select(
-        "domain",
-        "chunk",
-        F.aggregate(
-            steps,
-            F.lit(float(start)),
-            lambda d, s: F.when(
-                s["scale"].isNotNull(), F.least(F.greatest(d * s["scale"], s["bottom"]), s["top"])
-            ).otherwise(d),
-        ).alias("start_delay"),
-    )
+    def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        delay, out = float(start), []
+        rows = rows.sort_values("chunk")
+        for scale, bottom, top in zip(rows["scale"], rows["bottom"], rows["top"]):
+            out.append(delay)
+            if scale == scale:
+                delay = min(max(delay * scale, bottom), top)
+        return rows.assign(start_delay=out)[["domain", "chunk", "start_delay"]]
+
+    # One narrow row per 4096 responses is left per domain.
+    chunks = factored.select("domain", "chunk").distinct().join(summaries, ["domain", "chunk"], "left")
+    starts = chunks.groupBy("domain").applyInPandas(chain, "domain string, chunk long, start_delay double")
 
     def delays(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rn")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from pageloom.operators import robots as RB
 from pageloom.operators import schedule as SC
 from pageloom.plans.registry import query
 from pageloom.plans.response_queries import ATTEMPTS, attempt_log
+from pageloom.session import checkpoint_dir
 from pageloom.sources import sitemap as SM
 from pageloom.sources.tables import page_table, response_store, spread, table
 
@@ -62,6 +65,23 @@ def lookup_each(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "url", "status", "error")
 
 
+@query(
+    "u21_redirect_columns",
+    """
+SELECT page_id, url || '?old' AS url, url AS final_url, CAST(page_id % 3 AS INTEGER) AS redirect_count FROM pages""",
+)
+def redirect_columns(spark: SparkSession, sf: str) -> DataFrame:
+    store = response_store(page_table(spark, sf)).select(
+        F.concat("url", F.lit("?old")).alias("url"), "status", "content_type", "body", "error", "response_time_ms",
+        F.col("url").alias("final_url"),
+    )
+    store = store.dropDuplicates(["url"])
+    seeds_ = page_table(spark, sf).select(
+        F.concat("url", F.lit("?old")).alias("url"), "page_id", (F.col("page_id") % 3).cast("int").alias("redirect_count")
+    )
+    return P.lookup_each(seeds_, store).select("page_id", "url", "final_url", "redirect_count")
+
+
 def order_graph(spark: SparkSession, sf: str) -> DataFrame:
     """Links customer page -> order pages -> part pages -> supplier pages."""
     orders = table(spark, sf, "orders")
@@ -192,6 +212,16 @@ def sitemap_entries(spark: SparkSession, sf: str) -> DataFrame:
     return SM.entries(sitemap_documents(spark, sf)).drop("sitemap_url")
 
 
+@query("s08_gzipped_sitemaps", _ENTRIES)
+def gzipped_sitemaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Sitemaps written as gzipped text, one document per line, and read again."""
+    folder = f"{checkpoint_dir(spark)}/gzip-{uuid.uuid4().hex}"
+    leaves = sitemap_documents(spark, sf).filter("xml like '%<urlset%'")
+    leaves.select("xml").write.option("compression", "gzip").text(folder)
+    documents = spark.read.text(folder).select(F.lit("gz").alias("sitemap_url"), F.col("value").alias("xml"))
+    return SM.entries(documents).drop("sitemap_url")
+
+
 @query(
     "f03_sitemap_recursion",
     _ENTRIES + " JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import response as R
 from pageloom.functions import tags as T
+from pageloom.operators.quality import mark_copies
 from pageloom.plans.registry import query
 from pageloom.sources.tables import response_store, table
 
@@ -149,14 +150,8 @@ c AS (SELECT hash, count(*) AS copies, min(doc_id) AS first_doc FROM h GROUP BY
 SELECT doc_id, hash, copies, doc_id <> first_doc AS duplicate FROM h JOIN c USING (hash)""",
 )
 def content_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts are pre-aggregated and joined back, so one popular body is no window."""
     hashed = table(spark, sf, "documents").select("doc_id", R.content_hash("text").alias("hash"))
-    counts = hashed.groupBy("hash").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("first_doc")
-    )
-    return hashed.join(counts, "hash").select(
-        "doc_id", "hash", "copies", (F.col("doc_id") != F.col("first_doc")).alias("duplicate")
-    )
+    return mark_copies(hashed, "doc_id", "hash")
 
 
 @query(

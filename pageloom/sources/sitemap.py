@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.session import cut_lineage
@@ -102,3 +102,15 @@ def candidate_locations(hosts: DataFrame) -> DataFrame:
 def gzipped(content: Column) -> Column:
     """Whether binary content carries the gzip mark."""
     return F.hex(F.substring(content, 1, 2)) == "1F8B"
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Sitemap files as ``(sitemap_url, xml)``; names that end in ``.gz`` are inflated on reading."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("sitemap_url"), F.col("value").alias("xml")
+    )
+
+
+def compressed_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a folder with their size and whether their content is gzipped."""
+    return spark.read.format("binaryFile").load(path).select("path", "length", gzipped(F.col("content")).alias("gzipped"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pageloom.operators import extract as E
 from pageloom.operators import frontier as FR
 from pageloom.operators import merge as M
+from pageloom.operators import pages as P
 from pageloom.operators import quality as Q
 from pageloom.operators import robots as RB
 from pageloom.operators import running as R
@@ -326,3 +327,36 @@ def test_stream_of_delays_keeps_state(spark, tmp_path):
     ST.append_available(ST.adaptive_delay_stream(stream), out, str(tmp_path / "state"))
     got = spark.read.parquet(out).orderBy("seq").collect()
     assert [r.delay for r in got] == pytest.approx(SC.folded_delays([ms for _, _, ms in data], 1.0, 0.5, 60.0))
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1000])
+def test_lookup_of_hot_and_missing_urls(spark, hot_rows):
+    store = spark.createDataFrame(
+        [("a", 200, "text/html", "A", "", 1), ("b", 500, "", None, "boom", 2)],
+        "url string, status int, content_type string, body string, error string, response_time_ms long",
+    )
+    asked = [("a", i) for i in range(20)] + [("b", 20), ("c", 21), (None, 22), (None, 23), ("", 24)]
+    seeds = spark.createDataFrame(asked, "url string, n int")
+    got = P.lookup_each(seeds, store, hot_rows=hot_rows, salts=4).select("n", "url", "status", "body", "error")
+    expected = [(i, "a", 200, "A", None) for i in range(20)]
+    expected += [(20, "b", 500, None, "boom"), (21, "c", None, None, "not_captured")]
+    expected += [(22, None, None, None, "NULL URL"), (23, None, None, None, "NULL URL")]
+    assert rows(got) == sorted(expected, key=repr)
+
+
+def test_gzipped_documents(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    xml = "<urlset><url><loc>https://e/1</loc></url></urlset>"
+    (tmp_path / "in" / "a.xml.gz").write_bytes(gzip.compress(xml.encode()))
+    (tmp_path / "in" / "b.xml").write_text(xml)
+    path = str(tmp_path / "in")
+    assert [r.url for r in SM.entries(SM.read_documents(spark, path)).collect()] == ["https://e/1"] * 2
+    assert sorted(r.gzipped for r in SM.compressed_files(spark, path).collect()) == [False, True]
+
+
+def test_copies_and_codes(spark):
+    frame = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, None)], "id long, f string")
+    assert rows(Q.mark_copies(frame.dropna(), "id", "f")) == [(1, "x", 2, False), (2, "y", 1, False), (3, "x", 2, True)]
+    assert rows(Q.same_code(frame, "id", "f").select("id", "entity")) == [(1, 1), (2, 2), (3, 1), (4, 4)]
