@@ -38,6 +38,19 @@ def distinct_links(spark: SparkSession, sf: str) -> DataFrame:
     return T.distinct_links(copied_pages(spark, sf), ["page_id"], base="url")
 
 
+def dense_links(spark: SparkSession, sf: str) -> DataFrame:
+    """A hundred links (3 KB) on each of 10,000 documents named after orders."""
+    orders = table(spark, sf, "orders").filter(F.col("o_orderkey") < 10_000).repartition(spark.sparkContext.defaultParallelism)
+    one = F.transform(
+        F.sequence(F.lit(1), F.lit(100)),
+        lambda i: F.concat(F.lit('<a href="/p/'), F.col("o_orderkey").cast("string"), F.lit("/"), i.cast("string"), F.lit('">link</a>')),
+    )
+    pages = orders.select(
+        F.col("o_orderkey").alias("page_id"), F.lit("https://dense.example/").alias("url"), F.array_join(one, "\n").alias("html")
+    )
+    return T.links(pages, ["page_id"])
+
+
 def tag_bundle(spark: SparkSession, sf: str) -> DataFrame:
     return DOC.product_pages(spark, sf).select(
         "p_partkey",
@@ -103,6 +116,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     own = {
         "links_x100": links,
+        "dense_links_1m": dense_links,
         "distinct_links_x100": distinct_links,
         "tag_bundle": tag_bundle,
         "node_table": node_table,
@@ -116,6 +130,7 @@ def main() -> None:
     pages = table(spark, sf, "pages").count()
     rates = {
         "links_per_sec": round(found / seconds["links_x100"]),
+        "dense_links_per_sec": round(dense_links(spark, sf).count() / seconds["dense_links_1m"]),
         "distinct_links_per_sec": round(found / seconds["distinct_links_x100"]),
         "link_pages_per_sec": round(pages * COPIES / seconds["links_x100"]),
         "node_pages_per_sec": round(pages / seconds["node_table"]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -29,6 +29,16 @@ def first_of(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
 
+def unpack(rows: DataFrame, keep: list[str | Column], values: Column, place: str, item: str) -> DataFrame:
+    """One row per array element with its place from 0; rows without elements drop out.
+
+    A plain explode makes the optimizer test the array for elements ahead of it,
+    which works out an expensive array twice.  The outer form does not.
+    """
+    opened = rows.select(*keep, F.posexplode_outer(values).alias(place, item))
+    return opened.filter(F.col(place).isNotNull())
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside ``use``.
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.functions.columns import ColumnOrName, col, first_of, let, strip
+from pageloom.functions.columns import ColumnOrName, col, first_of, let, strip, unpack
 
 _INT, _TEXT = T.IntegerType(), T.StringType()
 NODE_TYPE = T.StructType(
@@ -257,7 +257,8 @@ def node_table(pages: DataFrame, keep: list[str], html: str = "html") -> DataFra
     structural joins are equi-joins on page and element number.
     """
     parsed = pages.select(*keep, parse(html).alias("dom"))
-    return parsed.select(*keep, F.inline("dom.nodes"))
+    opened = unpack(parsed, keep, F.col("dom.nodes"), "_place", "_node")
+    return opened.select(*keep, "_node.*")
 
 
 # --- selectors ----------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import url as U
-from pageloom.functions.columns import ColumnOrName, col, first_of, last_wins, let
+from pageloom.functions.columns import ColumnOrName, col, first_of, last_wins, let, unpack
 
 LINK_TAG = r"a(?:\s[^>]*)?>"
 META_TAG = r"meta\s[^>]*>"
@@ -74,9 +74,7 @@ def all_tags(html: ColumnOrName, pattern: str) -> Column:
 
 def tag_rows(pages: DataFrame, pattern: str, keep: list[str], html: str = "html") -> DataFrame:
     """One row per matching tag with its position on the page."""
-    return pages.select(
-        *keep, F.posexplode(all_tags(html, pattern)).alias("pos", "tag")
-    )
+    return unpack(pages, keep, all_tags(html, pattern), "pos", "tag")
 
 
 def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "html") -> DataFrame:
@@ -93,7 +91,7 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
     )
     # Both go below the explode: beside it they would be worked out once per link.
     prepared = pages.select(*keep, U.base_parts(base).alias("_base"), read.alias("_tags"))
-    tags = prepared.select(*keep, "_base", F.posexplode("_tags").alias("pos", "_a"))
+    tags = unpack(prepared, [*keep, "_base"], F.col("_tags"), "pos", "_a")
     hrefs = tags.select(*keep, "_base", "pos", "_a.href", "_a.nofollow").filter(
         (F.col("href") != "") & ~F.col("href").rlike(SKIPPED_TARGET)
     )

@@ -15,7 +15,7 @@ from pageloom.functions import json_path as J
 from pageloom.functions import response as R
 from pageloom.functions import script_vars as S
 from pageloom.functions import tags as T
-from pageloom.functions.columns import let
+from pageloom.functions.columns import let, unpack
 from pageloom.functions.htmlpath import json_object
 
 
@@ -184,7 +184,7 @@ def split_required(rows: DataFrame, specs: Sequence[Spec]) -> tuple[DataFrame, D
 def each_typed(pages: DataFrame, kind: str, keep: Sequence[str], html: str = "html") -> DataFrame:
     """One row per JSON-LD entity of a type, page fields repeated."""
     items = F.filter(S.jsonld_items(html), lambda i: i["key"] == kind)
-    return pages.select(*keep, F.posexplode(items).alias("place", "_e")).select(
+    return unpack(pages, [*keep], items, "place", "_e").select(
         *keep, "place", F.col("_e.value").alias("entity")
     )
 
@@ -209,7 +209,7 @@ def each_element(
     rows = F.transform(
         D.select(dom, selector), lambda root: F.struct(*[part(root, w).alias(a) for a, w in parts.items()])
     )
-    return parsed.select(*keep, F.posexplode(rows).alias("place", "_e")).select(
+    return unpack(parsed, [*keep], rows, "place", "_e").select(
         *keep, "place", *[F.col(f"_e.{a}").alias(a) for a in parts]
     )
 
@@ -280,14 +280,14 @@ PATTERNS = {
 
 def discovery_report(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """Rows ``(key, section, name, n)``: types, og properties, data attributes, patterns."""
-    types = pages.select(key, F.explode(S.jsonld_items(html)).alias("e")).groupBy(
+    types = unpack(pages, [key], S.jsonld_items(html), "i", "e").groupBy(
         key, F.col("e.key").alias("name")
     ).agg(F.count("*").alias("n")).withColumn("section", F.lit("jsonld_type"))
-    graph = pages.select(key, F.explode(F.map_keys(T.open_graph(html))).alias("name")).select(
+    graph = unpack(pages, [key], F.map_keys(T.open_graph(html)), "i", "name").select(
         key, "name", F.lit(1).cast("long").alias("n"), F.lit("opengraph").alias("section")
     )
     names = F.regexp_extract_all(html, F.lit(r"\sdata-([a-z0-9-]+)="), F.lit(1))
-    data = pages.select(key, F.explode(names).alias("name")).groupBy(key, "name").agg(
+    data = unpack(pages, [key], names, "i", "name").groupBy(key, "name").agg(
         F.count("*").alias("n")
     ).withColumn("section", F.lit("data_attribute"))
     hits = F.array(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageloom.functions.columns import unpack
 from pageloom.operators.running import lookup
 
 
@@ -93,7 +94,7 @@ def near_names(products: DataFrame, block: Sequence[str], name: str) -> DataFram
     length times alphabet names, which bounds every join group.
     """
     names = products.select(*block, plain_name(F.col(name)).alias("name")).distinct()
-    forms = names.withColumn("form", F.explode(_one_deleted(F.col("name"))))
+    forms = unpack(names, [*block, "name"], _one_deleted(F.col("name")), "_i", "form").drop("_i")
     left = forms.withColumnRenamed("name", "name_a")
     right = forms.withColumnRenamed("name", "name_b")
     pairs = left.join(right, [*block, "form"]).filter("name_a < name_b")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import dom as D
 from pageloom.functions import fields as FL
 from pageloom.functions import json_path as J
+from pageloom.functions.columns import unpack
 from pageloom.functions.htmlpath import htmlpath
 from pageloom.operators import pages as P
 from pageloom.operators import quality as Q
@@ -195,7 +196,8 @@ def script_array(spark: SparkSession, sf: str) -> DataFrame:
     from pageloom.functions import script_vars as S
 
     held = DOC.order_pages(spark, sf).select(S.variables("html").alias("v"))
-    rows = held.select(F.explode(F.from_json(F.col("v")["orders"], "array<struct<id: long, status: string, even: boolean>>")).alias("o"))
+    orders = F.from_json(F.col("v")["orders"], "array<struct<id: long, status: string, even: boolean>>")
+    rows = unpack(held, [], orders, "i", "o")
     return rows.select("o.id", "o.status", F.col("o.even").alias("is_even"))
 
 
@@ -208,7 +210,7 @@ SELECT CAST(floor(p_partkey / 20) AS BIGINT) AS page, 'https://shop.example/p/'
 def two_stage_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Listing pages name the detail pages, which are looked up in the store."""
     listing = DOC.card_pages(spark, sf).withColumn("dom", D.parse("html"))
-    ids = listing.select("page", F.explode(J.array_items(htmlpath("html", "input#jobs@value[*].id", "dom"))).alias("id"))
+    ids = unpack(listing, ["page"], J.array_items(htmlpath("html", "input#jobs@value[*].id", "dom")), "i", "id")
     wanted = ids.select("page", F.concat(F.lit("https://shop.example/p/"), "id").alias("url"))
     store = DOC.product_pages(spark, sf).select(
         "url",

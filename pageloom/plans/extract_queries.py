@@ -10,6 +10,7 @@ from pageloom.functions import dom as D
 from pageloom.functions import json_path as J
 from pageloom.functions import script_vars as S
 from pageloom.functions import tags as T
+from pageloom.functions.columns import unpack
 from pageloom.functions.htmlpath import htmlpath
 from pageloom.operators import extract as E
 from pageloom.plans import documents as DOC
@@ -149,9 +150,7 @@ def css_select(spark: SparkSession, sf: str) -> DataFrame:
 SELECT CAST(floor(p_partkey / 20) AS BIGINT) AS page, p_name AS name, count(*) AS cards FROM part GROUP BY 1, 2""",
 )
 def all_matches(spark: SparkSession, sf: str) -> DataFrame:
-    names = _parsed(DOC.card_pages(spark, sf)).select(
-        "page", F.explode(D.all_texts("html", "div.card h2 a", "dom")).alias("name")
-    )
+    names = unpack(_parsed(DOC.card_pages(spark, sf)), ["page"], D.all_texts("html", "div.card h2 a", "dom"), "i", "name")
     return names.groupBy("page", "name").agg(F.count("*").alias("cards"))
 
 
@@ -261,7 +260,7 @@ UNION ALL SELECT 'Person', count(*), count(*) FROM part UNION ALL SELECT 'Produc
 UNION ALL SELECT 'Thing', count(*), count(*) FROM part""",
 )
 def schema_map(spark: SparkSession, sf: str) -> DataFrame:
-    held = _parsed(DOC.product_pages(spark, sf)).select(F.explode(S.schema_map("html", "dom")).alias("type", "json"))
+    held = _parsed(DOC.product_pages(spark, sf)).select(F.explode_outer(S.schema_map("html", "dom")).alias("type", "json"))
     return held.groupBy("type").agg(
         F.count("*").alias("pages"), F.sum(F.json_array_length("json")).alias("items")
     )

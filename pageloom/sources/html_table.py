@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import dom as D
 from pageloom.functions import json_path as J
 from pageloom.functions import script_vars as S
-from pageloom.functions.columns import ColumnOrName, col, let, strip
+from pageloom.functions.columns import ColumnOrName, col, let, unpack
 from pageloom.session import cut_lineage
 
 # Marks that may not stay in a column name.
@@ -36,7 +36,7 @@ def _cell_text(dom: Column, node: Column, skip_citations: bool) -> Column:
             & ~F.coalesce(F.exists(F.get(nodes, c["node"])["anc"], is_citation), F.lit(False)),
         )
     joined = F.array_join(F.transform(chunks, lambda c: c["text"]), "")
-    return strip(F.regexp_replace(joined, r"\s+", " "))
+    return F.trim(F.regexp_replace(joined, r"\s+", " "))
 
 
 def table_struct(
@@ -112,12 +112,12 @@ def cells(tables: DataFrame, keep: list[str], struct: str = "t") -> DataFrame:
 
     Columns beyond the headers are left out.
     """
-    rows = tables.select(*keep, F.col(f"{struct}.headers").alias("headers"), F.posexplode(f"{struct}.rows").alias("row", "cells"))
+    rows = unpack(tables, [*keep, F.col(f"{struct}.headers").alias("headers")], F.col(f"{struct}.rows"), "row", "cells")
     named = F.transform(
         "headers",
         lambda h, i: F.struct(column_name(h, i).alias("name"), F.get("cells", i).alias("value")),
     )
-    return rows.select(*keep, "row", F.posexplode(named).alias("col", "cell")).select(
+    return unpack(rows, [*keep, "row"], named, "col", "cell").select(
         *keep, "row", "col", F.col("cell.name").alias("name"), F.nullif(F.col("cell.value"), F.lit("")).alias("value")
     )
 
@@ -223,12 +223,12 @@ def variable_cells(values: DataFrame, keys: list[str], column: str) -> DataFrame
         .when(value.isNotNull(), F.struct(no_names.alias("names"), F.array(value).alias("items")))
         .alias("_v"),
     )
-    rows = opened.select(*keys, F.col("_v.names").alias("_names"), F.posexplode("_v.items").alias("row", "_item"))
+    rows = unpack(opened, [*keys, F.col("_v.names").alias("_names")], F.col("_v.items"), "row", "_item")
     # Each object is read once; its entries become cells.
     entries = F.when(F.size("_names") > 0, F.map_entries(F.from_json("_item", "map<string,string>"))).otherwise(
         F.array(F.struct(F.lit("value").alias("key"), J.as_text(F.col("_item")).alias("value")))
     )
-    return rows.select(*keys, "row", "_names", F.explode(entries).alias("_e")).select(
+    return unpack(rows, [*keys, "row", "_names"], entries, "_i", "_e").select(
         *keys,
         "row",
         F.greatest(F.array_position("_names", F.col("_e.key")) - 1, F.lit(0)).cast("int").alias("col"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.functions.columns import unpack
 from pageloom.session import cut_lineage
 
 _ENTRY = "array<struct<loc: string, lastmod: string, changefreq: string, priority: string>>"
@@ -35,7 +36,7 @@ def _parsed(xml: Column, element: str, kind: str) -> Column:
 def entries(documents: DataFrame) -> DataFrame:
     """URL entries of ``(sitemap_url, xml)``; entries without an address are dropped."""
     is_set = ~F.contains(F.col("xml"), F.lit("<sitemapindex"))
-    rows = documents.filter(is_set).select("sitemap_url", F.explode(_parsed(F.col("xml"), "url", _ENTRY)).alias("e"))
+    rows = unpack(documents.filter(is_set), ["sitemap_url"], _parsed(F.col("xml"), "url", _ENTRY), "i", "e")
     return rows.select(
         "sitemap_url",
         F.trim("e.loc").alias("url"),
@@ -48,9 +49,7 @@ def entries(documents: DataFrame) -> DataFrame:
 def children(documents: DataFrame) -> DataFrame:
     """Child sitemaps named by index documents."""
     is_index = F.contains(F.col("xml"), F.lit("<sitemapindex"))
-    rows = documents.filter(is_index).select(
-        "sitemap_url", F.explode(_parsed(F.col("xml"), "sitemap", _CHILD)).alias("e")
-    )
+    rows = unpack(documents.filter(is_index), ["sitemap_url"], _parsed(F.col("xml"), "sitemap", _CHILD), "i", "e")
     return rows.select(
         F.col("sitemap_url").alias("parent"), F.trim("e.loc").alias("child"), F.col("e.lastmod").alias("lastmod")
     ).filter("child <> ''")
