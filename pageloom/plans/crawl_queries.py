@@ -13,7 +13,7 @@ from pageloom.operators import pages as P
 from pageloom.operators import robots as RB
 from pageloom.operators import schedule as SC
 from pageloom.plans.registry import query
-from pageloom.plans.response_queries import ATTEMPTS, attempt_log
+from pageloom.plans.response_queries import ADAPTIVE_DELAYS, ATTEMPTS, attempt_log, rounded_delays
 from pageloom.session import checkpoint_dir
 from pageloom.sources import sitemap as SM
 from pageloom.sources.tables import page_table, response_store, spread, table
@@ -577,6 +577,6 @@ def domain_counters(spark: SparkSession, sf: str) -> DataFrame:
     return SC.domain_counters(attempt_log(spark, sf))
 
 
-@query("f12_adaptive_delay")
+@query("f12_adaptive_delay", ADAPTIVE_DELAYS)
 def adaptive_delay(spark: SparkSession, sf: str) -> DataFrame:
-    return SC.adaptive_delays(attempt_log(spark, sf))
+    return rounded_delays(SC.adaptive_delays(attempt_log(spark, sf)))

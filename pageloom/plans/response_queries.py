@@ -51,6 +51,23 @@ WITH attempts AS (
 """
 
 
+ADAPTIVE_DELAYS = (
+    ATTEMPTS.replace("WITH attempts", "WITH RECURSIVE attempts")
+    + """
+, n AS (SELECT domain, seq, ms, ms::DOUBLE AS x, row_number() OVER (PARTITION BY domain ORDER BY seq) AS rn FROM attempts),
+f AS (SELECT domain, seq, ms, rn, x AS ema, 1::DOUBLE AS delay FROM n WHERE rn = 1
+  UNION ALL SELECT n.domain, n.seq, n.ms, n.rn, 0.2::DOUBLE * x + 0.8::DOUBLE * ema,
+    CASE WHEN n.rn >= 3 AND x > 2 * (0.2::DOUBLE * x + 0.8::DOUBLE * ema) THEN least(delay * 1.5::DOUBLE, 60)
+      WHEN n.rn >= 3 AND x < 0.5::DOUBLE * (0.2::DOUBLE * x + 0.8::DOUBLE * ema) THEN greatest(delay * 0.9::DOUBLE, 0.5::DOUBLE)
+      ELSE delay END FROM f JOIN n ON n.domain = f.domain AND n.rn = f.rn + 1)
+SELECT domain, seq, ms, round(ema, 2) AS ema, round(delay, 6) AS delay FROM f"""
+)
+
+
+def rounded_delays(delays: DataFrame) -> DataFrame:
+    return delays.select("domain", "seq", "ms", F.round("ema", 2).alias("ema"), F.round("delay", 6).alias("delay"))
+
+
 @query(
     "u12_error_class",
     ATTEMPTS

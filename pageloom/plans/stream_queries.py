@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pageloom.operators import merge as M
 from pageloom.operators import snapshot as S
 from pageloom.plans.registry import query
+from pageloom.plans.response_queries import ADAPTIVE_DELAYS, rounded_delays
 from pageloom.session import checkpoint_dir
 from pageloom.sources.tables import response_store, table
 from pageloom.streaming import pages as ST
@@ -76,7 +77,7 @@ def continuous_merge(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.read()
 
 
-@query("st05_adaptive_delay")
+@query("st05_adaptive_delay", ADAPTIVE_DELAYS)
 def adaptive_delay(spark: SparkSession, sf: str) -> DataFrame:
     data, state = _folders(spark)
     schema = table(spark, sf, "events").schema
@@ -87,6 +88,6 @@ def adaptive_delay(spark: SparkSession, sf: str) -> DataFrame:
         F.round(F.col("value") * 100).cast("long").alias("ms"),
     )
     ST.append_available(ST.adaptive_delay_stream(log), data, state)
-    return spark.read.parquet(data)
+    return rounded_delays(spark.read.parquet(data))
 
 

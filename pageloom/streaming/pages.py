@@ -119,6 +119,7 @@ def adaptive_delay_stream(
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         samples, ema, delay = state.get if state.exists else (0, 0.0, start)
         for rows in batches:
+            rows = rows.sort_values("seq")
             emas, delays = [], []
             for ms in rows["ms"]:
                 samples += 1
