@@ -279,27 +279,29 @@ PATTERNS = {
 
 
 def discovery_report(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """Rows ``(key, section, name, n)``: types, og properties, data attributes, patterns."""
-    types = unpack(pages, [key], S.jsonld_items(html), "i", "e").groupBy(
-        key, F.col("e.key").alias("name")
-    ).agg(F.count("*").alias("n")).withColumn("section", F.lit("jsonld_type"))
-    graph = unpack(pages, [key], F.map_keys(T.open_graph(html)), "i", "name").select(
-        key, "name", F.lit(1).cast("long").alias("n"), F.lit("opengraph").alias("section")
-    )
-    names = F.regexp_extract_all(html, F.lit(r"\sdata-([a-z0-9-]+)="), F.lit(1))
-    data = unpack(pages, [key], names, "i", "name").groupBy(key, "name").agg(
-        F.count("*").alias("n")
-    ).withColumn("section", F.lit("data_attribute"))
-    hits = F.array(
-        *[
-            F.struct(F.lit(n).alias("name"), F.regexp_count(html, F.lit(p)).cast("long").alias("n"))
-            for n, p in PATTERNS.items()
-        ]
-    )
-    found = pages.select(key, F.explode(hits).alias("h")).select(
-        key, F.col("h.name").alias("name"), F.col("h.n").alias("n"), F.lit("pattern").alias("section")
-    ).filter("n > 0")
-    columns = [key, "section", "name", "n"]
-    return types.select(columns).union(graph.select(columns)).union(data.select(columns)).union(found.select(columns))
+    """Rows ``(key, section, name, n)``: types, og properties, data attributes, patterns.
+
+    The counts of a page are made inside its row, in one pass and without a shuffle.
+    """
 
+    def entry(section: str, name: Column, n: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), name.alias("name"), n.cast("long").alias("n"))
 
+    def tally(section: str, names: Column) -> Column:
+        def runs(found: Column) -> Column:
+            kinds = F.array_distinct(found)
+            return F.transform(
+                kinds, lambda k: entry(section, k, F.size(F.filter(found, lambda f: f == k)))
+            )
+
+        return let(names, runs)
+
+    types = tally("jsonld_type", F.transform(S.jsonld_items(html), lambda i: i["key"]))
+    graph = F.transform(F.map_keys(T.open_graph(html)), lambda k: entry("opengraph", k, F.lit(1)))
+    data = tally("data_attribute", F.regexp_extract_all(html, F.lit(r"\sdata-([a-z0-9-]+)="), F.lit(1)))
+    hits = F.filter(
+        F.array(*[entry("pattern", F.lit(n), F.regexp_count(html, F.lit(p))) for n, p in PATTERNS.items()]),
+        lambda e: e["n"] > 0,
+    )
+    found = unpack(pages, [key], F.concat(types, graph, data, hits), "i", "e")
+    return found.select(key, "e.section", "e.name", "e.n")

@@ -187,9 +187,10 @@ def merge(
     changed = tagged.filter("_from_source and _action in ('insert', 'update', 'delete')")
     first = changed.select(*marks).orderBy(*marks).limit(limit)
     # Only the last accepted change matters: everything up to it is in.
-    edge = first.agg(F.max(F.struct(*marks))).scalar()
-    full = first.agg(F.count("*")).scalar() >= limit
-    beyond = F.col("_from_source") & F.coalesce(full & (F.struct(*marks) > edge), F.lit(False))
+    edge = first.agg(F.struct(F.max(F.struct(*marks)).alias("at"), F.count("*").alias("n"))).scalar()
+    beyond = F.col("_from_source") & F.coalesce(
+        (edge["n"] >= limit) & (F.struct(*marks) > edge["at"]), F.lit(False)
+    )
     if limit <= 0:
         beyond = F.col("_from_source")
     cut = beyond & F.col("_action").isin(INSERT, UPDATE, DELETE)

@@ -8,6 +8,8 @@ the same as that of the plain window.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,57 +17,31 @@ HOT_ROWS = 2_000_000
 SLOTS = 1024
 
 
-def _window_values(keys: list[Column], order: list[Column], sums: dict, maxes: dict, current: bool) -> list[Column]:
+Exprs = Mapping[str, Column]
+
+
+def _over(keys: Sequence[str], order: str, sums: Exprs, maxes: Exprs, current: bool) -> list[Column]:
     last = Window.currentRow if current else -1
-    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
     return [F.sum(c).over(frame).alias(n) for n, c in sums.items()] + [
         F.max(c).over(frame).alias(n) for n, c in maxes.items()
     ]
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows; at most rows / ``hot_rows`` of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, so at most rows / ``hot_rows`` of them.
 
-
-def running(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    sums: dict[str, Column] | None = None,
-    maxes: dict[str, Column] | None = None,
-    include_current: bool = True,
-    hot_rows: int = HOT_ROWS,
-    slots: int = SLOTS,
-) -> DataFrame:
-    """Add running sums and maxima per key in the order of an integer column.
-
-    ``order`` must be unique within a key.  ``include_current=False`` leaves the
-    row itself out, which turns a maximum of ``struct(order, value)`` into a lag.
+    With ``order`` also the range of that column within each key.
     """
-    sums, maxes = sums or {}, maxes or {}
-    names = [*sums, *maxes]
-    hot = hot_keys(df, keys, hot_rows)
-    cold_rows = df.join(hot, keys, "left_anti")
-    cold = cold_rows.select(
-        *df.columns,
-        *_window_values([F.col(k) for k in keys], [F.col(order)], sums, maxes, include_current),
-    )
+    span = [F.min(order).cast("double").alias("_low"), (F.max(order) + 1).cast("double").alias("_high")] if order else []
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *span)
+    return counted.filter(F.col("_n") > hot_rows).drop("_n")
 
-    hot_rows_df = df.join(hot, keys, "left_semi")
-    low = df.agg(F.min(order).cast("double")).scalar()
-    high = df.agg((F.max(order) + 1).cast("double")).scalar()
-    slotted = hot_rows_df.withColumn(
-        "_slot", F.expr(f"cast({order} as double)")
-    ).withColumn("_slot", F.width_bucket("_slot", low, high, F.lit(slots)))
-    local = slotted.select(
-        *df.columns,
-        "_slot",
-        *_window_values(
-            [*(F.col(k) for k in keys), F.col("_slot")], [F.col(order)], sums, maxes, include_current
-        ),
-    )
-    totals = slotted.groupBy(*keys, "_slot").agg(
+
+def _in_slots(rows: DataFrame, keys: list[str], order: str, sums: Exprs, maxes: Exprs, current: bool) -> DataFrame:
+    """One step of running values over rows that carry a ``_slot``."""
+    local = rows.select("*", *_over([*keys, "_slot"], order, sums, maxes, current))
+    totals = rows.groupBy(*keys, "_slot").agg(
         *[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxes.items()]
     )
     before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,8 +58,49 @@ def running(
             return F.greatest(here, carry).alias(name)
         return F.coalesce(here + carry, here, carry).alias(name)
 
-    warm = local.join(carried, [*keys, "_slot"]).select(*df.columns, *[combined(n) for n in names])
-    return cold.unionByName(warm)
+    names = [*sums, *maxes]
+    return local.join(carried, [*keys, "_slot"]).select(*rows.columns, *[combined(n) for n in names])
+
+
+def running_steps(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    steps: Sequence[tuple[Exprs, Exprs]],
+    include_current: bool = True,
+    hot_rows: int = HOT_ROWS,
+    slots: int = SLOTS,
+) -> DataFrame:
+    """Several steps of running sums and maxima; a step may use the values of those before.
+
+    The keys are told apart once.  Cold keys take plain windows, which share one
+    shuffle; hot keys take the slots of their own order range.
+    """
+    hot = hot_keys(df, keys, hot_rows, order)
+    cold = df.join(hot, keys, "left_anti")
+    slot = F.width_bucket(F.col(order).cast("double"), "_low", "_high", F.lit(slots))
+    warm = df.join(hot, keys).withColumn("_slot", slot).drop("_low", "_high")
+    for sums, maxes in steps:
+        cold = cold.select("*", *_over(keys, order, sums, maxes, include_current))
+        warm = _in_slots(warm, keys, order, sums, maxes, include_current)
+    return cold.unionByName(warm.drop("_slot"))
+
+
+def running(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    sums: Exprs | None = None,
+    maxes: Exprs | None = None,
+    include_current: bool = True,
+    **sizes: int,
+) -> DataFrame:
+    """Add running sums and maxima per key in the order of an integer column.
+
+    ``order`` must be unique within a key.  ``include_current=False`` leaves the
+    row itself out, which turns a maximum of ``struct(order, value)`` into a lag.
+    """
+    return running_steps(df, keys, order, [(sums or {}, maxes or {})], include_current, **sizes)
 
 
 def number_rows(df: DataFrame, keys: list[str], order: str, name: str = "rn", **sizes: int) -> DataFrame:

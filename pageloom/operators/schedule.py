@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import response as R
-from pageloom.operators.running import number_rows, running
+from pageloom.operators.running import number_rows, running_steps
 
 
 def earliest_offsets(urls: DataFrame, delay_ms: Column, order: str = "seq", **sizes: int) -> DataFrame:
@@ -52,18 +52,13 @@ def domain_blocks(attempts: DataFrame, max_backoff: int = 600, **sizes: int) ->
     """
     failed = (F.col("status") == 429) | R.is_retryable("status")
     # A success resets the count: subtract the failures seen up to the last success.
-    counted = running(
+    seen = {"_failures": F.col("_failed")}
+    at_success = {"_base": F.when(F.col("_failed") == 0, F.col("_failures"))}
+    based = running_steps(
         attempts.withColumn("_failed", failed.cast("long")),
         ["domain"],
         "seq",
-        sums={"_failures": F.col("_failed")},
-        **sizes,
-    )
-    based = running(
-        counted,
-        ["domain"],
-        "seq",
-        maxes={"_base": F.when(F.col("_failed") == 0, F.col("_failures"))},
+        [(seen, {}), ({}, at_success)],
         **sizes,
     )
     in_row = F.col("_failures") - F.coalesce(F.col("_base"), F.lit(0))

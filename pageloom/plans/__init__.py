@@ -12,6 +12,7 @@ _AREAS = (
     "extract_queries",
     "stream_queries",
     "analysis_queries",
+    "relational_queries",
 )
 
 

@@ -12,7 +12,7 @@ from pageloom.functions.columns import unpack
 from pageloom.functions.htmlpath import htmlpath
 from pageloom.operators import pages as P
 from pageloom.operators import quality as Q
-from pageloom.operators.running import previous_value
+from pageloom.operators.running import lookup, previous_value
 from pageloom.plans import documents as DOC
 from pageloom.plans.registry import query
 from pageloom.sources.tables import table
@@ -57,7 +57,7 @@ def price_change(spark: SparkSession, sf: str) -> DataFrame:
     """Last two checks per page by two partial aggregates, without a window."""
     log = price_log(spark, sf)
     current = log.groupBy("page").agg(F.max("seq").alias("last_seq"), F.max_by("cents", "seq").alias("current_cents"))
-    earlier = log.join(current.select("page", "last_seq"), "page").filter("seq < last_seq")
+    earlier = lookup(log, current.select("page", "last_seq"), "page", "inner").filter("seq < last_seq")
     previous = earlier.groupBy("page").agg(F.max_by("cents", "seq").alias("previous_cents"))
     change = F.col("current_cents") - F.col("previous_cents")
     return (
