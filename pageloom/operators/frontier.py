@@ -25,11 +25,12 @@ def follow(
     """
     if skip_nofollow:
         edges = edges.filter(~F.col("nofollow"))
-    edges = edges.select("src_url", "dst_url").distinct()
+    edges = edges.select("src_url", "dst_url")
     if expandable is not None:
         edges = edges.join(expandable.select(F.col("url").alias("src_url")), "src_url", "left_semi")
     if max_depth > 2:
-        edges = cut_lineage(edges)
+        # Laid out by source once, so that no depth shuffles the edges again.
+        edges = cut_lineage(edges.repartition("src_url"))
     seen = seeds.select("url").filter("url <> ''").distinct().withColumn("depth", F.lit(1))
     newest = seen
     for depth in range(2, max_depth + 1):

@@ -120,9 +120,12 @@ def previous_value(
 def lookup(df: DataFrame, small: DataFrame, on: str, how: str = "left", salts: int = 16) -> DataFrame:
     """Join rows to a table with one narrow row per key, spreading hot keys.
 
-    The lookup side is repeated once per salt, so no key is tied to one task.
+    The lookup side is repeated once per salt, so no key is tied to one task.  The
+    salt mixes in the number of the input split: copies of one row spread as well,
+    and a task that runs again deals its rows out as before.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    mixed = F.xxhash64(F.spark_partition_id(), *df.columns)
+    salted = df.withColumn("_salt", F.pmod(mixed, F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
