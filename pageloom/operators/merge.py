@@ -116,12 +116,12 @@ def merge(
         known = known & F.col(key).isNotNull()
 
     source = source.withColumn("_s", F.lit(True))
-    keyed = one_row_per_key(source.filter(known), on, order_by)
-    # A NULL key equals nothing, so such source rows can only be inserted.
-    s = keyed.unionByName(source.filter(~known)).alias("s")
     t = target.withColumn("_t", F.lit(True)).alias("t")
-    equal = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]
-    joined = t.join(s, equal, "full")
+    # The aggregate below is laid out by the join keys, so the join shuffles the source no more.
+    s = one_row_per_key(source.filter(known), on, order_by).alias("s")
+    joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on], "full")
+    # A NULL key equals nothing, so such source rows can only be inserted.
+    loose = source.filter(~known).alias("s").join(t.filter(F.lit(False)), F.lit(False), "left")
 
     in_both = F.col("t._t").isNotNull() & F.col("s._s").isNotNull()
     state = {
@@ -136,7 +136,6 @@ def merge(
         if clause.condition is not None:
             holds = holds & F.coalesce(_column(clause.condition), F.lit(False))
         choice = F.when(holds, number).otherwise(choice)
-    chosen = joined.withColumn("_clause", choice)
 
     def value_of(name: str, clause: Clause) -> Column:
         current = F.col(f"t.{name}")
@@ -170,13 +169,19 @@ def merge(
                 value = F.when(F.col("_clause") == number, new).otherwise(value)
         columns.append(value.alias(name))
 
+    def decided(*extra: Column) -> DataFrame:
+        outcome = [*columns, action.alias("_action"), *extra]
+        return (
+            joined.withColumn("_clause", choice)
+            .select(*outcome)
+            .unionByName(loose.withColumn("_clause", choice).select(*outcome))
+        )
+
     if limit is None:
-        return Merge(target.columns, chosen.select(*columns, action.alias("_action")))
+        return Merge(target.columns, decided())
 
     # The first ``limit`` changes in source order; later ones leave the target as it was.
-    tagged = chosen.select(
-        *columns,
-        action.alias("_action"),
+    tagged = decided(
         F.struct(*[F.col(f"t.{c}").alias(c) for c in target.columns]).alias("_old"),
         F.col("t._t").isNotNull().alias("_had"),
         F.col(f"s.{order_by}").alias("_order"),

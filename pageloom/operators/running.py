@@ -13,8 +13,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageloom.session import cut_lineage
+
 HOT_ROWS = 2_000_000
 SLOTS = 1024
+# Up to this many hot keys are broadcast; more take a shuffled join.
+BROADCAST_KEYS = 100_000
 
 
 Exprs = Mapping[str, Column]
@@ -38,6 +42,22 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order
     return counted.filter(F.col("_n") > hot_rows).drop("_n")
 
 
+def found_hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None
+) -> DataFrame | None:
+    """The hot keys, counted ahead of the main work; None if there are none.
+
+    The counting reads the keys only.  Knowing their number, the usual case without
+    hot keys needs no second path, and a short list is broadcast, so that telling
+    the keys apart does not itself gather the rows of a hot key.
+    """
+    hot = cut_lineage(hot_keys(df, keys, hot_rows, order))
+    number = hot.count()
+    if number == 0:
+        return None
+    return F.broadcast(hot) if number <= BROADCAST_KEYS else hot
+
+
 def _in_slots(rows: DataFrame, keys: list[str], order: str, sums: Exprs, maxes: Exprs, current: bool) -> DataFrame:
     """One step of running values over rows that carry a ``_slot``."""
     local = rows.select("*", *_over([*keys, "_slot"], order, sums, maxes, current))
@@ -76,12 +96,15 @@ def running_steps(
     The keys are told apart once.  Cold keys take plain windows, which share one
     shuffle; hot keys take the slots of their own order range.
     """
-    hot = hot_keys(df, keys, hot_rows, order)
-    cold = df.join(hot, keys, "left_anti")
+    hot = found_hot_keys(df, keys, hot_rows, order)
+    cold = df if hot is None else df.join(hot, keys, "left_anti")
+    for sums, maxes in steps:
+        cold = cold.select("*", *_over(keys, order, sums, maxes, include_current))
+    if hot is None:
+        return cold
     slot = F.width_bucket(F.col(order).cast("double"), "_low", "_high", F.lit(slots))
     warm = df.join(hot, keys).withColumn("_slot", slot).drop("_low", "_high")
     for sums, maxes in steps:
-        cold = cold.select("*", *_over(keys, order, sums, maxes, include_current))
         warm = _in_slots(warm, keys, order, sums, maxes, include_current)
     return cold.unionByName(warm.drop("_slot"))
 
@@ -138,7 +161,9 @@ def join_hot(
     Only the rows of keys that are hot on the left are repeated on the right; all
     other keys take the plain join.
     """
-    hot = hot_keys(left, [on], hot_rows)
+    hot = found_hot_keys(left, [on], hot_rows)
+    if hot is None:
+        return left.join(right, on, "left")
     plain = left.join(hot, on, "left_anti").join(right, on, "left")
     copies = right.join(hot, on, "left_semi")
     return plain.unionByName(lookup(left.join(hot, on, "left_semi"), copies, on, "left", salts))
