@@ -89,6 +89,11 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
             F.trim(attribute_text(t, "href")).alias("href"), attribute_text(t, "rel").rlike("(?i)nofollow").alias("nofollow")
         ),
     )
+    return followable(pages, keep, base, read)
+
+
+def followable(pages: DataFrame, keep: list[str], base: str, read: Column) -> DataFrame:
+    """Resolved http(s) links of an array of ``struct(href, nofollow)`` per page."""
     # Both go below the explode: beside it they would be worked out once per link.
     prepared = pages.select(*keep, U.base_parts(base).alias("_base"), read.alias("_tags"))
     tags = unpack(prepared, [*keep, "_base"], F.col("_tags"), "pos", "_a")

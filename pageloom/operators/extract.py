@@ -214,6 +214,21 @@ def each_element(
     )
 
 
+def selected_links(
+    pages: DataFrame, keep: Sequence[str], selector: str = "a[href]", base: str = "url", html: str = "html"
+) -> DataFrame:
+    """Links of the elements a selector picks; see :func:`pageloom.functions.tags.links`."""
+    parsed = pages.withColumn("_dom", D.parse(html))
+    read = F.transform(
+        D.select("_dom", selector),
+        lambda n: F.struct(
+            F.trim(F.coalesce(D.attr(n, "href"), F.lit(""))).alias("href"),
+            F.coalesce(F.contains(F.lower(D.attr(n, "rel")), F.lit("nofollow")), F.lit(False)).alias("nofollow"),
+        ),
+    )
+    return T.followable(parsed, [*keep], base, read)
+
+
 def page_struct(
     body: str, content_type: str, dom: str, parts: Sequence[str] = ("js", "opengraph", "schema", "readability")
 ) -> Column:

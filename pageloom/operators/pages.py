@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.functions import response as R
+from pageloom.functions import tags as T
+from pageloom.operators.frontier import first_results, follow
 from pageloom.operators.running import join_hot
 from pageloom.operators.snapshot import unseen
 
@@ -48,3 +51,38 @@ def lookup_each(rows: DataFrame, store: DataFrame, **sizes: int) -> DataFrame:
     pages = _page_columns(found, keep, store)
     missing = rows.filter("url is null").withColumn("error", F.lit("NULL URL"))
     return pages.unionByName(missing, allowMissingColumns=True)
+
+
+def crawl(
+    seeds: DataFrame,
+    store: DataFrame,
+    max_depth: int = 1,
+    selector: str | None = None,
+    max_results: int | None = None,
+    state: DataFrame | None = None,
+    skip_nofollow: bool = False,
+) -> DataFrame:
+    """Page rows of the seeds and of what they link to, with the depth of each URL.
+
+    Links are followed from successful pages with a body only, without a limit to
+    their host.  The store is read once for the links of all depths and once for
+    the pages; ``selector`` picks the link elements, otherwise every ``a`` counts.
+    """
+    from pageloom.operators.extract import selected_links
+
+    readable = store.filter(R.is_success("status") & (F.length("body") > 0)).select("url", "body")
+    if max_depth > 1:
+        if selector is None:
+            found = T.links(readable, ["url"], html="body")
+        else:
+            found = selected_links(readable, ["url"], selector, html="body")
+        edges = found.select(F.col("url").alias("src_url"), F.col("link").alias("dst_url"), "nofollow")
+        reached = follow(edges, seeds, max_depth, skip_nofollow=skip_nofollow)
+    else:
+        reached = seeds.select("url").filter("url <> ''").distinct().withColumn("depth", F.lit(1))
+    if state is not None:
+        reached = unseen(reached, state)
+    if max_results is not None:
+        reached = first_results(reached, max_results)
+    joined = reached.join(store.withColumn("_hit", F.lit(True)), "url", "left")
+    return _page_columns(joined, ["depth"], store)

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import tags as T
 from pageloom.functions import url as U
+from pageloom.operators import extract as E
+from pageloom.operators import pages as P
 from pageloom.plans.registry import query
-from pageloom.sources.tables import page_table, table
+from pageloom.sources.tables import page_table, response_store, table
 
 # Independent statement of the links: every link of the test pages is quoted and
 # starts with one slash.
@@ -131,3 +133,29 @@ def robots_meta(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select(
         "page_id", T.has_nofollow("html").alias("nofollow"), T.has_noindex("html").alias("noindex")
     )
+
+
+@query(
+    "x23_selected_links",
+    """
+WITH n AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]*') AS origin,
+  unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="(/[^"]*)"', 1)) AS href FROM pages)
+SELECT page_id, origin || replace(replace(href, '&quot;', '"'), '&amp;', '&') AS link, count(*) AS times FROM n GROUP BY 1, 2""",
+)
+def selected_links(spark: SparkSession, sf: str) -> DataFrame:
+    found = E.selected_links(page_table(spark, sf), ["page_id"], "nav > ul > li a[href]")
+    return found.groupBy("page_id", "link").agg(F.count("*").alias("times"))
+
+
+@query(
+    "s01_f01_crawl_with_follow",
+    _LINKS
+    + """
+, p AS (SELECT DISTINCT url FROM pages)
+SELECT url, 1 AS depth, CAST(NULL AS VARCHAR) AS error FROM p
+UNION ALL SELECT DISTINCT link, 2, 'not_captured' FROM l WHERE link NOT IN (SELECT url FROM p)""",
+)
+def crawl_with_follow(spark: SparkSession, sf: str) -> DataFrame:
+    pages = page_table(spark, sf)
+    store = response_store(pages.dropDuplicates(["url"]))
+    return P.crawl(pages.select("url"), store, max_depth=2).select("url", "depth", "error")

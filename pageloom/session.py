@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Page bodies are large, so Python batches are kept short.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 

@@ -360,3 +360,25 @@ def test_copies_and_codes(spark):
     frame = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, None)], "id long, f string")
     assert rows(Q.mark_copies(frame.dropna(), "id", "f")) == [(1, "x", 2, False), (2, "y", 1, False), (3, "x", 2, True)]
     assert rows(Q.same_code(frame, "id", "f").select("id", "entity")) == [(1, 1), (2, 2), (3, 1), (4, 4)]
+
+
+def test_crawl_follows_successful_pages(spark):
+    store = spark.createDataFrame(
+        [
+            ("https://e/a", 200, "text/html", '<nav><a href="/b">b</a></nav><a href="/c">c</a>', "", 1),
+            ("https://e/b", 200, "text/html", '<a href="/d">d</a><a rel=nofollow href="/n">n</a>', "", 1),
+            ("https://e/c", 404, "text/html", '<a href="/x">x</a>', "", 1),
+        ],
+        "url string, status int, content_type string, body string, error string, response_time_ms long",
+    )
+    seeds = spark.createDataFrame([("https://e/a",)], "url string")
+
+    def depths(**options):
+        return {r.url[-1]: r.depth for r in P.crawl(seeds, store, **options).collect()}
+
+    assert depths() == {"a": 1}
+    assert depths(max_depth=3) == {"a": 1, "b": 2, "c": 2, "d": 3, "n": 3}
+    assert depths(max_depth=3, selector="nav a", skip_nofollow=False) == {"a": 1, "b": 2}
+    assert depths(max_depth=3, skip_nofollow=True) == {"a": 1, "b": 2, "c": 2, "d": 3}
+    assert depths(max_depth=3, max_results=2) == {"a": 1, "b": 2}
+    assert depths(max_depth=2, state=seeds) == {"b": 2, "c": 2}
