@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm import decontaminate as DC
+from pageloom.llm import language as L
 from pageloom.llm import mixing as MX
+from pageloom.llm import quality as QU
 from pageloom.llm import url_filter as U
+from pageloom.llm.text import held_out
+from pageloom.session import cut_lineage
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -97,3 +101,20 @@ def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return MX.mix(docs).select(
         "doc_id", "size", "source_size", "target", "taken", F.transform("draws", lambda d: d["shard"]).alias("shards")
     )
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    stats = cut_lineage(QU.document_statistics(docs))
+    trees = QU.fit_quality(stats, table(spark, sf, "labels"))
+    return QU.judged(stats, trees).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "bad_score", "kept"
+    )
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    found = L.identify(docs.select("doc_id", "text"), L.train(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous")
