@@ -9,6 +9,7 @@ from pageloom.llm import decontaminate as DC
 from pageloom.llm import language as L
 from pageloom.llm import mixing as MX
 from pageloom.llm import quality as QU
+from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
 from pageloom.llm.text import held_out
 from pageloom.session import cut_lineage
@@ -118,3 +119,16 @@ def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     found = L.identify(docs.select("doc_id", "text"), L.train(docs))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = TX.score(docs, TX.train(docs, table(spark, sf, "labels")))
+    return found.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_spans").alias("n_spans"),
+    )

@@ -119,19 +119,27 @@ def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK) ->
     return Words(start, np.flatnonzero(closing) + 1, np.searchsorted(start, offsets))
 
 
+class Hasher:
+    """64-bit hashes of any spans of a piece, by differences of one running sum."""
+
+    def __init__(self, data: np.ndarray, codes: np.ndarray = EXACT) -> None:
+        with np.errstate(over="ignore"):
+            power, self.unpower = _tables(len(data) + 1)
+            self.total = np.zeros(len(data) + 1, np.uint64)
+            np.multiply(codes[data], power[: len(data)], out=self.total[1:])
+            np.cumsum(self.total, out=self.total)
+
+    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            found = self.total[end] - self.total[start]
+            found *= self.unpower[start]
+            found += (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return mixed(found)
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, codes: np.ndarray = EXACT) -> np.ndarray:
-    """A 64-bit hash of each span that is not empty, by differences of one running sum."""
-    with np.errstate(over="ignore"):
-        power, unpower = _tables(len(data) + 1)
-        total = codes[data]
-        total *= power[: len(data)]
-        np.cumsum(total, out=total)
-        found = total[end - 1]
-        later = start > 0
-        found[later] -= total[start[later] - 1]
-        found *= unpower[start]
-        found += (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mixed(found)
+    """A hash of each span; equal bytes (after folding by ``codes``) have equal hashes."""
+    return Hasher(data, codes).spans(start, end)
 
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
