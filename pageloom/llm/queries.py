@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.llm import decontaminate as DC
 from pageloom.llm import language as L
 from pageloom.llm import mixing as MX
+from pageloom.llm import ngram_join as NG
 from pageloom.llm import quality as QU
 from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
@@ -132,3 +133,8 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("toxic_spans").alias("n_spans"),
     )
+
+
+@query("op6_ngram_jaccard_join")
+def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return NG.linked_documents(table(spark, sf, "documents").select("doc_id", "text"))
