@@ -236,7 +236,7 @@ def _spans(found: Words, p: np.ndarray, offsets: np.ndarray, limit: float) -> pa
     new = np.ones(len(hot), dtype=bool)
     new[1:] = (np.diff(hot) > 1) | (np.diff(owner) > 0)
     head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(hot)) - 1
+    tail = np.append(head, len(hot))[1:] - 1
     best = np.maximum.reduceat(p[hot], head) if len(head) else np.zeros(0)
     base = offsets[owner[head]]
     values = pa.StructArray.from_arrays(
