@@ -227,6 +227,9 @@ def block_shards(spark: SparkSession, shares: Sequence[Share], shards: int, seed
     return drawn.groupBy("rank", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("owners"))
 
 
+_DRAWS = "array<struct<pass:int,shard:int>>"
+
+
 def mix(
     docs: DataFrame,
     share: float = 1.5,
@@ -236,20 +239,21 @@ def mix(
     source: str = "source",
     id_column: str = "doc_id",
     block_words: int = 50_000,
-    shard_words: int = 2_000_000,
+    shard_words: int = 500_000,
     seed: int = 11,
+    whole_rows: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``, ``draws``.
+    """One row per row of ``docs``: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``, ``draws``, ``place``.
 
     ``draws`` lists pass and shard of each time the document is taken (at most ``most``
     times), ``taken`` is its words times their number.  Sources in code point order,
-    null last, get ``weight(rank)``.
+    null last, get ``weight(rank)``.  With ``whole_rows`` all columns of ``docs`` stay,
+    and those named like a result are replaced.
 
     A source's taken words differ from its target by less than its document at the cut
     (equal rows stand at one place and are taken together).  A null text has no words;
     empty texts are taken like others and add nothing.  Null ids and repeated rows are
-    rows of their own.  An empty table gives an empty result.  Only the id, source and
-    text columns are read, so other columns cannot clash.
+    rows of their own.  An empty table gives an empty result.
 
     Work: texts are read once for a narrow table that is kept in the shared folder;
     sources are combined before every shuffle; the join with the blocks goes by
@@ -257,34 +261,46 @@ def mix(
     Driver: one row per source, at most ``MAX_SOURCES``.
     """
     spark = docs.sparkSession
-    items = docs.select(
-        F.col(id_column).alias("id"),
-        F.col(source).alias("source"),
-        word_count(text).alias("size"),
-        place(seed, F.col(id_column), F.col(text)).alias("u"),
+    u = place(seed, F.col(id_column), F.col(text))
+    narrow = docs.select(
+        F.col(id_column).alias("id"), F.col(source).alias("source"), word_count(text).alias("size"), u.alias("u")
     )
-    items = cut_lineage(items)
-    shares = source_shares(items, share, most, weight, block_words)
+    narrow = cut_lineage(narrow)
+    shares = source_shares(narrow, share, most, weight, block_words)
     known = spark.createDataFrame(
         [(s.source, s.rank, s.size, float(s.target), s.passes, s.cut, s.blocks) for s in shares],
         "of_source string, rank int, source_size long, target double, passes int, cut long, blocks long",
     )
-    shards = max(1, math.ceil(sum(s.target for s in shares) / shard_words))
-    owners = block_shards(spark, shares, shards, seed) if shares else None
-    rows = items.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    if owners is None:
-        rows = rows.withColumn("owners", F.lit(None).cast("array<struct<pass:int,shard:int>>"))
+    own = ["size", "source_size", "target", "taken", "draws", "place"]
+    if whole_rows:
+        kept = [c for c in docs.columns if c not in own]
+        rows = docs.select(*[F.col(f"`{c}`") for c in kept], word_count(text).alias("size"), u.alias("u"))
     else:
+        kept = [id_column, source]
+        rows = narrow.select(F.col("id").alias(id_column), F.col("source").alias(source), "size", "u")
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "size", "u")
+    rows = rows.join(F.broadcast(known), F.col(f"row.`{source}`").eqNullSafe(F.col("of_source")))
+    shards = max(1, math.ceil(sum(s.target for s in shares) / shard_words))
+    if shares:
         block = F.floor(F.col("u") / float(1 << HASH_BITS) * F.col("blocks")).cast("long")
+        owners = block_shards(spark, shares, shards, seed)
         rows = rows.withColumn("block", F.least(block, F.col("blocks") - 1)).join(owners, ["rank", "block"], "left")
+    else:
+        rows = rows.withColumn("owners", F.lit(None).cast(_DRAWS))
     copies = F.col("passes") + (F.col("u") < F.col("cut")).cast("int")
-    draws = F.filter(F.coalesce("owners", F.array().cast("array<struct<pass:int,shard:int>>")), lambda d: d["pass"] < copies)
-    return rows.select(
-        F.col("id").alias(id_column),
-        F.col("source"),
-        "size",
-        "source_size",
-        "target",
-        draws.alias("draws"),
-        F.col("u").alias("_place"),
-    ).withColumn("taken", F.col("size") * F.size("draws"))
+    draws = F.filter(F.coalesce("owners", F.array().cast(_DRAWS)), lambda d: d["pass"] < copies)
+    found = rows.select("row", "size", "source_size", "target", draws.alias("draws"), F.col("u").alias("place"))
+    taken = (F.col("size") * F.size("draws")).alias("taken")
+    return found.select("row.*", "size", "source_size", "target", taken, "draws", "place")
+
+
+def shuffled_shards(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: a row of ``docs`` for each draw, with ``shard``, ``position`` in it and ``pass``.
+
+    A shard holds about ``shard_words`` words in the order of a hash of document and pass.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "position", "pass")]
+    drawn = mix(docs, whole_rows=True, **options).withColumn("draw", F.explode("draws"))
+    drawn = drawn.select(*kept, F.col("draw.shard").alias("shard"), F.col("draw.pass").alias("pass"), F.xxhash64("place", "draw.pass").alias("_order"))
+    at = F.row_number().over(Window.partitionBy("shard").orderBy("_order"))
+    return drawn.withColumn("position", at).drop("_order")

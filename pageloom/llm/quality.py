@@ -148,14 +148,18 @@ def features(stats: pd.DataFrame) -> np.ndarray:
 
 
 def fit_quality(
-    stats: DataFrame, labels: DataFrame, id_column: str = "doc_id", label: str = "quality", per_class: int = SAMPLE_PER_CLASS
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality", per_class: int = SAMPLE_PER_CLASS
 ) -> boosting.Trees | None:
-    """Trees for P(label = 0) from at most ``per_class`` labelled documents of each class (in the mean)."""
-    known = labels.filter(F.col(label).isin(0, 1)).select(F.col(id_column).alias("_id"), F.col(label).alias("_label"))
+    """Trees for P(label = 0) from at most ``per_class`` labelled documents of each class (in the mean).
+
+    None without labelled documents of both classes.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(id_column).isNotNull())
+    known = known.select(F.col(id_column).alias("_id"), F.col(label).alias("_label"))
     chosen = sample_by_class(known, "_label", F.xxhash64(F.col("_id").cast("string")), per_class).distinct()
-    rows = stats.join(F.broadcast(chosen), F.col(id_column) == F.col("_id")).select("_id", "_label", *STATISTICS)
-    sample = rows.orderBy("_id", "_label", *STATISTICS).limit(4 * per_class).toPandas()
-    if sample.empty or sample["_label"].nunique() < 2:
+    rows = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("_id")).select("_id", "_label", text)
+    sample = document_statistics(rows, text).orderBy("_id", "_label", *STATISTICS).limit(4 * per_class).toPandas()
+    if sample["_label"].nunique() < 2:
         return None
     return boosting.fit(features(sample), (sample["_label"] == 0).to_numpy(float), np.array(list(FEATURES.values())))
 

@@ -13,7 +13,6 @@ from pageloom.llm import quality as QU
 from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
 from pageloom.llm.text import held_out
-from pageloom.session import cut_lineage
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -108,9 +107,8 @@ def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    stats = cut_lineage(QU.document_statistics(docs))
-    trees = QU.fit_quality(stats, table(spark, sf, "labels"))
-    return QU.judged(stats, trees).select(
+    trees = QU.fit_quality(docs, table(spark, sf, "labels"))
+    return QU.judged(QU.document_statistics(docs), trees).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "bad_score", "kept"
     )
 
