@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm import decontaminate as DC
+from pageloom.llm import html_text as H
 from pageloom.llm import language as L
 from pageloom.llm import mixing as MX
 from pageloom.llm import ngram_join as NG
@@ -136,3 +137,9 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_ngram_jaccard_join")
 def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return NG.linked_documents(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return H.main_text(pages).select("page_id", "url", "text", "n_chars", "n_blocks")
