@@ -34,8 +34,10 @@ from pageloom.llm.counting import Flags, value_counts
 from pageloom.llm.text import FOLDED, mixed, pieces, span_hashes, window_hashes, words
 from pageloom.session import cut_lineage
 
-#: A token in the prefixes of more documents is indexed by pairs, beyond the second bound by triples.
-FREQUENT = (32, 4_096)
+#: A token at the front of more documents is indexed by pairs, beyond the second bound by triples.
+#: With a bound of 1, tokens of one document come first in the order, so that a prefix holds
+#: shared tokens only where a document has few of its own.
+FREQUENT = (1, 4_096)
 #: Frequent tokens that tasks keep at hand; with more, the bounds above rise until they fit.
 MOST_FREQUENT = 1 << 21
 #: Documents of a block; a cell verifies two blocks.
