@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 FLAG_BITS = 26
 
 
-def value_counts(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int) -> DataFrame:
+def value_counts(
+    rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int, combine: bool = False
+) -> DataFrame:
     """(value, n) of the 64-bit values that ``values`` gives for all batches, those with n >= ``least``.
 
     Values travel as byte strings, one for each range of values and batch, and each
     range is counted by one task; a range is a part of the hashes and so of even size.
+    With ``combine`` a batch sends each of its values once, with the number of times.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, (2 * parts - 1).bit_length())
@@ -27,32 +30,47 @@ def value_counts(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np
             found = list(values(batch))
             if not found:
                 continue
-            every = np.sort(np.concatenate(found))
+            every = np.concatenate(found)
+            every.sort()
+            times = None
+            if combine:
+                starts = np.flatnonzero(np.diff(every, prepend=~every[:1]))
+                times = np.diff(np.append(starts, len(every))).astype(np.int32)
+                every = every[starts]
             part = (every >> np.uint64(64 - bits)).astype(np.int64)
             edges = np.flatnonzero(np.diff(part, prepend=-1))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[edges], pa.int64()),
                     pa.array([v.tobytes() for v in np.split(every, edges[1:])] if len(edges) else [], pa.binary()),
+                    pa.array([v.tobytes() for v in np.split(times, edges[1:])] if combine else [None] * len(edges), pa.binary()),
                 ],
-                ["part", "held"],
+                ["part", "held", "times"],
             )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(b, np.uint64) for batch in batches for b in batch.column("held").to_pylist()]
+        held, many = [], []
+        for batch in batches:
+            held += [np.frombuffer(b, np.uint64) for b in batch.column("held").to_pylist()]
+            if combine:
+                many += [np.frombuffer(b, np.int32) for b in batch.column("times").to_pylist()]
         if not held:
             return
         every = np.concatenate(held)
         del held
-        every.sort()
+        if combine:
+            order = np.argsort(every)
+            every, times = every[order], np.concatenate(many)[order]
+        else:
+            every.sort()
         edges = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-        n = np.diff(np.append(edges, len(every)))
+        n = np.add.reduceat(times, edges, dtype=np.int64) if combine else np.diff(np.append(edges, len(every)))
         kept = n >= least
         found, n = every[edges[kept]].view(np.int64), n[kept]
         for low in range(0, len(n), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(found[low : low + (1 << 16)]), pa.array(n[low : low + (1 << 16)], pa.int64())], ["value", "n"])
 
-    dealt = rows.mapInArrow(deal, "part long, held binary").repartition(parts, "part")
+    dealt = rows.mapInArrow(deal, "part long, held binary, times binary").repartition(parts, "part")
     return dealt.mapInArrow(count, "value long, n long")
 
 

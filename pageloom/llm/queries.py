@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.llm import decontaminate as DC
 from pageloom.llm import html_text as H
 from pageloom.llm import language as L
+from pageloom.llm import language_model as LM
 from pageloom.llm import mixing as MX
 from pageloom.llm import ngram_join as NG
 from pageloom.llm import quality as QU
@@ -143,3 +144,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 def op1_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return H.main_text(pages).select("page_id", "url", "text", "n_chars", "n_blocks")
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = LM.score_texts(docs, F.crc32(F.col("doc_id").cast("string")) % 10 != 0)
+    return found.select(
+        "doc_id", held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
