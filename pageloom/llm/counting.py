@@ -89,7 +89,7 @@ class Flags:
         )
         table = packed.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
         bits = np.zeros(1 << FLAG_BITS - 6, np.uint64)
-        bits[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+        bits[table.column("word").to_numpy().astype(np.int64)] = table.column("bits").to_numpy().astype(np.int64).view(np.uint64)
         return cls(bits)
 
     def has(self, values: np.ndarray) -> np.ndarray:

@@ -10,8 +10,8 @@ formed inside small subclasses (hash modulo a number that grows with the length
 which keeps their number in proportion to n.
 
 Steps: count prefix tokens of all documents; index each distinct token set once; let big
-groups meet one pivot each and merge what is linked; verify what is left in cells of at
-most two blocks of a candidate cluster; join components.  Every verification counts
+groups meet one pivot each and merge what is linked; verify what is left in cells of
+two small blocks; join components.  Every verification counts
 whole token sets.  Tokens and sets are told apart by 64-bit hashes.
 """
 
@@ -22,7 +22,6 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -34,15 +33,14 @@ from pageloom.llm.counting import Flags, value_counts
 from pageloom.llm.text import FOLDED, mixed, pieces, span_hashes, window_hashes, words
 from pageloom.session import cut_lineage
 
-#: A token at the front of more documents is indexed by pairs, beyond the second bound by triples.
-#: With a bound of 1, tokens of one document come first in the order, so that a prefix holds
-#: shared tokens only where a document has few of its own.
-FREQUENT = (1, 4_096)
-#: Frequent tokens that tasks keep at hand; with more, the bounds above rise until they fit.
-MOST_FREQUENT = 1 << 21
+#: A token at the front of two or more documents is indexed by pairs, of more than this by triples.
+#: Tokens of one document come first in the order, so that a prefix holds shared tokens only
+#: where a document has few of its own.
+VERY_FREQUENT = 4_096
+#: Tokens of triples that tasks keep at hand; with more, the bound above rises until they fit.
+MOST_VERY_FREQUENT = 1 << 20
 #: Documents of a block; a cell verifies two blocks.
 BLOCK = 192
-_FLAG_BITS = 22
 
 
 @dataclass(frozen=True)
@@ -99,22 +97,21 @@ def set_digest(tokens: np.ndarray) -> int:
 
 @dataclass
 class Frequent:
-    """Frequent tokens in order, the k of each, and flags that spare most searches."""
+    """Classes of tokens: 1 if at the front of one document, else 2, or 3 for the ordered ``triples``.
 
-    tokens: np.ndarray
-    k: np.ndarray
+    ``shared`` has a fixed size.  It lets some rare tokens pass as shared, the more the
+    larger the corpus; they are then indexed by pairs like others.
+    """
 
-    def __post_init__(self) -> None:
-        self.flags = np.zeros(1 << _FLAG_BITS, dtype=bool)
-        self.flags[self.tokens >> np.uint64(64 - _FLAG_BITS)] = True
+    shared: Flags
+    triples: np.ndarray
 
     def classes(self, tokens: np.ndarray) -> np.ndarray:
-        out = np.ones(len(tokens), np.int8)
-        maybe = np.flatnonzero(self.flags[tokens >> np.uint64(64 - _FLAG_BITS)])
-        if len(maybe):
-            at = np.minimum(np.searchsorted(self.tokens, tokens[maybe]), len(self.tokens) - 1)
-            hit = self.tokens[at] == tokens[maybe]
-            out[maybe[hit]] = self.k[at[hit]]
+        out = 1 + self.shared.has(tokens).astype(np.int8)
+        maybe = np.flatnonzero(out == 2)
+        if len(maybe) and len(self.triples):
+            at = np.minimum(np.searchsorted(self.triples, tokens[maybe]), len(self.triples) - 1)
+            out[maybe[self.triples[at] == tokens[maybe]]] = 3
         return out
 
 
@@ -182,14 +179,13 @@ def frequent_tokens(docs: DataFrame, text: str, rule: Rule) -> Frequent:
         for _, sets in _sets_of([batch], text, rule.width):
             yield from (s[: 3 * (rule.lacking(len(s)) + 1) // 2 + 8] for s in sets if len(s))
 
-    often = cut_lineage(value_counts(docs.select(text), front, FREQUENT[0] + 1))
-    low, high = FREQUENT
-    while often.filter(F.col("n") > low).count() > MOST_FREQUENT:
-        low, high = 2 * low, max(high, 8 * low)
-    table = often.filter(F.col("n") > low).toArrow()
-    tokens = table.column("value").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(tokens)
-    return Frequent(tokens[order], np.where(table.column("n").to_numpy()[order] > high, 3, 2).astype(np.int8))
+    shared = cut_lineage(value_counts(docs.select(text), front, 2))
+    bound = VERY_FREQUENT
+    while shared.filter(F.col("n") > bound).count() > MOST_VERY_FREQUENT:
+        bound *= 2
+    table = shared.filter(F.col("n") > bound).select("value").toArrow()
+    triples = np.sort(table.column("value").to_numpy().astype(np.int64).view(np.uint64))
+    return Frequent(Flags.of(shared, "value"), triples)
 
 
 def indexed(docs: DataFrame, id_column: str, text: str, frequent: Frequent, rule: Rule) -> DataFrame:
@@ -220,7 +216,7 @@ def indexed(docs: DataFrame, id_column: str, text: str, frequent: Frequent, rule
 
 
 def shared_groups(index: DataFrame) -> DataFrame:
-    """(node, sig) of all signatures that several rows of ``index`` (node, sigs) have.
+    """(node, n, sig) of all signatures that several rows of ``index`` (node, n, sigs) have.
 
     Signatures are counted first; flags of fixed size then keep most single ones from
     the second shuffle, and a join drops the rest.
@@ -237,10 +233,11 @@ def shared_groups(index: DataFrame) -> DataFrame:
             sigs = batch.column("sigs")
             values = sigs.flatten().to_numpy()
             kept = flags.has(values)
-            nodes = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(sigs).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[kept]), pa.array(values[kept])], ["node", "sig"])
+            times = pc.list_value_length(sigs).to_numpy()
+            nodes, sizes = (np.repeat(batch.column(c).to_numpy(), times) for c in ("node", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (nodes, sizes, values)], ["node", "n", "sig"])
 
-    return index.mapInArrow(explode, "node long, sig long").join(shared, "sig", "left_semi")
+    return index.mapInArrow(explode, "node long, n long, sig long").join(shared, "sig", "left_semi")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, text: str, rule: Rule) -> DataFrame:
@@ -286,24 +283,30 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def cell_links(nodes: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], i: int, j: int, rule: Rule) -> list[tuple[int, int]]:
+def cell_links(nodes: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], rule: Rule) -> list[tuple[int, int]]:
     """Links between two blocks (or inside one) that join components: a forest, not all pairs."""
+    n = len(sets)
     sizes = np.array([len(s) for s in sets])
-    tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    common = np.bincount(at) >= 2
-    kept = common[at]
-    column = np.cumsum(common) - 1
-    shared = np.zeros((len(sets), len(sets)), np.float32)
-    at, owner = column[at[kept]], owner[kept]
-    for low in range(0, int(common.sum()), 4_096):
-        some = (at >= low) & (at < low + 4_096)
-        held = np.zeros((len(sets), 4_096), np.float32)
-        held[owner[some], at[some] - low] = 1
-        shared += held @ held.T
+    two = len(np.unique(blocks)) == 2
+    if n == 2:
+        both = np.sort(np.concatenate(sets))
+        shared = np.full((2, 2), (both[1:] == both[:-1]).sum())
+    else:
+        tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(n), sizes)
+        common = np.bincount(at) >= 2
+        kept = common[at]
+        at, owner = (np.cumsum(common) - 1)[at[kept]], owner[kept]
+        shared = np.zeros((n, n), np.float32)
+        wide = min(4_096, int(common.sum()))
+        for low in range(0, int(common.sum()), max(1, wide)):
+            some = (at >= low) & (at < low + wide)
+            held = np.zeros((n, wide), np.float32)
+            held[owner[some], at[some] - low] = 1
+            shared += held @ held.T
     linked = rule.linked(shared.astype(np.int64), sizes[:, None] + sizes[None, :])
     linked &= comps[:, None] != comps[None, :]
-    if i != j:
+    if two:
         linked &= blocks[:, None] != blocks[None, :]
     root = {int(c): int(c) for c in comps}
 
@@ -322,6 +325,41 @@ def cell_links(nodes: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sets: l
     return out
 
 
+def _verified_cells(held: DataFrame, rule: Rule) -> DataFrame:
+    """``cell_links`` of every run of equal (block, other) in the sorted partitions of ``held``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(cell: pa.Table) -> list[tuple[int, int]]:
+            node, comp, side = (cell.column(c).to_numpy() for c in ("node", "comp", "side"))
+            return cell_links(node, comp, side, [np.frombuffer(t, np.uint64) for t in cell.column("tokens").to_pylist()], rule)
+
+        rest: pa.Table | None = None
+        for batch in _and_end(batches):
+            found: list[tuple[int, int]] = []
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                rest = table if rest is None else pa.concat_tables([rest, table])
+            if rest is None or not rest.num_rows:
+                continue
+            block, other = rest.column("block").to_numpy(), rest.column("other").to_numpy()
+            starts = np.flatnonzero(np.r_[True, (np.diff(block) != 0) | (np.diff(other) != 0)])
+            ends = [*starts[1:], rest.num_rows]
+            whole = len(starts) if batch is None else len(starts) - 1
+            for a, z in zip(starts[:whole], ends[:whole]):
+                found += links(rest.slice(a, z - a))
+            rest = None if batch is None else rest.slice(starts[-1])
+            if found:
+                pairs = np.array(found, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return held.mapInArrow(run, "a long, b long")
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def _with_comp(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return groups.withColumn("comp", F.col("node"))
@@ -351,38 +389,37 @@ def pivot_pairs(groups: DataFrame, labels: DataFrame | None, turn: int, least: i
 def cell_edges(groups: DataFrame, labels: DataFrame | None, sets: DataFrame, rule: Rule, block: int = BLOCK) -> DataFrame:
     """Links between the components of each open group.
 
-    Groups that share members form clusters.  A cluster is dealt into blocks; the two
-    blocks of a cell are verified together if some group has members in both.
+    Members are dealt into small blocks: by their least signature, which near copies
+    mostly share, by length (lengths of linked documents are one step apart at most), and
+    by a hash where more than ``block`` agree in both.  The two blocks of a cell are
+    verified together if a group has members in both and they do not lie in one component.
     """
     members, is_open = _open_groups(groups, labels)
-    members = cut_lineage(members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "comp"))
-    hubs = members.groupBy("sig").agg(F.min("node").alias("hub"))
-    clusters = components(members.join(hubs, "sig").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    sizes = clusters.groupBy("comp").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    dealt = clusters.join(sizes, "comp").select(
-        "node", F.col("comp").alias("cluster"), F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int").alias("block")
-    )
+    members = cut_lineage(members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "n", "comp"))
+    step = F.floor(F.log(F.col("n").cast("double")) / float(1.001 * np.log(100 / rule.percent))).cast("long")
+    family = members.groupBy("node", "comp", "n").agg(F.min("sig").alias("family")).withColumn("step", step)
+    counts = family.groupBy("family", "step").agg(F.ceil(F.count("*") / block).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
+    dealt = family.join(counts, ["family", "step"]).select("node", "comp", "step", F.xxhash64("family", "step", part).alias("block"))
     dealt = cut_lineage(dealt)
-    places = members.join(dealt, "node").select("sig", "cluster", "block").distinct()
-    other = places.select("sig", F.col("block").alias("other"))
-    cells = places.join(other, "sig").filter(F.col("block") <= F.col("other")).select("cluster", "block", "other").distinct()
+    spans = dealt.groupBy("block").agg(F.min("comp").alias("low"), F.max("comp").alias("top"))
+    places = cut_lineage(members.select("sig", "node").join(dealt.select("node", "block", "step"), "node").select("sig", "block", "step").distinct())
+    other = places.select("sig", F.col("block").alias("other"), F.col("step").alias("other_step"))
+    near = (F.col("block") <= F.col("other")) & (F.abs(F.col("step") - F.col("other_step")) <= 1)
+    cells = places.join(other, "sig").filter(near).select("block", "other").distinct()
+    right = spans.select(F.col("block").alias("other"), F.col("low").alias("other_low"), F.col("top").alias("other_top"))
+    several = F.least("low", "other_low") != F.greatest("top", "other_top")
+    cells = cells.join(spans, "block").join(right, "other").filter(several).select("block", "other")
     sides = cells.withColumn("side", F.explode(F.array_distinct(F.array("block", "other"))))
-    labelled = members.select("node", "comp").distinct()
     held = (
-        dealt.select("node", "cluster", F.col("block").alias("side"))
-        .join(labelled, "node")
-        .join(sides, ["cluster", "side"])
+        dealt.select("node", "comp", F.col("block").alias("side"))
+        .join(sides, "side")
         .join(sets, "node")
-        .select("cluster", "block", "other", "side", "node", "comp", "tokens")
+        .select("block", "other", "side", "node", "comp", "tokens")
+        .repartition("block", "other")
+        .sortWithinPartitions("block", "other")
     )
-
-    def verify(cell: pd.DataFrame) -> pd.DataFrame:
-        sets_here = [np.frombuffer(t, np.uint64) for t in cell["tokens"]]
-        i, j = int(cell["block"].iloc[0]), int(cell["other"].iloc[0])
-        links = cell_links(cell["node"].to_numpy(), cell["comp"].to_numpy(), cell["side"].to_numpy(), sets_here, i, j, rule)
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-
-    return held.groupBy("cluster", "block", "other").applyInPandas(verify, "a long, b long")
+    return _verified_cells(held, rule)
 
 
 def linked_documents(
@@ -402,7 +439,7 @@ def linked_documents(
     shuffled are 64-bit tokens of prefixes, and the sets of candidates only.  Equal sets
     are indexed once.  No group meets in one task: groups are combined by aggregates,
     big ones meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
-    in cells of at most ``2 * BLOCK`` sets.
+    in cells of about ``2 * BLOCK`` sets at most.
     """
     source = docs.select(F.col(id_column), F.col(text))
     frequent = frequent_tokens(source, text, rule)
@@ -411,7 +448,7 @@ def linked_documents(
         rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("low"), F.min("key").alias("key"))
     )
     first = rows.join(nodes.select("key"), "key", "left_semi").filter(F.size("sigs") > 0)
-    groups = cut_lineage(shared_groups(first.select("node", "sigs")))
+    groups = cut_lineage(shared_groups(first.select("node", "n", "sigs")))
     candidates = cut_lineage(groups.select("node").distinct())
     labels = None
     if not candidates.isEmpty():
