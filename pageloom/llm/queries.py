@@ -12,6 +12,7 @@ from pageloom.llm import language_model as LM
 from pageloom.llm import mixing as MX
 from pageloom.llm import ngram_join as NG
 from pageloom.llm import quality as QU
+from pageloom.llm import token_counts as TC
 from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
 from pageloom.llm.text import held_out
@@ -153,3 +154,9 @@ def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document before and after its addresses, numbers and licence lines are replaced."""
+    return TC.edited_counts(table(spark, sf, "documents").select("doc_id", "text"))

@@ -198,8 +198,6 @@ _loaded: dict[int, Tokenizer] = {}
 
 
 def _tokenizer_of(sent: Broadcast) -> Tokenizer:
-    if sent.id if hasattr(sent, "id") else False:
-        pass
     key = hash(sent.value)
     if key not in _loaded:
         _loaded[key] = Tokenizer(sent.value)
