@@ -240,14 +240,14 @@ def edited_counts(
     spark = docs.sparkSession
     ranked = spark.sparkContext.broadcast(_file_bytes(spark, vocabulary))
 
-    def run(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    def count(columns: Iterator[tuple[pd.Series, pd.Series | None]]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer_of(ranked)
-        for group in columns:
+        for texts, lists in columns:
             out = []
-            for k, body in enumerate(group[0]):
+            for k, body in enumerate(texts):
                 body = body or ""
-                if len(group) > 1:
-                    given = group[1].iloc[k]
+                if lists is not None:
+                    given = lists.iloc[k]
                     changes = [Edit(e["start"], e["end"], e["new"] or "") for e in given] if given is not None else []
                 else:
                     changes = redactions(body)
@@ -262,10 +262,16 @@ def edited_counts(
                 out.append((before, len(changes), tree.n_tokens, tree.touched, tree.text if edited else ""))
             yield pd.DataFrame(out, columns=["n_tokens", "n_edits", "n_tokens_after", "n_touched", "text_after"])
 
+    def given(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        yield from count(columns)
+
+    def found_out(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from count((texts, None) for texts in columns)
+
     own = ["n_tokens", "n_edits", "n_tokens_after", "n_touched", "text_after"]
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in (text, edits, *own)]
     shape = "n_tokens long, n_edits long, n_tokens_after long, n_touched long, text_after string"
-    found = F.pandas_udf(run, shape)(*[F.col(c) for c in (text, edits) if c])
+    found = F.pandas_udf(given, shape)(text, edits) if edits else F.pandas_udf(found_out, shape)(text)
     return docs.select(*kept, found.alias("_found")).select(*kept, *[F.col(f"_found.{c}").alias(c) for c in own[: 4 + edited]])
 
 
