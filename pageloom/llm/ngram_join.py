@@ -423,7 +423,12 @@ def cell_edges(groups: DataFrame, labels: DataFrame | None, sets: DataFrame, rul
 
 
 def linked_documents(
-    docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text: str = "text", pivot_turns: int = 3
+    docs: DataFrame,
+    rule: Rule = Rule(),
+    id_column: str = "doc_id",
+    text: str = "text",
+    pivot_turns: int = 3,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(id, ``n_shingles``, ``component_id``) for every row of ``docs``.
 
@@ -439,7 +444,7 @@ def linked_documents(
     shuffled are 64-bit tokens of prefixes, and the sets of candidates only.  Equal sets
     are indexed once.  No group meets in one task: groups are combined by aggregates,
     big ones meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
-    in cells of about ``2 * BLOCK`` sets at most.
+    in cells of about ``2 * block`` sets at most.
     """
     source = docs.select(F.col(id_column), F.col(text))
     frequent = frequent_tokens(source, text, rule)
@@ -455,13 +460,13 @@ def linked_documents(
         sets = cut_lineage(whole_sets(source, candidates, text, rule))
         edges = None
         for turn in range(pivot_turns):
-            pairs = cut_lineage(pivot_pairs(groups, labels, turn, 2 * BLOCK))
+            pairs = cut_lineage(pivot_pairs(groups, labels, turn, 2 * block))
             if pairs.isEmpty():
                 break
             found = cut_lineage(verified_pairs(pairs, sets, rule))
             edges = found if edges is None else cut_lineage(edges.union(found))
             labels = components(edges)
-        found = cut_lineage(cell_edges(groups, labels, sets, rule))
+        found = cut_lineage(cell_edges(groups, labels, sets, rule, block))
         labels = components(found if edges is None else edges.union(found))
     known = nodes.select("node", "low")
     if labels is not None:
