@@ -325,8 +325,10 @@ def cell_links(nodes: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sets: l
     return out
 
 
-def _verified_cells(held: DataFrame, rule: Rule) -> DataFrame:
-    """``cell_links`` of every run of equal (block, other) in the sorted partitions of ``held``."""
+def verified_cells(held: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``cell_links`` of every cell: whole sets meet where the cell is, one cell after another."""
+    with_sets = held.join(sets, "node").select("x", "y", "side", "node", "comp", "tokens")
+    with_sets = with_sets.repartition("x", "y").sortWithinPartitions("x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(cell: pa.Table) -> list[tuple[int, int]]:
@@ -341,8 +343,8 @@ def _verified_cells(held: DataFrame, rule: Rule) -> DataFrame:
                 rest = table if rest is None else pa.concat_tables([rest, table])
             if rest is None or not rest.num_rows:
                 continue
-            block, other = rest.column("block").to_numpy(), rest.column("other").to_numpy()
-            starts = np.flatnonzero(np.r_[True, (np.diff(block) != 0) | (np.diff(other) != 0)])
+            x, y = rest.column("x").to_numpy(), rest.column("y").to_numpy()
+            starts = np.flatnonzero(np.r_[True, (np.diff(x) != 0) | (np.diff(y) != 0)])
             ends = [*starts[1:], rest.num_rows]
             whole = len(starts) if batch is None else len(starts) - 1
             for a, z in zip(starts[:whole], ends[:whole]):
@@ -352,7 +354,7 @@ def _verified_cells(held: DataFrame, rule: Rule) -> DataFrame:
                 pairs = np.array(found, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    return held.mapInArrow(run, "a long, b long")
+    return with_sets.mapInArrow(run, "a long, b long")
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -386,40 +388,34 @@ def pivot_pairs(groups: DataFrame, labels: DataFrame | None, turn: int, least: i
     return one.select(F.col("node").alias("a"), F.col("p.pivot").alias("b"))
 
 
-def cell_edges(groups: DataFrame, labels: DataFrame | None, sets: DataFrame, rule: Rule, block: int = BLOCK) -> DataFrame:
-    """Links between the components of each open group.
+def cells(groups: DataFrame, labels: DataFrame | None, rule: Rule, block: int = BLOCK) -> DataFrame:
+    """(x, y, side, node, comp): whom to verify with whom so that no link of an open group is lost.
 
-    Members are dealt into small blocks: by their least signature, which near copies
-    mostly share, by length (lengths of linked documents are one step apart at most), and
-    by a hash where more than ``block`` agree in both.  The two blocks of a cell are
-    verified together if a group has members in both and they do not lie in one component.
+    Lengths of linked documents are one step apart at most.  Members are dealt into
+    blocks by the least node they share a group with, which near copies mostly have in
+    common, by step, and by a hash where more than ``block`` agree in both.  A cell holds
+    those members of blocks x and y that share a group across them (or inside one block),
+    unless they all lie in one component.
     """
     members, is_open = _open_groups(groups, labels)
-    members = cut_lineage(members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "n", "comp"))
     step = F.floor(F.log(F.col("n").cast("double")) / float(1.001 * np.log(100 / rule.percent))).cast("long")
-    family = members.groupBy("node", "comp", "n").agg(F.min("sig").alias("family")).withColumn("step", step)
+    members = members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "comp", step.alias("step"))
+    members = cut_lineage(members)
+    met = members.withColumn("slot", F.explode(F.array("step", F.col("step") + 1)))
+    hubs = met.groupBy("sig", "slot").agg(F.min("node").alias("hub"))
+    family = met.join(hubs, ["sig", "slot"]).groupBy("node", "step").agg(F.min("hub").alias("family"))
     counts = family.groupBy("family", "step").agg(F.ceil(F.count("*") / block).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
-    dealt = family.join(counts, ["family", "step"]).select("node", "comp", "step", F.xxhash64("family", "step", part).alias("block"))
-    dealt = cut_lineage(dealt)
-    spans = dealt.groupBy("block").agg(F.min("comp").alias("low"), F.max("comp").alias("top"))
-    places = cut_lineage(members.select("sig", "node").join(dealt.select("node", "block", "step"), "node").select("sig", "block", "step").distinct())
-    other = places.select("sig", F.col("block").alias("other"), F.col("step").alias("other_step"))
-    near = (F.col("block") <= F.col("other")) & (F.abs(F.col("step") - F.col("other_step")) <= 1)
-    cells = places.join(other, "sig").filter(near).select("block", "other").distinct()
-    right = spans.select(F.col("block").alias("other"), F.col("low").alias("other_low"), F.col("top").alias("other_top"))
-    several = F.least("low", "other_low") != F.greatest("top", "other_top")
-    cells = cells.join(spans, "block").join(right, "other").filter(several).select("block", "other")
-    sides = cells.withColumn("side", F.explode(F.array_distinct(F.array("block", "other"))))
-    held = (
-        dealt.select("node", "comp", F.col("block").alias("side"))
-        .join(sides, "side")
-        .join(sets, "node")
-        .select("block", "other", "side", "node", "comp", "tokens")
-        .repartition("block", "other")
-        .sortWithinPartitions("block", "other")
-    )
-    return _verified_cells(held, rule)
+    dealt = family.join(counts, ["family", "step"]).select("node", F.xxhash64("family", "step", part).alias("block"))
+    placed = cut_lineage(members.join(dealt, "node"))
+    others = placed.select("sig", F.col("block").alias("other"), F.col("step").alias("other_step")).distinct()
+    near = placed.join(others, "sig").filter(F.abs(F.col("step") - F.col("other_step")) <= 1)
+    held = near.select(
+        F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("side"), "node", "comp"
+    ).distinct()
+    held = cut_lineage(held)
+    mixed_cells = held.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).filter("low <> top")
+    return cut_lineage(held.join(mixed_cells.select("x", "y"), ["x", "y"], "left_semi"))
 
 
 def linked_documents(
@@ -441,9 +437,9 @@ def linked_documents(
     table gives an empty result.  Other columns are not read.
 
     Work: texts are read three times (front tokens, index, sets of candidates); what is
-    shuffled are 64-bit tokens of prefixes, and the sets of candidates only.  Equal sets
+    shuffled are 64-bit tokens of prefixes, and the sets of candidates (twice).  Equal sets
     are indexed once.  No group meets in one task: groups are combined by aggregates,
-    big ones meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
+    big ones (``2 * block`` members or more) meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
     in cells of about ``2 * block`` sets at most.
     """
     source = docs.select(F.col(id_column), F.col(text))
@@ -454,19 +450,21 @@ def linked_documents(
     )
     first = rows.join(nodes.select("key"), "key", "left_semi").filter(F.size("sigs") > 0)
     groups = cut_lineage(shared_groups(first.select("node", "n", "sigs")))
-    candidates = cut_lineage(groups.select("node").distinct())
-    labels = None
-    if not candidates.isEmpty():
-        sets = cut_lineage(whole_sets(source, candidates, text, rule))
-        edges = None
+    edges, labels = None, None
+    big = groups.groupBy("sig").agg(F.count("*").alias("size")).filter(F.col("size") >= 2 * block).select("sig")
+    big_nodes = cut_lineage(groups.join(big, "sig", "left_semi").select("node").distinct())
+    if not big_nodes.isEmpty():
+        sets = cut_lineage(whole_sets(source, big_nodes, text, rule))
         for turn in range(pivot_turns):
             pairs = cut_lineage(pivot_pairs(groups, labels, turn, 2 * block))
             if pairs.isEmpty():
                 break
-            found = cut_lineage(verified_pairs(pairs, sets, rule))
-            edges = found if edges is None else cut_lineage(edges.union(found))
+            found = verified_pairs(pairs, sets, rule)
+            edges = cut_lineage(found if edges is None else edges.union(found))
             labels = components(edges)
-        found = cut_lineage(cell_edges(groups, labels, sets, rule, block))
+    held = cells(groups, labels, rule, block)
+    if not held.isEmpty():
+        found = verified_cells(held, whole_sets(source, held.select("node").distinct(), text, rule), rule)
         labels = components(found if edges is None else edges.union(found))
     known = nodes.select("node", "low")
     if labels is not None:
