@@ -166,9 +166,9 @@ def encoded(docs: DataFrame, vocab: Vocabulary, text: str) -> DataFrame:
                 rare_first = np.concatenate([[0], np.cumsum(~table)])[found.first].astype(np.int32)
                 arrays = [
                     pa.array(found.counts + 1, pa.int64()),
-                    pa.array(np.bincount(owner, table, n).astype(np.int64) + (vocab.ends > 0)),
-                    pa.array(np.bincount(owner, logs, n) + end_log),
-                    pa.array(np.bincount(owner, inside, n)),
+                    pa.array(np.bincount(owner, table, n).astype(np.int64) + (vocab.ends > 0), pa.int64()),
+                    pa.array(np.bincount(owner, logs, n) + end_log, pa.float64()),
+                    pa.array(np.bincount(owner, inside, n), pa.float64()),
                     pa.array([raw[a:z] for a, z in zip(cuts[:-1], cuts[1:])], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(rare_first), pa.array(values[~table].view(np.int64))),
                 ]
@@ -341,7 +341,7 @@ def scored(texts: DataFrame, model: LogBilinear) -> DataFrame:
                 logs = model.log_probabilities(codes, contexts(codes, first)) / np.log(10)
                 owner = np.repeat(np.arange(rows.num_rows), np.diff(first))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(f.name) for f in kept] + [pa.array(np.bincount(owner, logs, rows.num_rows))],
+                    [rows.column(f.name) for f in kept] + [pa.array(np.bincount(owner, logs, rows.num_rows), pa.float64())],
                     [*(f.name for f in kept), "log_model"],
                 )
 
