@@ -9,6 +9,7 @@ becomes null in an array.
 from __future__ import annotations
 
 import json
+import math
 import re
 
 import pyarrow as pa
@@ -43,13 +44,22 @@ _SHORT = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f", "v": "\v", "0":
 _ASSIGN = re.compile(r"(?:(var|let|const)\s+)?(window\s*\.\s*)?([A-Za-z_$][\w$]*)\s*=(?![=>])")
 _SKIPPED = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|`(?:[^`\\]|\\.)*`|/\*.*?\*/|//[^\n]*|[{}()\[\];\n]", re.S)
 _MISSING = object()
+_MOST_DIGITS = 4_000
+
+
+def _read_value(text: str, at: int) -> tuple[object, int]:
+    """:func:`read_literal`; a literal that is nested too deeply is dropped like an unsupported one."""
+    try:
+        return read_literal(text, at)
+    except RecursionError:
+        return _MISSING, _end_of_value(text, at)
 
 
 def _unescape(body: str) -> str:
     def mark(found: re.Match) -> str:
         code = found[1] or found[2] or found[3]
         if code:
-            return chr(int(code, 16))
+            return chr(int(code, 16)) if int(code, 16) < 0x110000 else "\ufffd"
         return "" if found[4] else _SHORT.get(found[5], found[5])
 
     joined = _ESCAPE.sub(mark, body) if "\\" in body else body
@@ -90,7 +100,14 @@ def read_literal(text: str, at: int) -> tuple[object, int]:
     if found:
         digits = found[0].replace(" ", "")
         sign, digits = (-1, digits[1:].strip()) if digits.startswith("-") else (1, digits)
-        value = int(digits, 16) if digits[:2] in ("0x", "0X") else float(digits)
+        if digits[:2] in ("0x", "0X"):
+            return sign * int(digits, 16), found.end()
+        if digits.isdigit():
+            # Within the digits that Python converts, integers stay exact.
+            return (sign * int(digits) if len(digits) <= _MOST_DIGITS else _MISSING), found.end()
+        value = float(digits)
+        if not math.isfinite(value):
+            return _MISSING, found.end()
         return sign * (int(value) if value == int(value) else value), found.end()
     found = _PARSE.match(text, at)
     if found:
@@ -99,7 +116,7 @@ def read_literal(text: str, at: int) -> tuple[object, int]:
         if isinstance(value, str) and text[after : after + 1] == ")":
             try:
                 return json.loads(value), after + 1
-            except ValueError:
+            except (ValueError, RecursionError):
                 pass
         return _MISSING, _end_of_value(text, at)
     if text[at : at + 1] == "[":
@@ -177,7 +194,7 @@ def assignments(source: str, window: bool = False) -> list[tuple[str, object]]:
         if start:
             declared = start[1]
             while start:
-                value, after = read_literal(source, start.end())
+                value, after = _read_value(source, start.end())
                 after = _SPACE.match(source, after).end()
                 ended = after >= len(source) or source[after] in ",;}" or "\n" in source[start.end() : after]
                 if value is not _MISSING and (ended or _ASSIGN.match(source, after)):
@@ -208,14 +225,18 @@ _VARIABLES = T.MapType(T.StringType(), T.StringType())
 
 
 def _json(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+    """JSON text; ValueError or RecursionError for a value that has none."""
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True, allow_nan=False)
 
 
 def _collect(script: str, into: dict[str, str], window: bool, keep_first: bool, containers: bool) -> None:
     for name, value in assignments(script, window):
         if (keep_first and name in into) or (containers and not isinstance(value, dict | list)):
             continue
-        into[name] = _json(value)
+        try:
+            into[name] = _json(value)
+        except (ValueError, RecursionError):
+            continue
 
 
 def _per_page(scripts: pa.Array, window: bool, keep_first: bool, containers: bool) -> pa.Array:
@@ -255,7 +276,7 @@ def _per_script(scripts: pa.Array) -> pa.Array:
 
 def script_texts(html: ColumnOrName) -> Column:
     """Bodies of plain scripts (no type, or text/javascript), in page order."""
-    clean = F.regexp_replace(col(html), r"(?s)<!--.*?-->", "")
+    clean = F.regexp_replace(col(html), r"(?s)<!--.*?(?:-->|\z)", "")
     pattern = (
         r"(?is)<script(?:(?![^>]*\stype\s*=)|(?=[^>]*\stype\s*=\s*[\"']?text/javascript[\"'\s>]))[^>]*>(.*?)</script"
     )
@@ -284,7 +305,7 @@ def hydration(html: ColumnOrName) -> Column:
 
     A script element with the name as id comes before an assignment.
     """
-    clean = F.regexp_replace(col(html), r"(?s)<!--.*?-->", "")
+    clean = F.regexp_replace(col(html), r"(?s)<!--.*?(?:-->|\z)", "")
 
     def by_id(name: str) -> Column:
         pattern = rf"(?is)<script[^>]*\sid\s*=\s*[\"']?{name}[\"'\s>][^<]*?>?\s*([\[{{].*?)\s*</script"
@@ -345,10 +366,10 @@ def _items(scripts: pa.Array, strict: bool) -> pa.Array:
             if not strict:
                 body = _TRAILING_COMMA.sub(r"\1", _COMMENT.sub(r"\1", body))
             try:
-                value = json.loads(body)
-            except ValueError:
+                found += [{"key": k, "value": _json(v)} for k, v in typed_objects(json.loads(body), strict)]
+            except (ValueError, RecursionError):
+                # No JSON, or nested beyond what can be read: the script gives nothing.
                 continue
-            found.extend({"key": k, "value": _json(v)} for k, v in typed_objects(value, strict))
         rows.append(found)
     kind = pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
     return pa.array(rows, kind)

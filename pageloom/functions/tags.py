@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from pageloom.functions import url as U
 from pageloom.functions.columns import ColumnOrName, col, first_of, last_wins, let, unpack
 
-LINK_TAG = r"a(?:\s[^>]*)?>"
-META_TAG = r"meta\s[^>]*>"
-HEAD_LINK_TAG = r"link\s[^>]*>"
-# Comments and the bodies of scripts and styles, after the opening angle bracket.
-_NOISE = r"!--.*?-->|script\b[^>]*>.*?</script|style\b[^>]*>.*?</style"
+# Attributes up to the end of the tag: a quoted ">" does not end it, an unpaired quote does
+# not hide the tag, and an unclosed tag takes the rest of the page, so that it is read once.
+_ATTRIBUTES = r"""(?:[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+(?=>|\z)|[^>]*+)(?:>|\z)"""
+LINK_TAG = rf"a(?:\s{_ATTRIBUTES}|>)"
+META_TAG = rf"meta\s{_ATTRIBUTES}"
+HEAD_LINK_TAG = rf"link\s{_ATTRIBUTES}"
+# Comments and the bodies of scripts and styles, after the opening angle bracket.  Unclosed
+# ones take the rest of the page, so that no start is looked at twice.
+_NOISE = r"!--.*?(?:-->|\z)|(?:script|style)\b[^>]*+(?:>.*?(?:</(?:script|style)|\z)|\z)"
 # Link targets that are not pages.
 SKIPPED_TARGET = r"^(?i:javascript:|mailto:|tel:|data:|#)"
 
@@ -27,6 +31,13 @@ ENTITIES = (
     ("&quot;", '"'),
     ("&#39;", "'"),
     ("&#x27;", "'"),
+    ("&#34;", '"'),
+    ("&#38;", "&"),
+    ("&#x26;", "&"),
+    ("&#47;", "/"),
+    ("&#x2F;", "/"),
+    ("&#61;", "="),
+    ("&#63;", "?"),
     ("&apos;", "'"),
     ("&nbsp;", " "),
     ("&copy;", "©"),
@@ -37,16 +48,17 @@ ENTITIES = (
 
 def without_noise(html: ColumnOrName) -> Column:
     """HTML without comments and without the bodies of scripts and styles."""
-    text = F.regexp_replace(col(html), r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?is)(<script\b[^>]*>).*?</script", "$1</script")
-    return F.regexp_replace(text, r"(?is)(<style\b[^>]*>).*?</style", "$1</style")
+    text = F.regexp_replace(col(html), r"(?s)<!--.*?(?:-->|\z)", "")
+    text = F.regexp_replace(text, r"(?is)(<script\b[^>]*+(?:>|\z)).*?(?:</script|\z)", "$1</script")
+    return F.regexp_replace(text, r"(?is)(<style\b[^>]*+(?:>|\z)).*?(?:</style|\z)", "$1</style")
 
 
 def decode_entities(text: ColumnOrName) -> Column:
-    decoded = col(text)
+    text = col(text)
+    decoded = text
     for entity, mark in ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(mark))
-    return decoded
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
 def attribute_text(tag: ColumnOrName, name: str) -> Column:
@@ -69,7 +81,7 @@ def all_tags(html: ColumnOrName, pattern: str) -> Column:
     Comments, scripts and styles are skipped in the same pass over the page.
     """
     found = F.regexp_extract_all(col(html), F.lit(f"<(?is:{_NOISE}|({pattern}))"), F.lit(1))
-    return F.filter(found, lambda t: t != "")
+    return F.filter(found, lambda t: F.endswith(t, F.lit(">")))
 
 
 def tag_rows(pages: DataFrame, pattern: str, keep: list[str], html: str = "html") -> DataFrame:
@@ -82,14 +94,26 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
 
     Duplicates and fragments are kept; only http(s) targets remain.
     """
-    # Attributes are read inside the array, so the filters below do not read them again.
-    read = F.transform(
+    return followable(pages, keep, base, _link_attributes(html))
+
+
+def _link_attributes(html: ColumnOrName) -> Column:
+    """``struct(href, nofollow)`` of every link tag; read inside the array, so later filters do not read it again."""
+    return F.transform(
         all_tags(html, LINK_TAG),
         lambda t: F.struct(
-            F.trim(attribute_text(t, "href")).alias("href"), attribute_text(t, "rel").rlike("(?i)nofollow").alias("nofollow")
+            F.trim(decode_entities(attribute_text(t, "href"))).alias("href"),
+            attribute_text(t, "rel").rlike("(?i)nofollow").alias("nofollow"),
         ),
     )
-    return followable(pages, keep, base, read)
+
+
+def _is_followable(href: Column, base: Column) -> Column:
+    """Whether a link leads to an http(s) page; the scheme is judged where it stands, ahead of resolving."""
+    is_web = F.when(U.has_own_scheme(href), href.rlike("^(?i:https?)://")).otherwise(
+        base["scheme"].rlike("^(?i:https?):$") & (base["origin"] != "")
+    )
+    return (href != "") & ~href.rlike(SKIPPED_TARGET) & is_web
 
 
 def followable(pages: DataFrame, keep: list[str], base: str, read: Column) -> DataFrame:
@@ -97,37 +121,33 @@ def followable(pages: DataFrame, keep: list[str], base: str, read: Column) -> Da
     # Both go below the explode: beside it they would be worked out once per link.
     prepared = pages.select(*keep, U.base_parts(base).alias("_base"), read.alias("_tags"))
     tags = unpack(prepared, [*keep, "_base"], F.col("_tags"), "pos", "_a")
-    hrefs = tags.select(*keep, "_base", "pos", "_a.href", "_a.nofollow").filter(
-        (F.col("href") != "") & ~F.col("href").rlike(SKIPPED_TARGET)
-    )
-    # The scheme is judged where it stands, so no link is resolved just to be dropped.
-    own_scheme = F.contains("href", F.lit("://"))
-    is_web = F.when(own_scheme, F.col("href").rlike("^(?i:https?)://")).otherwise(
-        F.col("_base.scheme").rlike("^(?i:https?):$") & (F.col("_base.origin") != "")
-    )
+    hrefs = tags.select(*keep, "_base", "pos", "_a.href", "_a.nofollow")
     link = U.resolve_at(F.col("_base"), F.col("href"))
-    return hrefs.filter(is_web).select(*keep, "pos", link.alias("link"), "nofollow")
+    return hrefs.filter(_is_followable(F.col("href"), F.col("_base"))).select(*keep, "pos", link.alias("link"), "nofollow")
 
 
 def distinct_links(
     pages: DataFrame, keep: list[str], base: str = "url", html: str = "html"
 ) -> DataFrame:
-    """Links without fragments, once per page; the first occurrence sets nofollow.
+    """Links without fragments, once per row of ``pages``; the first occurrence sets nofollow.
 
-    Position and flag share one integer, so duplicates collapse before the shuffle.
+    A page is one row, so its duplicates collapse inside the array and nothing is shuffled.
     """
-    found = links(pages, keep, base, html).withColumn("link", U.without_fragment("link"))
-    first = F.min(F.col("pos").cast("long") * 2 + F.col("nofollow").cast("long"))
-    return (
-        found.groupBy(*keep, "link")
-        .agg(first.alias("packed"))
-        .select(
-            *keep,
-            "link",
-            F.floor(F.col("packed") / 2).cast("int").alias("pos"),
-            (F.col("packed") % 2 == 1).alias("nofollow"),
-        )
+    prepared = pages.select(*keep, U.base_parts(base).alias("_base"), _link_attributes(html).alias("_tags"))
+    placed = F.transform("_tags", lambda t, i: F.struct(t["href"].alias("href"), i.alias("pos"), t["nofollow"].alias("nofollow")))
+    good = F.filter(placed, lambda t: _is_followable(t["href"], F.col("_base")))
+    resolved = F.transform(
+        good,
+        lambda t: F.struct(
+            U.without_fragment(U.resolve_at(F.col("_base"), t["href"])).alias("link"), t["pos"].alias("pos"), t["nofollow"].alias("nofollow")
+        ),
+    )
+    first = let(
+        F.array_sort(resolved),
+        lambda rows: F.filter(rows, lambda r, i: F.coalesce(F.get(rows, i - 1)["link"] != r["link"], F.lit(True))),
     )
+    found = unpack(prepared.select(*keep, first.alias("_links")), keep, F.col("_links"), "_at", "_l")
+    return found.select(*keep, "_l.link", "_l.pos", "_l.nofollow")
 
 
 def canonical(html: ColumnOrName, base: ColumnOrName) -> Column:
@@ -224,5 +244,5 @@ def scripts_of_type(html: ColumnOrName, media_type: str) -> Column:
     escaped = media_type.replace("+", r"\+").replace(".", r"\.")
     pattern = rf"(?is)<script\b[^>]*?\stype\s*=\s*[\"']?{escaped}[\"']?(?:\s[^>]*)?>(.*?)</script"
     return F.regexp_extract_all(
-        F.regexp_replace(col(html), r"(?s)<!--.*?-->", ""), F.lit(pattern), F.lit(1)
+        F.regexp_replace(col(html), r"(?s)<!--.*?(?:-->|\z)", ""), F.lit(pattern), F.lit(1)
     )

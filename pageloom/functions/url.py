@@ -116,42 +116,81 @@ def fold_dots(full_path: ColumnOrName) -> Column:
     return F.when(full_path.rlike(r"//|/\.{1,2}(/|$)"), folded).otherwise(full_path)
 
 
+_OWN_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+
+
+def has_own_scheme(href: ColumnOrName) -> Column:
+    """Whether a link names its scheme itself; ``://`` further on, as in a query, does not count."""
+    return col(href).rlike(_OWN_SCHEME)
+
+
+def without_dots(full_path: ColumnOrName) -> Column:
+    """Remove ``.`` and ``..`` segments of an absolute path as the URL standard does; empty segments stay."""
+    full_path = col(full_path)
+    kept = F.aggregate(
+        F.split(F.substring(full_path, 2, 1 << 30), "/"),
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.array_append(done, part)),
+    )
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    open_end = full_path.rlike(r"/\.{1,2}$") & (joined != "/")
+    folded = F.when(open_end, F.concat(joined, F.lit("/"))).otherwise(joined)
+    return F.when(full_path.rlike(r"/\.{1,2}(/|$)"), folded).otherwise(full_path)
+
+
 def base_parts(base: ColumnOrName) -> Column:
-    """``struct(scheme, origin, folder)`` of a page URL, for :func:`resolve_at`.
+    """``struct(scheme, origin, folder, page)`` of a page URL, for :func:`resolve_at`.
 
     Worked out once per page, however many links the page has.
     """
     base = col(base)
-    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/]*)", 1)
-    base_path = F.regexp_extract(base, r"(?s)^.*?://[^/]*(/[^?#]*)", 1)
+    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    base_path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
     folder = F.regexp_replace(base_path, r"[^/]*$", "")
     return F.struct(
         F.when(_has_scheme(base), F.substring_index(base, "//", 1)).otherwise("https:").alias("scheme"),
         origin.alias("origin"),
         F.when(folder == "", "/").otherwise(folder).alias("folder"),
+        F.when(base_path == "", "/").otherwise(base_path).alias("page"),
     )
 
 
-def resolve_at(base: Column, href: Column) -> Column:
+def resolve_at(base: Column, href: Column, standard: bool = True) -> Column:
     """:func:`resolve` for a trimmed link and the parts of its page URL."""
+    if not standard:
+        return (
+            F.when(href == "", "")
+            .when(_has_scheme(href), href)
+            .when(F.startswith(href, F.lit("//")), F.concat(base["scheme"], href))
+            .when(base["origin"] == "", "")
+            .when(F.startswith(href, F.lit("/")), F.concat(base["origin"], href))
+            .otherwise(F.concat(base["origin"], fold_dots(F.concat(base["folder"], href))))
+        )
+    link_path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    tail = F.regexp_extract(href, r"(?s)^[^?#]*(.*)$", 1)
+    whole = F.when(F.startswith(link_path, F.lit("/")), link_path).otherwise(F.concat(base["folder"], link_path))
     return (
         F.when(href == "", "")
-        .when(_has_scheme(href), href)
+        .when(has_own_scheme(href), href)
         .when(F.startswith(href, F.lit("//")), F.concat(base["scheme"], href))
         .when(base["origin"] == "", "")
-        .when(F.startswith(href, F.lit("/")), F.concat(base["origin"], href))
-        .otherwise(F.concat(base["origin"], fold_dots(F.concat(base["folder"], href))))
+        .when(link_path == "", F.concat(base["origin"], base["page"], tail))
+        .otherwise(F.concat(base["origin"], without_dots(whole), tail))
     )
 
 
-def resolve(base: ColumnOrName, href: ColumnOrName) -> Column:
+def resolve(base: ColumnOrName, href: ColumnOrName, standard: bool = True) -> Column:
     """Absolute URL of a link found on ``base``; an empty string if there is none.
 
-    A ``?query`` link drops the file name of the base, and an absolute path is
-    taken as it is.
+    The standard rule removes dot segments of every path, keeps the file name of the
+    base for a ``?query`` or ``#fragment`` link, and takes a scheme only at the front.
+    The other rule drops that file name, folds empty segments too, takes an absolute
+    path as it is, and a ``://`` anywhere for a scheme.
     """
     parts = F.struct(base_parts(base).alias("base"), strip(col(href)).alias("href"))
-    return let(parts, lambda p: resolve_at(p["base"], p["href"]))
+    return let(parts, lambda p: resolve_at(p["base"], p["href"], standard))
 
 
 def without_fragment(url: ColumnOrName) -> Column:

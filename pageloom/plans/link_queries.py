@@ -43,6 +43,34 @@ def distinct_links(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_ANCHORS = """
+WITH b AS (SELECT page_id, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS o,
+  regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) AS p FROM pages)
+SELECT page_id, CAST(k AS INTEGER) AS pos, link, k % 2 = 1 AS nofollow FROM (SELECT page_id, unnest([0, 1, 2, 3, 4, 7]) AS k, unnest([
+  o || '/x?a=1&b=' || page_id, o || '/login?next=https://other.example/' || page_id, o || '/gt',
+  o || '/up/', o || p || '?p=2', 'https://other.example/' || page_id || '?q=''"']) AS link FROM b)"""
+
+
+def anchor_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The captured pages behind anchors with known targets, skipped ones among them."""
+    page = F.col("page_id").cast("string")
+    anchors = F.concat(
+        F.lit('<a href="/x?a=1&amp;b='), page, F.lit('">1</a><a rel=nofollow href="/login?next=https://other.example/'), page,
+        F.lit("\">2</a><!-- <a href='/no'> --><a title=\"a > b\" href=\"/gt\">3</a><a rel='x nofollow' href='/up/y/..'>4</a>"),
+        F.lit('<a href="?p=2">5</a><a href="mailto:a@b.example">6</a><a href="#top">7</a><A REL="NOFOLLOW" HREF=" https://other.example/'),
+        page, F.lit('?q=&#39;&quot; ">8</A><script>var a = \'<a href="/no">\';</script><a name=x><a href="/x?a=1&#38;b='),
+        page, F.lit('#again">9</a><style>never closed <a href="/no">'),
+    )
+    return page_table(spark, sf).withColumn("html", F.concat(F.lit("<body>"), anchors))
+
+
+@query("x23_known_anchors", _ANCHORS)
+def known_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities, schemes inside queries, quoted brackets, dot segments; repeated links count once."""
+    pages = anchor_pages(spark, sf).withColumn("url", F.regexp_replace("url", "[?#].*$", ""))
+    return T.distinct_links(pages, ["page_id"], base="url").select("page_id", "pos", "link", "nofollow")
+
+
 @query(
     "flagship_links_per_host",
     _LINKS

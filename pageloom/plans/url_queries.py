@@ -189,6 +189,37 @@ def resolve(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit(" https://other.example/"), page, F.lit(" ")),
         F.lit(""),
     )
+    return (
+        table(spark, sf, "pages")
+        .select("page_id", "url", F.posexplode(hrefs).alias("k", "href"))
+        .select("page_id", "k", U.resolve("url", "href", standard=False).alias("link"))
+    )
+
+
+_STANDARD = """
+WITH b AS (SELECT page_id, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS o,
+  regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) AS p, regexp_extract(url, '^(.*?:)//', 1) AS s FROM pages)
+SELECT page_id, CAST(k AS INTEGER) AS k, link FROM (SELECT page_id, unnest(range(9)) AS k, unnest([
+  o || regexp_replace(p, '[^/]*$', '') || 'p' || page_id || '.html', o || '/x', o || '/a/', o || '/b//c?d=../e',
+  o || p || '?page=' || page_id, o || p || '#top', o || '/login?next=https://other.example/',
+  s || '//cdn.example/' || page_id, 'mailto:a@b.example']) AS link FROM b)"""
+
+
+@query("u09_resolve_standard", _STANDARD)
+def resolve_standard(spark: SparkSession, sf: str) -> DataFrame:
+    """Links with known targets by the URL standard."""
+    page = F.col("page_id").cast("string")
+    hrefs = F.array(
+        F.concat(F.lit("p"), page, F.lit(".html")),
+        F.lit("/abs/../x"),
+        F.lit("/a/b/./.."),
+        F.lit("/../b//c?d=../e"),
+        F.concat(F.lit(" ?page="), page),
+        F.lit("#top"),
+        F.lit("/login?next=https://other.example/"),
+        F.concat(F.lit("//cdn.example/"), page),
+        F.lit("mailto:a@b.example"),
+    )
     return (
         table(spark, sf, "pages")
         .select("page_id", "url", F.posexplode(hrefs).alias("k", "href"))

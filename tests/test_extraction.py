@@ -246,3 +246,51 @@ def test_normalised_urls(value):
     }
     for given, expected in cases.items():
         assert value("", lambda u=given: U.normalise(F.lit(u))) == expected
+
+
+def test_unclosed_openers_are_read_once(spark):
+    """A page of unclosed openers takes time in proportion to its length."""
+    import time
+
+    openers = ["<!-- x ", "<script>", "<script ", "<style>", '<a "', "<a href=", "<meta '"]
+    pages = spark.createDataFrame([(k, "http://e.example/", o * (300_000 // len(o))) for k, o in enumerate(openers)], "id int, url string, html string")
+    T.distinct_links(pages.limit(1), ["id"]).count()
+    start = time.perf_counter()
+    assert T.distinct_links(pages, ["id"]).count() == 0
+    pages.select(T.without_noise("html").alias("t"), T.meta_tags("html").alias("m"), T.title("html").alias("h")).collect()
+    assert time.perf_counter() - start < 20
+
+
+def test_links_on_odd_anchors(spark):
+    html = (
+        '<a href="/x?a=1&amp;b=2">1</a><a href="/login?next=https://e.com/x">2</a><a title="a > b" href="/gt">3</a>'
+        '<a href="/a/../b?p=../c">4</a><a href="?p=2">5</a><a href="ftp://e.com/">6</a><a href=\'//cdn.example/"q"\'>7</a><a href="/cut'
+    )
+    page = spark.createDataFrame([(1, "https://h.example/d/f?old=1#z", html)], "id int, url string, html string")
+    found = [r.link for r in T.links(page, ["id"]).orderBy("pos").collect()]
+    assert found == [
+        "https://h.example/x?a=1&b=2",
+        "https://h.example/login?next=https://e.com/x",
+        "https://h.example/gt",
+        "https://h.example/b?p=../c",
+        "https://h.example/d/f?p=2",
+        'https://cdn.example/"q"',
+    ]
+    assert "Exchange" not in T.distinct_links(page, ["id"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_odd_scripts_only_lose_their_value(spark):
+    deep = "[" * 3_000
+    scripts = [
+        f"<script>var a = {deep}; var b = 1;</script>",
+        "<script>var a = 1e999; var b = 12345678901234567890;</script>",
+        "<script>var a = '\\u{110000}x'; var b = -0x10;</script>",
+        f"<script>var a = {'[' * 900}{']' * 900}; var b = 2.5e3</script>",
+        f'<script type="application/ld+json">{deep}</script><script type="application/ld+json">{{"@type": "Thing", "n": 1e999}}</script>'
+        '<script type="application/ld+json">{"@type": "Thing", "n": 2}</script><script>var b = 3</script>',
+    ]
+    pages = spark.createDataFrame(list(enumerate(scripts)), "id int, html string")
+    rows = pages.select("id", S.variables("html").alias("v"), S.jsonld("html").alias("j")).orderBy("id").collect()
+    assert [r.v.get("b") for r in rows] == [None, "12345678901234567890", "-16", "2500", "3"]
+    assert rows[1].v.get("a") is None and rows[2].v["a"] == '"�x"'
+    assert "Thing" in str(rows[4].j) and '"n":2' in str(rows[4].j)
