@@ -9,16 +9,19 @@ the same as that of the plain window.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, VariantType
 
 from pageloom.session import cut_lineage
 
 HOT_ROWS = 2_000_000
-SLOTS = 1024
-# Up to this many hot keys are broadcast; more take a shuffled join.
-BROADCAST_KEYS = 100_000
+SLOTS = 256
+# Hot keys and their slot bounds of up to so many bytes are broadcast; more take a shuffled join.
+BROADCAST_BYTES = 8 << 20
 
 
 Exprs = Mapping[str, Column]
@@ -32,30 +35,46 @@ def _over(keys: Sequence[str], order: str, sums: Exprs, maxes: Exprs, current: b
     ]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None, slots: int = SLOTS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, so at most rows / ``hot_rows`` of them.
 
-    With ``order`` also the range of that column within each key.
+    With ``order`` also the bounds that cut the key into ``slots`` runs of like size.
     """
-    span = [F.min(order).cast("double").alias("_low"), (F.max(order) + 1).cast("double").alias("_high")] if order else []
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *span)
+    cuts = [F.percentile_approx(order, [k / slots for k in range(1, slots)], 40 * slots).alias("_cuts")] if order else []
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *cuts)
     return counted.filter(F.col("_n") > hot_rows).drop("_n")
 
 
 def found_hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None, slots: int = SLOTS
 ) -> DataFrame | None:
     """The hot keys, counted ahead of the main work; None if there are none.
 
-    The counting reads the keys only.  Knowing their number, the usual case without
-    hot keys needs no second path, and a short list is broadcast, so that telling
-    the keys apart does not itself gather the rows of a hot key.
+    The counting reads the keys only.  Knowing their size, the usual case without hot
+    keys needs no second path, and a short list is broadcast, so that telling the keys
+    apart does not itself gather the rows of a hot key.
     """
-    hot = cut_lineage(hot_keys(df, keys, hot_rows, order))
-    number = hot.count()
-    if number == 0:
+    hot = cut_lineage(hot_keys(df, keys, hot_rows, None))
+    if hot.isEmpty():
         return None
-    return F.broadcast(hot) if number <= BROADCAST_KEYS else hot
+    if order:
+        # Only the rows of hot keys are looked at for their bounds.
+        rows = df.select(*keys, order).join(hot.select(*[F.col(k).alias(f"_{k}") for k in keys]), _same(df, keys), "left_semi")
+        hot = cut_lineage(hot_keys(rows, keys, hot_rows, order, slots))
+    size = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 16 for k in keys), F.lit(8 * slots if order else 0))
+    total = hot.select(F.sum(size)).first()[0]
+    return F.broadcast(hot) if total <= BROADCAST_BYTES else hot
+
+
+def _same(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys of ``df`` and of a table that has them behind an underscore; null equals null."""
+    return reduce(and_, [df[k].eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+
+def _joined(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join by keys that may be null; the columns of ``df``, and those of ``other`` but the keys."""
+    right = other.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return df.join(right, _same(df, keys), how).drop(*[f"_{k}" for k in keys])
 
 
 def _in_slots(rows: DataFrame, keys: list[str], order: str, sums: Exprs, maxes: Exprs, current: bool) -> DataFrame:
@@ -79,7 +98,7 @@ def _in_slots(rows: DataFrame, keys: list[str], order: str, sums: Exprs, maxes:
         return F.coalesce(here + carry, here, carry).alias(name)
 
     names = [*sums, *maxes]
-    return local.join(carried, [*keys, "_slot"]).select(*rows.columns, *[combined(n) for n in names])
+    return _joined(local, carried, [*keys, "_slot"], "inner").select(*rows.columns, *[combined(n) for n in names])
 
 
 def running_steps(
@@ -96,14 +115,15 @@ def running_steps(
     The keys are told apart once.  Cold keys take plain windows, which share one
     shuffle; hot keys take the slots of their own order range.
     """
-    hot = found_hot_keys(df, keys, hot_rows, order)
-    cold = df if hot is None else df.join(hot, keys, "left_anti")
+    hot = found_hot_keys(df, keys, hot_rows, order, slots)
+    cold = df if hot is None else _joined(df, hot, keys, "left_anti")
     for sums, maxes in steps:
         cold = cold.select("*", *_over(keys, order, sums, maxes, include_current))
     if hot is None:
         return cold
-    slot = F.width_bucket(F.col(order).cast("double"), "_low", "_high", F.lit(slots))
-    warm = df.join(hot, keys).withColumn("_slot", slot).drop("_low", "_high")
+    # Rows without an order value come first, as in a plain window.
+    slot = F.when(F.col(order).isNull(), 0).otherwise(1 + F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c < F.col(order))))
+    warm = _joined(df, hot, keys, "inner").withColumn("_slot", slot).drop("_cuts")
     for sums, maxes in steps:
         warm = _in_slots(warm, keys, order, sums, maxes, include_current)
     return cold.unionByName(warm.drop("_slot"))
@@ -140,19 +160,36 @@ def previous_value(
     return marked.select(*df.columns, F.col("_prev.v").alias(name))
 
 
-def lookup(df: DataFrame, small: DataFrame, on: str, how: str = "left", salts: int = 16) -> DataFrame:
-    """Join rows to a table with one narrow row per key, spreading hot keys.
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
+
+
+def _spread(df: DataFrame, small: DataFrame, on: str, how: str, salts: int) -> DataFrame:
+    """Join where the lookup side is repeated once per salt, so no key is tied to one task.
 
-    The lookup side is repeated once per salt, so no key is tied to one task.  The
-    salt mixes in the number of the input split: copies of one row spread as well,
-    and a task that runs again deals its rows out as before.
+    The salt mixes plain columns with the number of the input split: copies of one row
+    spread as well, and a task that runs again deals its rows out as before.
     """
-    mixed = F.xxhash64(F.spark_partition_id(), *df.columns)
+    mixed = F.xxhash64(F.spark_partition_id(), *_hashable(df))
     salted = df.withColumn("_salt", F.pmod(mixed, F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
+def lookup(df: DataFrame, small: DataFrame, on: str, how: str = "left", hot_rows: int = HOT_ROWS, salts: int = 64) -> DataFrame:
+    """Left or inner join to a table with one row per key, narrow or wide.
+
+    Only rows of keys that are hot in ``df`` are repeated on the right; all other keys,
+    and rows without a key, take the plain join.
+    """
+    hot = found_hot_keys(df.filter(F.col(on).isNotNull()), [on], hot_rows)
+    if hot is None:
+        return df.join(small, on, how)
+    plain = df.join(hot, on, "left_anti").join(small, on, how)
+    warm = _spread(df.join(hot, on, "left_semi"), small.join(hot, on, "left_semi"), on, how, salts)
+    return plain.unionByName(warm)
+
+
 def join_hot(
     left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS, salts: int = 64
 ) -> DataFrame:
@@ -161,9 +198,4 @@ def join_hot(
     Only the rows of keys that are hot on the left are repeated on the right; all
     other keys take the plain join.
     """
-    hot = found_hot_keys(left, [on], hot_rows)
-    if hot is None:
-        return left.join(right, on, "left")
-    plain = left.join(hot, on, "left_anti").join(right, on, "left")
-    copies = right.join(hot, on, "left_semi")
-    return plain.unionByName(lookup(left.join(hot, on, "left_semi"), copies, on, "left", salts))
+    return lookup(left, right, on, "left", hot_rows, salts)

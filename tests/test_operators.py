@@ -382,3 +382,33 @@ def test_crawl_follows_successful_pages(spark):
     assert depths(max_depth=3, skip_nofollow=True) == {"a": 1, "b": 2, "c": 2, "d": 3}
     assert depths(max_depth=3, max_results=2) == {"a": 1, "b": 2}
     assert depths(max_depth=2, state=seeds) == {"b": 2, "c": 2}
+
+
+def odd_keyed(spark):
+    """Null keys, null places, one outlier, equal rows but for a map, a hot key."""
+    rows = [("hot", k, k % 7, {"n": str(k)}) for k in range(300)]
+    rows += [("hot", 10**15, 5, {}), ("hot", None, 3, None)]
+    rows += [(None, k, k % 5, {"n": "x"}) for k in range(120)] + [(None, None, 1, None)]
+    rows += [(f"k{k % 9}", k, 2, {"m": str(k)}) for k in range(90)]
+    return spark.createDataFrame(rows, "k string, seq long, v long, m map<string,string>").repartition(5, "v")
+
+
+def test_hot_and_cold_paths_agree(spark):
+    frame = odd_keyed(spark)
+    seen = lambda df: sorted(repr(tuple(r)) for r in df.collect())
+    for make in (
+        lambda n: R.running(frame, ["k"], "seq", sums={"s": F.col("v")}, maxes={"x": F.col("v")}, hot_rows=n),
+        lambda n: R.running(frame, ["k"], "seq", sums={"s": F.col("v")}, include_current=False, hot_rows=n),
+        lambda n: R.number_rows(frame, ["k"], "seq", hot_rows=n),
+        lambda n: R.previous_value(frame, ["k"], "seq", "v", "before", hot_rows=n),
+    ):
+        assert seen(make(1)) == seen(make(10**9))
+    small = spark.createDataFrame([("hot", "a", {"p": "q"}), ("k1", "b", None), (None, "c", None)], "k string, name string, extra map<string,string>")
+    for how in ("left", "inner"):
+        assert seen(R.lookup(frame, small, "k", how, hot_rows=20, salts=4)) == seen(R.lookup(frame, small, "k", how, hot_rows=10**9))
+
+
+def test_slots_follow_the_rows(spark):
+    frame = spark.createDataFrame([("a", k) for k in range(2_000)] + [("a", 10**15)], "k string, seq long")
+    cuts = R.hot_keys(frame, ["k"], 10, "seq", 8).first()["_cuts"]
+    assert len(cuts) == 7 and cuts == sorted(cuts) and all(abs(c - 250 * (k + 1)) < 30 for k, c in enumerate(cuts))
