@@ -37,9 +37,9 @@ def is_retryable(status: ColumnOrName) -> Column:
 
 
 def retry_after_ms(header: ColumnOrName) -> Column:
-    """Whole seconds of a Retry-After header in milliseconds, 0 if it has none."""
-    seconds = F.regexp_extract(F.coalesce(col(header), F.lit("")), r"^\s*([+-]?[0-9]{1,9})", 1)
-    return F.coalesce(seconds.try_cast("long"), F.lit(0)) * 1000
+    """Whole seconds of a Retry-After header in milliseconds, 0 if it has none or too many."""
+    seconds = F.regexp_extract(F.coalesce(col(header), F.lit("")), r"^\s*([+-]?[0-9]+)", 1)
+    return F.coalesce(F.try_multiply(seconds.try_cast("long"), F.lit(1000)), F.lit(0).cast("long"))
 
 
 def is_html(content_type: ColumnOrName, body: ColumnOrName) -> Column:

@@ -282,18 +282,18 @@ def discover(html: str) -> Column:
     return F.concat(F.lit("{"), F.array_join(kept, ","), F.lit("}"))
 
 
-# Texts worth knowing about when a new site is looked at.
+#: Texts worth counting when a new site is looked at; a caller may give others.
 PATTERNS = {
-    "bundle_count": r"([0-9]+)\s*kpl",
-    "price_euro": r"([0-9]+[,.][0-9]{2})\s*€",
-    "price_dollar": r"\$([0-9]+[,.][0-9]{2})",
-    "date_pattern": r"([0-9]{1,2}\.[0-9]{1,2}\.[0-9]{2,4})",
-    "weight_g": r"([0-9]+)\s*g(?:\s|<|\")",
-    "weight_kg": r"([0-9]+[,.][0-9]+)\s*kg",
+    "clock_time": r"\b[0-2]?[0-9]:[0-5][0-9]\b",
+    "currency_amount": r"[€$£]\s?[0-9][0-9.,]*|[0-9][0-9.,]*\s?[€£]",
+    "ean_code": r"\b[0-9]{13}\b",
+    "iso_date": r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b",
+    "mail_address": r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[a-z]+",
+    "percentage": r"[0-9]+\s?%",
 }
 
 
-def discovery_report(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+def discovery_report(pages: DataFrame, key: str, html: str = "html", patterns: Mapping[str, str] = PATTERNS) -> DataFrame:
     """Rows ``(key, section, name, n)``: types, og properties, data attributes, patterns.
 
     The counts of a page are made inside its row, in one pass and without a shuffle.
@@ -315,7 +315,7 @@ def discovery_report(pages: DataFrame, key: str, html: str = "html") -> DataFram
     graph = F.transform(F.map_keys(T.open_graph(html)), lambda k: entry("opengraph", k, F.lit(1)))
     data = tally("data_attribute", F.regexp_extract_all(html, F.lit(r"\sdata-([a-z0-9-]+)="), F.lit(1)))
     hits = F.filter(
-        F.array(*[entry("pattern", F.lit(n), F.regexp_count(html, F.lit(p))) for n, p in PATTERNS.items()]),
+        F.array(*[entry("pattern", F.lit(n), F.regexp_count(html, F.lit(p))) for n, p in patterns.items()]),
         lambda e: e["n"] > 0,
     )
     found = unpack(pages, [key], F.concat(types, graph, data, hits), "i", "e")

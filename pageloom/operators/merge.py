@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.operators.running import total_order
+
 Expr = Column | str
 UPDATE, DELETE, INSERT = "update", "delete", "insert"
 MATCHED, NEW, GONE = "matched", "not_matched", "not_matched_by_source"
@@ -85,7 +87,7 @@ def one_row_per_key(source: DataFrame, on: Sequence[str], order_by: str | None)
     """
     row = F.struct(*[F.col(c) for c in source.columns])
     if order_by:
-        picked = F.max_by(row, F.col(order_by))
+        picked = F.max_by(row, total_order(source, order_by))
     else:
         text = F.concat(F.lit("merge source repeats a key: "), F.to_json(F.struct(*on)))
         picked = F.when(F.count("*") > 1, F.raise_error(text)).otherwise(F.any_value(row))

@@ -14,8 +14,8 @@ from pageloom.functions import url as U
 from pageloom.functions.columns import let
 from pageloom.operators.running import lookup
 
-# Lines of one section can be told apart and stay ordered below this number.
-_SECTION_SPAN = 1_000_000
+# Sections come before lines; no text has so many lines, so all lines stay in order.
+_SECTION_SPAN = 1 << 32
 # An agent line that names an agent opens a section.
 _AGENT_LINE = r"(?im)^[ \t]*user-agent:(?=[ \t]*[^\s])"
 _FIRST_LINE = r"^[ \t]*([^\r\n]*?)[ \t\r]*(?:\n|$)"

@@ -164,6 +164,11 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType) and not isinstance(f.dataType, VariantType)]
 
 
+def total_order(df: DataFrame, column: str) -> Column:
+    """The column, and a hash of the row's plain columns where it is equal: the same choice on every run."""
+    return F.struct(F.col(column), F.xxhash64(*_hashable(df)))
+
+
 def _spread(df: DataFrame, small: DataFrame, on: str, how: str, salts: int) -> DataFrame:
     """Join where the lookup side is repeated once per salt, so no key is tied to one task.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions.columns import ColumnOrName, col
+from pageloom.operators.running import total_order
 
 
 def fresh_entries(store: DataFrame, as_of: Column, ttl_hours: int = 24, stamp: str = "cached_at") -> DataFrame:
@@ -16,10 +17,10 @@ def fresh_entries(store: DataFrame, as_of: Column, ttl_hours: int = 24, stamp: s
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
-    """Old and new entries together, the latest per key wins."""
+    """Old and new entries together, the latest per key wins; of equal stamps a hash of the entry decides."""
     rows = old.unionByName(new, allowMissingColumns=True)
     entry = F.struct(*[F.col(c) for c in rows.columns])
-    latest = rows.groupBy(*keys).agg(F.max_by(entry, F.col(stamp)).alias("_row"))
+    latest = rows.groupBy(*keys).agg(F.max_by(entry, total_order(rows, stamp)).alias("_row"))
     return latest.select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns])
 
 

@@ -358,7 +358,8 @@ def near_names(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "n07_other_transforms",
     """
-SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, 4.5::DOUBLE AS rating, 'a, b & c' AS clean, 'x, y' AS joined,
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, (o_orderkey % 5 + 0.5)::DOUBLE AS rating,
+  o_orderkey || ', b & ' || o_orderpriority AS clean, o_orderstatus || ', ' || o_orderkey AS joined,
   (o_orderkey % 2 = 0) AS flag FROM orders""",
 )
 def other_transforms(spark: SparkSession, sf: str) -> DataFrame:
@@ -371,9 +372,9 @@ def other_transforms(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         "o_orderkey",
         F.date_format(FL.parse_date(spelled), "yyyy-MM-dd").alias("day"),
-        FL.extract_number(F.lit("Rating: 4,5/5")).alias("rating"),
-        FL.clean_text(F.lit(" <b>a</b>,\n b &amp;  c ")).alias("clean"),
-        FL.join_array(F.array(F.lit("x"), F.lit("y"))).alias("joined"),
+        FL.extract_number(F.concat(F.lit("Rating: "), (k % 5).cast("string"), F.lit(",5/5"))).alias("rating"),
+        FL.clean_text(F.concat(F.lit(" <b>"), k.cast("string"), F.lit("</b>,\n b &amp;  "), "o_orderpriority", F.lit(" "))).alias("clean"),
+        FL.join_array(F.array("o_orderstatus", k.cast("string"))).alias("joined"),
         FL.to_boolean(F.when(k % 2 == 0, " Yes").otherwise("OFF")).alias("flag"),
     )
 

@@ -131,7 +131,7 @@ def top_pages(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "rel_string_and_array_functions",
     """
-SELECT doc_id, len(string_split(text, ' ')) AS words, left(text, 10) AS head, regexp_replace(left(text, 80), '[0-9]', '#', 'g')
+SELECT doc_id, len(string_split(text, ' ')) AS words, left(text, 10) AS head, regexp_replace(text, '[0-9]', '#', 'g')
   AS masked, printf('%d-%s', doc_id, lang) AS tag FROM documents""",
 )
 def string_functions(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,7 +139,7 @@ def string_functions(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id",
         F.size(F.split("text", " ")).cast("long").alias("words"),
         F.left("text", F.lit(10)).alias("head"),
-        F.regexp_replace(F.left("text", F.lit(80)), "[0-9]", "#").alias("masked"),
+        F.regexp_replace("text", "[0-9]", "#").alias("masked"),
         F.format_string("%d-%s", "doc_id", "lang").alias("tag"),
     )
 
