@@ -6,8 +6,9 @@ by class of frequency, by hash inside a class.  The prefix of a document grows u
 classes cover t + 1: a rare token covers one; of a class indexed by combinations of k
 tokens, m tokens cover m - (k - 1).  Whatever t tokens of the prefix the other one
 lacks, some class keeps k of them, so both hold one combination.  Combinations are
-formed inside small subclasses (hash modulo a number that grows with the length band),
-which keeps their number in proportion to n.
+formed inside small subclasses (hash modulo a number that grows with the length),
+which keeps their number in proportion to n.  Signatures of lengths that cannot be linked
+are told apart.
 
 Steps: count prefix tokens of all documents; index each distinct token set once; let big
 groups meet one pivot each and merge what is linked; verify what is left in cells of
@@ -17,6 +18,7 @@ whole token sets.  Tokens and sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -58,13 +60,14 @@ class Rule:
         """``sizes``: sum of both set sizes."""
         return 100 * shared >= self.percent * (sizes - shared)
 
-    def bands(self, n: int) -> list[int]:
-        """Length bands (powers of two) in which a document of n tokens looks for others."""
-        longest = n * 100 // self.percent
-        return list(range(n.bit_length(), longest.bit_length() + 1))
+    def step(self, n: int) -> int:
+        """Lengths on a logarithmic scale: those of linked documents are at most one step apart."""
+        return int(math.log(n) / (1.001 * math.log(100 / self.percent))) if self.percent < 100 else n
 
-    def subclasses(self, band: int) -> int:
-        return max(1, (1 << band - 1) // 16)
+    def subclasses(self, slot: int) -> int:
+        """A sixteenth of the shortest length that looks for others in a slot, so that prefixes stay short."""
+        shortest = (100 / self.percent) ** (1.001 * (slot - 1)) if self.percent < 100 else slot - 1
+        return max(1, int(shortest) // 16)
 
 
 def token_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -116,26 +119,29 @@ class Frequent:
 
 
 def signatures(tokens: np.ndarray, frequent: Frequent, rule: Rule) -> np.ndarray:
-    """The combinations a set is indexed by; none if only equal sets can be linked to it."""
+    """The combinations a set is indexed by; none if only equal sets can be linked to it.
+
+    Each is tied to a slot of lengths: a document looks in that of its own step and in
+    the next one, and so meets linked ones, and no others, of all lengths.
+    """
     n = len(tokens)
-    longest = n * 100 // rule.percent
     need = rule.lacking(n) + 1
-    if need == 1 and longest == n:
+    if need == 1 and n * 100 // rule.percent == n:
         return tokens[:0]
-    head = frequent.classes(tokens[:need])
-    if (head == 1).all():
-        return tokens[:need]
-    k = frequent.classes(tokens)
-    rare = tokens[k == 1]
-    if len(rare) >= need:
-        return rare[:need]
-    out = [rare]
-    for band in rule.bands(n):
-        out.append(_combined(tokens, k, need - len(rare), band, rule.subclasses(band)))
+    k = np.ones(n, np.int8)
+    if not (frequent.classes(tokens[:need]) == 1).all():
+        k = frequent.classes(tokens)
+    rare = tokens[k == 1][:need]
+    out = []
+    for slot in (rule.step(n), rule.step(n) + 1):
+        found = rare
+        if len(rare) < need:
+            found = np.concatenate([rare, _combined(tokens, k, need - len(rare), rule.subclasses(slot))])
+        out.append(mixed(found ^ np.uint64((slot + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1)))
     return np.unique(np.concatenate(out))
 
 
-def _combined(tokens: np.ndarray, k: np.ndarray, need: int, band: int, parts: int) -> np.ndarray:
+def _combined(tokens: np.ndarray, k: np.ndarray, need: int, parts: int) -> np.ndarray:
     """Combinations of frequent tokens until their classes cover ``need``."""
     held: dict[tuple[int, int], list[int]] = {}
     covered = 0
@@ -149,8 +155,7 @@ def _combined(tokens: np.ndarray, k: np.ndarray, need: int, band: int, parts: in
         if covered == need:
             break
     found = [combo for (size, _), group in held.items() for combo in combinations(group, size)]
-    mark = np.uint64(band * 0x632BE59BD9B4E019 & (1 << 64) - 1)
-    out = np.full(len(found), mark, np.uint64)
+    out = np.zeros(len(found), np.uint64)
     with np.errstate(over="ignore"):
         for place in range(max((len(c) for c in found), default=0)):
             part = np.array([c[place] if place < len(c) else 0 for c in found], dtype=np.uint64)
@@ -216,7 +221,7 @@ def indexed(docs: DataFrame, id_column: str, text: str, frequent: Frequent, rule
 
 
 def shared_groups(index: DataFrame) -> DataFrame:
-    """(node, n, sig) of all signatures that several rows of ``index`` (node, n, sigs) have.
+    """(node, sig) of all signatures that several rows of ``index`` (node, sigs) have.
 
     Signatures are counted first; flags of fixed size then keep most single ones from
     the second shuffle, and a join drops the rest.
@@ -233,11 +238,10 @@ def shared_groups(index: DataFrame) -> DataFrame:
             sigs = batch.column("sigs")
             values = sigs.flatten().to_numpy()
             kept = flags.has(values)
-            times = pc.list_value_length(sigs).to_numpy()
-            nodes, sizes = (np.repeat(batch.column(c).to_numpy(), times) for c in ("node", "n"))
-            yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (nodes, sizes, values)], ["node", "n", "sig"])
+            nodes = np.repeat(batch.column("node").to_numpy(), pc.list_value_length(sigs).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[kept]), pa.array(values[kept])], ["node", "sig"])
 
-    return index.mapInArrow(explode, "node long, n long, sig long").join(shared, "sig", "left_semi")
+    return index.mapInArrow(explode, "node long, sig long").join(shared, "sig", "left_semi")
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, text: str, rule: Rule) -> DataFrame:
@@ -375,47 +379,39 @@ def _open_groups(groups: DataFrame, labels: DataFrame | None) -> tuple[DataFrame
     return members, seen.filter("low <> top")
 
 
-def pivot_pairs(groups: DataFrame, labels: DataFrame | None, turn: int, least: int) -> DataFrame:
-    """Each member of a big open group with one pivot of another component."""
+def pivot_pairs(groups: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Each member of an open group with one pivot of another component."""
     members, is_open = _open_groups(groups, labels)
-    pivots = (
-        members.join(is_open.filter(F.col("size") >= least).select("sig"), "sig", "left_semi")
-        .groupBy("sig")
-        .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node").alias("pivot"), F.col("comp").alias("of"))).alias("p"))
-    )
+    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), F.col("node").alias("pivot"), F.col("comp").alias("of"))
+    pivots = members.groupBy("sig").agg(F.min(order).alias("p")).join(is_open.select("sig"), "sig", "left_semi")
     met = members.join(pivots, "sig").filter(F.col("comp") != F.col("p.of"))
     one = met.groupBy("node").agg(F.min(F.struct("p.order", "p.pivot")).alias("p"))
     return one.select(F.col("node").alias("a"), F.col("p.pivot").alias("b"))
 
 
-def cells(groups: DataFrame, labels: DataFrame | None, rule: Rule, block: int = BLOCK) -> DataFrame:
+def cells(groups: DataFrame, labels: DataFrame | None, block: int = BLOCK) -> DataFrame:
     """(x, y, side, node, comp): whom to verify with whom so that no link of an open group is lost.
 
-    Lengths of linked documents are one step apart at most.  Members are dealt into
-    blocks by the least node they share a group with, which near copies mostly have in
-    common, by step, and by a hash where more than ``block`` agree in both.  A cell holds
-    those members of blocks x and y that share a group across them (or inside one block),
-    unless they all lie in one component.
+    Members are dealt into blocks by the least node they share a group with, which near
+    copies mostly have in common, and by a hash where more than ``block`` agree in it.  A
+    cell holds those members of blocks x and y that share a group across them (or inside
+    one block), unless they all lie in one component.
     """
     members, is_open = _open_groups(groups, labels)
-    step = F.floor(F.log(F.col("n").cast("double")) / float(1.001 * np.log(100 / rule.percent))).cast("long")
-    members = members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "comp", step.alias("step"))
-    members = cut_lineage(members)
-    met = members.withColumn("slot", F.explode(F.array("step", F.col("step") + 1)))
-    hubs = met.groupBy("sig", "slot").agg(F.min("node").alias("hub"))
-    family = met.join(hubs, ["sig", "slot"]).groupBy("node", "step").agg(F.min("hub").alias("family"))
-    counts = family.groupBy("family", "step").agg(F.ceil(F.count("*") / block).alias("parts"))
+    members = cut_lineage(members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "comp"))
+    hubs = members.groupBy("sig").agg(F.min("node").alias("hub"))
+    family = members.join(hubs, "sig").groupBy("node").agg(F.min("hub").alias("family"))
+    counts = family.groupBy("family").agg(F.ceil(F.count("*") / block).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
-    dealt = family.join(counts, ["family", "step"]).select("node", F.xxhash64("family", "step", part).alias("block"))
+    dealt = family.join(counts, "family").select("node", F.xxhash64("family", part).alias("block"))
     placed = cut_lineage(members.join(dealt, "node"))
-    others = placed.select("sig", F.col("block").alias("other"), F.col("step").alias("other_step")).distinct()
-    near = placed.join(others, "sig").filter(F.abs(F.col("step") - F.col("other_step")) <= 1)
-    held = near.select(
+    others = placed.select("sig", F.col("block").alias("other")).distinct()
+    held = placed.join(others, "sig").select(
         F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("side"), "node", "comp"
-    ).distinct()
-    held = cut_lineage(held)
-    mixed_cells = held.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).filter("low <> top")
-    return cut_lineage(held.join(mixed_cells.select("x", "y"), ["x", "y"], "left_semi"))
+    )
+    held = cut_lineage(held.distinct())
+    several = held.groupBy("x", "y").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).filter("low <> top")
+    return cut_lineage(held.join(several.select("x", "y"), ["x", "y"], "left_semi"))
 
 
 def linked_documents(
@@ -423,7 +419,7 @@ def linked_documents(
     rule: Rule = Rule(),
     id_column: str = "doc_id",
     text: str = "text",
-    pivot_turns: int = 3,
+    pivot_turns: int = 2,
     block: int = BLOCK,
 ) -> DataFrame:
     """(id, ``n_shingles``, ``component_id``) for every row of ``docs``.
@@ -449,20 +445,20 @@ def linked_documents(
         rows.filter("node is not null").groupBy("node").agg(F.min("id").alias("low"), F.min("key").alias("key"))
     )
     first = rows.join(nodes.select("key"), "key", "left_semi").filter(F.size("sigs") > 0)
-    groups = cut_lineage(shared_groups(first.select("node", "n", "sigs")))
+    groups = cut_lineage(shared_groups(first.select("node", "sigs")))
     edges, labels = None, None
     big = groups.groupBy("sig").agg(F.count("*").alias("size")).filter(F.col("size") >= 2 * block).select("sig")
-    big_nodes = cut_lineage(groups.join(big, "sig", "left_semi").select("node").distinct())
-    if not big_nodes.isEmpty():
-        sets = cut_lineage(whole_sets(source, big_nodes, text, rule))
+    big_groups = cut_lineage(groups.join(big, "sig", "left_semi"))
+    if not big_groups.isEmpty():
+        sets = cut_lineage(whole_sets(source, big_groups.select("node").distinct(), text, rule))
         for turn in range(pivot_turns):
-            pairs = cut_lineage(pivot_pairs(groups, labels, turn, 2 * block))
+            pairs = cut_lineage(pivot_pairs(big_groups, labels, turn))
             if pairs.isEmpty():
                 break
             found = verified_pairs(pairs, sets, rule)
             edges = cut_lineage(found if edges is None else edges.union(found))
             labels = components(edges)
-    held = cells(groups, labels, rule, block)
+    held = cells(groups, labels, block)
     if not held.isEmpty():
         found = verified_cells(held, whole_sets(source, held.select("node").distinct(), text, rule), rule)
         labels = components(found if edges is None else edges.union(found))
