@@ -67,6 +67,8 @@ def crawl(
     Links are followed from successful pages with a body only, without a limit to
     their host.  The store is read once for the links of all depths and once for
     the pages; ``selector`` picks the link elements, otherwise every ``a`` counts.
+    URLs of ``state`` are not looked up, and links do not lead through them; a seed is
+    a place to start from even if it is known.
     """
     from pageloom.operators.extract import selected_links
 
@@ -77,6 +79,8 @@ def crawl(
         else:
             found = selected_links(readable, ["url"], selector, html="body")
         edges = found.select(F.col("url").alias("src_url"), F.col("link").alias("dst_url"), "nofollow")
+        if state is not None:
+            edges = unseen(edges, state.select(F.col("url").alias("dst_url")), "dst_url")
         reached = follow(edges, seeds, max_depth, skip_nofollow=skip_nofollow)
     else:
         reached = seeds.select("url").filter("url <> ''").distinct().withColumn("depth", F.lit(1))

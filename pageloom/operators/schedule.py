@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import response as R
 from pageloom.operators.running import number_rows, running_steps
+from pageloom.session import cut_lineage
 
 
 def earliest_offsets(urls: DataFrame, delay_ms: Column, order: str = "seq", **sizes: int) -> DataFrame:
@@ -97,8 +98,6 @@ SLOWER, SLOWER_FACTOR = 2.0, 1.5
 FASTER, FASTER_FACTOR = 0.5, 0.9
 
 _CHUNK = 4096
-# 0.8 ** 256 is far below the precision of a double.
-_WARM_UP = 256
 
 
 def step_factor(ms: float, ema: float, samples: int) -> float:
@@ -115,29 +114,32 @@ def adaptive_delays(
 ) -> DataFrame:
     """Delay of the domain after each response.
 
-    The moving average forgets: within 256 samples nothing of its start is left.
-    So a domain is cut into chunks of 4096 responses, each warmed up on the last
-    256 of the chunk before it.  A chunk acts on the delay as ``clamp(factor * d)``;
-    those are chained per domain, one row per chunk, to give every chunk its start.
+    A domain is cut into chunks of 4096 responses.  The moving average a chunk starts
+    from is a weighted sum over the whole chunk before it; what came earlier weighs
+    0.8 ** 4096 and vanishes in a double.  A chunk acts on the delay as
+    ``clamp(factor * d)``; those are chained per domain, one row per chunk, to give
+    every chunk its start.
     """
     numbered = number_rows(attempts.select("domain", "seq", "ms"), ["domain"], "seq", "rn", **sizes)
-    chunk = F.floor((F.col("rn") - 1) / _CHUNK).cast("long")
-    left = _CHUNK - ((F.col("rn") - 1) % _CHUNK)
-    spread = numbered.withColumn(
-        "chunk",
-        F.explode(F.when(left <= _WARM_UP, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))),
-    )
+    numbered = numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / _CHUNK).cast("long"))
+    behind = _CHUNK - 1 - (F.col("rn") - 1) % _CHUNK
+    weight = F.pow(F.lit(1 - EMA_WEIGHT), behind) * F.when(F.col("rn") == 1, 1.0).otherwise(EMA_WEIGHT)
+    carried = numbered.groupBy("domain", (F.col("chunk") + 1).alias("chunk")).agg(F.sum(weight * F.col("ms")).alias("carry"))
+    started = numbered.join(carried, ["domain", "chunk"], "left")
 
     def averages(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rn")
-        ema = rows["ms"].astype("float64").ewm(alpha=EMA_WEIGHT, adjust=False).mean()
-        rows = rows.assign(ema=ema)
-        rows = rows[rows["rn"] > key[1] * _CHUNK]
+        values = rows["ms"].astype("float64")
+        if key[1] > 0:
+            values = pd.concat([rows["carry"].iloc[:1], values])
+        ema = values.ewm(alpha=EMA_WEIGHT, adjust=False).mean().iloc[-len(rows) :]
+        rows = rows.assign(ema=ema.to_numpy())
         rows["factor"] = [step_factor(m, e, n) for m, e, n in zip(rows["ms"], rows["ema"], rows["rn"])]
         return rows[["domain", "seq", "ms", "rn", "chunk", "ema", "factor"]]
 
     shape = "domain string, seq long, ms long, rn long, chunk long, ema double, factor double"
-    factored = spread.groupBy("domain", "chunk").applyInPandas(averages, shape)
+    # Read by three steps below, worked out once.
+    factored = cut_lineage(started.groupBy("domain", "chunk").applyInPandas(averages, shape))
 
     def effects(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         scale, bottom, top = 1.0, 0.0, float("inf")

@@ -114,25 +114,30 @@ _DELAYS = "domain string, seq long, ms long, ema double, delay double"
 def adaptive_delay_stream(
     attempts: DataFrame, start: float = 1.0, low: float = 0.5, high: float = 60.0
 ) -> DataFrame:
-    """Adaptive delay of each domain in arrival order; the state is three numbers per domain."""
+    """Adaptive delay of each domain; the state is three numbers per domain.
+
+    The rows of a micro-batch are put in the order of ``seq``, however its files hold
+    them; micro-batches count in the order of their arrival.  A domain's rows of one
+    micro-batch meet in one task, so the trigger should bound the files it takes.
+    """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         samples, ema, delay = state.get if state.exists else (0, 0.0, start)
-        for rows in batches:
-            rows = rows.sort_values("seq")
-            emas, delays = [], []
-            for ms in rows["ms"]:
-                samples += 1
-                ema = float(ms) if samples == 1 else SC.EMA_WEIGHT * ms + (1 - SC.EMA_WEIGHT) * ema
-                factor = SC.step_factor(ms, ema, samples)
-                if factor > 1:
-                    delay = min(delay * factor, high)
-                elif factor < 1:
-                    delay = max(delay * factor, low)
-                emas.append(ema)
-                delays.append(delay)
-            yield rows.assign(ema=emas, delay=delays)[["domain", "seq", "ms", "ema", "delay"]]
+        # A group comes in pieces that are not ordered among themselves.
+        rows = pd.concat(list(batches)).sort_values("seq")
+        emas, delays = [], []
+        for ms in rows["ms"]:
+            samples += 1
+            ema = float(ms) if samples == 1 else SC.EMA_WEIGHT * ms + (1 - SC.EMA_WEIGHT) * ema
+            factor = SC.step_factor(ms, ema, samples)
+            if factor > 1:
+                delay = min(delay * factor, high)
+            elif factor < 1:
+                delay = max(delay * factor, low)
+            emas.append(ema)
+            delays.append(delay)
         state.update((samples, ema, delay))
+        yield rows.assign(ema=emas, delay=delays)[["domain", "seq", "ms", "ema", "delay"]]
 
     return attempts.select("domain", "seq", "ms").groupBy("domain").applyInPandasWithState(
         update, _DELAYS, _STATE, "append", GroupStateTimeout.NoTimeout

@@ -412,3 +412,34 @@ def test_slots_follow_the_rows(spark):
     frame = spark.createDataFrame([("a", k) for k in range(2_000)] + [("a", 10**15)], "k string, seq long")
     cuts = R.hot_keys(frame, ["k"], 10, "seq", 8).first()["_cuts"]
     assert len(cuts) == 7 and cuts == sorted(cuts) and all(abs(c - 250 * (k + 1)) < 30 for k, c in enumerate(cuts))
+
+
+def test_stream_of_delays_takes_shuffled_rows(spark, tmp_path):
+    """Many Arrow pieces of one domain, in files whose rows lie in no order."""
+    chance = random.Random(9)
+    data = [("d", i, chance.choice([100, 1000, 10])) for i in range(3_000)]
+    mixed = data.copy()
+    chance.shuffle(mixed)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    frame = spark.createDataFrame(mixed, "domain string, seq long, ms long")
+    frame.repartition(5).write.parquet(source)
+    stream = ST.stream_files(spark, source, frame.schema, 100)
+    ST.append_available(ST.adaptive_delay_stream(stream), out, str(tmp_path / "state"))
+    got = spark.read.parquet(out).orderBy("seq").collect()
+    wanted = SC.folded_delays([ms for _, _, ms in data], 1.0, 0.5, 60.0)
+    assert [r.delay for r in got] == pytest.approx(wanted)
+    batch = SC.adaptive_delays(frame, hot_rows=500).orderBy("seq").collect()
+    assert [r.delay for r in batch] == pytest.approx(wanted)
+
+
+def test_crawl_does_not_go_through_known_urls(spark):
+    page = lambda target: f'<a href="https://h.example/{target}">x</a>'
+    store = spark.createDataFrame(
+        [(f"https://h.example/{u}", 200, "text/html", page(t), None, 5) for u, t in (("a", "b"), ("b", "c"), ("c", "d"), ("e", "c"))],
+        "url string, status int, content_type string, body string, error string, response_time_ms long",
+    )
+    seeds = spark.createDataFrame([("https://h.example/a",)], "url string")
+    state = spark.createDataFrame([("https://h.example/b",)], "url string")
+    found = lambda **how: sorted((r.url[-1], r.depth) for r in P.crawl(seeds, store, 4, **how).collect())
+    assert found() == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert found(state=state) == [("a", 1)]
