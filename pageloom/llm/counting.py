@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -80,6 +81,13 @@ class Flags:
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits
 
+    def __getstate__(self) -> bytes:
+        # Tasks get the flags with their code; few flags take little room.
+        return zlib.compress(self.bits.tobytes(), 1)
+
+    def __setstate__(self, packed: bytes) -> None:
+        self.bits = np.frombuffer(zlib.decompress(packed), np.uint64)
+
     @classmethod
     def of(cls, rows: DataFrame, column: str) -> Flags:
         """Combined by the executors; the driver gets at most 2^20 words."""

@@ -43,6 +43,8 @@ VERY_FREQUENT = 4_096
 MOST_VERY_FREQUENT = 1 << 20
 #: Documents of a block; a cell verifies two blocks.
 BLOCK = 192
+#: Groups of so many members meet pivots before they are dealt into cells.
+PIVOT_LEAST = 64
 
 
 @dataclass(frozen=True)
@@ -421,6 +423,7 @@ def linked_documents(
     text: str = "text",
     pivot_turns: int = 2,
     block: int = BLOCK,
+    pivot_least: int = PIVOT_LEAST,
 ) -> DataFrame:
     """(id, ``n_shingles``, ``component_id``) for every row of ``docs``.
 
@@ -435,7 +438,7 @@ def linked_documents(
     Work: texts are read three times (front tokens, index, sets of candidates); what is
     shuffled are 64-bit tokens of prefixes, and the sets of candidates (twice).  Equal sets
     are indexed once.  No group meets in one task: groups are combined by aggregates,
-    big ones (``2 * block`` members or more) meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
+    big ones (``pivot_least`` members or more) meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
     in cells of about ``2 * block`` sets at most.
     """
     source = docs.select(F.col(id_column), F.col(text))
@@ -447,7 +450,7 @@ def linked_documents(
     first = rows.join(nodes.select("key"), "key", "left_semi").filter(F.size("sigs") > 0)
     groups = cut_lineage(shared_groups(first.select("node", "sigs")))
     edges, labels = None, None
-    big = groups.groupBy("sig").agg(F.count("*").alias("size")).filter(F.col("size") >= 2 * block).select("sig")
+    big = groups.groupBy("sig").agg(F.count("*").alias("size")).filter(F.col("size") >= pivot_least).select("sig")
     big_groups = cut_lineage(groups.join(big, "sig", "left_semi"))
     if not big_groups.isEmpty():
         sets = cut_lineage(whole_sets(source, big_groups.select("node").distinct(), text, rule))

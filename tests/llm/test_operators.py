@@ -224,7 +224,7 @@ def near_copies(seed):
 @pytest.mark.parametrize("block", [6, 192])
 def test_linked_documents(spark, block):
     docs = near_copies(block) + [(-1, None)]
-    found = NG.linked_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), block=block).collect()
+    found = NG.linked_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), block=block, pivot_least=2 * block).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(docs)
     assert len({r["component_id"] for r in found}) < len(docs) - 60
 
