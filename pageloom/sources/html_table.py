@@ -149,31 +149,85 @@ def column_types(long_cells: DataFrame, keys: list[str]) -> DataFrame:
     return grouped.select(*keys, F.coalesce(kind, F.lit("VARCHAR")).alias("type"))
 
 
+#: A relation has so many columns at most; more names over all pages are an error.
+MOST_COLUMNS = 10_000
+_SPARK_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+
+
+def _typed(value: Column, kind: str) -> Column:
+    return value if kind == "VARCHAR" else F.trim(value).try_cast(_SPARK_TYPES[kind])
+
+
+def _shape(types: DataFrame) -> list[tuple[str, str]]:
+    """Name and type of every column, by first place and name; one row per name reaches the driver."""
+    found = types.select("place", "name", "type").limit(MOST_COLUMNS + 1).collect()
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"the pages have more than {MOST_COLUMNS} different columns")
+    return [(r["name"], r["type"]) for r in sorted(found)]
+
+
 def typed_rows(long_cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Wide form with inferred column types.
+    """Wide form of long cells with inferred column types; columns of one name are one column.
 
     The cells are written out once, as both the types and the rows come from them.
-    The only rows that reach the driver are one type per column of the table.
     """
     long_cells = cut_lineage(long_cells)
-    shape = column_types(long_cells, ["col", "name"]).orderBy("col").collect()
-    spark_type = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
-    wide = long_cells.groupBy(*keys, "row").pivot("col", [r["col"] for r in shape]).agg(F.first("value"))
-    taken: dict[str, int] = {}
-    out = []
-    for r in shape:
-        taken[r["name"]] = taken.get(r["name"], 0) + 1
-        name = r["name"] if taken[r["name"]] == 1 else f"{r['name']}_{taken[r['name']] - 1}"
-        value = F.col(f"`{r['col']}`")
-        value = value if r["type"] == "VARCHAR" else F.trim(value).try_cast(spark_type[r["type"]])
-        out.append(value.alias(name))
-    return wide.select(*keys, "row", *out)
+    places = long_cells.groupBy("name").agg(F.min("col").alias("place"))
+    shape = _shape(column_types(long_cells, ["name"]).join(places, "name"))
+    wide = long_cells.groupBy(*keys, "row").pivot("name", [n for n, _ in shape]).agg(F.first("value"))
+    return wide.select(*keys, "row", *[_typed(F.col(f"`{n}`"), kind).alias(n) for n, kind in shape])
+
+
+def _own_names(headers: Column) -> Column:
+    """Column names of one table; a repeated one is numbered."""
+    names = F.transform(headers, column_name)
+    return let(
+        names,
+        lambda all_names: F.transform(
+            all_names,
+            lambda n, i: let(
+                F.size(F.filter(F.slice(all_names, F.lit(1), i), lambda x: x == n)),
+                lambda before: F.when(before == 0, n).otherwise(F.concat(n, F.lit("_"), before.cast("string"))),
+            ),
+        ),
+    )
+
+
+def typed_tables(tables: DataFrame, keys: list[str], struct: str = "t") -> DataFrame:
+    """Typed rows of one table per page; pages may differ in shape.
+
+    Columns of one name are one column, NULL on pages without it.  A page's table stays
+    in its row: types come from one aggregate over page columns, cells are taken by
+    place, and neither the types nor the rows shuffle cells.  Tables are written out once,
+    so that no page is parsed again for its rows.
+    """
+    held = tables.select(*keys, _own_names(F.col(f"{struct}.headers")).alias("_names"), F.col(f"{struct}.rows").alias("_rows"))
+    held = cut_lineage(held.filter(F.col("_names").isNotNull()))
+
+    def column(name: Column, i: Column) -> Column:
+        values = F.filter(F.transform("_rows", lambda r: F.nullif(F.get(r, i), F.lit(""))), lambda v: v.isNotNull())
+        return let(
+            values,
+            lambda v: F.struct(
+                name.alias("name"), F.size(v).alias("n"), F.forall(v, is_integer).alias("whole"), F.forall(v, is_number).alias("number")
+            ),
+        )
+
+    opened = unpack(held, [], F.transform("_names", column), "place", "c").select("place", "c.*")
+    kind = F.when(F.col("n") == 0, "VARCHAR").when(F.col("whole"), "BIGINT").when(F.col("number"), "DOUBLE").otherwise("VARCHAR")
+    types = opened.groupBy("name").agg(
+        F.min("place").alias("place"), F.sum("n").alias("n"), F.bool_and("whole").alias("whole"), F.bool_and("number").alias("number")
+    )
+    shape = _shape(types.select("place", "name", kind.alias("type")))
+    rows = unpack(held, [*keys, "_names"], F.col("_rows"), "row", "_cells")
+    at = lambda name: F.nullif(F.get("_cells", F.nullif(F.array_position("_names", F.lit(name)), F.lit(0)) - 1), F.lit(""))
+    return rows.select(*keys, "row", *[_typed(at(name), kind).alias(name) for name, kind in shape])
 
 
 def read_html(
     pages: DataFrame, keys: list[str], selector: str = "table", index: int = 1, html: str = "html", url: str | None = None
 ) -> DataFrame:
-    """Typed rows of a table on pages that share one table shape.
+    """Typed rows of a table on every page; pages may differ in the shape of their tables.
 
     ``@$name`` reads a script variable instead.  Citation marks are dropped on
     pages of wikipedia.org when ``url`` is given.
@@ -188,7 +242,7 @@ def read_html(
     if url:
         is_wiki = F.contains(F.col(url), F.lit("wikipedia.org"))
         plain = F.when(is_wiki, table_struct("dom", selector, index, True)).otherwise(plain)
-    return typed_rows(cells(parsed.select(*keys, plain.alias("t")), keys), keys)
+    return typed_tables(parsed.select(*keys, plain.alias("t")), keys)
 
 
 def variable_cells(values: DataFrame, keys: list[str], column: str) -> DataFrame:

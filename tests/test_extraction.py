@@ -294,3 +294,19 @@ def test_odd_scripts_only_lose_their_value(spark):
     assert [r.v.get("b") for r in rows] == [None, "12345678901234567890", "-16", "2500", "3"]
     assert rows[1].v.get("a") is None and rows[2].v["a"] == '"�x"'
     assert "Thing" in str(rows[4].j) and '"n":2' in str(rows[4].j)
+
+
+def test_tables_of_two_shapes_in_one_read(spark):
+    pages = spark.createDataFrame(
+        [
+            (1, "<table><tr><th>a</th><th>b</th><th>b</th></tr><tr><td>1</td><td>x</td><td>2.5</td></tr><tr><td>2</td></tr></table>"),
+            (2, "<table><tr><th>b</th><th>c</th></tr><tr><td>7</td><td> 8 </td></tr></table>"),
+            (3, "<p>no table</p>"),
+        ],
+        "id int, html string",
+    )
+    found = H.read_html(pages, ["id"])
+    assert found.dtypes == [("id", "int"), ("row", "int"), ("a", "bigint"), ("b", "string"), ("c", "bigint"), ("b_1", "double")]
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 0, 1, "x", None, 2.5), (1, 1, 2, None, None, None), (2, 0, None, "7", 8, None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "pivot" not in plan.lower() and "Exchange" not in plan
