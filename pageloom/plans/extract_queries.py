@@ -671,3 +671,25 @@ SELECT CAST(floor(o_orderkey / 20) AS BIGINT) AS page, o_orderkey % 2 = 0 AS eve
 def script_table(spark: SparkSession, sf: str) -> DataFrame:
     rows = H.read_html(DOC.order_pages(spark, sf), ["page"], "@$orders")
     return rows.select("page", (F.col("even") == "true").alias("even_flag"), "id", "status", "total")
+
+
+@query(
+    "t08_two_shapes",
+    """
+SELECT CAST(c_custkey AS BIGINT) AS page, CAST(0 AS INTEGER) AS row, CAST(c_custkey AS BIGINT) AS code,
+  CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 2 = 1 THEN c_custkey + 0.5 END::DOUBLE AS score,
+  CASE WHEN c_custkey % 2 = 1 THEN CAST(c_nationkey AS BIGINT) END AS column3 FROM customer""",
+)
+def tables_of_two_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose tables differ: other columns, one without a header, rows shorter than the header."""
+    text = lambda c: F.col(c).cast("string")
+    even = F.concat(
+        F.lit("<table><tr><th>code</th><th>segment</th><th></th></tr><tr><td>"), text("c_custkey"), F.lit("</td><td>"), "c_mktsegment", F.lit("</td></tr></table>")
+    )
+    odd = F.concat(
+        F.lit("<table><tr><th>score</th><th>code</th><th></th></tr><tr><td>"), text("c_custkey"), F.lit(".5</td><td>"), text("c_custkey"),
+        F.lit("</td><td>"), text("c_nationkey"), F.lit("</td></tr></table>"),
+    )
+    customers = table(spark, sf, "customer")
+    pages = customers.select(F.col("c_custkey").cast("long").alias("page"), F.when(F.col("c_custkey") % 2 == 0, even).otherwise(odd).alias("html"))
+    return H.read_html(pages, ["page"])
