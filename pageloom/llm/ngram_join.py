@@ -177,14 +177,15 @@ def _sets_of(batches: Iterator[pa.RecordBatch], text: str, width: int):
 def frequent_tokens(docs: DataFrame, text: str, rule: Rule) -> Frequent:
     """Tokens that stand at the front of many documents' sets.
 
-    Each document gives its t + 1 lowest tokens and half as many again; they are
-    counted by token over all documents.  What is frequent only decides how a token is
+    Each document gives its t + 1 lowest tokens and about as many again, since a prefix
+    reaches further where it skips frequent ones; they are counted by token over all
+    documents.  What is frequent only decides how a token is
     indexed, never whether a link is found.
     """
 
     def front(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, sets in _sets_of([batch], text, rule.width):
-            yield from (s[: 3 * (rule.lacking(len(s)) + 1) // 2 + 8] for s in sets if len(s))
+            yield from (s[: 2 * rule.lacking(len(s)) + 10] for s in sets if len(s))
 
     shared = cut_lineage(value_counts(docs.select(text), front, 2))
     bound = VERY_FREQUENT
@@ -368,16 +369,14 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def _with_comp(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return groups.withColumn("comp", F.col("node"))
+def _with_comp(groups: DataFrame, labels: DataFrame) -> DataFrame:
     return groups.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
 def _open_groups(groups: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Members with their component, and the groups that still hold several components."""
-    members = _with_comp(groups, labels)
-    seen = members.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("top"), F.count("*").alias("size"))
+    """Members with their component, and the groups that still hold several components, with their least node."""
+    members = groups.withColumn("comp", F.col("node")) if labels is None else cut_lineage(_with_comp(groups, labels))
+    seen = members.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("top"), F.min("node").alias("hub"))
     return members, seen.filter("low <> top")
 
 
@@ -400,13 +399,12 @@ def cells(groups: DataFrame, labels: DataFrame | None, block: int = BLOCK) -> Da
     one block), unless they all lie in one component.
     """
     members, is_open = _open_groups(groups, labels)
-    members = cut_lineage(members.join(is_open.select("sig", F.col("low").alias("_")), "sig").select("sig", "node", "comp"))
-    hubs = members.groupBy("sig").agg(F.min("node").alias("hub"))
-    family = members.join(hubs, "sig").groupBy("node").agg(F.min("hub").alias("family"))
+    members = cut_lineage(members.join(is_open, "sig").select("sig", "node", "comp", "hub"))
+    family = members.groupBy("node").agg(F.min("hub").alias("family"))
     counts = family.groupBy("family").agg(F.ceil(F.count("*") / block).alias("parts"))
     part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
     dealt = family.join(counts, "family").select("node", F.xxhash64("family", part).alias("block"))
-    placed = cut_lineage(members.join(dealt, "node"))
+    placed = cut_lineage(members.drop("hub").join(dealt, "node"))
     others = placed.select("sig", F.col("block").alias("other")).distinct()
     held = placed.join(others, "sig").select(
         F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block").alias("side"), "node", "comp"
