@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -414,31 +415,27 @@ def cells(groups: DataFrame, labels: DataFrame | None, block: int = BLOCK) -> Da
     return cut_lineage(held.join(several.select("x", "y"), ["x", "y"], "left_semi"))
 
 
-def linked_documents(
-    docs: DataFrame,
-    rule: Rule = Rule(),
-    id_column: str = "doc_id",
-    text: str = "text",
-    pivot_turns: int = 2,
-    block: int = BLOCK,
-    pivot_least: int = PIVOT_LEAST,
-) -> DataFrame:
-    """(id, ``n_shingles``, ``component_id``) for every row of ``docs``.
+#: Rows that travel to Python carry whole sets here, so they go in small batches.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
-    A document's set holds its distinct runs of ``rule.width`` words (A-Z lower-cased,
-    words between white space); with fewer words the whole sequence is the one token.
-    ``component_id`` is the least id that links reach, itself included.  A null text or
-    one without words has an empty set and is linked with nothing, not even its like.
-    Equal rows, and rows with equal sets, share a component.  A null id takes part in
-    links, and gets the least id of its component, or null if it stands alone.  An empty
-    table gives an empty result.  Other columns are not read.
 
-    Work: texts are read three times (front tokens, index, sets of candidates); what is
-    shuffled are 64-bit tokens of prefixes, and the sets of candidates (twice).  Equal sets
-    are indexed once.  No group meets in one task: groups are combined by aggregates,
-    big ones (``pivot_least`` members or more) meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
-    in cells of about ``2 * block`` sets at most.
-    """
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The settings hold for the steps that run inside; afterwards they are as before."""
+    before = {k: spark.conf.get(k, None) for k in _BATCHES}
+    for k, v in _BATCHES.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _linked(
+    docs: DataFrame, rule: Rule, id_column: str, text: str, pivot_turns: int, block: int, pivot_least: int
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with their node, and the component of each node; both are kept in the shared folder."""
     source = docs.select(F.col(id_column), F.col(text))
     frequent = frequent_tokens(source, text, rule)
     rows = cut_lineage(indexed(source, id_column, text, frequent, rule).withColumn("key", F.monotonically_increasing_id()))
@@ -471,6 +468,36 @@ def linked_documents(
     else:
         known = known.select("node", F.col("low").alias("component"))
     known = cut_lineage(known)
+    return rows, known
+
+
+def linked_documents(
+    docs: DataFrame,
+    rule: Rule = Rule(),
+    id_column: str = "doc_id",
+    text: str = "text",
+    pivot_turns: int = 2,
+    block: int = BLOCK,
+    pivot_least: int = PIVOT_LEAST,
+) -> DataFrame:
+    """(id, ``n_shingles``, ``component_id``) for every row of ``docs``.
+
+    A document's set holds its distinct runs of ``rule.width`` words (A-Z lower-cased,
+    words between white space); with fewer words the whole sequence is the one token.
+    ``component_id`` is the least id that links reach, itself included.  A null text or
+    one without words has an empty set and is linked with nothing, not even its like.
+    Equal rows, and rows with equal sets, share a component.  A null id takes part in
+    links, and gets the least id of its component, or null if it stands alone.  An empty
+    table gives an empty result.  Other columns are not read.
+
+    Work: texts are read three times (front tokens, index, sets of candidates); what is
+    shuffled are 64-bit tokens of prefixes, and the sets of candidates (twice).  Equal sets
+    are indexed once.  No group meets in one task: groups are combined by aggregates,
+    big ones (``pivot_least`` members or more) meet a pivot in each of ``pivot_turns`` turns, and what is left is verified
+    in cells of about ``2 * block`` sets at most.
+    """
+    with small_batches(docs.sparkSession):
+        rows, known = _linked(docs, rule, id_column, text, pivot_turns, block, pivot_least)
     return rows.join(known, "node", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
