@@ -160,7 +160,7 @@ def _combined(tokens: np.ndarray, k: np.ndarray, need: int, parts: int) -> np.nd
     found = [combo for (size, _), group in held.items() for combo in combinations(group, size)]
     out = np.zeros(len(found), np.uint64)
     with np.errstate(over="ignore"):
-        for place in range(max((len(c) for c in found), default=0)):
+        for place in range(3):  # always three, so that a pair has one hash, with triples beside it or not
             part = np.array([c[place] if place < len(c) else 0 for c in found], dtype=np.uint64)
             out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + part)
     return out

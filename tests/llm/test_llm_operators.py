@@ -381,3 +381,37 @@ def test_pipeline(spark, sf):
     assert kept["near_duplicates"] == {k for k, (_, top) in links.items() if k == top}
     result = P.run(spark, sf).select("doc_id").distinct().count()
     assert 0 < result <= len(texts)
+
+
+def least_of_groups(docs, width=5, percent=80):
+    """Ids of the documents that stay, all pairs compared."""
+    sets = {}
+    for key, text in docs:
+        words = WORD.findall((text or "").translate(FOLD))
+        sets[key] = {tuple(words[k : k + width]) for k in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
+    root = {k: k for k in sets}
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            shared = len(sets[a] & sets[b])
+            if shared and 100 * shared >= percent * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                root[max(x, y)] = min(x, y)
+    return {k for k in keys if top(k) == k}
+
+
+def test_stage_drops_near_copies_of_five_words(spark, sf):
+    docs = near_copies(4)
+    words = [f"w{k}" for k in range(60)]
+    docs += [(9_000, " ".join(words)), (9_001, " ".join(words + [f"x{k}" for k in range(8)]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    kept = {r["doc_id"] for r in P.near_duplicates(spark, frame, sf).collect()}
+    assert kept == least_of_groups(docs)
+    assert 9_000 in kept and 9_001 not in kept
+    assert least_of_groups(docs, 3, 90) - kept

@@ -150,6 +150,30 @@ def test_prefixes_of_linked_sets_meet():
                         assert np.intersect1d(NG.signatures(x, frequent, rule), NG.signatures(y, frequent, rule)).size
 
 
+def test_prefixes_meet_by_the_rule_of_the_pipeline():
+    dice = np.random.default_rng(9)
+    rule, met = NG.Rule(5, 80), 0
+
+    class Some:
+        def classes(self, tokens):
+            return 1 + ((tokens % np.uint64(7)) < self.many).astype(np.int8) + ((tokens % np.uint64(7)) < self.most)
+
+    for many, most in ((0, 0), (3, 0), (7, 0), (7, 3), (7, 7)):
+        frequent = Some()
+        frequent.many, frequent.most = many, most
+        for n in (4, 5, 9, 10, 16, 31, 40, 130, 500):
+            for _ in range(25):
+                x = np.unique(dice.integers(0, 1 << 60, n).astype(np.uint64))
+                y = np.delete(x, dice.choice(len(x), int(dice.integers(0, rule.lacking(len(x)) + 1)), replace=False))
+                more = dice.integers(0, 1 << 60, int(dice.integers(0, max(1, len(x) // 8)))).astype(np.uint64)
+                y = np.unique(np.concatenate([y, more]))
+                shared = len(np.intersect1d(x, y))
+                if 5 * shared >= 4 * (len(x) + len(y) - shared) and not np.array_equal(x, y):
+                    met += 1
+                    assert np.intersect1d(NG.signatures(x, frequent, rule), NG.signatures(y, frequent, rule)).size
+    assert met > 300
+
+
 def test_token_tree_follows_edits():
     tokenizer = TC.Tokenizer(open(TC.VOCABULARY, "rb").read())
     dice = random.Random(3)
