@@ -9,11 +9,16 @@ from dataclasses import dataclass
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
-    " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td"
+    " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td"
     " tfoot th thead title tr ul".split()
 )
-#: Their content is no text of the page.
-SKIPPED = frozenset("script style noscript template iframe object svg math head select textarea button canvas audio video".split())
+#: Raw text that is no text of the page; an unclosed one takes the rest.
+RAW = frozenset("script style textarea".split())
+#: Their text is read like any other, and marked.
+EMBEDDED = frozenset("noscript template iframe object svg math canvas audio video".split())
+#: What can stand in a head, beside its title and raw text.
+IN_HEAD = frozenset("html head meta link base basefont bgsound noscript template noframes".split())
+IN_SELECT = frozenset("option optgroup hr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 #: Names in class, id and role, by what they say of an element.
@@ -40,6 +45,8 @@ _NEXT = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)|[!?])")
 _REST = re.compile(r"""[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*>""")
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in RAW}
+_TITLE_END = re.compile(r"</title\b|</head\b|<body\b", re.I)
 
 
 @dataclass
@@ -62,8 +69,9 @@ def _hints(attributes: str) -> list[str]:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; work grows with the length of the page.
 
-    Comments and raw elements are skipped, an unclosed one to the end.  White space in a
-    block is one space; blocks without other text are left out.
+    Comments and raw elements are skipped, an unclosed one to the end.  A head ends where
+    something begins that cannot stand in it, a select likewise.  White space in a block
+    is one space; blocks without other text are left out.
     """
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
@@ -71,6 +79,9 @@ def blocks(page: str) -> list[Block]:
     around: Counter[str] = Counter()
     parts: list[str] = []
     links = 0
+    in_head = head_seen = False
+    within = ""  # an element of the head that is not on the stack
+    titles_end = True  # whether a title may still find its end
     plain_ends = False  # after an unpaired quote the first ">" ends a tag
 
     def flush() -> None:
@@ -95,7 +106,9 @@ def blocks(page: str) -> list[Block]:
     while at < size:
         found = _NEXT.search(page, at)
         text = page[at : found.start() if found else size]
-        if text:
+        if text and in_head:
+            in_head = not text.strip()
+        if text and not in_head:
             text = references.unescape(text)
             parts.append(text)
             if open_tags["a"] > 0:
@@ -103,7 +116,8 @@ def blocks(page: str) -> list[Block]:
         if not found:
             break
         if found[1]:
-            end = page.find("-->", found.end())
+            # "<!-->" and "<!--->" are whole comments.
+            end = page.find("-->", found.end() - 2)
             at = size if end < 0 else end + 3
             continue
         ended = None if plain_ends else _REST.match(page, found.end())
@@ -116,32 +130,54 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if found[2]:
-            if tag in BLOCK_TAGS:
+            if tag == within:
+                within = ""
+            if tag == "head":
+                in_head = False
+            if tag in BLOCK_TAGS and not (tag == "title" and open_tags["svg"] > 0):
                 flush()
             if open_tags[tag] > 0:
+                if tag in EMBEDDED and next(name for name, _ in reversed(stack) if name == tag or name in BLOCK_TAGS) != tag:
+                    flush()
                 close(tag)
             continue
-        if tag in SKIPPED:
-            if tag == "head":
+        if tag in RAW:
+            end = _RAW_END[tag].search(page, at)
+            at = page.find(">", end.end()) + 1 or size if end else size
+            continue
+        if tag == "head":
+            if not head_seen:
                 flush()
-            end = re.compile(rf"</{tag}\b", re.I).search(page, at)
-            if tag == "head" and not end:
-                end = re.compile(r"<body\b", re.I).search(page, at)
-            at = size if not end else end.start()
-            if end and page.startswith("</", at):
-                at = page.find(">", at) + 1 or size
+                in_head = head_seen = True
             continue
+        if in_head:
+            if tag == "title":
+                end = _TITLE_END.search(page, at) if titles_end else None
+                titles_end = end is not None
+                if end:
+                    at = page.find(">", end.end()) + 1 or size if end[0].startswith("</t") or end[0].startswith("</T") else end.start()
+                else:
+                    at = page.find("<", at)
+                    at = size if at < 0 else at
+                continue
+            if tag in IN_HEAD or within == "noscript" and tag in ("img", "iframe"):
+                within = tag if tag in ("noscript", "template") else within
+                continue
+            in_head = False
+        if open_tags["select"] > 0 and tag in BLOCK_TAGS and tag not in IN_SELECT:
+            flush()
+            close("select")
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in BLOCK_TAGS:
+        if tag in BLOCK_TAGS and not (tag == "title" and open_tags["svg"] > 0):
             flush()
             for implied in ("p", "li" if tag == "li" else "", "option" if tag == "option" else ""):
                 if implied and open_tags[implied] > 0 and _closable(stack, implied):
                     close(implied)
         if tag in VOID or page[at - 2 : at] == "/>" and tag not in BLOCK_TAGS:
             continue
-        marks = [tag] if tag in TAGS else []
+        marks = [tag] if tag in TAGS else ["embedded"] if tag in EMBEDDED else ["form"] if tag == "select" else []
         marks += _hints(page[found.end() : at])
         for mark in marks:
             around[mark] += 1

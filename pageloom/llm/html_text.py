@@ -24,7 +24,7 @@ from pageloom.llm.html_blocks import KINDS, TAGS, Block, blocks
 #: Labelled pages the field is trained on.
 TRAINING_PAGES = 500
 
-_NAMES = (*TAGS, *(f".{k}" for k in KINDS))
+_NAMES = (*TAGS, "embedded", *(f".{k}" for k in KINDS))
 _LEVELS = (2, 5, 10, 20, 40, 80, 160)
 _NEAREST = ("p", "div", "h1", "h2", "h3", "li", "td", "section", "article", "body", "footer", "header", "nav", "aside", "blockquote", "dd", "dt", "title", "pre", "figcaption", "summary", "legend", "th")
 
@@ -140,6 +140,9 @@ class _Writer:
                 out.append(f"<p>{_MARK}{body} {link} {self.words(2, 9)}.</p>")
             elif kind < 0.38:
                 out.append(f"<div>{_MARK}{body}</div>")
+            elif kind < 0.42:
+                tag = self.pick("noscript", "object", "video", "audio")
+                out.append(f"<{tag}><p>{_MARK}{body}</p></{tag}>")
             else:
                 out.append(f"<p>{'<b>' if self.dice.random() < 0.2 else ''}{_MARK}{body}" + self.pick("</p>", "</p>", "<br>", ""))
         if self.dice.random() < 0.2:
@@ -153,6 +156,10 @@ class _Writer:
         text = self.sentences(1, 3) + self.pick("", " <button>OK</button>", ' <a href="/privacy">Privacy</a>')
         return self.named("div", f"<p>{text}</p>" if self.dice.random() < 0.5 else text, "cookie-notice", "notice", "consent", "newsletter", "alert", plain=0.03)
 
+    def fallback(self) -> str:
+        tag = self.pick("noscript", "noscript", "object", "canvas", "iframe")
+        return f"<{tag}>{self.named('div', self.sentences(1, 2), 'notice', 'alert', plain=0.03)}</{tag}>"
+
     def comments(self) -> str:
         each = [f"<{t}>{self.named('b', self.words(1, 2), 'author')} {self.sentences(1, 4)}</{t}>" for t in [self.pick("p", "div", "li")] * self.dice.randint(1, 5)]
         return self.named(self.pick("section", "div", "ol"), f"<h3>{self.words(1, 2).capitalize()}</h3>" * self.dice.randint(0, 1) + "".join(each), "comments", "comment-list", "responses", "disqus", plain=0.02)
@@ -162,7 +169,12 @@ class _Writer:
         return self.named(self.pick("aside", "aside", "div"), inside, "sidebar", "related", "widget", "popular", plain=0.05)
 
     def form(self) -> str:
-        return f'<form action="/s"><label>{self.words(1, 3)}</label><input name="q"> {self.words(0, 6) if self.dice.random() < 0.5 else ""}<p>{self.sentences(1, 1)}</p></form>'
+        return f'<form action="/s"><label>{self.words(1, 3)}</label><input name="q"> {self.words(0, 6) if self.dice.random() < 0.5 else ""}<p>{self.sentences(1, 1)}</p>{self.choices()}</form>'
+
+    def choices(self) -> str:
+        if self.dice.random() < 0.6:
+            return ""
+        return "<select>" + "".join(f"<option>{self.words(1, 4)}" for _ in range(4)) + f"</select><button>{self.words(1, 2)}</button>"
 
     def page(self) -> str:
         head = f"<title>{self.words(2, 8)}</title><style>p{{}}</style><script>var a='</p>';</script>"
@@ -170,6 +182,7 @@ class _Writer:
         if self.dice.random() < 0.5:
             top.insert(0, self.named(self.pick("header", "header", "div"), f"<p>{self.words(1, 6)}</p>" + self.menu(2) * self.dice.randint(0, 1), "header", "masthead", plain=0.2))
         extras = [piece() for piece in (self.ad, self.notice, self.side, self.form) if self.dice.random() < 0.45]
+        extras += [self.fallback()] * (self.dice.random() < 0.25)
         body = self.article()
         wrap = self.dice.random()
         if wrap < 0.4:

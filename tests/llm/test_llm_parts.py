@@ -233,6 +233,33 @@ def test_page_blocks():
     assert blocks("") == [] and blocks("<script>only") == [] and [b.text for b in blocks("plain")] == ["plain"]
 
 
+def test_elements_without_an_end_cut_no_page():
+    def texts(page):
+        return [b.text for b in blocks(page)]
+
+    for empty in ("<svg/>", "<math/>", "<svg width=1 />", "<!-->", "<!--->", "<select>", "<button>", "<noscript>", "<svg>"):
+        assert texts(f"<p>x{empty}</p><p>y</p><p>z</p>") == ["x", "y", "z"], empty
+        assert texts(f"<p>x</p>{empty}<p>y</p><svg></svg><!-- --><button></button><p>z</p>") == ["x", "y", "z"], empty
+    assert texts("<head><title>x</title><p>Article") == ["Article"]
+    assert texts("<head><meta a=b><link c=d>\n<title>x</title>\n<script>s</script>Bare text<p>Article") == ["Bare text", "Article"]
+    assert texts("<head><title>x</head><body><p>Article</p><svg><title>t</title></svg>") == ["Article", "t"]
+    assert texts("<head><noscript><img src=a></noscript><title>x</title></head><p>Article") == ["Article"]
+    assert texts("<p>a <select><option>b<option>c</select> d</p>") == ["a", "b", "c", "d"]
+    for tag in ("noscript", "math", "object", "button", "video", "audio"):
+        assert texts(f"<article><p>one <{tag}>two</{tag}> three</p></article>") == ["one two three"]
+    assert texts("<p>a</p><script>b</script><style>c</style><textarea><p>d</textarea><p>e") == ["a", "e"]
+    assert [b.inside for b in blocks("<select><option>a</select><object><p>b</object><p>c")] == [("form",), ("embedded",), ()]
+    blocks("<head>" + "<title>" * 20_000)
+    blocks("<head>" * 20_000 + "<svg><title>" * 5_000)
+
+
+def test_article_words_in_fallback_content_stay():
+    words = "This is a long sentence of the story, and it says what happened then. " * 3
+    for tag in ("noscript", "object", "video"):
+        page = f"<html><body><article><h1>Title of it</h1><p>{words}</p><{tag}><p>{words} Last words.</p></{tag}><p>{words}</p></article></body></html>"
+        assert "Last words." in " ".join(H.article_blocks([page], H.train())[0]), tag
+
+
 def test_pages_of_any_shape_are_read_in_time():
     assert blocks("<b>" * 30_000 + "x")[0].text == "x"
     assert len(blocks("<!-- x " * 50_000 + "<p>y")) == 0
