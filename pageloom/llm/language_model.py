@@ -34,7 +34,7 @@ CLASSES = 1 << CLASS_BITS
 #: Words whose counts every task keeps at hand (12 bytes each).
 TABLE_WORDS = 1 << 18
 CONTEXT, WIDTH, NOISE = 4, 16, 32
-#: One position in so many trains the model, in every training document and each round.
+#: A step takes places so far apart, so that it sees more texts; every round takes all places.
 STRIDE = 4
 SMOOTH = 0.1
 
@@ -297,8 +297,7 @@ def train_round(texts: DataFrame, model: LogBilinear, share: np.ndarray, turn: i
                 codes, first = _texts_of(batch.slice(low, 256))
                 if not len(codes):
                     continue
-                # Near the front of a text, and at every distance from it, all the same.
-                at = np.arange((turn * STRIDE // 2 + low) % STRIDE, len(codes), STRIDE)
+                at = np.concatenate([np.arange(k, len(codes), STRIDE) for k in range(STRIDE)])
                 before = contexts(codes, first)
                 for k in range(0, len(at), _BATCH):
                     trainer.step(codes[at[k : k + _BATCH]], before[at[k : k + _BATCH]])

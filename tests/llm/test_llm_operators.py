@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -356,6 +357,20 @@ def test_model_scores(spark, sf, odd, none):
     assert len(strange) == len(ODD) and {r["n_tokens"] for r in strange if r["doc_id"] in (1, 2, 3)} == {1}
 
 
+def test_every_place_trains_the_model(spark):
+    """A word that stands at odd places only is learnt like one at even places."""
+    codes = bytes([1, 2] * 400)
+    texts = spark.createDataFrame([(bytearray(codes),)] * 40, "codes binary").coalesce(1)
+    share = np.full(LM.OUTPUTS, 1 / LM.OUTPUTS)
+    model = LM.LogBilinear.fresh(share)
+    target, first = np.frombuffer(codes, np.uint8).astype(np.int64), np.array([0, len(codes)])
+    before = model.log_probabilities(target, LM.contexts(target, first))
+    for turn in range(2):
+        model = LM.train_round(texts, model, share, turn)
+    gain = model.log_probabilities(target, LM.contexts(target, first)) - before
+    assert gain[4::2].mean() > 1 and gain[5::2].mean() > 1
+
+
 # --- pipeline --------------------------------------------------------------------------
 
 
