@@ -99,3 +99,56 @@ def near_names(products: DataFrame, block: Sequence[str], name: str) -> DataFram
     right = forms.withColumnRenamed("name", "name_b")
     pairs = left.join(right, [*block, "form"]).filter("name_a < name_b")
     return pairs.filter(F.levenshtein("name_a", "name_b") <= 1).select(*block, "name_a", "name_b").distinct()
+
+
+def _edits(length: Column) -> Column:
+    """The most edits of a pair whose longer name has this length: fewer than a tenth of it."""
+    return F.floor((length - 1) / 10).cast("int")
+
+
+def _parts(name: Column) -> Column:
+    # One part more than edits; whatever they touch, one part is whole in the other name.
+    n = F.length(name)
+    count = _edits(n) + 1
+    start = lambda i: F.floor(i * n / count).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda i: F.struct(n.alias("long"), i.alias("part"), F.substring(name, start(i) + 1, start(i + 1) - start(i)).alias("piece")),
+    )
+
+
+def _shifted_parts(name: Column) -> Column:
+    # Where a part of a name of length ``long`` can stand in this one: ``s`` edits before it, the rest behind.
+    m = F.length(name)
+
+    def of(long: Column) -> Column:
+        edits = _edits(long)
+        start = lambda i: F.floor(i * long / (edits + 1)).cast("int")
+
+        def at(i: Column) -> Column:
+            shifts = F.filter(F.sequence(-edits, edits), lambda s: (F.abs(s) + F.abs(m - long - s) <= edits) & (start(i) + s >= 0) & (start(i + 1) + s <= m))
+            return F.transform(shifts, lambda s: F.struct(long.alias("long"), i.alias("part"), F.substring(name, start(i) + s + 1, start(i + 1) - start(i)).alias("piece")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), edits), at))
+
+    longs = F.filter(F.sequence(m, m + F.floor(m / 9).cast("int") + 1), lambda long: long - _edits(long) <= m)
+    return F.array_distinct(F.flatten(F.transform(longs, of)))
+
+
+def similar_names(products: DataFrame, block: Sequence[str], name: str) -> DataFrame:
+    """Pairs of different names within a block with a similarity above 90 %: edits under a tenth of the longer name.
+
+    ``block`` are the columns that must be equal, as brand and weight; null is equal to
+    nothing.  Equal names are collapsed first.  The longer name of a pair is cut into one
+    part more than the edits allowed, of at least ten characters each; the shorter one
+    holds one of them, moved by as many places at most.  So every pair is found; a group
+    is the names of a block that share a part at like places.
+    """
+    names = products.select(*block, plain_name(F.col(name)).alias("name")).dropna().distinct()
+    names = names.filter(F.length("name") >= 10)
+    longer = names.select(*block, F.col("name").alias("_long"), F.inline(_parts(F.col("name")))).filter("long > 10")
+    shorter = names.select(*block, F.col("name").alias("_short"), F.inline(_shifted_parts(F.col("name"))))
+    met = longer.join(shorter, [*block, "long", "part", "piece"]).filter("_long <> _short")
+    pairs = met.select(*block, F.least("_long", "_short").alias("name_a"), F.greatest("_long", "_short").alias("name_b")).distinct()
+    longest = F.greatest(F.length("name_a"), F.length("name_b"))
+    return pairs.filter(F.levenshtein("name_a", "name_b") * 10 < longest)

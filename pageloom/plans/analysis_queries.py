@@ -355,6 +355,20 @@ def near_names(spark: SparkSession, sf: str) -> DataFrame:
     return Q.near_names(titles, ["p_brand"], "title")
 
 
+@query(
+    "n06_similar_names",
+    """
+WITH n AS (SELECT DISTINCT p_brand, p_size % 5 AS weight, trim(regexp_replace(lower(p_name || ', ' || p_size), '[^a-z0-9]+', ' ', 'g')) AS name FROM part)
+SELECT a.p_brand, a.weight, a.name AS name_a, b.name AS name_b
+FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.weight = b.weight AND a.name < b.name
+WHERE 1 - levenshtein(a.name, b.name) / greatest(length(a.name), length(b.name)) > 0.9""",
+)
+def similar_names(spark: SparkSession, sf: str) -> DataFrame:
+    title = F.concat_ws(", ", "p_name", "p_size").alias("title")
+    titles = table(spark, sf, "part").select("p_brand", (F.col("p_size") % 5).alias("weight"), title)
+    return Q.similar_names(titles, ["p_brand", "weight"], "title")
+
+
 @query(
     "n07_other_transforms",
     """

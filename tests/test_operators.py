@@ -283,6 +283,36 @@ def test_near_names_equal_brute_force(spark):
     assert set(rows(Q.near_names(frame, ["b"], "name"))) == expected
 
 
+def test_similar_names_equal_brute_force(spark):
+    chance = random.Random(5)
+    names = set()
+    for n in (9, 10, 11, 12, 20, 21, 22, 30, 31, 32, 45, 61):
+        for _ in range(3):
+            base = [chance.choice("abcd ") for _ in range(n)]
+            names.add("".join(base))
+            for _ in range(9):
+                own = list(base)
+                for _ in range(chance.randint(1, 1 + n // 10)):
+                    k = chance.randrange(len(own))
+                    own[k : k + chance.randint(0, 1)] = [chance.choice("abcd ")] * chance.randint(0, 1)
+                names.add("".join(own))
+    frame = spark.createDataFrame([(i % 2, i % 3 and 1, n) for i, n in enumerate(sorted(names) * 3)] + [(None, 1, "x" * 30), (0, 1, None)], "b int, w int, name string")
+
+    def distance(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            left, line[0] = line[0], i
+            for j, y in enumerate(b, 1):
+                left, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, left + (x != y))
+        return line[-1]
+
+    plain = rows(frame.select("b", "w", Q.plain_name(F.col("name")).alias("n")).dropna().distinct())
+    expected = {(b, w, x, y) for b, w, x in plain for c, v, y in plain if (b, w) == (c, v) and x < y and 10 * distance(x, y) < max(len(x), len(y))}
+    assert any(distance(x, y) > 2 for *_, x, y in expected)
+    found = rows(Q.similar_names(frame, ["b", "w"], "name"))
+    assert set(found) == expected and len(found) == len(expected)
+
+
 def test_each_element_and_required(spark):
     html = '<div class=card data-id=1><b>x</b></div><div class=card><b>y</b><b>z</b></div><p>n</p>'
     page = spark.createDataFrame([(1, html)], "id int, html string")
