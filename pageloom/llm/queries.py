@@ -11,11 +11,12 @@ from pageloom.llm import language as L
 from pageloom.llm import language_model as LM
 from pageloom.llm import mixing as MX
 from pageloom.llm import ngram_join as NG
+from pageloom.llm import periodic_runs as PR
 from pageloom.llm import quality as QU
 from pageloom.llm import token_counts as TC
 from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
-from pageloom.llm.text import held_out
+from pageloom.llm.text import SPACED_WORD, held_out
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -160,3 +161,53 @@ def op9_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document before and after its addresses, numbers and licence lines are replaced."""
     return TC.edited_counts(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+#: CRC-32 in SQL: the table of the reflected polynomial, and the fold of a list of bytes over it.
+_CRC_TABLE = """crc as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as tab
+  from (select unnest(range(256)) as i))"""
+
+
+def _crc_sql(byte_list: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, {byte_list}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_ID_BYTES = "list_transform(string_split(doc_id::varchar, ''), lambda x: ord(x)::bigint)"
+OP11_SQL = f"""
+with {_CRC_TABLE},
+hashed as (select doc_id, text, case when doc_id is not null then {_crc_sql(_ID_BYTES)} end as h from documents, crc),
+split as (select doc_id, h, h // 10 as g, coalesce(regexp_extract_all(text, '{SPACED_WORD}'), []) as w from hashed),
+sized as (select doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as planted, g % nullif(len(w), 0) as a, g from split),
+bodies as (select doc_id, n, w, planted, a, 1 + (n - a) // (3 + g % 8) as p from sized),
+docs as (select doc_id, n, case when planted then list_transform(range(n), lambda i: w[case when i < a then i else a + (i - a) % p end + 1]) else w end as w from bodies),
+flat as (select doc_id, unnest(w) as word, unnest(range(n)) as i, n from docs),
+pairs as (select a.doc_id, a.i, b.i - a.i as q from flat a join flat b on a.doc_id = b.doc_id and a.word = b.word and b.i > a.i and 4 * (b.i - a.i) <= a.n),
+grouped as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as island from pairs),
+stretches as (select doc_id, min(i) as start, count(*) + q as length, q as period from grouped group by doc_id, q, island having count(*) + q >= greatest(6, 4 * q)),
+runs as (select doc_id, start, length, min(period) as period from stretches group by doc_id, start, length),
+digests as (select doc_id, count(*) as n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period)) as runs_sha256 from runs group by doc_id),
+best as (select * from (select *, row_number() over (partition by doc_id order by length / period::double desc, start, period) as place from runs) where place = 1),
+dropped as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+kept as (select doc_id, string_agg(word, ' ' order by i) as body from flat anti join dropped using (doc_id, i) group by doc_id)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, b.start, b.length, b.period, 1000 * b.length // b.period as exponent_milli,
+  coalesce(runs_sha256, sha256('')) as runs_sha256, sha256(coalesce(body, '')) as collapsed_sha256
+from docs d left join digests using (doc_id) left join best b using (doc_id) left join kept using (doc_id)"""
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts, chosen by ``crc32`` of the id, repeats a stretch of its words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
+    n, g = F.size(words), F.floor(h / 10)
+    a = F.try_mod(g, n).cast("int")
+    p = F.floor(1 + (n - a) / (3 + g % 8)).cast("int")
+    whole = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.floor((n - a) / p).cast("int")))
+    again = F.array_join(F.concat(F.slice(words, F.lit(1), a), whole, F.slice(words, a + 1, (n - a) % p)), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), again).otherwise(F.col("text")))
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return PR.digest(PR.periodic_runs(planted_periods(docs)))

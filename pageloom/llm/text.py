@@ -27,6 +27,11 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def blank_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes are white space."""
+    return _BLANK[data]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64)."""
     with np.errstate(over="ignore"):
