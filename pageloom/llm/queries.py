@@ -13,6 +13,7 @@ from pageloom.llm import mixing as MX
 from pageloom.llm import ngram_join as NG
 from pageloom.llm import periodic_runs as PR
 from pageloom.llm import quality as QU
+from pageloom.llm import simhash_join as SH
 from pageloom.llm import token_counts as TC
 from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
@@ -211,3 +212,8 @@ def planted_periods(docs: DataFrame) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return PR.digest(PR.periodic_runs(planted_periods(docs)))
+
+
+@query("op12_simhash_near_dedup")
+def op12_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return SH.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))

@@ -20,6 +20,8 @@ PIECE_BYTES = 1 << 20
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: A-Z to a-z for ``bytes.translate``.
+FOLD_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: Words between white space.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
