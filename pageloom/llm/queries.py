@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm import decontaminate as DC
@@ -14,6 +14,7 @@ from pageloom.llm import ngram_join as NG
 from pageloom.llm import periodic_runs as PR
 from pageloom.llm import quality as QU
 from pageloom.llm import simhash_join as SH
+from pageloom.llm import spelling as SP
 from pageloom.llm import token_counts as TC
 from pageloom.llm import toxicity as TX
 from pageloom.llm import url_filter as U
@@ -217,3 +218,42 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_simhash_near_dedup")
 def op12_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return SH.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+_RUN_BYTES = "list_transform(range(len(hx) // 2), lambda i: ('0x' || hx[2 * i + 1 : 2 * i + 2])::bigint)"
+OP13_SQL = f"""
+with recursive {_CRC_TABLE},
+runs as (select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents where text is not null),
+coded as (select run, hex(encode(doc_id::varchar || ':' || run)) as hx from runs),
+hashed as (select run, case when hx is not null then {_crc_sql(_RUN_BYTES)} end as h from coded, crc),
+altered as (select case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word from hashed),
+words as (select word, count(*) as n from altered where length(word) >= 7 group by word having count(*) >= 2),
+cuts as (select word, i, substr(word, 1, i::int) || substr(word, i::int + 2) as rest from (select word, unnest(range(length(word))) as i from words)),
+near as (
+  select c.word, w.word as other from cuts c join words w on c.rest = w.word
+  union select w.word, c.word from cuts c join words w on c.rest = w.word
+  union select a.word, b.word from cuts a join cuts b on a.rest = b.rest and a.i = b.i and a.word <> b.word),
+told as (select near.word, other, w.n as m, count(*) over (partition by near.word) as n_near,
+    row_number() over (partition by near.word order by w.n desc, other) as place
+  from near join words w on w.word = other),
+formed as (select w.word, w.n, coalesce(t.n_near, 0) as n_near,
+    case when m >= 10 * n then other end as form, case when m >= 10 * n then m end as form_n
+  from words w left join told t on t.word = w.word and place = 1),
+way as (select word, word as root from formed union all select way.word, f.form from way join formed f on f.word = way.root where f.form is not null)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n
+from formed f join (select way.word, root from way join formed g on g.word = root where g.form is null) r on r.word = f.word"""
+
+
+def lost_letter(run: Column) -> Column:
+    """Every 31st run, chosen by ``crc32`` of id and run, lacks a letter; a null id leaves runs as they are."""
+    h = F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), run))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(run.substr(F.lit(1), at), run.substr(at + 2, F.length(run)))).otherwise(run)
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Words with their near words and forms, after letters were lost."""
+    words = SP.word_counts(table(spark, sf, "documents").select("doc_id", "text"), alter=lost_letter)
+    return SP.spelling_forms(words).select("word", "form", "root", "n", "n_near", "form_n")
