@@ -1,16 +1,21 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised test items.
 
-Text and items are normalised alike: A-Z lower-cased, every run of ASCII characters
-that are no letter or digit becomes one space.  The automaton holds each window of
-consecutive item words with a space at both ends, so it can only meet whole words, and
-reads a text once.  Matches are numbered by words; the place of a word in the original
-text follows from the word number.
+Text and items are normalised alike: A-Z lower-cased, words between ASCII characters that are
+no letter or digit.  Words become numbers, and the automaton reads the numbers of a text once.
+
+A window is a run of ``width`` consecutive item words.  Items are cut into blocks of half that
+length, one behind the other: every window holds a whole block.  The automaton holds the blocks
+(and whole items shorter than a window), so it has about one node for each item word.  Where a
+block is met, the words on both sides are compared with those of the item; a stretch of at
+least ``width`` equal words is made of windows, and all of its words are hit.  The place of a
+word in the original text follows from its number.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -20,15 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.text import pieces, words
+from pageloom.llm.text import Words, pieces, words
+from pageloom.session import cut_lineage
 
 WINDOW = 10
-#: Automata are kept under this many item words; more items are scanned in several rounds.
+#: Item words of an automaton; more items are scanned in several rounds.
 AUTOMATON_WORDS = 2_000_000
 
-#: More item words than these are an error: the automata travel to every executor.
-MOST_WORDS = 20_000_000
-
 _RUN_TYPE = T.StructType([T.StructField(n, T.LongType()) for n in ("first", "last", "start", "end")])
 _FIELDS = [
     T.StructField("n_words", T.LongType()),
@@ -39,95 +42,137 @@ _FIELDS = [
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_APART = np.array([_FOLD[c] == 32 for c in range(256)])
-
-
-def normalised(text: bytes) -> bytes:
-    """Lower-case words joined by single spaces, with one space at both ends; empty without words."""
-    joined = b" ".join(text.translate(_FOLD).split())
-    return b" " + joined + b" " if joined else b""
-
-
-def item_windows(text: str | None, width: int = WINDOW) -> list[bytes]:
-    """The windows of an item: runs of ``width`` words, or all of a shorter one."""
-    parts = normalised((text or "").encode()).split()
-    if not parts:
-        return []
-    return [b" ".join(parts[k : k + width]) for k in range(max(1, len(parts) - width + 1))]
-
-
-def build_automaton(items: Sequence[tuple[object, str | None]], width: int) -> ahocorasick.Automaton | None:
-    """Window -> (number of its words, length, numbers of the items that hold it)."""
-    holders: dict[bytes, set[int]] = {}
-    for number, (_, text) in enumerate(items):
-        for window in item_windows(text, width):
-            holders.setdefault(window, set()).add(number)
-    if not holders:
-        return None
-    found = ahocorasick.Automaton()
-    for window, numbers in holders.items():
-        # Bytes stand as Latin-1 characters, so one byte of text is one step.
-        key = b" " + window + b" "
-        found.add_word(key.decode("latin-1"), (window.count(b" ") + 1, len(key), tuple(sorted(numbers))))
-    found.make_automaton()
-    return found
+_FOLDED = np.frombuffer(_FOLD, np.uint8)
+_APART = _FOLDED == 32
+
+
+def item_words(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_FOLD).split()
+
+
+@dataclass
+class Slot:
+    """Items as numbers of words; ``digest`` names the contents."""
+
+    ids: list[str | None]
+    lexicon: list[bytes]  # word number k + 1 is lexicon[k]; 0 stands for all other words
+    numbers: np.ndarray
+    first: np.ndarray  # of each item: its first word; last: the number of words
+    digest: str
+
+    @classmethod
+    def of(cls, items: Sequence[tuple[object, str | None]]) -> Slot:
+        known: dict[bytes, int] = {}
+        numbers: list[int] = []
+        first = [0]
+        for _, text in items:
+            numbers += [known.setdefault(w, len(known) + 1) for w in item_words(text)]
+            first.append(len(numbers))
+        ids = [None if item is None else str(item) for item, _ in items]
+        named = hashlib.sha256(repr(ids).encode())
+        for _, text in items:
+            named.update(b"\x00" + b" ".join(item_words(text)))
+        return cls(ids, list(known), np.array(numbers, np.int32), np.array(first, np.int64), named.hexdigest())
+
+
+class Matcher:
+    """The automaton of a slot and what is needed to compare the words around a block."""
+
+    def __init__(self, slot: Slot, width: int) -> None:
+        self.ids, self.width, self.block = slot.ids, width, (width + 1) // 2
+        self.known = {w: k + 1 for k, w in enumerate(slot.lexicon)}
+        self.numbers, self.first = slot.numbers, slot.first
+        held: dict[tuple[int, ...], tuple[list[int], list[int]]] = {}
+        for item, (low, high) in enumerate(zip(slot.first[:-1].tolist(), slot.first[1:].tolist())):
+            if low < high < low + width:
+                held.setdefault(tuple(slot.numbers[low:high].tolist()), ([], []))[1].append(item)
+            elif low < high:
+                for at in range(low, high - self.block + 1, self.block):
+                    held.setdefault(tuple(slot.numbers[at : at + self.block].tolist()), ([], []))[0].append(at)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE) if held else None
+        while held:
+            key, (places, whole) = held.popitem()
+            self.automaton.add_word(key, (len(key), tuple(places), tuple(whole)))
+        if self.automaton:
+            self.automaton.make_automaton()
+
+    def word_numbers(self, data: np.ndarray, found: Words) -> np.ndarray:
+        """The numbers of all words of a piece; each different word is looked up once."""
+        ends = np.zeros(len(found.start) + 1, np.int64)
+        np.cumsum(found.end - found.start, out=ends[1:])
+        flat = _FOLDED[data[~_APART[data]]]
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(found.start), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+        coded = column.dictionary_encode()
+        names = np.array([self.known.get(w, 0) for w in coded.dictionary.to_pylist()], np.int32)
+        return names[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int32)
+
+    def scan(self, numbers: list[int]) -> tuple[list[tuple[int, int]], set[int]]:
+        """Runs of hit words [first, last) in order, merged, and the items that were met."""
+        marks: list[tuple[int, int]] = []
+        met: set[int] = set()
+        if self.automaton is None or not any(numbers):
+            return marks, met
+        for end, (size, places, whole) in self.automaton.iter(tuple(numbers)):
+            if whole:
+                marks.append((end + 1 - size, end + 1))
+                met.update(whole)
+            for at in places:
+                item = int(np.searchsorted(self.first, at, side="right")) - 1
+                low, high = self._around(numbers, end + 1 - size, at, int(self.first[item]), int(self.first[item + 1]))
+                if high - low >= self.width:
+                    marks.append((low, high))
+                    met.add(item)
+        return merged(marks), met
+
+    def _around(self, numbers: list[int], here: int, at: int, first: int, last: int) -> tuple[int, int]:
+        """The stretch around a block that equals the item, as far as windows with the block reach."""
+        reach, own = self.width - self.block, self.numbers
+        low = 0
+        while low < reach and at - low > first and here > low and own[at - low - 1] == numbers[here - low - 1]:
+            low += 1
+        high, here_end, at_end = 0, here + self.block, at + self.block
+        while high < reach and at_end + high < last and here_end + high < len(numbers) and own[at_end + high] == numbers[here_end + high]:
+            high += 1
+        return here - low, here_end + high
+
+
+def merged(runs: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    joined: list[list[int]] = []
+    for a, b in sorted(runs):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    return [(a, b) for a, b in joined]
 
 
-_ready: dict[tuple, ahocorasick.Automaton | None] = {}
+#: The matcher that this worker used last, by the digest of its items.
+_ready: dict[tuple[str, int], Matcher] = {}
 
 
-def _automaton_of(sent: Broadcast, slot: int, width: int) -> tuple[list, ahocorasick.Automaton | None]:
-    items = sent.value[slot]
-    key = (id(sent.value), slot, width)
+def _matcher(sent: Broadcast, digest: str, width: int) -> Matcher:
+    key = (digest, width)
     if key not in _ready:
         _ready.clear()
-        _ready[key] = build_automaton(items, width)
-    return items, _ready[key]
-
-
-def scan(text: bytes, automaton: ahocorasick.Automaton) -> tuple[list[tuple[int, int]], set[int]]:
-    """Runs of hit words [first, last) in order, merged, and the items that were met."""
-    flat = normalised(text)
-    line = flat.decode("latin-1")
-    marks: list[tuple[int, int]] = []
-    met: set[int] = set()
-    at = 0  # characters and spaces counted so far
-    spaces = 0
-    for end, (n, length, numbers) in automaton.iter(line):
-        spaces += flat.count(b" ", at, end + 1)
-        at = end + 1
-        # The space that ends word k is space number k + 2.
-        last = spaces - 1
-        marks.append((last - n, last))
-        met.update(numbers)
-    marks.sort()
-    runs: list[list[int]] = []
-    for a, b in marks:
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
-    return [(a, b) for a, b in runs], met
+        _ready[key] = Matcher(sent.value, width)
+    return _ready[key]
 
 
-def item_slots(items: DataFrame, item_id: str, text: str, slot_words: int) -> list[list[tuple[object, str | None]]]:
-    """Items in slots of at most about ``slot_words`` words, in the order of their ids.
+def item_slots(items: DataFrame, item_id: str, text: str, slot_words: int) -> Iterator[Slot]:
+    """Items in slots of about ``slot_words`` words at most, in the order of their ids.
 
-    The test items are read by the driver one partition at a time.
+    The test items are read by the driver one partition at a time; it holds one slot.
     """
-    slots: list[list[tuple[object, str | None]]] = []
-    filled, total = slot_words, 0
+    held: list[tuple[object, str | None]] = []
+    filled = 0
     for row in items.select(item_id, text).sort(item_id, text).toLocalIterator():
-        n = len(item_windows(row[1])) + WINDOW
-        if filled + n > slot_words:
-            slots.append([])
-            filled = 0
-        slots[-1].append((row[0], row[1]))
+        n = len(item_words(row[1]))
+        if held and filled + n > slot_words:
+            yield Slot.of(held)
+            held, filled = [], 0
+        held.append((row[0], row[1]))
         filled += n
-        total += n
-        if total > MOST_WORDS:
-            raise ValueError(f"more than {MOST_WORDS} item words: decontaminate against one suite after another")
-    return slots
+    yield Slot.of(held)
 
 
 def contamination(
@@ -144,7 +189,8 @@ def contamination(
     ``hits`` lists maximal runs of words that lie in an occurrence of a window:
     ``first`` and ``last`` word (last excluded) and ``start`` and ``end`` as byte
     offsets in the original UTF-8 text.  ``items`` lists, as strings in order and
-    once each, the ids of items of which a window occurs.
+    once each, the ids of items of which a window occurs; items without an id are
+    listed as one null, after the others.
 
     A null or empty text has no words and no hits; null, empty or repeated items add
     nothing of their own (equal ids are listed once).  Without items every text is
@@ -153,50 +199,51 @@ def contamination(
 
     Work: one pass over the texts without a shuffle for every slot of items; a slot
     has a bounded number of words and is sent to each executor once.  A suite of tests
-    fits in one.
+    fits in one; between further ones the table is kept in the shared folder, so that a
+    task holds one automaton.
     """
     spark = docs.sparkSession
-    slots = item_slots(items, item_id, item_text, slot_words)
-    sent = spark.sparkContext.broadcast(slots)
 
-    def read(slot: int):
+    def read(sent: Broadcast, digest: str, again: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, automaton = _automaton_of(sent, slot, width) if slots else ([], None)
+            matcher = _matcher(sent, digest, width)
             for batch in batches:
                 for rows, data, offsets in pieces(batch, text):
-                    yield _scanned(rows, data, offsets, ids, automaton, slot > 0)
+                    yield _scanned(rows, data, offsets, matcher, again)
 
         return run
 
     found = docs.drop(*(f.name for f in _FIELDS))
     shape = T.StructType(found.schema.fields + _FIELDS)
-    for slot in range(max(1, len(slots))):
-        found = found.mapInArrow(read(slot), shape)
+    for number, slot in enumerate(item_slots(items, item_id, item_text, slot_words)):
+        if number:
+            found = cut_lineage(found)
+        found = found.mapInArrow(read(spark.sparkContext.broadcast(slot), slot.digest, number > 0), shape)
     return found
 
 
 _RUN = pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")])
 
 
-def _scanned(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, ids: list, automaton, again: bool) -> pa.RecordBatch:
+def _scanned(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, matcher: Matcher, again: bool) -> pa.RecordBatch:
     """One piece with its matches; ``again`` adds those of an earlier slot."""
-    raw = data.tobytes()
     places = words(data, offsets, _APART)
+    numbers = matcher.word_numbers(data, places)
     before_runs = rows.column("hits").to_pylist() if again else [[]] * rows.num_rows
     before_items = rows.column("items").to_pylist() if again else [[]] * rows.num_rows
     all_runs, all_items = [], []
     for k in range(rows.num_rows):
-        runs, met = scan(raw[offsets[k] : offsets[k + 1]], automaton) if automaton else ([], set())
-        known = sorted({*before_items[k], *(str(ids[m][0]) for m in met)})
-        spans = _merged([*((r["first"], r["last"]) for r in before_runs[k]), *runs]) if again else runs
         first = int(places.first[k])
+        runs, met = matcher.scan(numbers[first : int(places.first[k + 1])].tolist())
+        spans = merged([*((r["first"], r["last"]) for r in before_runs[k]), *runs]) if again else runs
         all_runs.append(
             [
                 {"first": a, "last": b, "start": int(places.start[first + a] - offsets[k]), "end": int(places.end[first + b - 1] - offsets[k])}
                 for a, b in spans
             ]
         )
-        all_items.append(known)
+        known = {*before_items[k], *(matcher.ids[m] for m in met)}
+        all_items.append(sorted(known, key=lambda i: (i is None, i)) if len(known) > 1 else list(known))
     names = [n for n in rows.schema.names if n not in ("n_words", "hits", "items")]
     arrays = [rows.column(n) for n in names] + [
         pa.array(places.counts, pa.int64()),
@@ -206,18 +253,8 @@ def _scanned(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, ids: l
     return pa.RecordBatch.from_arrays(arrays, [*names, "n_words", "hits", "items"])
 
 
-def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    joined: list[list[int]] = []
-    for a, b in sorted(runs):
-        if joined and a <= joined[-1][1]:
-            joined[-1][1] = max(joined[-1][1], b)
-        else:
-            joined.append([a, b])
-    return [(a, b) for a, b in joined]
-
-
 def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Per document the counts, and the SHA-256 of the met item ids joined by commas."""
+    """Per document the counts, and the SHA-256 of the met item ids joined by commas; a null id counts, but has no text."""
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["last"] - h["first"])
     return found.select(
         id_column,
@@ -227,7 +264,3 @@ def digest(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
-
-
-def items_sha256(ids: Sequence[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
