@@ -8,8 +8,10 @@ as an empty text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -77,8 +79,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data or b"", dtype=np.uint8), offsets
 
 
+def _trimmer() -> Callable[[int], int]:
+    """The C library's own call to give unused memory back, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Returns memory that is free in this process to the machine; idle workers then hold little."""
+    pa.default_memory_pool().release_unused()
+    _trimmer()(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Runs of rows with at most ``limit`` bytes of text, or one row."""
+    """Runs of rows with at most ``limit`` bytes of text, or one row; frees the memory of their use at the end."""
     data, offsets = text_bytes(batch.column(column))
     row = 0
     while row < batch.num_rows:
@@ -90,6 +103,8 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
             offsets[row : last + 1] - offsets[row],
         )
         row = last
+    del data, offsets
+    give_back()
 
 
 @dataclass
@@ -126,10 +141,15 @@ def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK) ->
     return Words(start, np.flatnonzero(closing) + 1, np.searchsorted(start, offsets))
 
 
+#: Spans from this length on are hashed by a digest: a polynomial modulo 2^64 gives some long texts of two letters one value.
+_LONG = 512
+
+
 class Hasher:
     """64-bit hashes of any spans of a piece, by differences of one running sum."""
 
     def __init__(self, data: np.ndarray, codes: np.ndarray = EXACT) -> None:
+        self.data, self.codes = data, codes
         with np.errstate(over="ignore"):
             power, self.unpower = _tables(len(data) + 1)
             self.total = np.zeros(len(data) + 1, np.uint64)
@@ -141,6 +161,11 @@ class Hasher:
             found = self.total[end] - self.total[start]
             found *= self.unpower[start]
             found += (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        long = np.flatnonzero(end - start >= _LONG)
+        if len(long):
+            fold = FOLD_BYTES if self.codes is FOLDED else None
+            spans = (self.data[a:z].tobytes().translate(fold) for a, z in zip(start[long], end[long]))
+            found[long] = np.frombuffer(b"".join(blake2b(s, digest_size=8).digest() for s in spans), np.uint64)
         return mixed(found)
 
 
