@@ -10,18 +10,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.text import give_back
+
+def and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    """The batches, and None once they are over."""
+    yield from batches
+    yield None
+
+
 #: Flags of a ``Flags`` set: 8 MB, whatever is put in.
 FLAG_BITS = 26
 
 
-def value_counts(
-    rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int, combine: bool = False
-) -> DataFrame:
+def _distinct(values: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and how many times each occurs."""
+    if times is None:
+        values = np.sort(values)
+    else:
+        order = np.argsort(values)
+        values, times = values[order], times[order]
+    edges = np.flatnonzero(np.diff(values, prepend=~values[:1]))
+    if times is None:
+        return values[edges], np.diff(np.append(edges, len(values)))
+    return values[edges], np.add.reduceat(times, edges) if len(edges) else times
+
+
+def value_counts(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int) -> DataFrame:
     """(value, n) of the 64-bit values that ``values`` gives for all batches, those with n >= ``least``.
 
-    Values travel as byte strings, one for each range of values and batch, and each
-    range is counted by one task; a range is a part of the hashes and so of even size.
-    With ``combine`` a batch sends each of its values once, with the number of times.
+    A batch sends each of its values once; those that it has several times come first, with
+    their number.  Values travel as byte strings, one for each range of values and batch, and
+    each range is counted by one task; a range is a part of the hashes and so of even size,
+    and a value of many rows comes once a batch.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, (2 * parts - 1).bit_length())
@@ -31,45 +51,44 @@ def value_counts(
             found = list(values(batch))
             if not found:
                 continue
-            every = np.concatenate(found)
-            every.sort()
-            times = None
-            if combine:
-                starts = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-                times = np.diff(np.append(starts, len(every))).astype(np.int32)
-                every = every[starts]
+            every, n = _distinct(np.concatenate(found))
             part = (every >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.lexsort((n == 1, part))
+            every, n, part = every[order], n[order], part[order]
             edges = np.flatnonzero(np.diff(part, prepend=-1))
+            ends = np.append(edges[1:], len(part))[: len(edges)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[edges], pa.int64()),
-                    pa.array([v.tobytes() for v in np.split(every, edges[1:])] if len(edges) else [], pa.binary()),
-                    pa.array([v.tobytes() for v in np.split(times, edges[1:])] if combine else [None] * len(edges), pa.binary()),
+                    pa.array([every[a:z].tobytes() for a, z in zip(edges, ends)], pa.binary()),
+                    pa.array([n[a:z][n[a:z] > 1].astype(np.int64).tobytes() for a, z in zip(edges, ends)], pa.binary()),
                 ],
                 ["part", "held", "times"],
             )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, many = [], []
-        for batch in batches:
-            held += [np.frombuffer(b, np.uint64) for b in batch.column("held").to_pylist()]
-            if combine:
-                many += [np.frombuffer(b, np.int32) for b in batch.column("times").to_pylist()]
-        if not held:
-            return
-        every = np.concatenate(held)
-        del held
-        if combine:
-            order = np.argsort(every)
-            every, times = every[order], np.concatenate(many)[order]
-        else:
-            every.sort()
-        edges = np.flatnonzero(np.diff(every, prepend=~every[:1]))
-        n = np.add.reduceat(times, edges, dtype=np.int64) if combine else np.diff(np.append(edges, len(every)))
+        # Counts so far and what came since, which is counted once it has grown as large.
+        every, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting: list[np.ndarray] = []
+        many: list[np.ndarray] = []
+        size = 0
+        for batch in and_end(batches):
+            if batch is not None:
+                for held, times in zip(batch.column("held"), batch.column("times")):
+                    waiting.append(np.frombuffer(held.as_buffer(), np.uint64).copy())
+                    several = np.frombuffer(times.as_buffer(), np.int64)
+                    many.append(np.concatenate([several, np.ones(len(waiting[-1]) - len(several), np.int64)]).astype(np.int32))
+                    size += len(waiting[-1])
+            if waiting and (batch is None or size > max(len(every), 1 << 20)):
+                new, times = _distinct(np.concatenate(waiting), np.concatenate(many).astype(np.int64))
+                waiting, many, size = [], [], 0
+                every, n = _distinct(np.concatenate([every, new]), np.concatenate([n, times]))
         kept = n >= least
-        found, n = every[edges[kept]].view(np.int64), n[kept]
+        found, n = every[kept].view(np.int64), n[kept]
+        del every, kept
         for low in range(0, len(n), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(found[low : low + (1 << 16)]), pa.array(n[low : low + (1 << 16)], pa.int64())], ["value", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(found[low : low + (1 << 16)]), pa.array(n[low : low + (1 << 16)])], ["value", "n"])
+        give_back()
 
     dealt = rows.mapInArrow(deal, "part long, held binary, times binary").repartition(parts, "part")
     return dealt.mapInArrow(count, "value long, n long")

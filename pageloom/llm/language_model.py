@@ -96,7 +96,7 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
             if len(found.start):
                 yield word_values(data, found)
 
-    return cut_lineage(value_counts(docs.select(text), values, 1, combine=True))
+    return cut_lineage(value_counts(docs.select(text), values, 1))
 
 
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:

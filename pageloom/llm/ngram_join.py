@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.llm.components import components
-from pageloom.llm.counting import Flags, value_counts
+from pageloom.llm.counting import Flags, and_end, value_counts
 from pageloom.llm.text import FOLDED, mixed, pieces, span_hashes, window_hashes, words
 from pageloom.session import cut_lineage
 
@@ -344,7 +344,7 @@ def verified_cells(held: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             return cell_links(node, comp, side, [np.frombuffer(t, np.uint64) for t in cell.column("tokens").to_pylist()], rule)
 
         rest: pa.Table | None = None
-        for batch in _and_end(batches):
+        for batch in and_end(batches):
             found: list[tuple[int, int]] = []
             if batch is not None:
                 table = pa.Table.from_batches([batch])
@@ -365,11 +365,6 @@ def verified_cells(held: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return with_sets.mapInArrow(run, "a long, b long")
 
 
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
-
-
 def _with_comp(groups: DataFrame, labels: DataFrame) -> DataFrame:
     return groups.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.llm.components import components
+from pageloom.llm.counting import and_end
 from pageloom.llm.text import FOLD_BYTES, blank_bytes, pieces, words
 from pageloom.session import cut_lineage
 
@@ -262,11 +263,6 @@ def index_entries(codes: DataFrame, parts: int, distance: int) -> DataFrame:
     return codes.select("code").mapInArrow(run, "t int, rank long, code long")
 
 
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
-
-
 def block_links(entries: DataFrame, parts: int, distance: int, block: int) -> DataFrame:
     """(t, key, block, code, root): ``root`` is linked with ``code`` inside its block.
 
@@ -279,7 +275,7 @@ def block_links(entries: DataFrame, parts: int, distance: int, block: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] = [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
         waiting, held, last = [], 0, None
-        for batch in _and_end(batches):
+        for batch in and_end(batches):
             if batch is not None:
                 waiting.append([batch.column(c).to_numpy() for c in ("t", "rank", "code")])
                 held += batch.num_rows
@@ -352,7 +348,7 @@ def cell_links(cells: DataFrame, distance: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
-        for batch in _and_end(batches):
+        for batch in and_end(batches):
             if batch is not None:
                 some = pa.Table.from_batches([batch])
                 rest = some if rest is None else pa.concat_tables([rest, some])
