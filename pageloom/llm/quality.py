@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,24 +91,28 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def document_statistics(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``STATISTICS`` as longs beside the columns of ``docs``, without ``text`` unless asked for.
+def document_statistics(
+    docs: DataFrame, text: str = "text", keep_text: bool = False, trees: boosting.Trees | None = None
+) -> DataFrame:
+    """``STATISTICS`` as longs and ``bad_score`` beside the columns of ``docs``, without ``text`` unless asked for.
 
-    Null and empty texts have zeros everywhere.  One pass over whole texts, no shuffle.
+    ``bad_score`` is P(bad) by ``trees``, 0 without them.  Null and empty texts have zeros in
+    all statistics.  One pass over whole texts, no shuffle; statistics and trees are one step.
     """
-    docs = docs.drop(*STATISTICS)
+    docs = docs.drop(*STATISTICS, "bad_score")
     kept = [f for f in docs.schema.fields if keep_text or f.name != text]
+    names = [*(f.name for f in kept), *STATISTICS, "bad_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in pieces(batch, text):
                 found = statistics(data, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(f.name) for f in kept] + [pa.array(found[s], pa.int64()) for s in STATISTICS],
-                    [*(f.name for f in kept), *STATISTICS],
-                )
+                bad = trees.probabilities(features(found)) if trees else np.zeros(rows.num_rows)
+                arrays = [rows.column(f.name) for f in kept] + [pa.array(found[s], pa.int64()) for s in STATISTICS]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(bad, pa.float64())], names)
 
-    return docs.mapInArrow(run, T.StructType(kept + [T.StructField(s, T.LongType()) for s in STATISTICS]))
+    shape = [T.StructField(s, T.LongType()) for s in STATISTICS] + [T.StructField("bad_score", T.DoubleType())]
+    return docs.mapInArrow(run, T.StructType(kept + shape))
 
 
 #: What the trees see, and how P(bad) may depend on it.
@@ -127,8 +130,8 @@ FEATURES = {
 }
 
 
-def features(stats: pd.DataFrame) -> np.ndarray:
-    s = {name: stats[name].to_numpy(dtype=float) for name in STATISTICS}
+def features(stats: dict[str, np.ndarray]) -> np.ndarray:
+    s = {name: stats[name].astype(float) for name in STATISTICS}
     n_words, chars, lines = np.maximum(s["n_words"], 1), np.maximum(s["word_chars"], 1), np.maximum(s["n_lines"], 1)
     return np.stack(
         [
@@ -158,30 +161,28 @@ def fit_quality(
     known = known.select(F.col(id_column).alias("_id"), F.col(label).alias("_label"))
     chosen = sample_by_class(known, "_label", F.xxhash64(F.col("_id").cast("string")), per_class).distinct()
     rows = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("_id")).select("_id", "_label", text)
-    sample = document_statistics(rows, text).orderBy("_id", "_label", *STATISTICS).limit(4 * per_class).toPandas()
-    if sample["_label"].nunique() < 2:
+    sample = document_statistics(rows, text).orderBy("_id", "_label", *STATISTICS).limit(4 * per_class).toArrow()
+    columns = {c: sample.column(c).to_numpy() for c in ("_label", *STATISTICS)}
+    if len(np.unique(columns["_label"])) < 2:
         return None
-    return boosting.fit(features(sample), (sample["_label"] == 0).to_numpy(float), np.array(list(FEATURES.values())))
+    return boosting.fit(features(columns), (columns["_label"] == 0).astype(float), np.array(list(FEATURES.values())))
 
 
-def judged(stats: DataFrame, trees: boosting.Trees | None, limit: float = 0.5) -> DataFrame:
-    """``base_failed``, ``bad_score`` and ``kept`` beside the columns of ``stats``.
+def judge(
+    docs: DataFrame, trees: boosting.Trees | None, text: str = "text", keep_text: bool = False, limit: float = 0.5
+) -> DataFrame:
+    """``STATISTICS``, ``base_failed``, ``bad_score`` and ``kept`` beside the columns of ``docs``.
 
     ``base_failed``: fewer than 10 words, or more than a fifth of the words in 5-word
     windows that occur again.  ``kept``: not so, and P(bad) below ``limit``.  Without
-    labels of both classes only the fixed rules judge.  No shuffle.
+    labels of both classes only the fixed rules judge.  Columns named like the results are
+    replaced.  No shuffle.
     """
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    stats = stats.drop("base_failed", "bad_score", "kept")
-
-    def score(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for group in columns:
-            table = pd.DataFrame(dict(zip(STATISTICS, group)))
-            yield pd.Series(trees.probabilities(features(table)) if len(table) else [], dtype=float)
-
-    bad = F.pandas_udf(score, "double")(*STATISTICS) if trees else F.lit(0.0)
-    return (
-        stats.withColumn("base_failed", failed)
-        .withColumn("bad_score", bad)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("bad_score") < limit))
-    )
+    stats = document_statistics(docs.drop("base_failed", "kept"), text, keep_text, trees)
+    return stats.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("bad_score") < limit))
+
+
+def judged(stats: DataFrame, trees: boosting.Trees | None) -> DataFrame:
+    """As ``judge``, for a table with a column ``text``."""
+    return judge(stats, trees, keep_text=True)

@@ -114,7 +114,7 @@ def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     trees = QU.fit_quality(docs, table(spark, sf, "labels"))
-    return QU.judged(QU.document_statistics(docs), trees).select(
+    return QU.judge(docs, trees).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "bad_score", "kept"
     )
 

@@ -24,6 +24,7 @@ from pageloom.llm import token_counts as TC
 from pageloom.llm import toxicity as TO
 from pageloom.llm import url_filter as U
 from pageloom.llm.components import components
+from pageloom.llm.counting import value_counts
 from pageloom.llm.queries import QUERIES, SQL, URL_RULES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -301,16 +302,49 @@ def brute_statistics(text):
 
 def test_quality(spark, sf, odd, none, labels):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
-    stats = QU.document_statistics(docs, keep_text=True)
-    found = QU.judged(stats, QU.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))).collect()
+    found = QU.judge(docs, QU.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet")), keep_text=True).collect()
     assert len(found) == docs.count()
     for r in found:
         own = brute_statistics(r["text"])
         assert tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == own
         assert r["base_failed"] == (own[0] < 10 or 100 * own[4] > 20 * own[0]) and not (r["kept"] and r["base_failed"])
-    plain = QU.judged(QU.document_statistics(odd), QU.fit_quality(odd, labels))
+    plain = QU.judge(odd, QU.fit_quality(odd, labels))
     assert plain.filter("kept = base_failed").count() == 0 and plain.columns.count("n_words") == 1
-    assert QU.judged(QU.document_statistics(none), None).count() == 0
+    assert QU.judge(none, None).count() == 0
+
+
+def thue_morse(size):
+    """Two different strings whose polynomial hashes modulo 2^64 agree from 1,024 letters on."""
+    word = "".join("ab"[k.bit_count() % 2] for k in range(size))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_and_lines_are_told_apart(spark):
+    pairs = [thue_morse(n) for n in (500, 511, 512, 1_024, 2_048, 4_096)]
+    lines = spark.createDataFrame([(k, f"{a}\n{b}\n{a}") for k, (a, b) in enumerate(pairs)], "doc_id long, text string")
+    for r in QU.document_statistics(lines, keep_text=True).collect():
+        assert r["n_dup_lines"] == 1 and r["n_words"] == 3
+    docs = [(10 * k + i, w) for k, pair in enumerate(pairs) for i, w in enumerate([*pair, pair[0].upper()])]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in NG.linked_documents(table).collect()}
+    assert found == brute_components(docs)
+    scores = LM.score_texts(table, F.col("doc_id") % 10 == 0).collect()
+    assert {r["doc_id"]: r["n_known"] for r in scores} == {k: 1 + (k % 10 != 1) for k, _ in docs}
+
+
+def test_value_counts_combine_hot_values(spark):
+    rows = spark.range(0, 40_000, 1, 7)
+
+    def values(batch):
+        k = batch.column("id").to_numpy().astype(np.uint64)
+        yield np.concatenate([k % np.uint64(3), k << np.uint64(40), k // np.uint64(2) << np.uint64(41)])
+
+    wanted = Counter()
+    for k in range(40_000):
+        wanted.update([k % 3, k << 40, k // 2 << 41])
+    found = {r["value"] % (1 << 64): r["n"] for r in value_counts(rows, values, 2).collect()}
+    assert found == {v: n for v, n in wanted.items() if n > 1}
+    assert value_counts(rows.limit(0), values, 1).count() == 0
 
 
 # --- 4 and 2 ---------------------------------------------------------------------------
