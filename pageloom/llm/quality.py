@@ -181,8 +181,3 @@ def judge(
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     stats = document_statistics(docs.drop("base_failed", "kept"), text, keep_text, trees)
     return stats.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("bad_score") < limit))
-
-
-def judged(stats: DataFrame, trees: boosting.Trees | None) -> DataFrame:
-    """As ``judge``, for a table with a column ``text``."""
-    return judge(stats, trees, keep_text=True)
