@@ -41,7 +41,7 @@ SMOOTH = 0.1
 END = OUTPUT_WORDS
 OUTPUTS = OUTPUT_WORDS + 1 + CLASSES
 _START = OUTPUTS  # stands before a text
-_BATCH = 512
+_BATCH = 1_024
 _TOKENS_AT_ONCE = 8_192
 
 
@@ -252,29 +252,53 @@ class _Trainer:
         self.past = [np.full(p.shape, 1.0, np.float32) for p in model.parts()]
 
     def step(self, codes: np.ndarray, context: np.ndarray) -> None:
-        m, n = self.model, len(codes)
+        """One update from a batch.
+
+        What the context of each place contributes is a row of ``words`` times its matrix, so
+        both gradients follow from the sums of the predictions' gradients by word and place.
+        """
+        m = self.model
         noise = np.minimum(np.searchsorted(self.cumulative, self.dice.random(NOISE)), OUTPUTS - 1)
-        held = [m.words[context[:, k]] for k in range(CONTEXT)]
-        q = sum(h @ c for h, c in zip(held, m.places))
-        true = (q * m.outputs[codes]).sum(axis=1) + m.bias[codes] - self.log_noise[codes]
-        false = q @ m.outputs[noise].T + m.bias[noise] - self.log_noise[noise]
-        e_true = 1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1
-        e_false = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        g_q = e_true[:, None] * m.outputs[codes] + e_false @ m.outputs[noise]
-        g_out, g_bias = np.zeros_like(m.outputs), np.zeros_like(m.bias)
-        np.add.at(g_out, codes, e_true[:, None] * q)
+        q = (m.words @ m.places[0])[context[:, 0]]
+        for k in range(1, CONTEXT):
+            q += (m.words @ m.places[k])[context[:, k]]
+        real, unreal = m.outputs[codes], m.outputs[noise]
+        true = np.einsum("nw,nw->n", q, real) + (m.bias - self.log_noise)[codes]
+        false = q @ unreal.T
+        false += (m.bias - self.log_noise)[noise]
+        e_true, e_false = _logistic(true) - 1, _logistic(false)
+        g_q = e_false @ unreal
+        real *= e_true[:, None]
+        g_q += real
+        g_out = _sums_by(codes, q * e_true[:, None], OUTPUTS)
+        g_bias = np.bincount(codes, e_true, OUTPUTS).astype(np.float32)
         np.add.at(g_out, noise, e_false.T @ q)
-        np.add.at(g_bias, codes, e_true)
         np.add.at(g_bias, noise, e_false.sum(axis=0))
         g_words, g_places = np.zeros_like(m.words), np.empty_like(m.places)
-        for k, h in enumerate(held):
-            g_places[k] = h.T @ g_q
-            np.add.at(g_words, context[:, k], g_q @ m.places[k].T)
+        for k in range(CONTEXT):
+            by_word = _sums_by(context[:, k], g_q, OUTPUTS + 1)
+            g_places[k] = m.words.T @ by_word
+            g_words += by_word @ m.places[k].T
         for part, past, g in zip(m.parts(), self.past, (g_words, g_places, g_out, g_bias)):
             past += g * g
             part -= self.rate * g / np.sqrt(past)
 
 
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), in the memory of ``x``."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _sums_by(group: np.ndarray, rows: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of the rows of each group."""
+    place = (group[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    return np.bincount(place, rows.ravel(), groups * WIDTH).reshape(groups, WIDTH).astype(np.float32)
+
+
 def _texts_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     column = batch.column("codes").cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
