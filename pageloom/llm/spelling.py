@@ -7,10 +7,12 @@ the word's *pivots*.  One edit destroys one pivot at most.  Of two words one edi
 be the one whose prefix ends earlier in the order: a surviving pivot of a stands in the prefix
 of the other, so it is enough to look up the pivots of all words in the prefixes of all words.
 
-The edit lies on one side of a bigram that survives, so on the other side the words agree up
-to the end, and the bigram stands equally far from that end.  This is the position limit: a
-pivot meets a prefix bigram only if they have the same place from the front and the same
-characters before it, or the same place from the back and the same characters behind it.
+If the edit lies behind the first pivot, all characters up to and with that pivot stay, and so
+does its place from the front; else all characters from the second pivot on stay, and so does
+its place from the back.  These are the position limits: a pivot meets a prefix bigram only
+with the same characters on that side.  What remains on the other side differs by the one edit,
+so one half of it agrees as well.  A key holds a bigram with its side and one half of the rest;
+words that share a key are compared.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,30 +112,65 @@ def pivot_places(word: str, places: list[int], counts: np.ndarray) -> tuple[int,
     return two[1], two[2]
 
 
-def keys(words: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(word, side, key, pivot): what a word is looked up by (pivot) and found by.
+def _halves(rest: str, size: int, front: bool) -> tuple[str, str]:
+    """The two halves of a rest of ``size`` characters, as one of ``rest``'s length has them if they stay.
 
-    ``key`` holds the characters before the bigram and the bigram (side 0), or the bigram
-    and those behind it (side 1).
+    ``front``: the halves next to the bigram and away from it are those at the beginning and
+    the end, else the other way round.
     """
+    near, far = size // 2, size - size // 2
+    if front:
+        return rest[:near], rest[len(rest) - far :] if far else ""
+    return rest[len(rest) - near :] if near else "", rest[:far]
+
+
+def _side_keys(word: str, at: int, side: int, sizes: Iterator[int] | range) -> Iterator[str]:
+    """The keys of a bigram for one side: up to and with it (0) or from it on (1), and a half of the rest."""
+    held, rest = (word[: at + 2], word[at + 2 :]) if side == 0 else (word[at:], word[:at])
+    for size in sizes:
+        if size >= 0:
+            for half, part in enumerate(_halves(rest, size, side == 0)):
+                yield f"{side}{half}{size} {held} {part}"
+
+
+def found_by(word: str, counts: np.ndarray) -> list[str]:
+    """The keys of a word's prefix, both sides of each bigram."""
+    size = len(word) - 2
+    return [
+        key
+        for at in prefix_places(word, counts)
+        for side, rest in ((0, size - at), (1, at))
+        for key in _side_keys(word, at, side, range(rest, rest + 1))
+    ]
+
+
+def looked_up(word: str, counts: np.ndarray) -> list[str]:
+    """The keys of a word's pivots; the rest of the other word has one character less, as many, or one more."""
+    first, second = pivot_places(word, prefix_places(word, counts), counts)
+    rest = len(word) - 2 - first
+    return [
+        *_side_keys(word, first, 0, range(rest - 1, rest + 2)),
+        *_side_keys(word, second, 1, range(second - 1, second + 2)),
+    ]
+
+
+def keys(words: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(word, key, pivot): what a word looks up (pivot) and what it is found by, as 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            word, side, key, pivot = [], [], [], []
-            for w in batch.column("word").to_pylist():
-                places = prefix_places(w, counts)
-                chosen = pivot_places(w, places, counts)
-                for k in places:
-                    word += [w, w]
-                    side += [0, 1]
-                    key += [w[: k + 2], w[k:]]
-                    pivot += [k in chosen] * 2
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.string()), pa.array(side, pa.int32()), pa.array(key, pa.string()), pa.array(pivot, pa.bool_())],
-                ["word", "side", "key", "pivot"],
-            )
-
-    return words.select("word").mapInArrow(run, "word string, side int, key string, pivot boolean")
+            every = batch.column("word").to_pylist()
+            for pivot, listed in ((True, looked_up), (False, found_by)):
+                own = [{digest(k) for k in listed(w, counts)} for w in every]
+                size = [len(k) for k in own]
+                held = np.fromiter((k for some in own for k in some), np.uint64, sum(size))
+                word = batch.column("word").take(pa.array(np.repeat(np.arange(len(every)), size)))
+                yield pa.RecordBatch.from_arrays(
+                    [word, pa.array(held.view(np.int64)), pa.array(np.full(len(held), pivot))], ["word", "key", "pivot"]
+                )
+
+    return words.select("word").mapInArrow(run, "word string, key long, pivot boolean")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -142,10 +180,9 @@ def near_words(words: DataFrame) -> DataFrame:
     """
     counts = gram_counts(words)
     index = cut_lineage(keys(words, counts))
-    pivots = index.filter("pivot").select("side", "key", F.col("word").alias("p"))
-    found = index.select("side", "key", F.col("word").alias("q"))
-    size = F.length("p") - F.length("q")
-    met = pivots.join(found, ["side", "key"]).filter((F.col("p") != F.col("q")) & size.between(-1, 1))
+    pivots = index.filter("pivot").select("key", F.col("word").alias("p"))
+    found = index.filter("not pivot").select("key", F.col("word").alias("q"))
+    met = pivots.join(found, "key").filter(F.col("p") != F.col("q"))
     near = met.filter(F.levenshtein("p", "q", 1) == 1)
     return near.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
@@ -159,9 +196,9 @@ def spelling_forms(words: DataFrame, times: int = TIMES) -> DataFrame:
     itself without a form.  Words are distinct, not null and of four characters or more; an
     empty table gives an empty result.
 
-    Work: one join of four keys a word with about six a word; the keys hold all characters
-    on one side of a rare bigram, so few words share one.  Counts grow at each step from form
-    to form, so chains are short.
+    Work: one join of twelve keys a word with about as many.  A key fixes all characters on one
+    side of a rare bigram and half of the others, so few words share one.  Counts grow at each
+    step from form to form, so chains are short.
     """
     words = cut_lineage(words.select("word", "n"))
     near = cut_lineage(near_words(words))

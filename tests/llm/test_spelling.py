@@ -87,6 +87,19 @@ def test_pivots_share_no_character_and_cost_least():
         assert all(cost(k) >= cost(p) for k in outside for p in places)
 
 
+def test_words_one_edit_apart_share_a_key():
+    dice = random.Random(7)
+    for _ in range(3_000):
+        letters = dice.choice(["ab", "abcdef"])
+        word = "".join(dice.choices(letters, k=dice.randint(4, 11)))
+        k = dice.randrange(len(word) + 1)
+        other = dice.choice([word[:k] + word[k + 1 :], word[:k] + dice.choice(letters) + word[k:], word[:k] + dice.choice(letters) + word[k + 1 :]])
+        if one_edit(word, other) and len(other) >= 4:
+            counts = np.array([dice.randrange(5) for _ in range(SP.COUNTERS)])
+            one = set(SP.looked_up(word, counts)) & set(SP.found_by(other, counts))
+            assert one or set(SP.looked_up(other, counts)) & set(SP.found_by(word, counts)), (word, other)
+
+
 def test_forms_and_roots(spark):
     counts = {
         "aaaaaaa": 1_000, "aaaaaab": 100, "aaaaabb": 10, "aaaabbb": 1, "bbbbbbbb": 50, "bbbbbbb": 4, "cccccccc": 20, "ccccccd": 2,
