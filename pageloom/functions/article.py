@@ -20,18 +20,6 @@ BAD_NAME = r"(?i)sidebar|footer|nav|comment|promo|advert|\bad\b|menu|related"
 EXCERPT_CHARS = 200
 
 
-def _noisy(nodes: Column, number: Column) -> Column:
-    node = F.get(nodes, number)
-    inside = F.exists(node["anc"], lambda a: F.get(nodes, a)["tag"].isin(*NOISE_TAGS))
-    return F.coalesce(inside | node["tag"].isin(*NOISE_TAGS), F.lit(False))
-
-
-def _linked(nodes: Column, number: Column) -> Column:
-    node = F.get(nodes, number)
-    inside = F.exists(node["anc"], lambda a: F.get(nodes, a)["tag"] == "a")
-    return F.coalesce(inside | (node["tag"] == "a"), F.lit(False))
-
-
 def _chars(chunks: Column) -> Column:
     return F.aggregate(chunks, F.lit(0), lambda n, c: n + F.length(F.trim(c["text"])))
 
@@ -125,17 +113,23 @@ def _best_container(dom: Column, clean: Column) -> Column:
 
 def article(html: ColumnOrName, dom: ColumnOrName | None = None) -> Column:
     """``struct(title, content, text_content, length, excerpt)``; length is in bytes."""
-    html = col(html)
-    dom = D.parse(html) if dom is None else col(dom)
+    if dom is None:
+        return let(D.parse(html), lambda d: article(html, d))
+    html, dom = col(html), col(dom)
     nodes = dom["nodes"]
-    marked = F.transform(
-        dom["chunks"],
-        lambda c: F.struct(
-            c["text"].alias("text"),
-            _noisy(nodes, c["node"]).alias("noise"),
-            _linked(nodes, c["node"]).alias("linked"),
-        ),
-    )
+
+    def marked(noise: Column, linked: Column) -> Column:
+        return F.transform(
+            dom["chunks"],
+            lambda c: F.struct(
+                c["text"].alias("text"),
+                D.flagged(noise, c["node"]).alias("noise"),
+                D.flagged(linked, c["node"]).alias("linked"),
+            ),
+        )
+
+    noise = D.within(dom, F.filter(nodes, lambda n: n["tag"].isin(*NOISE_TAGS)))
+    linked = D.within(dom, F.filter(nodes, lambda n: n["tag"] == "a"))
 
     def build(clean: Column) -> Column:
         def read(node: Column) -> Column:
@@ -157,4 +151,4 @@ def article(html: ColumnOrName, dom: ColumnOrName | None = None) -> Column:
 
         return let(_best_container(dom, clean), read)
 
-    return let(marked, build)
+    return let(let(noise, lambda x: let(linked, lambda y: marked(x, y))), build)

@@ -1,10 +1,12 @@
 """Element tree of a page as one nested column, and CSS access to it.
 
 ``parse`` turns each page into a struct of its elements and text pieces in page
-order.  Everything after that is a column expression on the row of the page:
-descendants of an element are one slice, ancestors are listed by number, so
-selecting needs neither a join nor a shuffle.  ``node_table`` gives the same
-elements as rows.
+order.  An element is numbered by its place and encloses the numbers up to its
+``end``, so the tree takes room in proportion to the page, however deep it is.
+Everything after that is a column expression on the row of the page: descendants
+of an element are one slice, and whether an element lies inside others is read from
+flags over the page that follow from their intervals.  Selecting needs neither a join
+nor a shuffle.  ``node_table`` gives the same elements as rows.
 
 The tree follows the usual rules for void elements, implied end tags, implied
 ``tbody`` and stray end tags.  It does not add missing ``html``/``body`` elements
@@ -15,7 +17,10 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,8 +34,9 @@ NODE_TYPE = T.StructType(
     [
         T.StructField("id", _INT),
         T.StructField("parent", _INT),
-        T.StructField("anc", T.ArrayType(_INT)),
+        # Place among the children of the parent, and the child before it.
         T.StructField("sib", _INT),
+        T.StructField("prev", _INT),
         T.StructField("last", T.BooleanType()),
         T.StructField("end", _INT),
         T.StructField("tag", _TEXT),
@@ -72,14 +78,18 @@ for _part in ("thead", "tbody", "tfoot"):
 for _part in CLOSES_PARAGRAPH:
     IMPLIED_END[_part] = (frozenset(("p",)), frozenset(("td", "th", "table", "button", "object")))
 
+# A comment, tag or quoted value without its end takes the rest of the page.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(>|\Z)",
+    re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 # Places in a node record.
-_ID, _PARENT, _SIB, _LAST, _END, _TAG, _C0, _C1, _O0, _O1, _I0, _I1 = range(12)
+_ID, _PARENT, _SIB, _PREV, _LAST, _END, _TAG, _C0, _C1, _O0, _O1, _I0, _I1 = range(13)
+_CELLS = ("td", "th", "table")
 
 
 class _Batch:
@@ -87,8 +97,6 @@ class _Batch:
 
     def __init__(self) -> None:
         self.nodes: list[list] = []
-        self.anc: list[int] = []
-        self.anc_at = [0]
         self.keys: list[str] = []
         self.values: list[str] = []
         self.attr_at = [0]
@@ -111,7 +119,8 @@ class _Batch:
         nodes: list[list] = []
         chunk0 = len(self.text)
         stack: list[int] = []
-        children: dict[int, list[int]] = {}
+        depths: dict[str, list[int]] = {}  # of each tag: where in the stack it is open
+        youngest: dict[int, int] = {}  # of each parent: its last child so far
         search, text, owner = _TOKEN.search, self.text, self.owner
 
         def add_text(piece: str) -> None:
@@ -122,21 +131,22 @@ class _Batch:
         def open_node(tag: str, attributes: str, start: int, stop: int) -> None:
             number = len(nodes)
             parent = stack[-1] if stack else -1
-            siblings = children.setdefault(parent, [])
+            before = youngest.get(parent, -1)
+            place = nodes[before][_SIB] + 1 if before >= 0 else 0
             chunk = len(text) - chunk0
             nodes.append(
-                [number, parent, len(siblings), False, number + 1, tag, chunk, chunk, start, stop, stop, stop]
+                [number, parent, place, before, False, number + 1, tag, chunk, chunk, start, stop, stop, stop]
             )
-            siblings.append(number)
-            self.anc.extend(stack)
-            self.anc_at.append(len(self.anc))
+            youngest[parent] = number
             if attributes:
                 self.add_attributes(attributes)
             self.attr_at.append(len(self.keys))
+            depths.setdefault(tag, []).append(len(stack))
             stack.append(number)
 
         def close_top(inner: int, outer: int) -> None:
             node = nodes[stack.pop()]
+            depths[node[_TAG]].pop()
             node[_END] = len(nodes)
             node[_C1] = len(text) - chunk0
             node[_I1], node[_O1] = inner, outer
@@ -145,27 +155,23 @@ class _Batch:
             while len(stack) > depth:
                 close_top(position, position)
 
+        def deepest(tags: Iterable[str]) -> int:
+            return max((depths[t][-1] for t in tags if depths.get(t)), default=-1)
+
         def end_tag(tag: str, start: int, stop: int) -> None:
-            for depth in range(len(stack) - 1, -1, -1):
-                at = nodes[stack[depth]][_TAG]
-                if at == tag:
-                    close_down_to(depth + 1, start)
-                    close_top(start, stop)
-                    return
-                if at in ("td", "th", "table") and tag not in TABLE_PARTS:
-                    return
+            depth = deepest((tag,))
+            if depth >= 0 and (tag in TABLE_PARTS or depth > deepest(_CELLS)):
+                close_down_to(depth + 1, start)
+                close_top(start, stop)
 
         def end_implied(tag: str, position: int) -> None:
             ended, boundary = IMPLIED_END[tag]
-            cut = None
-            for depth in range(len(stack) - 1, -1, -1):
-                at = nodes[stack[depth]][_TAG]
-                if at in boundary:
-                    break
-                if at in ended:
-                    cut = depth
-            if cut is not None:
-                close_down_to(cut, position)
+            some = [depths[t] for t in ended if depths.get(t)]
+            if some:
+                edge = deepest(boundary)
+                cut = min((d[k] for d in some if (k := bisect_right(d, edge)) < len(d)), default=None)
+                if cut is not None:
+                    close_down_to(cut, position)
 
         position, size = 0, len(page)
         while position < size:
@@ -177,8 +183,8 @@ class _Batch:
             if start > position:
                 add_text(page[position:start])
             position = token.end()
-            closing, tag, attributes = token.groups()
-            if tag is None:
+            closing, tag, attributes, ending = token.groups()
+            if tag is None or not ending:
                 continue
             tag = tag.lower()
             if closing:
@@ -192,7 +198,7 @@ class _Batch:
             if tag in VOID:
                 close_top(position, position)
             elif tag in RAW_TEXT or tag in PLAIN_TEXT:
-                stop = re.compile(f"</{tag}[^>]*>", re.I).search(page, position)
+                stop = re.compile(f"</{tag}[^>]*+(?:>|\\Z)", re.I).search(page, position)
                 inner, outer = (stop.start(), stop.end()) if stop else (size, size)
                 body = page[position:inner]
                 if tag in RAW_TEXT and body:
@@ -203,8 +209,8 @@ class _Batch:
                 close_top(inner, outer)
                 position = outer
         close_down_to(0, size)
-        for siblings in children.values():
-            nodes[siblings[-1]][_LAST] = True
+        for number in youngest.values():
+            nodes[number][_LAST] = True
         self.nodes.extend(nodes)
 
     def end_row(self) -> None:
@@ -215,13 +221,12 @@ class _Batch:
         def ints(values: list[int]) -> pa.Array:
             return pa.array(values, pa.int32())
 
-        flat = list(zip(*self.nodes)) if self.nodes else [()] * 12
-        anc = pa.ListArray.from_arrays(ints(self.anc_at), ints(self.anc))
+        flat = list(zip(*self.nodes)) if self.nodes else [()] * (_I1 + 1)
         attrs = pa.MapArray.from_arrays(
             ints(self.attr_at), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string())
         )
         parts = [
-            ints(flat[_ID]), ints(flat[_PARENT]), anc, ints(flat[_SIB]), pa.array(flat[_LAST], pa.bool_()),
+            ints(flat[_ID]), ints(flat[_PARENT]), ints(flat[_SIB]), ints(flat[_PREV]), pa.array(flat[_LAST], pa.bool_()),
             ints(flat[_END]), pa.array(flat[_TAG], pa.string()), attrs, *[ints(flat[i]) for i in range(_C0, _I1 + 1)],
         ]
         nodes = pa.ListArray.from_arrays(
@@ -253,22 +258,82 @@ def parse(html: ColumnOrName) -> Column:
 def node_table(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """One row per element, numbered in page order.
 
-    ``anc`` lists the ancestors and ``id``/``end`` enclose the descendants, so
-    structural joins are equi-joins on page and element number.
+    ``parent`` is the number of the enclosing element and ``id``/``end`` enclose the
+    descendants, so joins of children are equi-joins on page and element number, and
+    those of descendants are range joins inside a page.
     """
     parsed = pages.select(*keep, parse(html).alias("dom"))
     opened = unpack(parsed, keep, F.col("dom.nodes"), "_place", "_node")
     return opened.select(*keep, "_node.*")
 
 
+# --- containment ----------------------------------------------------------------
+
+#: Intervals that are folded at once; a fold copies what it has at each step.
+_FOLD = 256
+_SPANS = "array<struct<id:int,end:int>>"
+
+
+def _outermost(marked: Column) -> Column:
+    """The intervals of nested nodes (in page order) that lie in no other one.
+
+    They are nested or apart, so one counts if it begins behind the greatest end before it.
+    """
+
+    def part(k: Column) -> Column:
+        before = F.transform(F.slice(marked, F.lit(1), k * _FOLD), lambda m: m["end"])
+        state = F.struct(F.coalesce(F.array_max(before), F.lit(0)).alias("edge"), F.array().cast(_SPANS).alias("kept"))
+
+        def step(held: Column, m: Column) -> Column:
+            span = F.struct(m["id"].alias("id"), m["end"].alias("end"))
+            grown = F.struct(m["end"].alias("edge"), F.concat(held["kept"], F.array(span)).alias("kept"))
+            return F.when(m["id"] >= held["edge"], grown).otherwise(held)
+
+        return F.aggregate(F.slice(marked, k * _FOLD + 1, _FOLD), state, step, lambda held: held["kept"])
+
+    parts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(marked) / _FOLD).cast("int") - 1, F.lit(0)))
+    return F.flatten(F.transform(parts, part))
+
+
+def _covered(dom: Column, marked: Column, own: bool) -> Column:
+    """A boolean for each element: whether it lies inside a ``marked`` one, or is one where ``own`` counts."""
+
+    def build(spans: Column) -> Column:
+        def piece(m: Column, i: Column) -> Column:
+            edge, start = F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)), m["id"] if own else m["id"] + 1
+            return F.concat(F.array_repeat(F.lit(False), start - edge), F.array_repeat(F.lit(True), m["end"] - start))
+
+        rest = F.size(dom["nodes"]) - F.coalesce(F.get(spans, F.size(spans) - 1)["end"], F.lit(0))
+        return F.flatten(F.concat(F.transform(spans, piece), F.array(F.array_repeat(F.lit(False), rest))))
+
+    return let(marked, lambda some: let(_outermost(some), build))
+
+
+def inside(dom: ColumnOrName, marked: Column) -> Column:
+    """A boolean for each element of the page: whether it lies inside one of the ``marked`` ones (in page order)."""
+    return _covered(col(dom), marked, own=False)
+
+
+def within(dom: ColumnOrName, marked: Column) -> Column:
+    """As :func:`inside`, and true for the ``marked`` elements themselves."""
+    return _covered(col(dom), marked, own=True)
+
+
+def flagged(flags: Column, number: Column) -> Column:
+    """The flag of an element; false for -1, which stands for no element."""
+    return F.coalesce(F.get(flags, number), F.lit(False))
+
+
 # --- selectors ----------------------------------------------------------------
 
 _SELECTOR = re.compile(
-    r"""(?P<child>\s*>\s*)|(?P<space>\s+)|(?P<tag>\*|[a-zA-Z][\w-]*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)
+    r"""(?P<link>\s*[>+~]\s*)|(?P<space>\s+)|(?P<tag>\*|[a-zA-Z][\w-]*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)
     |\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[~^$*]?=)\s*(?:"(?P<v1>[^"]*)"|'(?P<v2>[^']*)'|(?P<v3>[^\]\s]*)))?\s*\]
-    |:not\((?P<no>[^()]*)\)|:(?P<nth>first-child|last-child|nth-child\(\s*\d+\s*\))""",
+    |:not\((?P<no>[^()]*)\)|:(?:is|where)\((?P<any>[^()]*)\)
+    |:(?P<nth>first-child|last-child|only-child|nth-child\(\s*(?P<every>[^()]*?)\s*\))""",
     re.X,
 )
+_EVERY = re.compile(r"(?P<step>[+-]?\d*)n(?:\s*(?P<sign>[+-])\s*(?P<shift>\d+))?|(?P<one>[+-]?\d+)")
 Test = Callable[[Column], Column]
 
 
@@ -316,18 +381,36 @@ def _simple_test(found: re.Match) -> Test:
         return _attribute_test("class", "~=", found["cls"])
     if found["attr"]:
         return _attribute_test(found["attr"].lower(), found["op"], found["v1"] or found["v2"] or found["v3"] or "")
-    if found["no"] is not None:
-        inner = _chain(found["no"].strip())
-        if len(inner) != 1:
-            raise SelectorError(found["no"])
-        return lambda node: ~F.coalesce(inner[0][1](node), F.lit(False))
+    if found["no"] is not None or found["any"] is not None:
+        inner = [_chain(part) for part in _split_list(found["no"] if found["any"] is None else found["any"])]
+        if any(len(chain) != 1 for chain in inner):
+            raise SelectorError(found[0])
+        tests = [chain[0][1] for chain in inner]
+        either = lambda node: reduce(or_, (F.coalesce(test(node), F.lit(False)) for test in tests))
+        return either if found["no"] is None else lambda node: ~either(node)
     place = found["nth"]
     if place == "first-child":
         return lambda node: node["sib"] == 0
     if place == "last-child":
         return lambda node: node["last"]
-    number = int(re.search(r"\d+", place)[0])
-    return lambda node: node["sib"] == number - 1
+    if place == "only-child":
+        return lambda node: (node["sib"] == 0) & node["last"]
+    return _nth_child(found["every"])
+
+
+def _nth_child(formula: str) -> Test:
+    """``odd``, ``even``, a number, or every ``a``-th one from the ``b``-th on (``an+b``)."""
+    found = _EVERY.fullmatch({"odd": "2n+1", "even": "2n"}.get(formula.lower(), formula.lower()))
+    if not found:
+        raise SelectorError(formula)
+    if found["one"]:
+        return lambda node: node["sib"] + 1 == int(found["one"])
+    step = int(found["step"] + "1") if found["step"] in ("", "+", "-") else int(found["step"])
+    shift = int((found["sign"] or "+") + (found["shift"] or "0"))
+    if step == 0:
+        return lambda node: node["sib"] + 1 == shift
+    # The count n of whole steps is a number from 0 on.
+    return lambda node: (F.pmod(node["sib"] + 1 - shift, F.lit(abs(step))) == 0) & ((node["sib"] + 1 - shift) * (1 if step > 0 else -1) >= 0)
 
 
 def _chain(selector: str) -> list[tuple[str, Test]]:
@@ -338,10 +421,10 @@ def _chain(selector: str) -> list[tuple[str, Test]]:
         found = _SELECTOR.match(selector, position)
         if not found:
             raise SelectorError(selector)
-        if found["child"] or found["space"]:
+        if found["link"] or found["space"]:
             if not steps[-1][1]:
                 raise SelectorError(selector)
-            steps.append((">" if found["child"] else " ", []))
+            steps.append(((found["link"] or " ").strip() or " ", []))
         else:
             steps[-1][1].append(_simple_test(found))
         position = found.end()
@@ -355,32 +438,59 @@ def _split_list(selector: str) -> list[str]:
     return [part.strip() for part in re.split(r",(?![^\[(]*[\])])", selector)]
 
 
-def matches(selector: str) -> Callable[[Column, Column], Column]:
-    """Test of a node beside all nodes of its page for a selector (comma lists too)."""
-    chains = [_chain(part) for part in _split_list(selector)]
+def _near(nodes: Column, chain: list[tuple[str, Test]], node: Column, first: Test | None) -> Column:
+    """Test of a node for compounds that are joined by ``>`` and ``+``; ``first`` is asked of the outermost one."""
+    link, test = chain[-1]
+    result = test(node)
+    if len(chain) > 1:
+        other = F.get(nodes, node["parent" if link == ">" else "prev"])
+        result = result & _near(nodes, chain[:-1], other, first)
+    elif first:
+        result = result & first(node)
+    return F.coalesce(result, F.lit(False))
 
-    def holds(chain: list[tuple[str, Test]], nodes: Column, node: Column) -> Column:
-        link, test = chain[-1]
-        result = test(node)
-        if link == ">":
-            result = result & F.coalesce(holds(chain[:-1], nodes, F.get(nodes, node["parent"])), F.lit(False))
-        elif link == " ":
-            result = result & F.exists(node["anc"], lambda a: holds(chain[:-1], nodes, F.get(nodes, a)))
-        return result
 
-    def test(nodes: Column, node: Column) -> Column:
-        result = holds(chains[0], nodes, node)
-        for chain in chains[1:]:
-            result = result | holds(chain, nodes, node)
-        return result
+def _needed(dom: Column, chain: list[tuple[str, Test]]) -> tuple[Column | None, Callable[[Column], Test]]:
+    """What a chain has to know of the page, and its test beside that: what stands left of a blank or ``~``."""
+    nodes = dom["nodes"]
+    far = [k for k, (link, _) in enumerate(chain) if link in (" ", "~")]
+    if not far:
+        return None, lambda _: lambda n: _near(nodes, chain, n, None)
+    tail = chain[far[-1] :]
+    known, test = _needed(dom, chain[: far[-1]])
+    found = F.filter(nodes, test(None)) if known is None else let(known, lambda k: F.filter(nodes, test(k)))
+    if tail[0][0] == "~":
 
-    return test
+        def follows(elder: Column) -> Test:
+            return lambda n: F.exists(elder, lambda s: (s["parent"] == n["parent"]) & (s["sib"] < n["sib"]))
+
+        return found, lambda elder: lambda n: _near(nodes, tail, n, follows(elder))
+    return inside(dom, found), lambda flags: lambda n: _near(nodes, tail, n, lambda top: flagged(flags, top["id"]))
+
+
+def with_tests(dom: ColumnOrName, selectors: Sequence[str], use: Callable[[list[Test]], Column]) -> Column:
+    """``use`` of a test of nodes for each selector (comma lists too).
+
+    What the tests need to know of the whole page is worked out once, outside of ``use``.
+    """
+    dom = col(dom)
+    needs = [[_needed(dom, _chain(part)) for part in _split_list(s)] for s in selectors]
+    known = [k.alias(f"k{i}_{j}") for i, some in enumerate(needs) for j, (k, _) in enumerate(some) if k is not None]
+
+    def tests(held: Column | None) -> list[Test]:
+        return [
+            lambda n, i=i, some=some: reduce(
+                or_, (test(None if k is None else held[f"k{i}_{j}"])(n) for j, (k, test) in enumerate(some))
+            )
+            for i, some in enumerate(needs)
+        ]
+
+    return let(F.struct(*known), lambda held: use(tests(held))) if known else use(tests(None))
 
 
 def select(dom: ColumnOrName, selector: str) -> Column:
     """Matching nodes in page order."""
-    nodes, test = col(dom)["nodes"], matches(selector)
-    return F.filter(nodes, lambda n: test(nodes, n))
+    return with_tests(dom, [selector], lambda tests: F.filter(col(dom)["nodes"], lambda n: tests[0](n)))
 
 
 def select_first(dom: ColumnOrName, selector: str) -> Column:
@@ -424,8 +534,9 @@ def _read(html: Column, dom: Column, node: Column, accessor: str) -> Column:
 def access(html: ColumnOrName, selector: str, accessor: str = "text", dom: ColumnOrName | None = None) -> Column:
     """Value of the first match: ``text``, ``html`` (outer), ``attr:name``, the same
     after ``parent.``, or after ``children.N.``; NULL without a match."""
-    html = col(html)
-    dom = parse(html) if dom is None else col(dom)
+    if dom is None:
+        return let(parse(html), lambda d: access(html, selector, accessor, d))
+    html, dom = col(html), col(dom)
     try:
         found = select_first(dom, selector)
     except SelectorError:
@@ -453,8 +564,9 @@ def element(html: ColumnOrName, selector: str, dom: ColumnOrName | None = None)
 
     A `` @name`` suffix asks for a bare attribute, which leaves the fields NULL.
     """
-    html = col(html)
-    dom = parse(html) if dom is None else col(dom)
+    if dom is None:
+        return let(parse(html), lambda d: element(html, selector, d))
+    html, dom = col(html), col(dom)
     kind = "struct<text:string,html:string,attr:map<string,string>>"
     bare = re.fullmatch(r"(.*) @(\S+)\s*", selector)
     try:
@@ -492,7 +604,8 @@ def css_select(
 
 def all_texts(html: ColumnOrName, selector: str, dom: ColumnOrName | None = None) -> Column:
     """Trimmed text of every match; an empty array for a bad selector."""
-    dom = parse(html) if dom is None else col(dom)
+    if dom is None:
+        return let(parse(html), lambda d: all_texts(html, selector, d))
     try:
         found = select(dom, selector)
     except SelectorError:

@@ -196,19 +196,23 @@ def each_element(
     below it, with an empty selector for the element itself."""
     parsed = pages.withColumn("_dom", D.parse(html))
     dom = F.col("_dom")
-    nodes = dom["nodes"]
 
-    def part(root: Column, where: tuple[str, str]) -> Column:
-        selector_, accessor = where
-        if not selector_:
+    def part(root: Column, test: D.Test | None, accessor: str) -> Column:
+        if test is None:
             return D._read(F.col(html), dom, root, accessor)
-        test = D.matches(selector_)
-        found = F.get(F.filter(D.descendants(dom, root), lambda n: test(nodes, n)), F.lit(0))
+        found = F.get(F.filter(D.descendants(dom, root), lambda n: test(n)), F.lit(0))
         return let(found, lambda n: D._read(F.col(html), dom, n, accessor))
 
-    rows = F.transform(
-        D.select(dom, selector), lambda root: F.struct(*[part(root, w).alias(a) for a, w in parts.items()])
-    )
+    below = {name: selector_ for name, (selector_, _) in parts.items() if selector_}
+
+    def read(tests: list[D.Test]) -> Column:
+        known = dict(zip(below, tests[1:]))
+        return F.transform(
+            F.filter(dom["nodes"], lambda n: tests[0](n)),
+            lambda root: F.struct(*[part(root, known.get(a), accessor).alias(a) for a, (_, accessor) in parts.items()]),
+        )
+
+    rows = D.with_tests(dom, [selector, *below.values()], read)
     return unpack(parsed, [*keep], rows, "place", "_e").select(
         *keep, "place", *[F.col(f"_e.{a}").alias(a) for a in parts]
     )

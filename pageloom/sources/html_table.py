@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,26 +17,22 @@ from pageloom.session import cut_lineage
 NAME_MARKS = r"[ \-/\\(),]"
 
 
-def _has_ancestor(nodes: Column, node: Column, tag: str) -> Column:
-    return F.exists(node["anc"], lambda a: F.get(nodes, a)["tag"] == tag)
-
+def _citations(dom: Column) -> Column:
+    """Flags of the elements that are, or lie in, a mark of a reference."""
 
-def _cell_text(dom: Column, node: Column, skip_citations: bool) -> Column:
-    nodes, chunks = dom["nodes"], F.slice(dom["chunks"], node["c0"] + 1, node["c1"] - node["c0"])
-
-    def is_citation(number: Column) -> Column:
-        n = F.get(nodes, number)
+    def is_citation(n: Column) -> Column:
         marked = F.startswith(F.coalesce(D.attr(n, "id"), F.lit("")), F.lit("cite_ref")) | F.contains(
             F.coalesce(D.attr(n, "class"), F.lit("")), F.lit("reference")
         )
-        return F.coalesce((n["tag"] == "sup") & marked, F.lit(False))
+        return (n["tag"] == "sup") & marked
 
-    if skip_citations:
-        chunks = F.filter(
-            chunks,
-            lambda c: ~is_citation(c["node"])
-            & ~F.coalesce(F.exists(F.get(nodes, c["node"])["anc"], is_citation), F.lit(False)),
-        )
+    return D.within(dom, F.filter(dom["nodes"], is_citation))
+
+
+def _cell_text(dom: Column, node: Column, skipped: Column | None) -> Column:
+    chunks = F.slice(dom["chunks"], node["c0"] + 1, node["c1"] - node["c0"])
+    if skipped is not None:
+        chunks = F.filter(chunks, lambda c: ~D.flagged(skipped, c["node"]))
     joined = F.array_join(F.transform(chunks, lambda c: c["text"]), "")
     return F.trim(F.regexp_replace(joined, r"\s+", " "))
 
@@ -52,13 +50,13 @@ def table_struct(
     dom = col(dom)
     nodes = dom["nodes"]
 
-    def cells(found: Column) -> Column:
-        return F.transform(found, lambda n: _cell_text(dom, n, skip_citations))
-
-    def build(root: Column) -> Column:
+    def build(root: Column, skipped: Column | None) -> Column:
         inside = D.descendants(dom, root)
         is_list = root["tag"].isin("ul", "ol")
 
+        def cells(found: Column) -> Column:
+            return F.transform(found, lambda n: _cell_text(dom, n, skipped))
+
         def from_list(below: Column) -> Column:
             items = cells(F.filter(below, lambda n: n["tag"] == "li"))
             return F.struct(
@@ -66,25 +64,28 @@ def table_struct(
             )
 
         def from_table(below: Column) -> Column:
-            heads = F.filter(below, lambda n: (n["tag"] == "th") & _has_ancestor(nodes, n, "tr"))
-            in_thead = F.filter(heads, lambda n: _has_ancestor(nodes, n, "thead"))
-            first_cells = F.filter(
-                below,
-                lambda n: (n["tag"] == "td")
-                & F.exists(
-                    n["anc"], lambda a: (F.get(nodes, a)["tag"] == "tr") & (F.get(nodes, a)["sib"] == 0)
-                ),
-            )
-            headers = F.when(F.size(in_thead) > 0, in_thead).when(F.size(heads) > 0, heads).otherwise(first_cells)
+            row = lambda n: n["tag"] == "tr"
+            marks = {
+                "tr": row,
+                "first": lambda n: row(n) & (n["sib"] == 0),
+                "thead": lambda n: n["tag"] == "thead",
+                "tbody": lambda n: n["tag"] == "tbody",
+            }
+            flags = F.struct(*[D.inside(dom, F.filter(nodes, test)).alias(name) for name, test in marks.items()])
+            return let(flags, lambda known: read_table(below, lambda n, name: D.flagged(known[name], n["id"])))
+
+        def read_table(below: Column, under: Callable[[Column, str], Column]) -> Column:
+            heads = F.filter(below, lambda n: (n["tag"] == "th") & under(n, "tr"))
+            thead_cells = F.filter(heads, lambda n: under(n, "thead"))
+            first_cells = F.filter(below, lambda n: (n["tag"] == "td") & under(n, "first"))
+            headers = F.when(F.size(thead_cells) > 0, thead_cells).when(F.size(heads) > 0, heads).otherwise(first_cells)
 
             def row_cells(tr: Column) -> Column:
                 parts = D.descendants(dom, tr)
                 data = F.filter(parts, lambda n: n["tag"] == "td")
                 return cells(data)
 
-            body_rows = F.filter(
-                below, lambda n: (n["tag"] == "tr") & _has_ancestor(nodes, n, "tbody")
-            )
+            body_rows = F.filter(below, lambda n: (n["tag"] == "tr") & under(n, "tbody"))
             rows = F.filter(F.transform(body_rows, row_cells), lambda r: F.size(r) > 0)
             return let(
                 F.struct(cells(headers).alias("h"), rows.alias("r")),
@@ -97,7 +98,10 @@ def table_struct(
         whole = F.when(is_list, let(inside, from_list)).otherwise(let(inside, from_table))
         return F.when(root.isNotNull(), whole)
 
-    return let(F.get(D.select(dom, selector), F.lit(index - 1)), build)
+    root = F.get(D.select(dom, selector), F.lit(index - 1))
+    if skip_citations:
+        return let(_citations(dom), lambda skipped: let(root, lambda r: build(r, skipped)))
+    return let(root, lambda r: build(r, None))
 
 
 def _padding(have: Column, want: Column) -> Column:

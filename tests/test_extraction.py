@@ -1,6 +1,7 @@
 """Golden extraction cases on literal pages."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -312,3 +313,101 @@ def test_tables_of_two_shapes_in_one_read(spark):
     assert sorted(tuple(r) for r in found.collect()) == [(1, 0, 1, "x", None, 2.5), (1, 1, 2, None, None, None), (2, 0, None, "7", 8, None)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "pivot" not in plan.lower() and "Exchange" not in plan
+
+
+def test_selectors_of_siblings_and_places(spark):
+    page = (
+        "<ul><li class=a>1</li><li>2</li><li class=b>3</li><li>4</li><li>5</li></ul><p>x</p><ol><li>6</li></ol>"
+        "<div><section><p>in</p></section><p>low</p></div>"
+    )
+    frame = spark.createDataFrame([(page,)], "html string")
+    wanted = {
+        ".a + li": ["2"],
+        ".a ~ li": ["2", "3", "4", "5"],
+        ".a ~ li + li": ["3", "4", "5"],
+        "ul + p": ["x"],
+        "ul ~ ol > li": ["6"],
+        "li:nth-child(odd)": ["1", "3", "5", "6"],
+        "li:nth-child(even)": ["2", "4"],
+        "li:nth-child(3n+2)": ["2", "5"],
+        "li:nth-child(-n+2)": ["1", "2", "6"],
+        "li:nth-child(n+4)": ["4", "5"],
+        "li:nth-child( 2 )": ["2"],
+        "li:nth-child(0n+3)": ["3"],
+        "li:only-child": ["6"],
+        "li:is(.a, .b)": ["1", "3"],
+        "ul li:not(.a, .b):not(:last-child)": ["2", "4"],
+        "div p": ["in", "low"],
+        "div > p, ol li": ["6", "low"],
+        "div section > p": ["in"],
+        "div section + p": ["low"],
+        "* * p, body div * ol * li, ul ~ p ~ div section p": ["in"],
+        "li:nth-child(x)": [],
+        "li:is(ul li)": [],
+        "li >": [],
+    }
+    found = frame.select(*[D.all_texts("html", s).alias(f"c{k}") for k, s in enumerate(wanted)]).first()
+    assert {s: found[f"c{k}"] for k, s in enumerate(wanted)} == wanted
+
+
+def test_selectors_equal_a_walk_up_the_tree(spark):
+    chance = random.Random(4)
+    tags = ["div", "p", "b", "i"]
+
+    def grow(depth):
+        out = ""
+        for _ in range(chance.randint(0, 4)):
+            tag = chance.choice(["div", "b", "i"])
+            out += f"<{tag}>{grow(depth - 1) if depth else 't'}</{tag}>"
+        return out
+
+    pages = [grow(6) for _ in range(40)]
+    frame = spark.createDataFrame(list(enumerate(pages)), "id int, html string").withColumn("dom", D.parse("html"))
+    pairs = [(a, b) for a in tags for b in tags]
+    picked = frame.select("dom.nodes", *[F.transform(D.select("dom", f"{a} {b}"), lambda n: n["id"]).alias(f"{a}_{b}") for a, b in pairs])
+    for r in picked.collect():
+        nodes = r["nodes"]
+
+        def above(n):
+            while n["parent"] >= 0:
+                n = nodes[n["parent"]]
+                yield n["tag"]
+
+        for a, b in pairs:
+            assert r[f"{a}_{b}"] == [n["id"] for n in nodes if n["tag"] == b and a in above(n)]
+
+
+def test_many_outermost_elements(spark):
+    page = "<ul>" + "<li><b>x<i>y</i></b></li>" * 1_500 + "</ul><b>z</b>"
+    frame = spark.createDataFrame([(page,)], "html string").withColumn("dom", D.parse("html"))
+    found = frame.select(
+        F.size(D.select("dom", "li i")).alias("i"), F.size(D.select("dom", "li > b > i")).alias("c"), F.size(D.select("dom", "ul b")).alias("b")
+    ).first()
+    assert tuple(found) == (1_500, 1_500, 1_500)
+
+
+def test_deep_pages_stay_small(spark):
+    depth = 100_000
+    pages = {
+        "open": "<b>" * depth + "x",
+        "closed": "<div>" * depth + "x" + "</div>" * depth,
+        "stray": "<td>" + "<i>" * depth + "</b>" * depth + "x",
+        "paragraphs": "<p><i>" * (depth // 2) + "x",
+        "quotes": "<a b='" * depth,
+        "opens": "<!" * depth + "</script" * depth,
+    }
+    frame = spark.createDataFrame(list(pages.items()), "id string, html string").withColumn("dom", D.parse("html"))
+    sizes = {r[0]: tuple(r)[1:] for r in frame.select("id", F.size("dom.nodes"), F.length(F.to_json("dom"))).collect()}
+    assert sizes["open"][0] == sizes["closed"][0] == depth and sizes["stray"][0] == depth + 1
+    assert all(length < 300 * depth for _, length in sizes.values())
+    inner = frame.select("id", F.size(D.select("dom", "b b")).alias("b"), F.size(D.select("dom", "div > div")).alias("d"), F.size(D.select("dom", "td i i")).alias("i"))
+    assert {r["id"]: (r["b"], r["d"], r["i"]) for r in inner.collect()} == {
+        "open": (depth - 1, 0, 0), "closed": (0, depth - 1, 0), "stray": (0, 0, depth - 1), "paragraphs": (0, 0, 0), "quotes": (0, 0, 0), "opens": (0, 0, 0)
+    }
+
+
+def test_tags_without_an_end_take_the_rest(spark):
+    pages = ["<p>a</p><b class='x", "<p>a</p><b x=1", "<p>a</p><!doctype", "<p>a</p><!-- b <i>c</i>", "<p>a</p>1 < 2 <b>c</b>"]
+    frame = spark.createDataFrame([(p,) for p in pages], "html string").withColumn("dom", D.parse("html"))
+    tags = [[n["tag"] for n in r[0]] for r in frame.select("dom.nodes").collect()]
+    assert tags == [["p"], ["p"], ["p"], ["p"], ["p", "b"]]
