@@ -1,11 +1,13 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised test items.
 
 Text and items are normalised alike: A-Z lower-cased, words between ASCII characters that are
-no letter or digit.  Words become numbers, and the automaton reads the numbers of a text once.
+no letter or digit.  Words become numbers, numbers a few digits, and the automaton reads the
+digits of a text once.  Each place of a digit has signs of its own, so words cannot be met
+out of step, and no node has many children.
 
 A window is a run of ``width`` consecutive item words.  Items are cut into blocks of half that
 length, one behind the other: every window holds a whole block.  The automaton holds the blocks
-(and whole items shorter than a window), so it has about one node for each item word.  Where a
+(and whole items shorter than a window), so it has a few nodes for each item word.  Where a
 block is met, the words on both sides are compared with those of the item; a stretch of at
 least ``width`` equal words is made of windows, and all of its words are hit.  The place of a
 word in the original text follows from its number.
@@ -16,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -42,8 +45,8 @@ _FIELDS = [
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_FOLDED = np.frombuffer(_FOLD, np.uint8)
-_APART = _FOLDED == 32
+_APART = np.frombuffer(_FOLD, np.uint8) == 32
+_WORDS_AT_ONCE = 1 << 16
 
 
 def item_words(text: str | None) -> list[bytes]:
@@ -82,43 +85,58 @@ class Matcher:
         self.ids, self.width, self.block = slot.ids, width, (width + 1) // 2
         self.known = {w: k + 1 for k, w in enumerate(slot.lexicon)}
         self.numbers, self.first = slot.numbers, slot.first
-        held: dict[tuple[int, ...], tuple[list[int], list[int]]] = {}
+        # Digits a word: so many that all signs of all places fit into one byte.
+        self.digits = next(d for d in range(2, 9) if (256 // d) ** d > len(slot.lexicon))
+        line, d = self._line(slot.numbers), self.digits
+        held: dict[str, tuple[list[int], list[int]]] = {}
         for item, (low, high) in enumerate(zip(slot.first[:-1].tolist(), slot.first[1:].tolist())):
             if low < high < low + width:
-                held.setdefault(tuple(slot.numbers[low:high].tolist()), ([], []))[1].append(item)
+                held.setdefault(line[d * low : d * high], ([], []))[1].append(item)
             elif low < high:
                 for at in range(low, high - self.block + 1, self.block):
-                    held.setdefault(tuple(slot.numbers[at : at + self.block].tolist()), ([], []))[0].append(at)
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE) if held else None
+                    held.setdefault(line[d * at : d * (at + self.block)], ([], []))[0].append(at)
+        self.automaton = ahocorasick.Automaton() if held else None
         while held:
             key, (places, whole) = held.popitem()
-            self.automaton.add_word(key, (len(key), tuple(places), tuple(whole)))
+            self.automaton.add_word(key, (len(key) // d, tuple(places), tuple(whole)))
         if self.automaton:
             self.automaton.make_automaton()
 
-    def word_numbers(self, data: np.ndarray, found: Words) -> np.ndarray:
-        """The numbers of all words of a piece; each different word is looked up once."""
-        ends = np.zeros(len(found.start) + 1, np.int64)
-        np.cumsum(found.end - found.start, out=ends[1:])
-        flat = _FOLDED[data[~_APART[data]]]
-        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(found.start), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
-        coded = column.dictionary_encode()
-        names = np.array([self.known.get(w, 0) for w in coded.dictionary.to_pylist()], np.int32)
-        return names[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int32)
-
-    def scan(self, numbers: list[int]) -> tuple[list[tuple[int, int]], set[int]]:
+    def _line(self, numbers: np.ndarray) -> str:
+        """The digits of all numbers as characters below 256."""
+        base, rest = 256 // self.digits, numbers.copy()
+        out = np.empty((len(numbers), self.digits), np.uint8)
+        for place in range(self.digits):
+            out[:, place] = place * base + rest % base
+            rest //= base
+        return out.tobytes().decode("latin-1")
+
+    def word_numbers(self, raw: bytes, places: Words, row: int) -> np.ndarray:
+        """The numbers of the words of one text, some at a time."""
+        low, high = int(places.first[row]), int(places.first[row + 1])
+        out = np.empty(high - low, np.int32)
+        for a in range(low, high, _WORDS_AT_ONCE):
+            z = min(a + _WORDS_AT_ONCE, high)
+            some = raw[places.start[a] : places.end[z - 1]].translate(_FOLD).split()
+            out[a - low : z - low] = np.fromiter(map(self.known.get, some, repeat(0)), np.int32, z - a)
+        return out
+
+    def scan(self, numbers: np.ndarray) -> tuple[list[tuple[int, int]], set[int]]:
         """Runs of hit words [first, last) in order, merged, and the items that were met."""
         marks: list[tuple[int, int]] = []
         met: set[int] = set()
-        if self.automaton is None or not any(numbers):
+        if self.automaton is None or not numbers.any():
             return marks, met
-        for end, (size, places, whole) in self.automaton.iter(tuple(numbers)):
+        own: list[int] | None = None
+        for sign, (size, places, whole) in self.automaton.iter(self._line(numbers)):
+            own = numbers.tolist() if own is None else own
+            end = sign // self.digits + 1
             if whole:
-                marks.append((end + 1 - size, end + 1))
+                marks.append((end - size, end))
                 met.update(whole)
             for at in places:
                 item = int(np.searchsorted(self.first, at, side="right")) - 1
-                low, high = self._around(numbers, end + 1 - size, at, int(self.first[item]), int(self.first[item + 1]))
+                low, high = self._around(own, end - size, at, int(self.first[item]), int(self.first[item + 1]))
                 if high - low >= self.width:
                     marks.append((low, high))
                     met.add(item)
@@ -228,13 +246,13 @@ _RUN = pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")])
 def _scanned(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, matcher: Matcher, again: bool) -> pa.RecordBatch:
     """One piece with its matches; ``again`` adds those of an earlier slot."""
     places = words(data, offsets, _APART)
-    numbers = matcher.word_numbers(data, places)
+    raw = data.tobytes()
     before_runs = rows.column("hits").to_pylist() if again else [[]] * rows.num_rows
     before_items = rows.column("items").to_pylist() if again else [[]] * rows.num_rows
     all_runs, all_items = [], []
     for k in range(rows.num_rows):
         first = int(places.first[k])
-        runs, met = matcher.scan(numbers[first : int(places.first[k + 1])].tolist())
+        runs, met = matcher.scan(matcher.word_numbers(raw, places, k))
         spans = merged([*((r["first"], r["last"]) for r in before_runs[k]), *runs]) if again else runs
         all_runs.append(
             [

@@ -84,7 +84,7 @@ def test_blocks_meet_all_windows(width):
         items = [(str(k), " ".join(dice.choices("abc", k=dice.randint(0, 3 * width)))) for k in range(4)]
         text = dice.choices("abcd", k=dice.randint(0, 40)) + dice.choice(items)[1].split() + dice.choices("abcd", k=3)
         matcher = DC.Matcher(DC.Slot.of(items), width)
-        runs, met = matcher.scan([matcher.known.get(w.encode(), 0) for w in text])
+        runs, met = matcher.scan(np.array([matcher.known.get(w.encode(), 0) for w in text], np.int32))
         hit, ids = set(), set()
         for k, (_, body) in enumerate(items):
             own = body.split()
@@ -98,6 +98,15 @@ def test_blocks_meet_all_windows(width):
         assert all(x[1] < y[0] for x, y in zip(runs, runs[1:]))
 
 
+@pytest.mark.parametrize("words", [100, 20_000, 700_000])
+def test_lexicons_of_any_size(words):
+    slot = DC.Slot.of([(k, " ".join(f"w{i:x}" for i in range(k * 100, k * 100 + 100))) for k in range(words // 100)])
+    matcher = DC.Matcher(slot, 10)
+    some = words - 100 + np.arange(1, 101, dtype=np.int32)
+    assert matcher.scan(np.concatenate([[0, 0], some[5:40], [0]]).astype(np.int32)) == ([(2, 37)], {words // 100 - 1})
+    assert matcher.scan(some[::-1].copy()) == ([], set()) and matcher.scan(some[:9]) == ([], set())
+
+
 def test_matchers_are_told_apart_by_their_items():
     class Sent:
         def __init__(self, items):
