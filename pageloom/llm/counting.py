@@ -38,8 +38,8 @@ def _distinct(values: np.ndarray, times: np.ndarray | None = None) -> tuple[np.n
 def value_counts(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int) -> DataFrame:
     """(value, n) of the 64-bit values that ``values`` gives for all batches, those with n >= ``least``.
 
-    A batch sends each of its values once; those that it has several times come first, with
-    their number.  Values travel as byte strings, one for each range of values and batch, and
+    A batch sends each of its values once, and the number of those that it has several times.
+    Values travel as byte strings, one for each range of values and batch, and
     each range is counted by one task; a range is a part of the hashes and so of even size,
     and a value of many rows comes once a batch.
     """
@@ -53,15 +53,17 @@ def value_counts(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np
                 continue
             every, n = _distinct(np.concatenate(found))
             part = (every >> np.uint64(64 - bits)).astype(np.int64)
-            order = np.lexsort((n == 1, part))
-            every, n, part = every[order], n[order], part[order]
             edges = np.flatnonzero(np.diff(part, prepend=-1))
             ends = np.append(edges[1:], len(part))[: len(edges)]
+            several = np.flatnonzero(n > 1)
+            # Place inside the range and number, in one value.
+            noted = several - edges[np.searchsorted(edges, several, side="right") - 1] << 32 | n[several]
+            cuts = np.searchsorted(several, np.append(edges, len(every)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[edges], pa.int64()),
                     pa.array([every[a:z].tobytes() for a, z in zip(edges, ends)], pa.binary()),
-                    pa.array([n[a:z][n[a:z] > 1].astype(np.int64).tobytes() for a, z in zip(edges, ends)], pa.binary()),
+                    pa.array([noted[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:])], pa.binary()),
                 ],
                 ["part", "held", "times"],
             )
@@ -76,8 +78,9 @@ def value_counts(rows: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np
             if batch is not None:
                 for held, times in zip(batch.column("held"), batch.column("times")):
                     waiting.append(np.frombuffer(held.as_buffer(), np.uint64).copy())
-                    several = np.frombuffer(times.as_buffer(), np.int64)
-                    many.append(np.concatenate([several, np.ones(len(waiting[-1]) - len(several), np.int64)]).astype(np.int32))
+                    noted = np.frombuffer(times.as_buffer(), np.int64)
+                    many.append(np.ones(len(waiting[-1]), np.uint32))
+                    many[-1][noted >> 32] = noted & 0xFFFFFFFF
                     size += len(waiting[-1])
             if waiting and (batch is None or size > max(len(every), 1 << 20)):
                 new, times = _distinct(np.concatenate(waiting), np.concatenate(many).astype(np.int64))
