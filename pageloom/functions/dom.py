@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.functions.columns import ColumnOrName, col, first_of, let, strip, unpack
+from pageloom.functions.entities import decoded_attribute
 
 _INT, _TEXT = T.IntegerType(), T.StringType()
 NODE_TYPE = T.StructType(
@@ -113,7 +114,7 @@ class _Batch:
                 known.add(name)
                 value = double or single or bare
                 self.keys.append(name)
-                self.values.append(_html.unescape(value) if "&" in value else value)
+                self.values.append(decoded_attribute(value))
 
     def add_page(self, page: str) -> None:
         nodes: list[list] = []

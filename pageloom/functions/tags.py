@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import url as U
 from pageloom.functions.columns import ColumnOrName, col, first_of, last_wins, let, unpack
+from pageloom.functions.entities import decoded
 
 # Attributes up to the end of the tag: a quoted ">" does not end it, an unpaired quote does
 # not hide the tag, and an unclosed tag takes the rest of the page, so that it is read once.
@@ -24,27 +25,6 @@ _NOISE = r"!--.*?(?:-->|\z)|(?:script|style)\b[^>]*+(?:>.*?(?:</(?:script|style)
 # Link targets that are not pages.
 SKIPPED_TARGET = r"^(?i:javascript:|mailto:|tel:|data:|#)"
 
-# The predefined entities and the ones common in page text.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&#34;", '"'),
-    ("&#38;", "&"),
-    ("&#x26;", "&"),
-    ("&#47;", "/"),
-    ("&#x2F;", "/"),
-    ("&#61;", "="),
-    ("&#63;", "?"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-
 
 def without_noise(html: ColumnOrName) -> Column:
     """HTML without comments and without the bodies of scripts and styles."""
@@ -54,11 +34,7 @@ def without_noise(html: ColumnOrName) -> Column:
 
 
 def decode_entities(text: ColumnOrName) -> Column:
-    text = col(text)
-    decoded = text
-    for entity, mark in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(mark))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    return decoded(text)
 
 
 def attribute_text(tag: ColumnOrName, name: str) -> Column:
@@ -102,15 +78,15 @@ def _link_attributes(html: ColumnOrName) -> Column:
     return F.transform(
         all_tags(html, LINK_TAG),
         lambda t: F.struct(
-            F.trim(decode_entities(attribute_text(t, "href"))).alias("href"),
-            attribute_text(t, "rel").rlike("(?i)nofollow").alias("nofollow"),
+            U.cleaned(decoded(attribute_text(t, "href"), in_attribute=True)).alias("href"),
+            F.when(t.rlike("(?i)nofollow"), attribute_text(t, "rel").rlike("(?i)nofollow")).otherwise(False).alias("nofollow"),
         ),
     )
 
 
 def _is_followable(href: Column, base: Column) -> Column:
     """Whether a link leads to an http(s) page; the scheme is judged where it stands, ahead of resolving."""
-    is_web = F.when(U.has_own_scheme(href), href.rlike("^(?i:https?)://")).otherwise(
+    is_web = F.when(U.has_own_scheme(href), href.rlike("^(?i:https?):")).otherwise(
         base["scheme"].rlike("^(?i:https?):$") & (base["origin"] != "")
     )
     return (href != "") & ~href.rlike(SKIPPED_TARGET) & is_web

@@ -124,20 +124,88 @@ def has_own_scheme(href: ColumnOrName) -> Column:
     return col(href).rlike(_OWN_SCHEME)
 
 
+_DOT = r"(?:\.|%2[eE])"
+
+
 def without_dots(full_path: ColumnOrName) -> Column:
     """Remove ``.`` and ``..`` segments of an absolute path as the URL standard does; empty segments stay."""
     full_path = col(full_path)
+    one, two = (lambda part: part.rlike(rf"^{_DOT}\z")), (lambda part: part.rlike(rf"^{_DOT}{_DOT}\z"))
     kept = F.aggregate(
         F.split(F.substring(full_path, 2, 1 << 30), "/"),
         F.array().cast("array<string>"),
-        lambda done, part: F.when(part == ".", done)
-        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        lambda done, part: F.when(one(part), done)
+        .when(two(part), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
         .otherwise(F.array_append(done, part)),
     )
     joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
-    open_end = full_path.rlike(r"/\.{1,2}$") & (joined != "/")
+    open_end = full_path.rlike(rf"/{_DOT}{{1,2}}\z") & ~F.endswith(joined, F.lit("/"))
     folded = F.when(open_end, F.concat(joined, F.lit("/"))).otherwise(joined)
-    return F.when(full_path.rlike(r"/\.{1,2}(/|$)"), folded).otherwise(full_path)
+    return F.when(full_path.rlike(rf"/{_DOT}{{1,2}}(?:/|\z)"), folded).otherwise(full_path)
+
+
+# Characters that may not stand in a part of a URL and become percent codes.
+_NOT_IN_PATH = r"\x00-\x20\x22<>\x5E`{}\x7F"
+_NOT_IN_QUERY = r"\x00-\x20\x22'<>\x7F"
+_NOT_IN_FRAGMENT = r"\x00-\x20\x22<>`\x7F"
+# What may stand everywhere and is no backslash; most links are made of these.
+_PLAIN_LINK = r"^[^\x00-\x20\x22'<>\x5C\x5E`{}\x7F]*+\z"
+
+
+def _percent_coded(text: Column, unsafe: str) -> Column:
+    parts = F.regexp_extract_all(text, F.lit(f"[{unsafe}]++|[^{unsafe}]++"), F.lit(0))
+    code = lambda part: F.regexp_replace(F.hex(F.encode(part, "UTF-8")), "(..)", "%$1")
+    every = F.transform(parts, lambda part: F.when(part.rlike(f"^[{unsafe}]"), code(part)).otherwise(part))
+    return F.array_join(every, "")
+
+
+def ascii_url(url: ColumnOrName) -> Column:
+    """A URL with percent codes for all characters outside ASCII; host names are not put into their ASCII form."""
+    return _percent_coded(col(url), r"\x80-\x{10FFFF}")
+
+
+def cleaned(href: ColumnOrName) -> Column:
+    """A link as the URL standard reads it: no blanks around it, no line breaks, ``/`` for a
+    backslash, and percent codes for ASCII characters that may not stand in a URL.
+
+    Characters outside ASCII stay as they are written (:func:`ascii_url` codes them), so links
+    meet the URLs of a store that has them in this form.
+    """
+    href = col(href)
+
+    def coded(text: Column) -> Column:
+        head = F.regexp_replace(F.regexp_extract(text, r"(?s)^([^?#]*+)", 1), r"\\", "/")
+        front = F.regexp_extract(head, r"(?s)^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*+)?)", 1)
+        return F.concat(
+            front,
+            _percent_coded(F.substring(head, F.length(front) + 1, F.length(head)), _NOT_IN_PATH),
+            _percent_coded(F.regexp_extract(text, r"(?s)^[^?#]*+(\?[^#]*+)", 1), _NOT_IN_QUERY),
+            _percent_coded(F.regexp_extract(text, r"(?s)^[^#]*+(#.*)\z", 1), _NOT_IN_FRAGMENT),
+        )
+
+    bare = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+|[\x00-\x20]+\z", ""), r"[\t\r\n]", "")
+    return F.when(href.rlike(_PLAIN_LINK), href).otherwise(let(bare, coded))
+
+
+def _authority(text: Column, scheme: Column) -> Column:
+    """User as it is, host in lower case, no default or empty port."""
+    user = F.regexp_extract(text, r"(?s)^(.*@)", 1)
+    place = F.lower(F.substring(text, F.length(user) + 1, F.length(text)))
+    port = F.when(scheme == "http", F.regexp_replace(place, r":(?:0*80)?\z", ""))
+    return F.concat(user, port.when(scheme == "https", F.regexp_replace(place, r":(?:0*443)?\z", "")).otherwise(place))
+
+
+def absolute(url: ColumnOrName) -> Column:
+    """One spelling of an absolute http(s) URL: case of scheme and host, default port, dot segments, a path."""
+    url = col(url)
+    scheme = F.lower(F.regexp_extract(url, "^([A-Za-z]+):", 1))
+    authority = F.regexp_extract(url, r"(?s)^[A-Za-z]+:/*+([^/?#]*+)", 1)
+    own_path = F.regexp_extract(url, r"(?s)^[A-Za-z]+:/*+[^/?#]*+([^?#]*+)", 1)
+    tail = F.regexp_extract(url, r"(?s)^[^?#]*+(.*)\z", 1)
+    full = F.when(own_path == "", "/").otherwise(without_dots(own_path))
+    spelled = F.concat(scheme, F.lit("://"), _authority(authority, scheme), full, tail)
+    plain = url.rlike(r"^https?://[a-z0-9.\-]++/") & ~url.rlike(rf"/{_DOT}{{1,2}}(?:[/?#]|\z)")
+    return F.when(plain, url).otherwise(spelled)
 
 
 def base_parts(base: ColumnOrName) -> Column:
@@ -146,51 +214,72 @@ def base_parts(base: ColumnOrName) -> Column:
     Worked out once per page, however many links the page has.
     """
     base = col(base)
-    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    scheme = F.lower(F.regexp_extract(base, r"(?s)^(.*?)://", 1))
+    authority = F.regexp_extract(base, r"(?s)^.*?://([^/?#]*)", 1)
     base_path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    page = F.when(base_path == "", "/").otherwise(without_dots(base_path))
     folder = F.regexp_replace(base_path, r"[^/]*$", "")
     return F.struct(
-        F.when(_has_scheme(base), F.substring_index(base, "//", 1)).otherwise("https:").alias("scheme"),
-        origin.alias("origin"),
+        F.when(_has_scheme(base), F.concat(scheme, F.lit(":"))).otherwise("https:").alias("scheme"),
+        F.when(_has_scheme(base), F.concat(scheme, F.lit("://"), _authority(authority, scheme))).otherwise("").alias("origin"),
         F.when(folder == "", "/").otherwise(folder).alias("folder"),
-        F.when(base_path == "", "/").otherwise(base_path).alias("page"),
+        page.alias("page"),
+        F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1).alias("written"),
+    )
+
+
+def _older_link(base: Column, href: Column) -> Column:
+    return (
+        F.when(href == "", "")
+        .when(_has_scheme(href), href)
+        .when(F.startswith(href, F.lit("//")), F.concat(F.substring_index(base["written"], "//", 1), href))
+        .when(base["written"] == "", "")
+        .when(F.startswith(href, F.lit("/")), F.concat(base["written"], href))
+        .otherwise(F.concat(base["written"], fold_dots(F.concat(base["folder"], href))))
     )
 
 
 def resolve_at(base: Column, href: Column, standard: bool = True) -> Column:
-    """:func:`resolve` for a trimmed link and the parts of its page URL."""
+    """:func:`resolve` for a :func:`cleaned` link (trimmed, for the older rule) and the parts of its page URL."""
     if not standard:
-        return (
-            F.when(href == "", "")
-            .when(_has_scheme(href), href)
-            .when(F.startswith(href, F.lit("//")), F.concat(base["scheme"], href))
-            .when(base["origin"] == "", "")
-            .when(F.startswith(href, F.lit("/")), F.concat(base["origin"], href))
-            .otherwise(F.concat(base["origin"], fold_dots(F.concat(base["folder"], href))))
-        )
-    link_path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    tail = F.regexp_extract(href, r"(?s)^[^?#]*(.*)$", 1)
+        return _older_link(base, href)
+    link_path = F.regexp_extract(href, r"^([^?#]*+)", 1)
+    tail = F.regexp_extract(href, r"(?s)^[^?#]*+(.*)\z", 1)
     whole = F.when(F.startswith(link_path, F.lit("/")), link_path).otherwise(F.concat(base["folder"], link_path))
     return (
         F.when(href == "", "")
-        .when(has_own_scheme(href), href)
-        .when(F.startswith(href, F.lit("//")), F.concat(base["scheme"], href))
+        .when(href.rlike("^(?i:https?)://"), absolute(href))
+        .when(has_own_scheme(href), F.when(href.rlike("^(?i:https?):"), _schemed(base, href)).otherwise(href))
+        .when(F.startswith(href, F.lit("//")), absolute(F.concat(base["scheme"], href)))
         .when(base["origin"] == "", "")
         .when(link_path == "", F.concat(base["origin"], base["page"], tail))
         .otherwise(F.concat(base["origin"], without_dots(whole), tail))
     )
 
 
+def _schemed(base: Column, href: Column) -> Column:
+    """A link like ``https:x`` or ``https:/x``: a part of the same site under the scheme of the page, else a host."""
+    own, rest = F.lower(F.regexp_extract(href, "^([A-Za-z]+:)", 1)), F.regexp_extract(href, "(?s)^[A-Za-z]+:(.*)", 1)
+    link_path = F.regexp_extract(rest, r"^([^?#]*+)", 1)
+    whole = F.when(F.startswith(link_path, F.lit("/")), link_path).otherwise(F.concat(base["folder"], link_path))
+    here = F.when(link_path == "", base["page"]).otherwise(without_dots(whole))
+    there = absolute(F.concat(own, F.lit("//"), F.regexp_replace(rest, "^/+", "")))
+    local = F.concat(base["origin"], here, F.substring(rest, F.length(link_path) + 1, F.length(rest)))
+    return F.when((own == base["scheme"]) & (base["origin"] != ""), local).otherwise(there)
+
+
 def resolve(base: ColumnOrName, href: ColumnOrName, standard: bool = True) -> Column:
     """Absolute URL of a link found on ``base``; an empty string if there is none.
 
-    The standard rule removes dot segments of every path, keeps the file name of the
-    base for a ``?query`` or ``#fragment`` link, and takes a scheme only at the front.
+    The standard rule reads a link as the URL standard does: scheme and host in lower case,
+    no default port, dot segments of every path removed, percent codes for characters that
+    may not stand in a URL (:func:`cleaned`); the file name of the base stays for a ``?query``
+    or ``#fragment`` link, and a scheme counts only at the front.
     The other rule drops that file name, folds empty segments too, takes an absolute
     path as it is, and a ``://`` anywhere for a scheme.
     """
-    parts = F.struct(base_parts(base).alias("base"), strip(col(href)).alias("href"))
-    return let(parts, lambda p: resolve_at(p["base"], p["href"], standard))
+    link = cleaned(href) if standard else strip(col(href))
+    return let(F.struct(base_parts(base).alias("base"), link.alias("href")), lambda p: resolve_at(p["base"], p["href"], standard))
 
 
 def without_fragment(url: ColumnOrName) -> Column:

@@ -15,6 +15,7 @@ from pageloom.functions import json_path as J
 from pageloom.functions import response as R
 from pageloom.functions import script_vars as S
 from pageloom.functions import tags as T
+from pageloom.functions import url as U
 from pageloom.functions.columns import let, unpack
 from pageloom.functions.htmlpath import json_object
 
@@ -226,7 +227,7 @@ def selected_links(
     read = F.transform(
         D.select("_dom", selector),
         lambda n: F.struct(
-            F.trim(F.coalesce(D.attr(n, "href"), F.lit(""))).alias("href"),
+            U.cleaned(F.coalesce(D.attr(n, "href"), F.lit(""))).alias("href"),
             F.coalesce(F.contains(F.lower(D.attr(n, "rel")), F.lit("nofollow")), F.lit(False)).alias("nofollow"),
         ),
     )

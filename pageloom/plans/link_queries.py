@@ -48,7 +48,7 @@ WITH b AS (SELECT page_id, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS o,
   regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) AS p FROM pages)
 SELECT page_id, CAST(k AS INTEGER) AS pos, link, k % 2 = 1 AS nofollow FROM (SELECT page_id, unnest([0, 1, 2, 3, 4, 7]) AS k, unnest([
   o || '/x?a=1&b=' || page_id, o || '/login?next=https://other.example/' || page_id, o || '/gt',
-  o || '/up/', o || p || '?p=2', 'https://other.example/' || page_id || '?q=''"']) AS link FROM b)"""
+  o || '/up/', o || p || '?p=2', 'https://other.example/' || page_id || '?q=%27%22']) AS link FROM b)"""
 
 
 def anchor_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,6 +71,48 @@ def known_anchors(spark: SparkSession, sf: str) -> DataFrame:
     return T.distinct_links(pages, ["page_id"], base="url").select("page_id", "pos", "link", "nofollow")
 
 
+_SPELLINGS = """
+WITH b AS (SELECT page_id, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS o FROM pages),
+l AS (SELECT page_id, unnest(range(13)) AS k, unnest([
+  'https://other.example/café/' || page_id, 'http://h.example/b/' || page_id || '?x=A',
+  o || '/né/€' || page_id, o || '/s%20p/%7Bx%7D?q=%22a%20b%22#f%20g', o || '/?a=1&copy=2&b=' || page_id || '¬',
+  'https://u:P@h.example:8443/', 'https://h.example/?q', o || '/a//c/', o || '/😀/…|�',
+  'http://h.example/x/' || page_id, o || '/back/slash', o || '/line' || page_id, 'https://h.example/%2e%2eb/.c/']) AS link FROM b)
+SELECT page_id, way, link FROM l, (SELECT unnest(['tag', 'tree']) AS way)"""
+
+
+def spelled_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Captured pages behind anchors whose targets are spelled in other ways than the URL standard has them."""
+    page = F.col("page_id").cast("string")
+    hrefs = [
+        ("HTTPS://Other.Example:443/x/../caf&eacute;/", ""),
+        ("http://H.EXAMPLE:80/a/./b/../../b/", "?x=A"),
+        ("/n&#233;/&#x20AC;", ""),
+        ('/s p/{x}?q=&quot;a b&quot;#f g"', None),
+        ("/?a=1&copy=2&amp;b=", "&not"),
+        ("https://u:P@H.example:8443", None),
+        ("https://h.example?q", None),
+        ("/a//b/../c/%2E", None),
+        ("/&#128512;/&#133;|&#xD800;", None),
+        ("HTTP:h.example/x/", ""),
+        ("\\back\\slash", None),
+        (" /li\nne", "\t "),
+        ("https://h.example/x/%2e%2e/%2e%2eb/.c/", None),
+    ]
+    anchors = [F.concat(F.lit(f'<a href="{a.rstrip(chr(34))}'), *([page, F.lit(z)] if z is not None else []), F.lit('">x</a>')) for a, z in hrefs]
+    pages = page_table(spark, sf).withColumn("html", F.concat(F.lit("<body>"), *anchors))
+    return pages.withColumn("url", F.regexp_replace("url", "^http:", "https:"))
+
+
+@query("x23_standard_links", _SPELLINGS.replace("SELECT page_id, regexp_extract(url,", "SELECT page_id, regexp_extract(regexp_replace(url, '^http:', 'https:'),"))
+def standard_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Both ways to read links give the one spelling of the URL standard, references decoded."""
+    pages = spelled_pages(spark, sf)
+    by_tag = T.links(pages, ["page_id", "url"]).select("page_id", F.lit("tag").alias("way"), "link")
+    by_tree = E.selected_links(pages, ["page_id", "url"]).select("page_id", F.lit("tree").alias("way"), "link")
+    return by_tag.unionByName(by_tree)
+
+
 @query(
     "flagship_links_per_host",
     _LINKS

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import article as A
 from pageloom.functions import dom as D
+from pageloom.functions import entities as N
 from pageloom.functions import json_path as J
 from pageloom.functions import script_vars as S
 from pageloom.functions import tags as T
@@ -277,7 +278,7 @@ def test_links_on_odd_anchors(spark):
         "https://h.example/gt",
         "https://h.example/b?p=../c",
         "https://h.example/d/f?p=2",
-        'https://cdn.example/"q"',
+        "https://cdn.example/%22q%22",
     ]
     assert "Exchange" not in T.distinct_links(page, ["id"])._jdf.queryExecution().executedPlan().toString()
 
@@ -411,3 +412,53 @@ def test_tags_without_an_end_take_the_rest(spark):
     frame = spark.createDataFrame([(p,) for p in pages], "html string").withColumn("dom", D.parse("html"))
     tags = [[n["tag"] for n in r[0]] for r in frame.select("dom.nodes").collect()]
     assert tags == [["p"], ["p"], ["p"], ["p"], ["p", "b"]]
+
+
+def test_references_of_attributes(spark):
+    chance = random.Random(6)
+    odd = ["&", "&#", "&#x", "&#0;", "&#x110000;", "&#99999999;", "&#xD800;", "&#128;", "&#129;", "&#x9f", "&#65", "&#x41g", "&copy", "&copy=1"]
+    odd += ["&copy;=", "&copyx", "&notit;", "&notin;", "&NotEqualTilde;", "&amp;lt;", "&amp", "&eacute;", "&bogus;", "&lt;&gt;&quot;&apos;&nbsp;", "x", "", "é😀"]
+    values = odd + ["".join(chance.choices(odd + ["a", "1", ";", "="], k=6)) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    found = frame.select("id", N.decoded("v", in_attribute=True).alias("a"), N.decoded("v").alias("t")).collect()
+    for r in found:
+        assert r["a"] == N.decoded_attribute(values[r["id"]])
+    texts = {values[r["id"]]: r["t"] for r in found}
+    assert texts["&copy=1"] == "©=1" and texts["&notit;"] == "¬it;" and texts["&copyx"] == "©x" and texts["&amp;lt;"] == "&lt;"
+    pages = [(k, f'<a href="/x?{v}">y</a>', "https://e.example/") for k, v in enumerate(values) if '"' not in v]
+    frame = spark.createDataFrame(pages, "id int, html string, url string")
+    assert sorted(T.links(frame, ["id", "url"]).collect()) == sorted(E.selected_links(frame, ["id", "url"]).collect())
+
+
+@pytest.mark.parametrize(
+    ("base", "href", "wanted"),
+    [
+        ("https://E.com", "x", "https://e.com/x"),
+        ("HTTP://E.com:80/a/b?q", "?z", "http://e.com/a/b?z"),
+        ("https://e.com/a/b/", "../../..", "https://e.com/"),
+        ("https://e.com/a/b/c", "..", "https://e.com/a/"),
+        ("https://e.com/a/b/c", "%2E%2e/x", "https://e.com/a/x"),
+        ("https://e.com/a", "https:b", "https://e.com/b"),
+        ("https://e.com/a", "https:/b/../c#f", "https://e.com/c#f"),
+        ("https://e.com/a", "http:/b/./c", "http://b/c"),
+        ("https://e.com/a", "//H.com", "https://h.com/"),
+        ("https://e.com/a", "///h.com/b", "https://h.com/b"),
+        ("https://e.com/a", "HTTPS://U:P@H.com:443?x", "https://U:P@h.com/?x"),
+        ("https://e.com/a", "https://h.com:8080/a/../..", "https://h.com:8080/"),
+        ("https://e.com/a", "ftp://H.com/a/../b", "ftp://H.com/a/../b"),
+        ("https://e.com/a", "?a='b'^c{d}", "https://e.com/a?a=%27b%27^c{d}"),
+        ("https://e.com/a", "b^c{d}'", "https://e.com/b%5Ec%7Bd%7D'"),
+        ("https://e.com/a", "#`x y`", "https://e.com/a#%60x%20y%60"),
+        ("https://e.com/a", "b%zz%20", "https://e.com/b%zz%20"),
+        ("https://e.com/a/b", " c\\d?e\\f ", "https://e.com/a/c/d?e\\f"),
+        ("https://e.com/a/b", "", ""),
+    ],
+)
+def test_links_by_the_url_standard(spark, base, href, wanted):
+    row = spark.createDataFrame([(base, href)], "b string, h string").select(U.resolve("b", "h")).first()
+    assert row[0] == wanted
+
+
+def test_ascii_form_of_a_url(spark):
+    row = spark.createDataFrame([("https://e.com/café/%20?q=日本#😀",)], "u string").select(U.ascii_url("u")).first()
+    assert row[0] == "https://e.com/caf%C3%A9/%20?q=%E6%97%A5%E6%9C%AC#%F0%9F%98%80"
