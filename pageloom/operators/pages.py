@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions import response as R
 from pageloom.functions import tags as T
-from pageloom.operators.frontier import first_results, follow
+from pageloom.functions.response import size_limited
+from pageloom.operators.frontier import first_results
 from pageloom.operators.running import join_hot
-from pageloom.operators.snapshot import unseen
+from pageloom.operators.snapshot import fresh_entries, unseen
+from pageloom.session import cut_lineage
 
 NOT_CAPTURED = "not_captured"
 
@@ -43,8 +45,8 @@ def scan(seeds: DataFrame, store: DataFrame, state: DataFrame | None = None) ->
 def lookup_each(rows: DataFrame, store: DataFrame, **sizes: int) -> DataFrame:
     """One page row per input row: NULL URLs give an error row, empty ones none.
 
-    Rows without a URL do not take part in the join, and URLs asked for very often
-    are spread, so neither ends up in one task.
+    Rows without a URL do not take part in the join.  ``sizes`` (``hot_rows``, ``salts``)
+    spread URLs asked for very often by hand, see :func:`running.lookup`.
     """
     keep = [c for c in rows.columns if c != "url"]
     found = join_hot(rows.filter("url <> ''"), store.withColumn("_hit", F.lit(True)), "url", **sizes)
@@ -61,32 +63,67 @@ def crawl(
     max_results: int | None = None,
     state: DataFrame | None = None,
     skip_nofollow: bool = False,
+    robots: DataFrame | None = None,
+    user_agent: str = "pageloom",
+    as_of: Column | None = None,
+    ttl_hours: int = 24,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Page rows of the seeds and of what they link to, with the depth of each URL.
 
     Links are followed from successful pages with a body only, without a limit to
-    their host.  The store is read once for the links of all depths and once for
-    the pages; ``selector`` picks the link elements, otherwise every ``a`` counts.
+    their host; ``selector`` picks the link elements, otherwise every ``a`` counts.
     URLs of ``state`` are not looked up, and links do not lead through them; a seed is
     a place to start from even if it is known.
+
+    Three rules hold at every step, so none of them is led through: a URL that ``robots``
+    (host, body) forbid ``user_agent`` has status -1 and the error ``robots_disallowed``; with ``as_of``
+    an entry of the store whose ``cached_at`` is older than ``ttl_hours`` counts as not captured; a body of
+    more than ``max_bytes`` is left out with the error ``content_too_large``.
+
+    Each depth joins the store with the new URLs only, ahead of reading links: where these
+    are few, that is a broadcast and no page but theirs is parsed or moved.
     """
     from pageloom.operators.extract import selected_links
+    from pageloom.operators.robots import with_verdict
+
+    usable = store if as_of is None else fresh_entries(store, as_of, ttl_hours)
+    if max_bytes is not None:
+        limited = size_limited("body", max_bytes)
+        usable = usable.withColumn("error", F.coalesce(limited["error"], "error")).withColumn("body", limited["body"])
+    known = None if state is None else state.select("url")
+    readable = usable.filter(R.is_success("status") & (F.length("body") > 0)).select("url", "body")
 
-    readable = store.filter(R.is_success("status") & (F.length("body") > 0)).select("url", "body")
+    def judged(urls: DataFrame) -> DataFrame:
+        if robots is None:
+            return urls.withColumn("allowed", F.lit(True))
+        return with_verdict(urls, robots, user_agent).select(*urls.columns, "allowed")
+
+    newest = judged(seeds.select("url").filter("url <> ''").distinct().withColumn("depth", F.lit(1)))
     if max_depth > 1:
-        if selector is None:
-            found = T.links(readable, ["url"], html="body")
-        else:
-            found = selected_links(readable, ["url"], selector, html="body")
-        edges = found.select(F.col("url").alias("src_url"), F.col("link").alias("dst_url"), "nofollow")
-        if state is not None:
-            edges = unseen(edges, state.select(F.col("url").alias("dst_url")), "dst_url")
-        reached = follow(edges, seeds, max_depth, skip_nofollow=skip_nofollow)
-    else:
-        reached = seeds.select("url").filter("url <> ''").distinct().withColumn("depth", F.lit(1))
-    if state is not None:
-        reached = unseen(reached, state)
+        newest = cut_lineage(newest)
+    reached = newest
+    for depth in range(2, max_depth + 1):
+        here = readable.join(newest.filter("allowed").select("url"), "url", "left_semi")
+        links = T.links(here, ["url"], html="body") if selector is None else selected_links(here, ["url"], selector, html="body")
+        if skip_nofollow:
+            links = links.filter(~F.col("nofollow"))
+        found = links.select(F.col("link").alias("url")).distinct().join(reached.select("url"), "url", "left_anti")
+        if known is not None:
+            found = unseen(found, known)
+        newest = judged(found.withColumn("depth", F.lit(depth)))
+        if depth < max_depth:
+            newest = cut_lineage(newest)
+            if newest.isEmpty():
+                break
+        reached = reached.unionByName(newest)
+    if known is not None:
+        reached = unseen(reached, known)
     if max_results is not None:
         reached = first_results(reached, max_results)
-    joined = reached.join(store.withColumn("_hit", F.lit(True)), "url", "left")
-    return _page_columns(joined, ["depth"], store)
+    joined = reached.filter("allowed").join(usable.withColumn("_hit", F.lit(True)), "url", "left")
+    rows = _page_columns(joined, ["depth"], store)
+    if robots is None:
+        return rows
+    refused = reached.filter("not allowed").select("url", "depth", F.lit(-1).alias("status"), F.lit("robots_disallowed").alias("error"))
+    return rows.unionByName(refused, allowMissingColumns=True)

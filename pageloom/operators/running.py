@@ -181,12 +181,19 @@ def _spread(df: DataFrame, small: DataFrame, on: str, how: str, salts: int) -> D
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
-def lookup(df: DataFrame, small: DataFrame, on: str, how: str = "left", hot_rows: int = HOT_ROWS, salts: int = 64) -> DataFrame:
+def lookup(
+    df: DataFrame, small: DataFrame, on: str, how: str = "left", hot_rows: int | None = None, salts: int = 64
+) -> DataFrame:
     """Left or inner join to a table with one row per key, narrow or wide.
 
-    Only rows of keys that are hot in ``df`` are repeated on the right; all other keys,
-    and rows without a key, take the plain join.
+    It is planned without running anything, on batch and streaming frames: the join of
+    adaptive execution splits partitions that hot keys make too large, as the right side
+    has one row per key.  With ``hot_rows`` the keys above that number of rows are counted
+    ahead (one job over the keys) and only their rows are repeated on the right; all other
+    keys, and rows without a key, take the plain join.
     """
+    if hot_rows is None or df.isStreaming:
+        return df.join(small, on, how)
     hot = found_hot_keys(df.filter(F.col(on).isNotNull()), [on], hot_rows)
     if hot is None:
         return df.join(small, on, how)
@@ -195,12 +202,6 @@ def lookup(df: DataFrame, small: DataFrame, on: str, how: str = "left", hot_rows
     return plain.unionByName(warm)
 
 
-def join_hot(
-    left: DataFrame, right: DataFrame, on: str, hot_rows: int = HOT_ROWS, salts: int = 64
-) -> DataFrame:
-    """Left join to a table with one, possibly wide, row per key.
-
-    Only the rows of keys that are hot on the left are repeated on the right; all
-    other keys take the plain join.
-    """
+def join_hot(left: DataFrame, right: DataFrame, on: str, hot_rows: int | None = None, salts: int = 64) -> DataFrame:
+    """Left :func:`lookup`."""
     return lookup(left, right, on, "left", hot_rows, salts)

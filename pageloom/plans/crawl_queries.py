@@ -580,3 +580,89 @@ def domain_counters(spark: SparkSession, sf: str) -> DataFrame:
 @query("f12_adaptive_delay", ADAPTIVE_DELAYS)
 def adaptive_delay(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_delays(SC.adaptive_delays(attempt_log(spark, sf)))
+
+
+# --- crawls with rules on the way ----------------------------------------------
+
+
+def shop_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer pages that link to order pages, which link to part pages; an entry is cached on the day of the order."""
+    orders, items = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    shop = F.concat(F.lit("https://shop"), (F.col("o_custkey") % 7).cast("string"), F.lit(".example"))
+    order_url = F.concat(shop, F.lit("/o/"), F.col("o_orderkey").cast("string"))
+    order_date = F.col("o_orderdate").cast("timestamp").alias("cached_at")
+    homes = orders.groupBy(F.concat(shop, F.lit("/c/"), F.col("o_custkey").cast("string")).alias("url")).agg(
+        F.concat_ws("", F.sort_array(F.collect_list(F.concat(F.lit('<a href="/o/'), F.col("o_orderkey").cast("string"), F.lit('">o</a>'))))).alias("body")
+    )
+    parts = items.groupBy("l_orderkey").agg(
+        F.concat_ws("", F.collect_list(F.concat(F.lit('<a href="//parts.example/p/'), F.col("l_partkey").cast("string"), F.lit('">p</a>')))).alias("body")
+    )
+    lists = orders.join(parts, orders["o_orderkey"] == parts["l_orderkey"]).select(order_url.alias("url"), "body", order_date)
+    pages = homes.withColumn("cached_at", F.lit("2030-01-01").cast("timestamp")).unionByName(lists)
+    return pages.select(
+        "url", F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), "body",
+        F.lit(None).cast("string").alias("error"), F.lit(0).cast("long").alias("response_time_ms"), "cached_at",
+    )
+
+
+def shop_seeds(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("o_custkey")
+    shop = F.concat(F.lit("https://shop"), (key % 7).cast("string"), F.lit(".example/c/"), key.cast("string"))
+    return table(spark, sf, "orders").select(shop.alias("url")).distinct()
+
+
+# ``led`` names the orders whose pages may be led through, ``held`` those whose pages are not captured.
+_SHOP = """
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderdate, 'https://shop' || (o_custkey % 7) || '.example' AS shop FROM orders),
+p AS (SELECT l_orderkey, sum(length('<a href="//parts.example/p/' || l_partkey || '">p</a>')) AS size FROM lineitem GROUP BY 1),
+x AS (SELECT o.*, size, {error} AS error FROM o LEFT JOIN p ON l_orderkey = o_orderkey),
+r AS (
+  SELECT DISTINCT shop || '/c/' || o_custkey AS url, 1 AS depth, 200 AS status, CAST(NULL AS VARCHAR) AS error FROM o
+  UNION SELECT shop || '/o/' || o_orderkey, 2, CASE WHEN error = 'robots_disallowed' THEN -1 WHEN error IS NULL OR error = 'content_too_large' THEN 200 END, error FROM x
+  UNION SELECT 'https://parts.example/p/' || l_partkey, 3, NULL, 'not_captured' FROM x JOIN lineitem ON l_orderkey = o_orderkey WHERE error IS NULL)
+SELECT url, depth, status, error FROM r"""
+
+
+def _crawled(spark: SparkSession, sf: str, **rules: object) -> DataFrame:
+    return P.crawl(shop_seeds(spark, sf), shop_store(spark, sf), 3, **rules).select("url", "depth", "status", "error")
+
+
+@query(
+    "s01_crawl_robots",
+    _SHOP.format(error="CASE WHEN shop IN ('https://shop1.example', 'https://shop3.example') AND starts_with('/o/' || o_orderkey, '/o/1') "
+                 "THEN 'robots_disallowed' WHEN size IS NULL THEN 'not_captured' END"),
+)
+def crawl_robots(spark: SparkSession, sf: str) -> DataFrame:
+    """Order pages that a robots file forbids are named, and no part is reached through them alone."""
+    files = table(spark, sf, "orders").select((F.col("o_custkey") % 7).alias("k")).distinct().select(
+        F.concat(F.lit("shop"), F.col("k").cast("string"), F.lit(".example")).alias("host"),
+        F.when(F.col("k").isin(1, 3), "User-agent: *\nDisallow: /o/1\n").otherwise("User-agent: other\nDisallow: /\n").alias("body"),
+    )
+    return _crawled(spark, sf, robots=files)
+
+
+@query(
+    "s01_crawl_cache_age",
+    _SHOP.format(error="CASE WHEN size IS NULL OR CAST(o_orderdate AS TIMESTAMP) < TIMESTAMP '1996-01-01' - INTERVAL 720 DAY THEN 'not_captured' END"),
+)
+def crawl_cache_age(spark: SparkSession, sf: str) -> DataFrame:
+    """Order pages of an old cache entry count as not captured and are not led through."""
+    return _crawled(spark, sf, as_of=F.lit("1996-01-01").cast("timestamp"), ttl_hours=720 * 24)
+
+
+@query(
+    "s01_crawl_body_size",
+    """
+WITH o AS (SELECT o_custkey, o_orderkey, 'https://shop' || (o_custkey % 7) || '.example' AS shop FROM orders),
+h AS (SELECT o_custkey, sum(length('<a href="/o/' || o_orderkey || '">o</a>')) > 150 AS large FROM o GROUP BY 1),
+p AS (SELECT l_orderkey, sum(length('<a href="//parts.example/p/' || l_partkey || '">p</a>')) > 150 AS long FROM lineitem GROUP BY 1),
+x AS (SELECT o.*, large, long FROM o JOIN h USING (o_custkey) LEFT JOIN p ON l_orderkey = o_orderkey)
+SELECT DISTINCT shop || '/c/' || o_custkey AS url, 1 AS depth, 200 AS status, CASE WHEN large THEN 'content_too_large' END AS error FROM x
+UNION SELECT shop || '/o/' || o_orderkey, 2, CASE WHEN long IS NOT NULL THEN 200 END,
+  CASE WHEN long THEN 'content_too_large' WHEN long IS NULL THEN 'not_captured' END FROM x WHERE NOT large
+UNION SELECT 'https://parts.example/p/' || l_partkey, 3, NULL, 'not_captured'
+  FROM x JOIN lineitem ON l_orderkey = o_orderkey WHERE NOT large AND NOT long""",
+)
+def crawl_body_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with a body over the limit lose it, so nothing is reached through them."""
+    return _crawled(spark, sf, max_bytes=150)

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.functions import url as U
 from pageloom.operators import merge as M
 from pageloom.operators import snapshot as S
 from pageloom.plans.registry import query
@@ -38,6 +39,23 @@ def finished_pages(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(data).drop("body")
 
 
+@query(
+    "st01_finished_pages_with_robots",
+    """
+SELECT url, 200 AS status_code, strlen(html) AS content_length FROM pages
+WHERE NOT (regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) LIKE 'blog.%' AND regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) SIMILAR TO '/[a-m].*')""",
+)
+def finished_pages_with_robots(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of pages beside a table of robots files, planned without a job."""
+    data, state = _folders(spark)
+    hosts = table(spark, sf, "pages").select(U.host("url").alias("host")).distinct()
+    rules = "".join(f"Disallow: /{letter}\n" for letter in "abcdefghijklm")
+    files = hosts.select("host", F.when(F.col("host").startswith("blog."), f"User-agent: *\n{rules}").otherwise("User-agent: other\nDisallow: /\n").alias("body"))
+    pages = ST.finished_pages(response_store(_stream(spark, sf, "pages")), files)
+    ST.append_available(pages, data, state)
+    return spark.read.parquet(data).select("url", "status_code", "content_length")
+
+
 @query("st02_distinct_urls", "SELECT DISTINCT 'https://u' || user_id || '.example/' AS url FROM events")
 def distinct_urls(spark: SparkSession, sf: str) -> DataFrame:
     data, state = _folders(spark)

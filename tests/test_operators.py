@@ -473,3 +473,53 @@ def test_crawl_does_not_go_through_known_urls(spark):
     found = lambda **how: sorted((r.url[-1], r.depth) for r in P.crawl(seeds, store, 4, **how).collect())
     assert found() == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
     assert found(state=state) == [("a", 1)]
+
+
+def test_stream_of_pages_beside_robots_equals_batch(spark, tmp_path):
+    pages = [(f"https://h{k % 4}.example/{'private' if k % 3 else 'open'}/{k}", 200, "text/html", f"<p>{k}</p>", None, 0) for k in range(60)]
+    shape = "url string, status int, content_type string, body string, error string, response_time_ms long"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(pages, shape).repartition(6).write.parquet(source)
+    robots = spark.createDataFrame([(f"h{k}.example", "User-agent: *\nDisallow: /private\n") for k in (0, 2)], "host string, body string")
+    ST.append_available(ST.finished_pages(ST.stream_files(spark, source, spark.read.parquet(source).schema, 2), robots), out, str(tmp_path / "state"))
+    batch = ST.finished_pages(spark.read.parquet(source), robots)
+    found = rows(spark.read.parquet(out).select(batch.columns))
+    assert found == rows(batch) and 0 < len(found) < 60
+
+
+def test_lookups_are_planned_without_a_job(spark):
+    status = spark.sparkContext.statusTracker()
+    frame = spark.range(1_000).withColumn("k", F.col("id") % 7)
+    small = spark.range(7).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    before = len(status.getJobIdsForGroup(None))
+    R.lookup(frame, small, "k").explain()
+    assert len(status.getJobIdsForGroup(None)) == before
+
+
+def test_crawl_rules_hold_on_the_way(spark):
+    store = spark.createDataFrame(
+        [
+            ("https://a.example/", 200, "text/html", '<a href="/x">1</a><a href="/y">2</a><a href="/z">3</a>', None, 0, "2024-01-10 00:00:00"),
+            ("https://a.example/x", 200, "text/html", '<a href="/x2">1</a>', None, 0, "2024-01-10 00:00:00"),
+            ("https://a.example/y", 200, "text/html", '<a href="/y2">1</a>', None, 0, "2024-01-01 00:00:00"),
+            ("https://a.example/z", 200, "text/html", '<a href="/z2">1</a>' + " " * 100, None, 0, "2024-01-10 00:00:00"),
+        ],
+        "url string, status int, content_type string, body string, error string, response_time_ms long, cached_at string",
+    ).withColumn("cached_at", F.col("cached_at").cast("timestamp"))
+    seeds = spark.createDataFrame([("https://a.example/",), (None,), ("",)], "url string")
+    robots = spark.createDataFrame([("a.example", "User-agent: *\nDisallow: /x\n"), (None, None)], "host string, body string")
+
+    def found(**rules):
+        return {r.url[18:]: (r.depth, r.status, r.error) for r in P.crawl(seeds, store, 3, **rules).collect()}
+
+    plain = found()
+    assert set(plain) == {"", "x", "y", "z", "x2", "y2", "z2"} and plain["z2"] == (3, None, "not_captured")
+    barred = found(robots=robots)
+    assert barred["x"] == (2, -1, "robots_disallowed") and set(barred) == {"", "x", "y", "z", "y2", "z2"}
+    aged = found(as_of=F.lit("2024-01-10 12:00:00").cast("timestamp"), ttl_hours=24)
+    assert aged["y"] == (2, None, "not_captured") and set(aged) == {"", "x", "y", "z", "x2", "z2"}
+    sized = found(max_bytes=80)
+    assert sized["z"] == (2, 200, "content_too_large") and set(sized) == {"", "x", "y", "z", "x2", "y2"}
+    every = found(robots=robots, as_of=F.lit("2024-01-10 12:00:00").cast("timestamp"), max_bytes=80, max_results=4)
+    assert set(every) == {"", "x", "y", "z"}
+    assert P.crawl(seeds.limit(0), store, 3, robots=robots).count() == 0
