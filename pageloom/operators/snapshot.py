@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,24 @@ def fresh_entries(store: DataFrame, as_of: Column, ttl_hours: int = 24, stamp: s
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
-    """Old and new entries together, the latest per key wins; of equal stamps a hash of the entry decides."""
+    """Old and new entries together, the latest per key wins; of equal stamps a hash of the entry decides.
+
+    The winner of a key is found by stamp and hash alone.  Whole entries are moved once, to be
+    looked up among the winners, and are not sorted; only copies of one entry are collapsed.
+    """
     rows = old.unionByName(new, allowMissingColumns=True)
-    entry = F.struct(*[F.col(c) for c in rows.columns])
-    latest = rows.groupBy(*keys).agg(F.max_by(entry, total_order(rows, stamp)).alias("_row"))
-    return latest.select(*[F.col(f"_row.{c}").alias(c) for c in rows.columns])
+    columns = rows.columns
+    placed = rows.withColumn("_place", total_order(rows, stamp))
+    counted = placed.groupBy(*keys, "_place").agg(F.count("*").alias("_copies"))
+    last = counted.groupBy(*keys).agg(F.max(F.struct("_place", "_copies")).alias("_last"))
+    winners = last.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_last._place").alias("_won"), "_last._copies")
+
+    def won(some: DataFrame) -> DataFrame:
+        same = reduce(and_, [placed[k].eqNullSafe(F.col(f"_{k}")) for k in keys])
+        met = same & placed["_place"].eqNullSafe(F.col("_won"))
+        return placed.join(some.hint("shuffle_hash"), met, "left_semi").select(*columns)
+
+    return won(winners.filter("_copies = 1")).unionByName(won(winners.filter("_copies > 1")).dropDuplicates([*keys]))
 
 
 def blank_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pageloom.operators import quality as Q
 from pageloom.operators import robots as RB
 from pageloom.operators import running as R
 from pageloom.operators import schedule as SC
-from pageloom.operators.snapshot import SnapshotTable
+from pageloom.operators.snapshot import SnapshotTable, upsert_latest
 from pageloom.sources import sitemap as SM
 from pageloom.streaming import pages as ST
 
@@ -523,3 +523,28 @@ def test_crawl_rules_hold_on_the_way(spark):
     every = found(robots=robots, as_of=F.lit("2024-01-10 12:00:00").cast("timestamp"), max_bytes=80, max_results=4)
     assert set(every) == {"", "x", "y", "z"}
     assert P.crawl(seeds.limit(0), store, 3, robots=robots).count() == 0
+
+
+def test_latest_entries_win_without_a_sort_of_bodies(spark):
+    chance = random.Random(12)
+    shape = "k string, part int, at timestamp, body string"
+
+    def some(n):
+        keys, days = [None, *"abcdef"], [None, *range(1, 6)]
+        days = [d and datetime.datetime(2024, 1, d) for d in days]
+        return [(chance.choice(keys), chance.randint(0, 1), chance.choice(days), chance.choice([None, "x", "y", "z"])) for _ in range(n)]
+
+    old, new = some(60), some(60)
+    found = upsert_latest(spark.createDataFrame(old, shape), spark.createDataFrame(new, shape), ["k", "part"], "at")
+    wanted = {}
+    for r in old + new:
+        wanted[r[:2]] = max(wanted.get(r[:2], (False,)), (r[2] is not None, r[2] or 0)) if r[2] else wanted.get(r[:2], (False, 0))
+    got = found.collect()
+    assert len(got) == len(wanted) == len({r[:2] for r in got})
+    assert all(tuple(r) in old + new and (r["at"] or 0) == wanted[(r["k"], r["part"])][1] for r in got)
+    again = upsert_latest(spark.createDataFrame(new, shape), spark.createDataFrame(old, shape), ["k", "part"], "at")
+    assert rows(again) == rows(found)
+    assert upsert_latest(spark.createDataFrame([], shape), spark.createDataFrame([], shape), ["k"], "at").count() == 0
+    bodies = spark.range(100).select(F.col("id").alias("k"), F.current_timestamp().alias("at"), F.lit("b").alias("body"))
+    plan = upsert_latest(bodies, bodies, ["k"], "at")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
