@@ -17,7 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.operators.running import total_order
+from pageloom.operators.running import nth_in_order, total_order
+from pageloom.session import cut_lineage
 
 Expr = Column | str
 UPDATE, DELETE, INSERT = "update", "delete", "insert"
@@ -107,7 +108,7 @@ def merge(
     """Apply merge clauses; the first clause whose condition holds decides.
 
     ``limit`` stops after that many changed rows in the order of ``order_by`` and
-    needs it.  ``defaults`` fill columns an insert by name does not provide.
+    needs it; the join is then run ahead and kept, and the last change is found by ranges.  ``defaults`` fill columns an insert by name does not provide.
     """
     on = [on] if isinstance(on, str) else list(on)
     defaults = defaults or {}
@@ -191,15 +192,18 @@ def merge(
         *[F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(f"_k{i}") for i, k in enumerate(on)],
     )
     marks = ["_order", *[f"_k{i}" for i in range(len(on))]]
+    # The join runs once: what it gives is kept, and both the edge and the rows are read from that.
+    tagged = cut_lineage(tagged)
     changed = tagged.filter("_from_source and _action in ('insert', 'update', 'delete')")
-    first = changed.select(*marks).orderBy(*marks).limit(limit)
-    # Only the last accepted change matters: everything up to it is in.
-    edge = first.agg(F.struct(F.max(F.struct(*marks)).alias("at"), F.count("*").alias("n"))).scalar()
-    beyond = F.col("_from_source") & F.coalesce(
-        (edge["n"] >= limit) & (F.struct(*marks) > edge["at"]), F.lit(False)
-    )
     if limit <= 0:
         beyond = F.col("_from_source")
+    else:
+        # Only the last accepted change matters: everything up to it is in.
+        edge = nth_in_order(changed, marks, limit)
+        beyond = F.lit(False)
+        if edge is not None:
+            last = F.struct(*[F.lit(edge[m]).cast(changed.schema[m].dataType).alias(m) for m in marks])
+            beyond = F.col("_from_source") & F.coalesce(F.struct(*marks) > last, F.lit(False))
     cut = beyond & F.col("_action").isin(INSERT, UPDATE, DELETE)
     limited = tagged.select(
         *[F.when(cut, F.col(f"_old.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns],

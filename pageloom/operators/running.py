@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, VariantType
 
@@ -205,3 +205,26 @@ def lookup(
 def join_hot(left: DataFrame, right: DataFrame, on: str, hot_rows: int | None = None, salts: int = 64) -> DataFrame:
     """Left :func:`lookup`."""
     return lookup(left, right, on, "left", hot_rows, salts)
+
+
+def nth_in_order(rows: DataFrame, marks: Sequence[str], n: int) -> Row | None:
+    """The n-th row (from 1) by ``marks``, nulls first; None if there are fewer.
+
+    Rows are dealt into ranges of the order, the ranges are counted, and only the one that
+    holds the n-th row is looked into; the driver gets one number per range.
+    """
+    if n < 1:
+        return None
+    placed = rows.select(*marks).repartitionByRange(*marks).withColumn("_range", F.spark_partition_id())
+    placed = cut_lineage(placed)
+    before = 0
+    for number, size in placed.groupBy("_range").count().orderBy("_range").collect():
+        if before + size >= n:
+            own = placed.filter(F.col("_range") == number).select(*marks)
+            # Of a range only its first part is wanted, or its last part, whichever is shorter.
+            ahead, behind = n - before, before + size - n + 1
+            if ahead <= behind:
+                return own.orderBy(*marks).limit(ahead).orderBy(*[F.desc_nulls_last(m) for m in marks]).first()
+            return own.orderBy(*[F.desc_nulls_last(m) for m in marks]).limit(behind).orderBy(*marks).first()
+        before += size
+    return None

@@ -548,3 +548,27 @@ def test_latest_entries_win_without_a_sort_of_bodies(spark):
     bodies = spark.range(100).select(F.col("id").alias("k"), F.current_timestamp().alias("at"), F.lit("b").alias("body"))
     plan = upsert_latest(bodies, bodies, ["k"], "at")._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan
+
+
+def test_nth_row_by_ranges(spark):
+    chance = random.Random(8)
+    data = [(chance.choice([None, *range(12)]), f"k{i:03}") for i in range(400)]
+    frame = spark.createDataFrame(data, "seq int, k string").repartition(7)
+    wanted = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for n in (1, 2, 57, 200, 399, 400):
+        assert tuple(R.nth_in_order(frame, ["seq", "k"], n)) == wanted[n - 1]
+    assert R.nth_in_order(frame, ["seq", "k"], 401) is None and R.nth_in_order(frame, ["seq", "k"], 0) is None
+    assert R.nth_in_order(frame.limit(0), ["seq", "k"], 1) is None
+
+
+def test_limited_merge_takes_the_first_changes_in_order(spark):
+    chance = random.Random(3)
+    target = spark.createDataFrame([(i, 0) for i in range(0, 300, 2)], "k int, v int")
+    data = [(i, chance.randint(0, 1), chance.choice([None, *range(9)])) for i in range(300)]
+    source = spark.createDataFrame(data, "k int, v int, seq int")
+    clauses = [M.when_matched_update("s.v <> t.v"), M.when_not_matched_insert()]
+    changes = sorted((r for r in data if r[0] % 2 or r[1]), key=lambda r: (r[2] is not None, r[2] or 0, r[0]))
+    for limit in (1, 40, 150, len(changes), 1_000):
+        wanted = {i: 0 for i in range(0, 300, 2)} | {k: v for k, v, _ in changes[:limit]}
+        merged = M.merge(target, source, "k", clauses, order_by="seq", limit=limit)
+        assert dict(rows(merged.snapshot)) == wanted
