@@ -18,7 +18,7 @@ from __future__ import annotations
 import html as _html
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 from operator import or_
 
@@ -214,6 +214,10 @@ class _Batch:
             nodes[number][_LAST] = True
         self.nodes.extend(nodes)
 
+    def elements(self) -> Iterator[tuple[int, int, int, str]]:
+        """Parent, place, end and tag of each element."""
+        return ((n[_PARENT], n[_SIB], n[_END], n[_TAG]) for n in self.nodes)
+
     def end_row(self) -> None:
         self.chunk_at.append(len(self.text))
         self.node_at.append(len(self.nodes))

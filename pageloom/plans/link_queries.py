@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import tags as T
 from pageloom.functions import url as U
+from pageloom.functions.sql_names import register
 from pageloom.operators import extract as E
 from pageloom.operators import pages as P
 from pageloom.plans.registry import query
@@ -229,3 +230,25 @@ def crawl_with_follow(spark: SparkSession, sf: str) -> DataFrame:
     pages = page_table(spark, sf)
     store = response_store(pages.dropDuplicates(["url"]))
     return P.crawl(pages.select("url"), store, max_depth=2).select("url", "depth", "error")
+
+
+@query(
+    "rel_sql_text_functions",
+    """
+WITH t AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<script[^>]*>.*?</script', '', 'gs') AS body FROM pages),
+a AS (SELECT page_id, url, unnest(regexp_extract_all(body, '<a\\s[^>]*href="([^"]*)"', 1)) AS href FROM t)
+SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1)) AS host, count(*) AS links, count(DISTINCT href) AS targets,
+  min(href) AS first_href FROM a GROUP BY ALL""",
+)
+def sql_text_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """A query in SQL text: elements by a table function, URL parts by SQL functions."""
+    register(spark)
+    return spark.sql(
+        f"""
+        SELECT p.page_id, url_host(p.url) AS host, count(*) AS links, count(DISTINCT e.attrs['href']) AS targets,
+          min(e.attrs['href']) AS first_href
+        FROM parquet.`{sf}/pages.parquet` p, LATERAL page_elements(p.html) e
+        WHERE e.tag = 'a' AND e.attrs['href'] IS NOT NULL AND url_is_usable(p.url)
+        GROUP BY p.page_id, url_host(p.url)"""
+    )

@@ -14,6 +14,7 @@ from pageloom.functions import script_vars as S
 from pageloom.functions import tags as T
 from pageloom.functions import url as U
 from pageloom.functions.htmlpath import htmlpath
+from pageloom.functions.sql_names import register
 from pageloom.operators import extract as E
 from pageloom.sources import html_table as H
 
@@ -462,3 +463,16 @@ def test_links_by_the_url_standard(spark, base, href, wanted):
 def test_ascii_form_of_a_url(spark):
     row = spark.createDataFrame([("https://e.com/café/%20?q=日本#😀",)], "u string").select(U.ascii_url("u")).first()
     assert row[0] == "https://e.com/caf%C3%A9/%20?q=%E6%97%A5%E6%9C%AC#%F0%9F%98%80"
+
+
+def test_functions_in_sql_text(spark):
+    register(spark)
+    register(spark)
+    found = spark.sql(
+        "SELECT e.* FROM VALUES ('<ul CLASS=x><li>a&amp;b<b>c</b>d<li></ul>'), (NULL), ('') AS p(html), LATERAL page_elements(p.html) e"
+    ).collect()
+    assert [tuple(r) for r in found] == [
+        (0, -1, 0, 4, "ul", {"class": "x"}, ""), (1, 0, 0, 3, "li", {}, "a&bd"), (2, 1, 0, 3, "b", {}, "c"), (3, 0, 1, 4, "li", {}, "")
+    ]
+    row = spark.sql("SELECT url_host('HTTP://Www.E.com:80/a?b'), url_page('http://e.com/a/b?c'), url_is_usable('ftp://e'), base_host('WWW.e.com')").first()
+    assert tuple(row) == ("www.e.com", "/a/b", False, "e.com")
