@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.functions.columns import unpack
+from pageloom.functions.columns import let, unpack
 from pageloom.operators.running import lookup
 
 
@@ -106,49 +106,53 @@ def _edits(length: Column) -> Column:
     return F.floor((length - 1) / 10).cast("int")
 
 
-def _parts(name: Column) -> Column:
-    # One part more than edits; whatever they touch, one part is whole in the other name.
-    n = F.length(name)
-    count = _edits(n) + 1
-    start = lambda i: F.floor(i * n / count).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.struct(n.alias("long"), i.alias("part"), F.substring(name, start(i) + 1, start(i + 1) - start(i)).alias("piece")),
-    )
+#: Characters of a gram; an edit destroys as many grams at most.
+_GRAM = 3
+
 
+def _most_edits(length: Column) -> Column:
+    """The most edits of a pair whose shorter name has this length: the longer one has a ninth more at most."""
+    return _edits(length + F.floor(length / 9).cast("int") + 1)
 
-def _shifted_parts(name: Column) -> Column:
-    # Where a part of a name of length ``long`` can stand in this one: ``s`` edits before it, the rest behind.
-    m = F.length(name)
 
-    def of(long: Column) -> Column:
-        edits = _edits(long)
-        start = lambda i: F.floor(i * long / (edits + 1)).cast("int")
+def _grams(name: Column) -> Column:
+    """All grams of a name; equal ones are told apart by a number."""
+    grams = F.transform(F.sequence(F.lit(1), F.length(name) - (_GRAM - 1)), lambda i: F.substring(name, i, F.lit(_GRAM)))
+    return let(
+        F.array_sort(grams),
+        lambda every: F.transform(every, lambda g, i: F.struct(g.alias("gram"), (i + 1 - F.array_position(every, g)).cast("int").alias("nth"))),
+    )
 
-        def at(i: Column) -> Column:
-            shifts = F.filter(F.sequence(-edits, edits), lambda s: (F.abs(s) + F.abs(m - long - s) <= edits) & (start(i) + s >= 0) & (start(i + 1) + s <= m))
-            return F.transform(shifts, lambda s: F.struct(long.alias("long"), i.alias("part"), F.substring(name, start(i) + s + 1, start(i + 1) - start(i)).alias("piece")))
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), edits), at))
+def candidate_names(names: DataFrame, block: Sequence[str]) -> DataFrame:
+    """Pairs (``name_a`` < ``name_b``) of a block that share one of their rarest grams and may be similar by length.
 
-    longs = F.filter(F.sequence(m, m + F.floor(m / 9).cast("int") + 1), lambda long: long - _edits(long) <= m)
-    return F.array_distinct(F.flatten(F.transform(longs, of)))
+    Grams are counted in each block and stand in order of frequency.  With k edits at most
+    two names differ in 3 k of their grams, so the first 3 k + 1 of both have one in common.
+    What many names of a block have in common is not among the first ones of a name that has
+    3 k + 1 grams of its own.  With fewer (own parts of less than about a third of the name),
+    common grams come in and more pairs are compared; none is lost.
+    """
+    placed = names.select(*block, "name", F.explode(_grams(F.col("name"))).alias("token"))
+    counts = placed.groupBy(*block, "token").agg(F.count("*").alias("n"))
+    ranked = placed.join(counts, [*block, "token"]).groupBy(*block, "name").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("all"))
+    first = F.slice("all", F.lit(1), _GRAM * _most_edits(F.length("name")) + 1)
+    keyed = ranked.select(*block, "name", F.explode(F.transform(first, lambda t: t["token"])).alias("token"))
+    other = keyed.withColumnRenamed("name", "name_b")
+    met = keyed.withColumnRenamed("name", "name_a").join(other, [*block, "token"])
+    a, b = F.length("name_a"), F.length("name_b")
+    close = F.abs(a - b) <= _edits(F.greatest(a, b))
+    return met.filter((F.col("name_a") < F.col("name_b")) & close).select(*block, "name_a", "name_b").distinct()
 
 
 def similar_names(products: DataFrame, block: Sequence[str], name: str) -> DataFrame:
     """Pairs of different names within a block with a similarity above 90 %: edits under a tenth of the longer name.
 
     ``block`` are the columns that must be equal, as brand and weight; null is equal to
-    nothing.  Equal names are collapsed first.  The longer name of a pair is cut into one
-    part more than the edits allowed, of at least ten characters each; the shorter one
-    holds one of them, moved by as many places at most.  So every pair is found; a group
-    is the names of a block that share a part at like places.
+    nothing.  Equal names are collapsed first.  Pairs that share a rare part (see
+    :func:`candidate_names`) are compared in whole.
     """
     names = products.select(*block, plain_name(F.col(name)).alias("name")).dropna().distinct()
-    names = names.filter(F.length("name") >= 10)
-    longer = names.select(*block, F.col("name").alias("_long"), F.inline(_parts(F.col("name")))).filter("long > 10")
-    shorter = names.select(*block, F.col("name").alias("_short"), F.inline(_shifted_parts(F.col("name"))))
-    met = longer.join(shorter, [*block, "long", "part", "piece"]).filter("_long <> _short")
-    pairs = met.select(*block, F.least("_long", "_short").alias("name_a"), F.greatest("_long", "_short").alias("name_b")).distinct()
+    pairs = candidate_names(names.filter(F.length("name") >= 10), block)
     longest = F.greatest(F.length("name_a"), F.length("name_b"))
     return pairs.filter(F.levenshtein("name_a", "name_b") * 10 < longest)

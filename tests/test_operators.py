@@ -572,3 +572,13 @@ def test_limited_merge_takes_the_first_changes_in_order(spark):
         wanted = {i: 0 for i in range(0, 300, 2)} | {k: v for k, v, _ in changes[:limit]}
         merged = M.merge(target, source, "k", clauses, order_by="seq", limit=limit)
         assert dict(rows(merged.snapshot)) == wanted
+
+
+def test_a_shared_beginning_is_no_join_key(spark):
+    chance = random.Random(21)
+    common = "a common beginning "
+    names = sorted({common + "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=16)) for _ in range(3_000)})
+    names += [n + "x" for n in names[:20]]
+    frame = spark.createDataFrame([(1, n) for n in names], "b int, name string")
+    assert Q.candidate_names(frame, ["b"]).count() < 40 * len(names)
+    assert {(r["name_a"], r["name_b"]) for r in Q.similar_names(frame, ["b"], "name").collect()} >= {(n, n + "x") for n in names[:20]}
