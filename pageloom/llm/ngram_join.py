@@ -55,6 +55,11 @@ class Rule:
     width: int = 3
     percent: int = 90
 
+    def __post_init__(self) -> None:
+        # Prefixes of pairs and triples reach far enough from here on only.
+        if not 80 <= self.percent <= 100:
+            raise ValueError("links are found from a similarity of 80 to 100 % on")
+
     def lacking(self, n: int) -> int:
         """How many of n tokens a linked document may lack."""
         return n - -(-n * self.percent // 100)

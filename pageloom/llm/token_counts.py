@@ -224,6 +224,12 @@ def redactions(text: str, rules: Sequence[tuple[str, str]] = REDACTED) -> list[E
     return out
 
 
+def _edit_of(given: dict) -> Edit:
+    start = 0 if given["start"] is None or given["start"] != given["start"] else int(given["start"])
+    end = start if given["end"] is None or given["end"] != given["end"] else int(given["end"])
+    return Edit(start, end, given["new"] or "")
+
+
 def edited_counts(
     docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", edits: str | None = None, edited: bool = False
 ) -> DataFrame:
@@ -233,8 +239,9 @@ def edited_counts(
     edit over the text that the earlier ones left, places in code points; without it the
     edits are ``redactions``.  Results: ``n_tokens``, ``n_edits``, ``n_tokens_after``,
     ``n_touched`` (pre-tokens that were encoded again) and, with ``edited``, ``text_after``.
-    A null or empty text has no tokens; null edits are none; edits outside the text are
-    moved to its ends.  Columns named like results are replaced.  One pass, no shuffle; a
+    A null or empty text has no tokens; null edits are none; a null ``start`` is the front of
+    the text, a null ``end`` the place of ``start``, a null ``new`` an empty text; edits outside
+    the text are moved to its ends.  Columns named like results are replaced.  One pass, no shuffle; a
     document without edits costs one count.
     """
     spark = docs.sparkSession
@@ -248,7 +255,7 @@ def edited_counts(
                 body = body or ""
                 if lists is not None:
                     given = lists.iloc[k]
-                    changes = [Edit(e["start"], e["end"], e["new"] or "") for e in given] if given is not None else []
+                    changes = [_edit_of(e) for e in given if e is not None] if given is not None else []
                 else:
                     changes = redactions(body)
                 if not changes:

@@ -408,6 +408,10 @@ def test_token_counts(spark, odd, none):
     docs = spark.createDataFrame(lists, "doc_id long, text string, edits array<struct<start:int,end:int,new:string>>")
     given = TC.edited_counts(docs, edits="edits", edited=True).orderBy("doc_id").collect()
     assert [r["text_after"] for r in given] == [lists[0][1], "yy x", "new text"]
+    odd_edits = [(1, "some words here", [(None, 4, "any"), None, (8, None, "x"), (3, 1, None)])]
+    shape = "doc_id long, text string, edits array<struct<start:int,end:int,new:string>>"
+    odd_row = TC.edited_counts(spark.createDataFrame(odd_edits, shape), edits="edits", edited=True).first()
+    assert odd_row["n_edits"] == 3 and odd_row["text_after"].startswith("any wor")
     own = TC.edited_counts(docs.drop("edits"), edited=True).orderBy("doc_id").collect()
     assert own[0]["text_after"] == "mail me at [address] or call [number] today" and own[0]["n_edits"] == 2
     for r in (*given, *own):
@@ -498,6 +502,12 @@ def least_of_groups(docs, width=5, percent=80):
     return {k for k in keys if top(k) == k}
 
 
+def test_rules_that_lose_links_are_refused():
+    for percent in (0, 50, 79, 101):
+        with pytest.raises(ValueError):
+            NG.Rule(percent=percent)
+
+
 def test_stage_drops_near_copies_of_five_words(spark, sf):
     docs = near_copies(4)
     words = [f"w{k}" for k in range(60)]
