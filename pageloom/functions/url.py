@@ -218,13 +218,15 @@ def base_parts(base: ColumnOrName) -> Column:
     authority = F.regexp_extract(base, r"(?s)^.*?://([^/?#]*)", 1)
     base_path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
     page = F.when(base_path == "", "/").otherwise(without_dots(base_path))
-    folder = F.regexp_replace(base_path, r"[^/]*$", "")
+    folder = lambda path: F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", ""))
     return F.struct(
         F.when(_has_scheme(base), F.concat(scheme, F.lit(":"))).otherwise("https:").alias("scheme"),
         F.when(_has_scheme(base), F.concat(scheme, F.lit("://"), _authority(authority, scheme))).otherwise("").alias("origin"),
-        F.when(folder == "", "/").otherwise(folder).alias("folder"),
+        folder(page).alias("folder"),
         page.alias("page"),
+        # As the page spells them, for the older rule.
         F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1).alias("written"),
+        folder(base_path).alias("written_folder"),
     )
 
 
@@ -235,7 +237,7 @@ def _older_link(base: Column, href: Column) -> Column:
         .when(F.startswith(href, F.lit("//")), F.concat(F.substring_index(base["written"], "//", 1), href))
         .when(base["written"] == "", "")
         .when(F.startswith(href, F.lit("/")), F.concat(base["written"], href))
-        .otherwise(F.concat(base["written"], fold_dots(F.concat(base["folder"], href))))
+        .otherwise(F.concat(base["written"], fold_dots(F.concat(base["written_folder"], href))))
     )
 
 
@@ -243,6 +245,19 @@ def resolve_at(base: Column, href: Column, standard: bool = True) -> Column:
     """:func:`resolve` for a :func:`cleaned` link (trimmed, for the older rule) and the parts of its page URL."""
     if not standard:
         return _older_link(base, href)
+    # Most links need nothing but the front of the page put before them.  The rest is kept
+    # out of the generated code, which would grow too large to be compiled.
+    dotless = ~href.rlike(rf"(?:^|/){_DOT}{{1,2}}(?:[/?#]|\z)")
+    here = dotless & (base["origin"] != "")
+    return (
+        F.when(dotless & href.rlike(r"^https?://[a-z0-9.\-]++/"), href)
+        .when(here & href.rlike("^/(?!/)"), F.concat(base["origin"], href))
+        .when(here & href.rlike(r"^[A-Za-z0-9_~%\-][^:/?#]*+(?:[/?#]|\z)"), F.concat(base["origin"], base["folder"], href))
+        .otherwise(let(F.struct(base.alias("base"), href.alias("href")), lambda p: _resolved(p["base"], p["href"])))
+    )
+
+
+def _resolved(base: Column, href: Column) -> Column:
     link_path = F.regexp_extract(href, r"^([^?#]*+)", 1)
     tail = F.regexp_extract(href, r"(?s)^[^?#]*+(.*)\z", 1)
     whole = F.when(F.startswith(link_path, F.lit("/")), link_path).otherwise(F.concat(base["folder"], link_path))
