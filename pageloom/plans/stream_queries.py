@@ -18,7 +18,8 @@ from pageloom.streaming import pages as ST
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return ST.stream_files(spark, sf, table(spark, sf, name).schema, name=f"{name}.parquet")
+    """A raw table as a stream; it may be one file or a folder of files, which a pattern stands for alike."""
+    return ST.stream_files(spark, f"{sf}/{{{name}.parquet}}", table(spark, sf, name).schema)
 
 
 def _folders(spark: SparkSession) -> tuple[str, str]:
@@ -98,9 +99,7 @@ def continuous_merge(spark: SparkSession, sf: str) -> DataFrame:
 @query("st05_adaptive_delay", ADAPTIVE_DELAYS)
 def adaptive_delay(spark: SparkSession, sf: str) -> DataFrame:
     data, state = _folders(spark)
-    schema = table(spark, sf, "events").schema
-    events = ST.stream_files(spark, sf, schema, name="events.parquet")
-    log = events.select(
+    log = _stream(spark, sf, "events").select(
         F.concat(F.lit("host"), F.col("user_id").cast("string"), F.lit(".example")).alias("domain"),
         F.col("event_id").alias("seq"),
         F.round(F.col("value") * 100).cast("long").alias("ms"),

@@ -3,6 +3,7 @@
 import datetime
 import itertools
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pageloom.operators import robots as RB
 from pageloom.operators import running as R
 from pageloom.operators import schedule as SC
 from pageloom.operators.snapshot import SnapshotTable, upsert_latest
+from pageloom.plans import all_queries
 from pageloom.sources import sitemap as SM
 from pageloom.streaming import pages as ST
 
@@ -487,6 +489,19 @@ def test_stream_of_pages_beside_robots_equals_batch(spark, tmp_path):
     assert found == rows(batch) and 0 < len(found) < 60
 
 
+@pytest.mark.parametrize("name", ["st01_finished_pages", "st01_finished_pages_with_robots", "st02_distinct_urls", "st05_adaptive_delay"])
+def test_streams_read_tables_of_several_files(spark, sf, tmp_path, name):
+    folder = str(tmp_path / "tables")
+    for held in ("pages", "events"):
+        spark.read.parquet(f"{sf}/{held}.parquet").limit(60).repartition(3).write.parquet(f"{folder}/{held}.parquet")
+        spark.read.parquet(f"{folder}/{held}.parquet").coalesce(1).write.parquet(str(tmp_path / held))
+        one = next((tmp_path / held).glob("part-*.parquet"))
+        (tmp_path / "single").mkdir(exist_ok=True)
+        shutil.copy(one, tmp_path / "single" / f"{held}.parquet")
+    found = rows(all_queries()[name].build(spark, folder))
+    assert found and found == rows(all_queries()[name].build(spark, str(tmp_path / "single")))
+
+
 def test_lookups_are_planned_without_a_job(spark):
     status = spark.sparkContext.statusTracker()
     frame = spark.range(1_000).withColumn("k", F.col("id") % 7)
