@@ -18,6 +18,7 @@ from pageloom.functions import tags as T
 from pageloom.functions import url as U
 from pageloom.functions.columns import let, unpack
 from pageloom.functions.htmlpath import json_object
+from pageloom.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -173,12 +174,18 @@ def extract_by_rule(
 
 
 def split_required(rows: DataFrame, specs: Sequence[Spec]) -> tuple[DataFrame, DataFrame]:
-    """Rows with all required fields, and the rejected ones with the missing names."""
+    """Rows with all required fields, and the rejected ones with the missing names.
+
+    Both come from one table of the fields, which is worked out once: no page is parsed
+    again for the other half, or for the test whether a field is missing.
+    """
     missing = F.filter(
         F.array(*[F.when(F.col(s.alias).isNull(), s.alias) for s in specs if s.required]).cast("array<string>"),
         lambda m: m.isNotNull(),
     )
     checked = rows.withColumn("missing", missing)
+    if not rows.isStreaming:
+        checked = cut_lineage(checked)
     return checked.filter(F.size("missing") == 0).drop("missing"), checked.filter(F.size("missing") > 0)
 
 
