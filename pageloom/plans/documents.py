@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.sources.tables import spread, table
+from pageloom.sources.tables import dealt, table
 
 ROWS_PER_PAGE = 20
 
@@ -74,7 +74,7 @@ def product_pages(spark: SparkSession, sf: str) -> DataFrame:
         '<span itemprop="seller">first</span><div itemscope itemtype="https://schema.org/Person">'
         '<b itemprop="seller"> Shop ', key, " </b></div></div></body></html>",
     )
-    return spread(table(spark, sf, "part")).select(
+    return dealt(table(spark, sf, "part")).select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
         glue("https://shop.example/p/", key).alias("url"), html.alias("html"),
     )

@@ -20,6 +20,20 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
+#: Narrow rows of which a task makes pages.
+ROWS_PER_TASK = 20_000
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Narrow rows in tasks of like size ahead of heavy work per row.
+
+    A small file may hold very many of them, and its splits differ in their rows; they are
+    counted (from the footers of the files) and dealt out, which moves little.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-rows.count() // ROWS_PER_TASK)))
+
+
 def page_table(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "pages"))
 
