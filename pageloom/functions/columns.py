@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+#: Bytes of page text that a Python function turns into objects at a time.
+PIECE_BYTES = 1 << 20
+
+
+def pieces(pages: pa.Array, limit: int = PIECE_BYTES) -> Iterator[pa.Array]:
+    """Runs of rows of at most ``limit`` bytes, or single rows, whatever the size of the batch."""
+    if len(pages) > 1 and pages.nbytes > limit:
+        half = len(pages) // 2
+        yield from pieces(pages.slice(0, half), limit)
+        yield from pieces(pages.slice(half), limit)
+    else:
+        yield pages
+
 
 def col(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.functions.columns import ColumnOrName, col, first_of, let, strip, unpack
+from pageloom.functions.columns import ColumnOrName, col, first_of, let, pieces, strip, unpack
 from pageloom.functions.entities import decoded_attribute
 
 _INT, _TEXT = T.IntegerType(), T.StringType()
@@ -245,14 +245,16 @@ class _Batch:
 
 
 @F.arrow_udf(DOM_TYPE)
-def _parse(pages: pa.Array) -> pa.Array:
-    batch = _Batch()
-    for page in pages:
-        text = page.as_py()
-        if text:
-            batch.add_page(text)
-        batch.end_row()
-    return batch.arrow()
+def _parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    # Elements take many times the room of their text, so a batch is read and handed on in pieces.
+    for pages in (piece for whole in batches for piece in pieces(whole)):
+        batch = _Batch()
+        for page in pages:
+            text = page.as_py()
+            if text:
+                batch.add_page(text)
+            batch.end_row()
+        yield batch.arrow()
 
 
 def parse(html: ColumnOrName) -> Column:

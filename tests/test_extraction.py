@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,9 @@ from pageloom.functions import url as U
 from pageloom.functions.htmlpath import htmlpath
 from pageloom.functions.sql_names import register
 from pageloom.operators import extract as E
+from pageloom.plans import documents as DOC
 from pageloom.sources import html_table as H
+from pageloom.sources import tables
 
 
 @pytest.fixture
@@ -30,6 +33,35 @@ def value(spark):
     return run
 
 
+def test_batches_are_read_in_pieces():
+    """Python functions hand on a part of a large batch before they read the rest."""
+    pages = pa.array(["<p>x</p>" * 40_000] * 8 + [None])
+    scripts = pa.array([["var a = 1; " * 30_000]] * 8 + [None])
+    data = pa.array([['{"@type": "Thing"}' + " " * 300_000]] * 8 + [None])
+    for read, batch in [
+        (D._parse, pages), (S._plain, scripts), (S._with_window, scripts), (S._per_script, scripts),
+        (S._strict_items, data), (S._lenient_items, data),
+    ]:
+        found = [len(part) for part in read.func(iter([batch, batch.slice(0, 0)]))]
+        assert sum(found) == 9 and max(found) < 5
+
+
+def test_required_fields_are_worked_out_once(spark, capsys):
+    pages = spark.createDataFrame([("a", "<h1>x</h1>"), ("b", "<p>y</p>")], "k string, html string")
+    wanted = [E.css("name", "h1", required=True)]
+    good, bad = E.split_required(E.extract(pages, wanted, ["k"]), wanted)
+    assert [r["k"] for r in good.collect()] == ["a"] and [(r["k"], r["missing"]) for r in bad.collect()] == [("b", ["name"])]
+    good.explain()
+    bad.explain()
+    assert "EvalPython" not in capsys.readouterr().out
+
+
+def test_rows_that_become_pages_are_dealt_evenly(spark, sf, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 20)
+    sizes = DOC.product_pages(spark, sf).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 10 and max(r["count"] for r in sizes) <= 30
+
+
 STATION = (
     '<section><ul><li class="gauge wet"><a href="/gauges/7?unit=c&amp;day=1">Gauge 7</a> <em data-taken=06:30>18.4 °C</em></li></ul></section>'
     '<script type="application/ld+json">{"@type":"Observation","location":{"name":"North quay"}}</script>'
