@@ -6,9 +6,10 @@ running totals, so a domain holding a third of all URLs stays parallel.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,64 +128,121 @@ def adaptive_delays(
     carried = numbered.groupBy("domain", (F.col("chunk") + 1).alias("chunk")).agg(F.sum(weight * F.col("ms")).alias("carry"))
     started = numbered.join(carried, ["domain", "chunk"], "left")
 
-    def averages(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rn")
-        values = rows["ms"].astype("float64")
-        if key[1] > 0:
-            values = pd.concat([rows["carry"].iloc[:1], values])
-        ema = values.ewm(alpha=EMA_WEIGHT, adjust=False).mean().iloc[-len(rows) :]
-        rows = rows.assign(ema=ema.to_numpy())
-        rows["factor"] = [step_factor(m, e, n) for m, e, n in zip(rows["ms"], rows["ema"], rows["rn"])]
-        return rows[["domain", "seq", "ms", "rn", "chunk", "ema", "factor"]]
+    def averages() -> Fold:
+        mean, weight = 0.0, 1.0
+
+        def step(row: tuple, first: bool) -> tuple:
+            nonlocal mean, weight
+            domain, seq, ms, rn, chunk, carry = row
+            value = math.nan if ms is None else float(ms)
+            if first and chunk == 0:
+                mean, weight = value, 1.0
+            else:
+                if first:
+                    mean, weight = math.nan if carry is None else carry, 1.0
+                if mean != mean:
+                    mean = value
+                else:
+                    # A response without a time leaves the average, which then weighs less.
+                    weight *= 1 - EMA_WEIGHT
+                    if value == value:
+                        if mean != value:
+                            mean = (weight * mean + EMA_WEIGHT * value) / (weight + EMA_WEIGHT)
+                        weight = 1.0
+            return domain, seq, ms, rn, chunk, None if mean != mean else mean, step_factor(value, mean, rn)
+
+        return step
 
     shape = "domain string, seq long, ms long, rn long, chunk long, ema double, factor double"
     # Read by three steps below, worked out once.
-    factored = cut_lineage(started.groupBy("domain", "chunk").applyInPandas(averages, shape))
+    factored = cut_lineage(_fold_in_order(started.select("domain", "seq", "ms", "rn", "chunk", "carry"), ["domain", "chunk"], "rn", averages, shape))
 
-    def effects(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        scale, bottom, top = 1.0, 0.0, float("inf")
-        for factor in rows.sort_values("rn")["factor"]:
+    def effects() -> Fold:
+        scale, bottom, top = 1.0, 0.0, math.inf
+
+        def step(row: tuple, first: bool) -> tuple:
+            nonlocal scale, bottom, top
+            if first:
+                scale, bottom, top = 1.0, 0.0, math.inf
+            domain, chunk, rn, factor = row
             scale *= factor
             bottom, top = clamp(bottom * factor, factor), clamp(top * factor, factor)
-        return pd.DataFrame(
-            {"domain": [key[0]], "chunk": [key[1]], "scale": [scale], "bottom": [bottom], "top": [top]}
-        )
+            return domain, chunk, rn, scale, bottom, top
+
+        return step
 
     def clamp(delay: float, factor: float) -> float:
         if factor > 1:
             return min(delay, high)
         return max(delay, low) if factor < 1 else delay
 
-    moved = factored.filter("factor <> 1")
-    summaries = moved.groupBy("domain", "chunk").applyInPandas(
-        effects, "domain string, chunk long, scale double, bottom double, top double"
-    )
-    def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        delay, out = float(start), []
-        rows = rows.sort_values("chunk")
-        for scale, bottom, top in zip(rows["scale"], rows["bottom"], rows["top"]):
-            out.append(delay)
-            if scale == scale:
-                delay = min(max(delay * scale, bottom), top)
-        return rows.assign(start_delay=out)[["domain", "chunk", "start_delay"]]
+    moved = factored.filter("factor <> 1").select("domain", "chunk", "rn", "factor")
+    effect = "domain string, chunk long, rn long, scale double, bottom double, top double"
+    summed = _fold_in_order(moved, ["domain", "chunk"], "rn", effects, effect)
+    last = summed.groupBy("domain", "chunk").agg(F.max_by(F.struct("scale", "bottom", "top"), "rn").alias("_last"))
+    summaries = last.select("domain", "chunk", "_last.*")
+
+    def chain() -> Fold:
+        delay = float(start)
+
+        def step(row: tuple, first: bool) -> tuple:
+            nonlocal delay
+            domain, chunk, scale, bottom, top = row
+            before = float(start) if first else delay
+            delay = before if scale is None else min(max(before * scale, bottom), top)
+            return domain, chunk, before
+
+        return step
 
     # One narrow row per 4096 responses is left per domain.
     chunks = factored.select("domain", "chunk").distinct().join(summaries, ["domain", "chunk"], "left")
-    starts = chunks.groupBy("domain").applyInPandas(chain, "domain string, chunk long, start_delay double")
-
-    def delays(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rn")
-        delay, out = float(rows["start_delay"].iloc[0]), []
-        for factor in rows["factor"]:
-            delay = clamp(delay * factor, factor)
-            out.append(delay)
-        return rows.assign(delay=out)[["domain", "seq", "ms", "ema", "delay"]]
-
-    return (
-        factored.join(starts, ["domain", "chunk"])
-        .groupBy("domain", "chunk")
-        .applyInPandas(delays, "domain string, seq long, ms long, ema double, delay double")
-    )
+    starts = _fold_in_order(chunks, ["domain"], "chunk", chain, "domain string, chunk long, start_delay double")
+
+    def delays() -> Fold:
+        delay = float(start)
+
+        def step(row: tuple, first: bool) -> tuple:
+            nonlocal delay
+            domain, chunk, rn, seq, ms, ema, factor, begin = row
+            delay = clamp((begin if first else delay) * factor, factor)
+            return domain, seq, ms, ema, delay
+
+        return step
+
+    joined = factored.join(starts, ["domain", "chunk"])
+    joined = joined.select("domain", "chunk", "rn", "seq", "ms", "ema", "factor", "start_delay")
+    return _fold_in_order(joined, ["domain", "chunk"], "rn", delays, "domain string, seq long, ms long, ema double, delay double")
+
+
+_ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
+#: Result row of a row, given whether it is the first one of its group.
+Fold = Callable[[tuple, bool], tuple]
+
+
+def _fold_in_order(rows: DataFrame, keys: list[str], order: str, make: Callable[[], Fold], shape: str) -> DataFrame:
+    """A fold over each group in the order of a column, one result row per row.
+
+    Groups lie one after another in a partition and are not gathered, so the work follows
+    the rows, not the number of groups.
+    """
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, order)
+    names = rows.columns
+    at = [names.index(k) for k in keys]
+    fields = [part.split() for part in shape.split(", ")]
+    target = pa.schema([(name, _ARROW[kind]) for name, kind in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, group = make(), None
+        for batch in batches:
+            found = []
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                own = tuple(row[i] for i in at)
+                found.append(step(row, own != group))
+                group = own
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), target)], schema=target)
+
+    return dealt.mapInArrow(run, shape)
 
 
 def folded_delays(values: Iterator[float], start: float, low: float, high: float) -> list[float]:
