@@ -502,6 +502,16 @@ def test_streams_read_tables_of_several_files(spark, sf, tmp_path, name):
     assert found and found == rows(all_queries()[name].build(spark, str(tmp_path / "single")))
 
 
+def test_delays_need_no_call_per_domain(spark, capsys):
+    log = spark.range(3_000).select(F.concat(F.lit("d"), F.col("id") % 300).alias("domain"), F.col("id").alias("seq"), (F.col("id") * 7919 % 500).alias("ms"))
+    found = SC.adaptive_delays(log)
+    found.explain()
+    assert "FlatMapGroups" not in capsys.readouterr().out
+    for name in ("d0", "d299"):
+        own = found.filter(F.col("domain") == name).orderBy("seq").collect()
+        assert [r["delay"] for r in own] == pytest.approx(SC.folded_delays([r["ms"] for r in own], 1.0, 0.5, 60.0))
+
+
 def test_lookups_are_planned_without_a_job(spark):
     status = spark.sparkContext.statusTracker()
     frame = spark.range(1_000).withColumn("k", F.col("id") % 7)
