@@ -294,6 +294,30 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_few_edges_are_few_files(spark):
+    """A file a partition costs commands on a local file system; edges are worked out once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    settings = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.range(40).selectExpr("id AS a", "id + 1 AS b").mapInArrow(counted, "a long, b long")
+        found = components(edges)
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert {(r["node"], r["comp"]) for r in found.collect()} == {(k, 0) for k in range(41)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert read.value == 40
+
+
 # --- 7 ---------------------------------------------------------------------------------
 
 
