@@ -75,10 +75,15 @@ def links(pages: DataFrame, keep: list[str], base: str = "url", html: str = "htm
 
 def _link_attributes(html: ColumnOrName) -> Column:
     """``struct(href, nofollow)`` of every link tag; read inside the array, so later filters do not read it again."""
+
+    def target(tag: Column) -> Column:
+        # Each step names its input several times, so that is bound first.
+        return let(attribute_text(tag, "href"), lambda raw: let(decoded(raw, in_attribute=True), U.cleaned))
+
     return F.transform(
         all_tags(html, LINK_TAG),
         lambda t: F.struct(
-            U.cleaned(decoded(attribute_text(t, "href"), in_attribute=True)).alias("href"),
+            target(t).alias("href"),
             F.when(t.rlike("(?i)nofollow"), attribute_text(t, "rel").rlike("(?i)nofollow")).otherwise(False).alias("nofollow"),
         ),
     )
@@ -86,10 +91,10 @@ def _link_attributes(html: ColumnOrName) -> Column:
 
 def _is_followable(href: Column, base: Column) -> Column:
     """Whether a link leads to an http(s) page; the scheme is judged where it stands, ahead of resolving."""
-    is_web = F.when(U.has_own_scheme(href), href.rlike("^(?i:https?):")).otherwise(
-        base["scheme"].rlike("^(?i:https?):$") & (base["origin"] != "")
-    )
-    return (href != "") & ~href.rlike(SKIPPED_TARGET) & is_web
+    rooted = F.startswith(href, F.lit("/"))  # names no scheme; most links need no pattern
+    own_scheme = ~rooted & U.has_own_scheme(href)
+    is_web = F.when(own_scheme, href.rlike("^(?i:https?):")).otherwise(U.is_web_base(base) & (base["origin"] != ""))
+    return (href != "") & (rooted | ~href.rlike(SKIPPED_TARGET)) & is_web
 
 
 def followable(pages: DataFrame, keep: list[str], base: str, read: Column) -> DataFrame:

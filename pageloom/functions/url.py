@@ -192,7 +192,8 @@ def _authority(text: Column, scheme: Column) -> Column:
     user = F.regexp_extract(text, r"(?s)^(.*@)", 1)
     place = F.lower(F.substring(text, F.length(user) + 1, F.length(text)))
     port = F.when(scheme == "http", F.regexp_replace(place, r":(?:0*80)?\z", ""))
-    return F.concat(user, port.when(scheme == "https", F.regexp_replace(place, r":(?:0*443)?\z", "")).otherwise(place))
+    spelled = F.concat(user, port.when(scheme == "https", F.regexp_replace(place, r":(?:0*443)?\z", "")).otherwise(place))
+    return F.when(text.rlike(r"^[a-z0-9.\-]*+\z"), text).otherwise(spelled)
 
 
 def absolute(url: ColumnOrName) -> Column:
@@ -214,20 +215,28 @@ def base_parts(base: ColumnOrName) -> Column:
     Worked out once per page, however many links the page has.
     """
     base = col(base)
-    scheme = F.lower(F.regexp_extract(base, r"(?s)^(.*?)://", 1))
-    authority = F.regexp_extract(base, r"(?s)^.*?://([^/?#]*)", 1)
-    base_path = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
-    page = F.when(base_path == "", "/").otherwise(without_dots(base_path))
-    folder = lambda path: F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", ""))
-    return F.struct(
-        F.when(_has_scheme(base), F.concat(scheme, F.lit(":"))).otherwise("https:").alias("scheme"),
-        F.when(_has_scheme(base), F.concat(scheme, F.lit("://"), _authority(authority, scheme))).otherwise("").alias("origin"),
-        folder(page).alias("folder"),
-        page.alias("page"),
-        # As the page spells them, for the older rule.
+    read = F.struct(
+        F.lower(F.regexp_extract(base, r"(?s)^(.*?)://", 1)).alias("scheme"),
+        F.regexp_extract(base, r"(?s)^.*?://([^/?#]*)", 1).alias("authority"),
+        F.regexp_extract(base, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1).alias("path"),
+        # As the page spells it, for the older rule.
         F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1).alias("written"),
-        folder(base_path).alias("written_folder"),
     )
+    folder = lambda path: F.when(path == "", "/").otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+
+    def parts(own: Column, page: Column) -> Column:
+        origin = F.concat(own["scheme"], F.lit("://"), _authority(own["authority"], own["scheme"]))
+        return F.struct(
+            F.when(_has_scheme(base), F.concat(own["scheme"], F.lit(":"))).otherwise("https:").alias("scheme"),
+            F.when(_has_scheme(base), origin).otherwise("").alias("origin"),
+            folder(page).alias("folder"),
+            page.alias("page"),
+            own["written"].alias("written"),
+            folder(own["path"]).alias("written_folder"),
+        )
+
+    page = lambda own: F.when(own["path"] == "", "/").otherwise(without_dots(own["path"]))
+    return let(read, lambda own: let(page(own), lambda p: parts(own, p)))
 
 
 def _older_link(base: Column, href: Column) -> Column:
@@ -241,17 +250,30 @@ def _older_link(base: Column, href: Column) -> Column:
     )
 
 
+def is_web_base(base: Column) -> Column:
+    """Whether a page of these :func:`base_parts` has an http(s) URL."""
+    return base["scheme"].isin("http:", "https:")
+
+
+def _may_have_dots(href: Column) -> Column:
+    """A plain test ahead of the pattern of dot segments: what it refuses has none."""
+    found = F.contains(href, F.lit("/.")) | F.contains(href, F.lit("/%2"))
+    return found | F.startswith(href, F.lit(".")) | F.startswith(href, F.lit("%2"))
+
+
 def resolve_at(base: Column, href: Column, standard: bool = True) -> Column:
     """:func:`resolve` for a :func:`cleaned` link (trimmed, for the older rule) and the parts of its page URL."""
     if not standard:
         return _older_link(base, href)
     # Most links need nothing but the front of the page put before them.  The rest is kept
     # out of the generated code, which would grow too large to be compiled.
-    dotless = ~href.rlike(rf"(?:^|/){_DOT}{{1,2}}(?:[/?#]|\z)")
+    rooted, hosted = F.startswith(href, F.lit("/")), F.startswith(href, F.lit("//"))
+    dotless = ~(_may_have_dots(href) & href.rlike(rf"(?:^|/){_DOT}{{1,2}}(?:[/?#]|\z)"))
     here = dotless & (base["origin"] != "")
     return (
-        F.when(dotless & href.rlike(r"^https?://[a-z0-9.\-]++/"), href)
-        .when(here & href.rlike("^/(?!/)"), F.concat(base["origin"], href))
+        F.when(rooted & ~hosted & here, F.concat(base["origin"], href))
+        .when(hosted & is_web_base(base) & href.rlike(r"^//[a-z0-9.\-]++/") & dotless, F.concat(base["scheme"], href))
+        .when(dotless & href.rlike(r"^https?://[a-z0-9.\-]++/"), href)
         .when(here & href.rlike(r"^[A-Za-z0-9_~%\-][^:/?#]*+(?:[/?#]|\z)"), F.concat(base["origin"], base["folder"], href))
         .otherwise(let(F.struct(base.alias("base"), href.alias("href")), lambda p: _resolved(p["base"], p["href"])))
     )

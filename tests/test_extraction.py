@@ -46,6 +46,16 @@ def test_batches_are_read_in_pieces():
         assert sum(found) == 9 and max(found) < 5
 
 
+def test_steps_of_a_link_are_worked_out_once(spark):
+    """A pattern that stands several times in one expression runs several times for every link or page."""
+    assert str(T._link_attributes("html")).count("]href") == 1
+    assert str(U.base_parts("url")).count("^(.*?)://") == 1
+    html = "<a href='//h.com/a'><a href=//h.com/b/../c><a href='//H.com/d'><a href=/e><a href=.f><a href='#g'><a href=mailto:h>"
+    pages = spark.createDataFrame([(b, html) for b in ("https://e.com/a/b", "ftp://e.com/a/b")], "url string, html string")
+    found = sorted(r["link"] for r in T.links(pages, ["url"]).collect())
+    assert found == [f"https://{p}" for p in ("e.com/a/.f", "e.com/e", "h.com/a", "h.com/c", "h.com/d")]
+
+
 def test_required_fields_are_worked_out_once(spark, capsys):
     pages = spark.createDataFrame([("a", "<h1>x</h1>"), ("b", "<p>y</p>")], "k string, html string")
     wanted = [E.css("name", "h1", required=True)]
