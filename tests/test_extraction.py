@@ -56,6 +56,21 @@ def test_steps_of_a_link_are_worked_out_once(spark):
     assert found == [f"https://{p}" for p in ("e.com/a/.f", "e.com/e", "h.com/a", "h.com/c", "h.com/d")]
 
 
+def test_plain_json_in_scripts_is_read_at_once(monkeypatch):
+    """A literal that is JSON needs no reader of its own; what the two would read differently takes the other one."""
+    steps, plain = [], S._read_array
+    monkeypatch.setattr(S, "_read_array", lambda *a: steps.append(a[1]) or plain(*a))
+    held = dict(S.assignments('var a = [{"b": [1, 2.0, -0.0, "x"]}, null];\nc = {"d": [true], "d": [1e3]}'))
+    assert held == {"a": [{"b": [1, 2, 0, "x"]}, None], "c": {"d": [1000]}} and not steps
+    long = "1" * 4001
+    held = dict(S.assignments(f'var a = ["\\ud83d", "\\x41"], b = [NaN, 1e999, {long}], c = [1,,{{d: 2}},], e = [[1] + 2], f = {"[" * 3000}{"]" * 3000}'))
+    assert held == {"a": ["\ufffd", "A"], "b": [None, None, None], "c": [1, None, {"d": 2}], "e": [None]} and steps
+    # A script of many literals that are no JSON is not tried again and again.
+    tried, scan = [], S._SCAN
+    monkeypatch.setattr(S, "_SCAN", lambda *a: tried.append(a[1]) or scan(*a))
+    assert len(S.assignments("a = [{b: 'c'}];" * 100)) == 100 and len(tried) < 20
+
+
 def test_required_fields_are_worked_out_once(spark, capsys):
     pages = spark.createDataFrame([("a", "<h1>x</h1>"), ("b", "<p>y</p>")], "k string, html string")
     wanted = [E.css("name", "h1", required=True)]
