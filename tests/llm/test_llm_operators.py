@@ -4,8 +4,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
@@ -282,6 +285,40 @@ def test_linked_odd_documents(odd, none):
     assert NG.linked_documents(none).count() == 0
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        found.add(files.next().getName())
+    return {f for f in found if f.startswith("shuffle_")}
+
+
+def test_linked_documents_leave_few_files(spark):
+    """What the steps shuffle and keep goes with them, not when the driver happens to collect its garbage."""
+    docs = near_copies(3)
+    folder = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    tables, shuffled = set(folder.iterdir()), shuffle_files(spark)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    found = NG.linked_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), block=6, pivot_least=12)
+    # Rows and components, and the labels of two turns and of the cells.
+    assert 2 <= len(set(folder.iterdir()) - tables) <= 5
+    for _ in range(100):  # files are deleted in the background
+        if not (left := shuffle_files(spark) - shuffled):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting) == before
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute_components(docs)
+
+
+def test_first_rows_of_nodes_with_equal_flags(spark):
+    rows = [(0, [5, 6], 0), (1, [7], 1), (-1, [5], 2), (0, [5, 6], 3), (None, [], 4), (2, [], 5), (1 << 60, [8], 6), (-1, [5], 7)]
+    nodes = [(0, 0, 2), (1, 1, 1), (-1, 2, 2), (2, 5, 1), (1 << 60, 6, 1)]
+    index = spark.createDataFrame(rows, "node long, sigs array<long>, key long").repartition(3)
+    found = NG.first_rows(index, spark.createDataFrame(nodes, "node long, key long, copies long")).collect()
+    assert sorted(map(tuple, found)) == [(-1, [5]), (0, [5, 6]), (1, [7]), (1 << 60, [8])]
+
+
 def test_components(spark):
     dice = random.Random(4)
     edges = [(k, k + 1) for k in range(40)] + [(100 + dice.randrange(50), 100 + dice.randrange(50)) for _ in range(40)] + [(7, 7)]
